@@ -105,31 +105,35 @@ def line_midpoint(line: Column | str) -> Column:
     )
 
 
+def _clip_side(axis: str, limit: Column, sign: int):
+    """What a ring side leaves behind when clipped at one line: cut point, end vertex, or none."""
+    other = "y" if axis == "x" else "x"
+
+    def keep(side: Column) -> Column:
+        a, b = side["a"], side["b"]
+        a_in = (a[axis] - limit) * sign >= 0
+        b_in = (b[axis] - limit) * sign >= 0
+        share = (limit - a[axis]) / F.nullif(b[axis] - a[axis], F.lit(0.0))
+        across = a[other] + (b[other] - a[other]) * share
+        cut = vertex(limit, across) if axis == "x" else vertex(across, limit)
+        end = vertex(b["x"], b["y"])
+        return (
+            F.when(a_in & b_in, F.array(end))
+            .when(b_in, F.array(cut, end))
+            .when(a_in, F.array(cut))
+            .otherwise(F.array().cast(f"array<{VERTEX}>"))
+        )
+
+    return keep
+
+
 def clip_rings(df: DataFrame, ring: str, box: str, into: str) -> DataFrame:
     """Clip a ring column to a box column, one box side after the other.
 
     Each side is a column of its own, so that its result is computed once.
     """
-    sides_of_box = (("x", "west", 1), ("x", "east", -1), ("y", "south", 1), ("y", "north", -1))
     df = df.withColumn(into, F.col(ring))
-    for axis, edge, sign in sides_of_box:
-        limit = F.col(box)[edge]
-        other = "y" if axis == "x" else "x"
-
-        def keep(side: Column, axis=axis, other=other, sign=sign, limit=limit) -> Column:
-            a, b = side["a"], side["b"]
-            a_in = (a[axis] - limit) * sign >= 0
-            b_in = (b[axis] - limit) * sign >= 0
-            share = (limit - a[axis]) / F.nullif(b[axis] - a[axis], F.lit(0.0))
-            across = a[other] + (b[other] - a[other]) * share
-            cut = vertex(limit, across) if axis == "x" else vertex(across, limit)
-            end = vertex(b["x"], b["y"])
-            return (
-                F.when(a_in & b_in, F.array(end))
-                .when(b_in, F.array(cut, end))
-                .when(a_in, F.array(cut))
-                .otherwise(F.array().cast(f"array<{VERTEX}>"))
-            )
-
-        df = df.withColumn(into, F.flatten(F.transform(sides(into), keep)))
+    for axis, edge, sign in (("x", "west", 1), ("x", "east", -1), ("y", "south", 1), ("y", "north", -1)):
+        pieces = F.transform(sides(into), _clip_side(axis, F.col(box)[edge], sign))
+        df = df.withColumn(into, F.flatten(pieces))
     return df

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,6 +19,22 @@ def to_day(value: Column | str, numeric: bool = False) -> Column:
     return F.to_date(_c(value))
 
 
+_EPOCH = "1970-01-01 00:00:00"
+
+
+def micros(value: Column | str, kind: str) -> Column:
+    """Microseconds since 1970 of a ``timestamp`` or ``timestamp_ntz`` column."""
+    if kind == "timestamp_ntz":
+        return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast(kind), _c(value))
+    return F.unix_micros(_c(value))
+
+
+def from_micros(value: Column | str, kind: str) -> Column:
+    if kind == "timestamp_ntz":
+        return F.timestamp_add("MICROSECOND", _c(value), F.lit(_EPOCH).cast(kind))
+    return F.timestamp_micros(_c(value))
+
+
 def jitter(value: Column | str, amount: float, key: Column | str, seed: int = 0) -> Column:
     """Add uniform noise in [-amount, amount), fixed by the key, so that neither
     partitioning nor a retried task changes it."""
@@ -101,16 +119,12 @@ def chunks(items: Column | str, size: int = 20) -> Column:
 
 def merge_options(*maps: Column | str) -> Column:
     """Merge option maps; a later map wins, a null map counts as empty."""
-    merged = None
-    for column in maps:
-        column = F.coalesce(_c(column), F.create_map().cast("map<string,string>"))
-        if merged is None:
-            merged = column
-            continue
-        later = column
-        earlier = F.map_filter(merged, lambda k, _v, later=later: ~F.map_contains_key(later, k))
-        merged = F.map_concat(earlier, later)
-    return merged
+    def over(earlier: Column, later: Column) -> Column:
+        kept = F.map_filter(earlier, lambda key, _value: ~F.map_contains_key(later, key))
+        return F.map_concat(kept, later)
+
+    empty = F.create_map().cast("map<string,string>")
+    return reduce(over, (F.coalesce(_c(column), empty) for column in maps))
 
 
 def ramp(position: Column | str, count: Column | str, low: float, high: float) -> Column:

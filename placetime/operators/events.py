@@ -32,10 +32,11 @@ def throttle(df: DataFrame, key: str, ts: str, tie: str, wait_ms: int = THROTTLE
     than one slice of a key, or one key's reports.
     """
     wait = wait_ms * 1000
+    kind = df.schema[ts].dataType.simpleString()
     width = (slice_ms or max(3_600_000, wait_ms)) * 1000
     instants = (
         df.groupBy(key, ts).agg(F.min(tie).alias(tie))
-        .withColumn("_at", F.unix_micros(ts))
+        .withColumn("_at", values.micros(ts, kind))
         .withColumn("_slice", F.floor(F.col("_at") / width))
     )
     key_type = df.schema[key].dataType.simpleString()
@@ -86,7 +87,7 @@ def throttle(df: DataFrame, key: str, ts: str, tie: str, wait_ms: int = THROTTLE
         instants.join(gates, [key, "_slice"])
         .groupBy(key, "_slice").applyInPandas(passed, f"{key} {key_type}, _at bigint, {tie} {tie_type}")
     )
-    return kept.select(key, F.timestamp_micros("_at").cast(df.schema[ts].dataType).alias(ts), tie)
+    return kept.select(key, values.from_micros("_at", kind).alias(ts), tie)
 
 
 def batches(df: DataFrame, items: str, size: int = BATCH_SIZE) -> DataFrame:

@@ -41,7 +41,8 @@ def salted_join(
         parts = F.coalesce(F.col("_parts"), F.lit(1))
         left = big.join(hot, on, "left").withColumn("_salt", F.pmod(spread, parts)).drop("_parts")
         right = small.join(hot, on, "left")
-    right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1)).cast("long")).drop("_parts")
+    every_salt = F.sequence(F.lit(0).cast("bigint"), parts.cast("bigint") - 1)
+    right = right.withColumn("_salt", F.explode(every_salt)).drop("_parts")
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 

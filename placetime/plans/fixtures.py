@@ -141,6 +141,6 @@ rings AS (
 ), sides AS (
   SELECT box_id, kind, ring, i,
          v[CASE WHEN i = 1 THEN len(v) ELSE i - 1 END][1] AS ax, v[CASE WHEN i = 1 THEN len(v) ELSE i - 1 END][2] AS ay,
-         v[i][1] AS bx, v[i][2] AS by
+         v[i][1] AS bx, v[i][2] AS b_y
   FROM (SELECT *, unnest(range(1, len(v) + 1)) AS i FROM rings)
 )"""

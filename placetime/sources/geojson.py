@@ -34,72 +34,58 @@ def bad_documents(df: DataFrame, text: str) -> DataFrame:
     return _parsed(df, text).where(F.col("_node").isNull() | F.col("_node._bad").isNotNull()).drop("_node")
 
 
-def _leaf_geometries(df: DataFrame, depth: int) -> DataFrame:
-    """Open geometry collections; members keep the feature's properties."""
-    done = None
-    for _ in range(depth):
-        single = df.where(F.col("geometry.type") != "GeometryCollection")
-        done = single if done is None else done.unionByName(single)
-        df = (
-            df.where(F.col("geometry.type") == "GeometryCollection")
-            .withColumn("_member", F.explode("geometry.geometries"))
-            .withColumn("geometry", F.from_json("_member", _GEOMETRY))
-            .drop("_member")
-        )
-    return done.unionByName(_refuse_rest(df, "geometry", depth))
-
-
-def _refuse_rest(df: DataFrame, column: str, depth: int) -> DataFrame:
-    """Deeper nesting than asked for fails instead of being lost."""
-    message = F.lit(f"GeoJSON nested deeper than {depth} levels")
-    kind = df.schema[column].dataType
-    return df.withColumn(column, F.raise_error(message).cast(kind))
-
-
 def read_features(
-    df: DataFrame, text: str, keep: list[str] | None = None, depth: int = 3,
+    df: DataFrame, text: str, keep: list[str] | None = None, depth: int = 2,
     only: Column | None = None, each: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Flatten GeoJSON texts to one row per geometry.
+    """Flatten GeoJSON texts to one row per geometry, in one pass.
 
     Gives ``keep`` columns, ``feature_id``, ``geometry_type``, ``coordinates`` (JSON
-    text) and ``properties``. Features without geometry are skipped; an unknown
-    geometry type fails. ``only`` filters and ``each`` adds columns per feature.
+    text) and ``properties``. Members of a geometry collection keep the feature's
+    properties. Features without geometry are skipped. An unknown geometry type fails,
+    and so does nesting deeper than ``depth`` collections. ``only`` filters and ``each``
+    adds columns per feature. Texts that are no JSON object are left to
+    :func:`bad_documents`.
     """
     keep = keep or []
-    level = _parsed(df.select(*keep, text), text).drop(text).where(
+    nodes = _parsed(df.select(*keep, text), text).select(*keep, "_node").where(
         F.col("_node").isNotNull() & F.col("_node._bad").isNull()
     )
-    features = None
+    node = F.col("_node")
     for _ in range(depth):
-        own = level.where(F.col("_node.features").isNull())
-        features = own if features is None else features.unionByName(own)
-        level = (
-            level.where(F.col("_node.features").isNotNull())
-            .withColumn("_item", F.explode("_node.features"))
-        )
-        level = _parsed(level, "_item").drop("_item")
-    features = features.unionByName(_refuse_rest(level, "_node", depth))
+        members = F.transform(node["features"], lambda item: F.from_json(item, _NODE))
+        inner = F.when(node["features"].isNull(), F.array(node)).otherwise(members)
+        nodes = nodes.select(*keep, F.explode(inner).alias("_node"))
 
-    node = F.col("_node")
     bare = F.when(
         node["coordinates"].isNotNull() | node["geometries"].isNotNull(),
-        F.struct(node["type"].alias("type"), node["coordinates"].alias("coordinates"), node["geometries"].alias("geometries")),
+        F.struct(*(node[part].alias(part) for part in ("type", "coordinates", "geometries"))),
     )
-    flat = features.select(
+    flat = nodes.select(
         *keep, node["id"].alias("feature_id"),
         F.coalesce(node["properties"], F.create_map().cast("map<string,string>")).alias("properties"),
         F.coalesce(node["geometry"], bare).alias("geometry"),
-    ).where(F.col("geometry.coordinates").isNotNull() | F.col("geometry.geometries").isNotNull())
+        node["features"].isNotNull().alias("_deep"),
+    ).where(
+        F.col("_deep") | F.col("geometry.coordinates").isNotNull() | F.col("geometry.geometries").isNotNull()
+    )
     if only is not None:
         flat = flat.where(only)
-    leaves = _leaf_geometries(flat, depth).where(F.col("geometry").isNotNull())
-    known = F.when(F.col("geometry.type").isin(list(COORDINATE_DEPTH)), F.col("geometry.type")).otherwise(
-        F.raise_error(F.concat(F.lit("invalid GeoJSON type "), F.coalesce("geometry.type", F.lit("null")))).cast("string")
+    geometry = F.col("geometry")
+    for _ in range(depth):
+        members = F.transform(geometry["geometries"], lambda item: F.from_json(item, _GEOMETRY))
+        inner = F.when(geometry["type"] == "GeometryCollection", members).otherwise(F.array(geometry))
+        flat = flat.withColumn("geometry", F.explode(inner))
+
+    kind = geometry["type"]
+    too_deep = F.col("_deep") | (kind == "GeometryCollection")
+    checked = (
+        F.when(kind.isin(list(COORDINATE_DEPTH)) & ~F.col("_deep"), kind)
+        .when(too_deep, F.raise_error(F.lit(f"GeoJSON nested deeper than {depth} collections")).cast("string"))
+        .otherwise(F.raise_error(F.concat(F.lit("invalid GeoJSON type "), F.coalesce(kind, F.lit("null")))).cast("string"))
     )
-    out = leaves.select(
-        *keep, "feature_id", known.alias("geometry_type"),
-        F.col("geometry.coordinates").alias("coordinates"), "properties",
+    out = flat.select(
+        *keep, "feature_id", checked.alias("geometry_type"), geometry["coordinates"].alias("coordinates"), "properties"
     )
     return out.withColumns(each) if each else out
 

@@ -6,8 +6,8 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from placetime.functions import values
 from placetime.operators.events import THROTTLE_MS, kept_positions
 
 _NEVER = -(2**62)
@@ -21,9 +21,10 @@ def throttle_stream(events: DataFrame, key: str, ts: str, tie: str, wait_ms: int
     so far comes with every kept row.
     """
     wait = wait_ms * 1000
+    kind = events.schema[ts].dataType.simpleString()
     key_type = events.schema[key].dataType.simpleString()
     tie_type = events.schema[tie].dataType.simpleString()
-    timed = events.select(key, F.unix_micros(F.col(ts).cast("timestamp")).alias("_at"), tie)
+    timed = events.select(key, values.micros(ts, kind).alias("_at"), tie)
     columns = [key, "_at", tie]
 
     def run(group, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
@@ -45,7 +46,7 @@ def throttle_stream(events: DataFrame, key: str, ts: str, tie: str, wait_ms: int
         "append",
         "NoTimeout",
     )
-    return kept.select(key, F.timestamp_micros("_at").alias(ts), tie, "late")
+    return kept.select(key, values.from_micros("_at", kind).alias(ts), tie, "late")
 
 
 def run_to_table(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
