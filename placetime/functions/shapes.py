@@ -136,4 +136,5 @@ def clip_rings(df: DataFrame, ring: str, box: str, into: str) -> DataFrame:
     for axis, edge, sign in (("x", "west", 1), ("x", "east", -1), ("y", "south", 1), ("y", "north", -1)):
         pieces = F.transform(sides(into), _clip_side(axis, F.col(box)[edge], sign))
         df = df.withColumn(into, F.flatten(pieces))
-    return df
+    # a one-element explode keeps later filters from repeating the four steps
+    return df.select(*(c for c in df.columns if c != into), F.explode(F.array(into)).alias(into))

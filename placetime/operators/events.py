@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -11,6 +13,7 @@ from placetime.functions import values
 
 BATCH_SIZE = 20  # fixed value: items per batch
 THROTTLE_MS = 50  # fixed value: default wait of the throttle
+NEVER = -(2**62)
 
 
 def kept_positions(at: np.ndarray, wait: int, open_from: int) -> np.ndarray:
@@ -22,70 +25,128 @@ def kept_positions(at: np.ndarray, wait: int, open_from: int) -> np.ndarray:
     return np.array(kept, dtype=np.int64)
 
 
+def whole_groups(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Regroup a key-sorted stream of frames so that no group is cut in two."""
+    rest = None
+    for frame in frames:
+        frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+        if not len(frame):
+            continue
+        last = frame.iloc[-1]
+        still_open = np.logical_and.reduce(
+            [(frame[k] == last[k]) | (frame[k].isna() & pd.isna(last[k])) for k in keys]
+        )
+        rest = frame[still_open]
+        if not still_open.all():
+            yield frame[~still_open]
+    if rest is not None and len(rest):
+        yield rest
+
+
+class _Timeline:
+    """The times of many (key, slice) groups laid end to end, with the next time each lets through."""
+
+    def __init__(self, frame: pd.DataFrame, key: str, width: int, wait: int):
+        slices = frame["_slice"].to_numpy()
+        keys = pd.factorize(frame[key], use_na_sentinel=False)[0]
+        fresh = np.append(True, (keys[1:] != keys[:-1]) | (slices[1:] != slices[:-1]))
+        self.first = np.flatnonzero(fresh)
+        self.group = np.cumsum(fresh) - 1
+        self.stop = np.append(self.first[1:], len(frame))
+        self.starts = slices * width
+        # each group owns a stretch long enough that a wait never reaches the next one
+        self.stretch = width + wait + 1
+        self.offset = frame["_at"].to_numpy() - self.starts
+        self.line = self.group * self.stretch + self.offset
+        self.next = np.searchsorted(self.line, self.line + wait)
+
+    def at_or_after(self, offset: np.ndarray | int) -> np.ndarray:
+        """First position of each group at or after an offset, or the group's stop."""
+        groups = np.arange(len(self.first))
+        reach = np.clip(offset, 0, self.stretch - 1)
+        return np.minimum(np.searchsorted(self.line, groups * self.stretch + reach), self.stop)
+
+
 def throttle(df: DataFrame, key: str, ts: str, tie: str, wait_ms: int = THROTTLE_MS, slice_ms: int | None = None) -> DataFrame:
     """Let one event per key through, drop the rest for ``wait_ms``, repeat.
 
     Exact for keys of any size. Only the first event of a key at one instant can pass,
     so the rest go in a pre-aggregation. Each (key, time slice) then reports, for every
     event that may open it, the last event it lets through; following these reports
-    along a key gives the moment the gate opens in each slice. No task ever holds more
-    than one slice of a key, or one key's reports.
+    along a key gives the moment the gate opens in each slice. No task holds more than
+    one slice of a key at a time, or one key's reports.
     """
     wait = wait_ms * 1000
     kind = df.schema[ts].dataType.simpleString()
+    key_type, tie_type = (df.schema[c].dataType.simpleString() for c in (key, tie))
     width = (slice_ms or max(3_600_000, wait_ms)) * 1000
     instants = (
         df.groupBy(key, ts).agg(F.min(tie).alias(tie))
         .withColumn("_at", values.micros(ts, kind))
-        .withColumn("_slice", F.floor(F.col("_at") / width))
-    )
-    key_type = df.schema[key].dataType.simpleString()
-
-    def report(pdf: pd.DataFrame) -> pd.DataFrame:
-        at = np.sort(pdf["_at"].to_numpy())
-        last = np.searchsorted(at, at + wait)
-        last = np.where(last == len(at), np.arange(len(at)), last)
-        while True:
-            further = last[last]
-            if np.array_equal(further, last):
-                break
-            last = further
-        start = int(pdf["_slice"].iloc[0]) * width
-        openers = min(len(at), int(np.searchsorted(at, start + wait)) + 1)
-        # openers with the same end behave alike: keep the latest of each run
-        ends = last[:openers]
-        edge = np.flatnonzero(np.append(ends[1:] != ends[:-1], True))
-        return pd.DataFrame({
-            key: pdf[key].iloc[0], "_slice": pdf["_slice"].iloc[0], "_opener": at[edge], "_end": at[ends[edge]],
-        })
-
-    reports = instants.groupBy(key, "_slice").applyInPandas(
-        report, f"{key} {key_type}, _slice bigint, _opener bigint, _end bigint"
+        .select(key, F.floor(F.col("_at") / width).alias("_slice"), "_at", tie)
     )
 
-    def follow(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_slice", "_opener"])
-        slices, openers, ends = (pdf[c].to_numpy() for c in ("_slice", "_opener", "_end"))
-        borders = np.append(np.flatnonzero(np.append(True, slices[1:] != slices[:-1])), len(slices))
-        gate, gates = np.iinfo(np.int64).min, []
-        for lo, hi in zip(borders[:-1], borders[1:]):
-            gates.append(gate)
-            at = lo + int(np.searchsorted(openers[lo:hi], gate))
-            if at < hi:
-                gate = ends[at] + wait
-        return pd.DataFrame({key: pdf[key].iloc[0], "_slice": slices[borders[:-1]], "_gate": gates})
-
-    gates = reports.groupBy(key).applyInPandas(follow, f"{key} {key_type}, _slice bigint, _gate bigint")
-
-    def passed(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_at")
-        keep = kept_positions(pdf["_at"].to_numpy(), wait, int(pdf["_gate"].iloc[0]))
-        return pdf.iloc[keep][[key, "_at", tie]]
-
-    tie_type = df.schema[tie].dataType.simpleString()
+    def report(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in whole_groups(frames, [key, "_slice"]):
+            t = _Timeline(frame, key, width, wait)
+            here = np.arange(len(frame))
+            last = np.where(t.next < t.stop[t.group], t.next, here)
+            while not np.array_equal(last[last], last):
+                last = last[last]
+            # a slice can be opened by the events a wait may still cover, and by the next one
+            opens = here <= t.at_or_after(wait)[t.group]
+            # openers with the same end behave alike: keep the latest of each run
+            alike = np.append((last[1:] == last[:-1]) & opens[1:] & (t.group[1:] == t.group[:-1]), False)
+            edge = np.flatnonzero(opens & ~alike)
+            at = frame["_at"].to_numpy()
+            yield pd.DataFrame({
+                key: frame[key].to_numpy()[edge], "_slice": frame["_slice"].to_numpy()[edge],
+                "_opener": at[edge], "_end": at[last[edge]],
+            })
+
+    def follow(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in whole_groups(frames, [key]):
+            keys = pd.factorize(frame[key], use_na_sentinel=False)[0]
+            slices, openers, ends = (frame[c].to_numpy() for c in ("_slice", "_opener", "_end"))
+            new_key = np.append(True, keys[1:] != keys[:-1])
+            first = np.flatnonzero(new_key | np.append(True, slices[1:] != slices[:-1]))
+            gate, gates = NEVER, []
+            for lo, hi in zip(first, np.append(first[1:], len(frame))):
+                gate = NEVER if new_key[lo] else gate
+                gates.append(gate)
+                at = lo + int(np.searchsorted(openers[lo:hi], gate))
+                if at < hi:
+                    gate = int(ends[at]) + wait
+            yield pd.DataFrame({key: frame[key].to_numpy()[first], "_slice": slices[first], "_gate": gates})
+
+    def passed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in whole_groups(frames, [key, "_slice"]):
+            # the gate row sorts in front of the events of its slice
+            is_gate = frame["_gate"].notna().to_numpy()
+            gates = frame["_gate"].to_numpy()[is_gate].astype(np.int64)
+            frame = frame[~is_gate]
+            t = _Timeline(frame, key, width, wait)
+            now = t.at_or_after(gates - t.starts[t.first])
+            now, kept = now[now < t.stop], []
+            while len(now):
+                kept.append(now)
+                step = t.next[now]
+                now = step[step < t.stop[t.group[now]]]
+            yield frame.iloc[np.sort(np.concatenate(kept))] if kept else frame.iloc[:0]
+
+    reports = (
+        instants.repartition(key, "_slice").sortWithinPartitions(key, "_slice", "_at")
+        .mapInPandas(report, f"{key} {key_type}, _slice bigint, _opener bigint, _end bigint")
+    )
+    gates = (
+        reports.repartition(key).sortWithinPartitions(key, "_slice", "_opener")
+        .mapInPandas(follow, f"{key} {key_type}, _slice bigint, _gate bigint")
+        .select(key, "_slice", F.lit(NEVER).alias("_at"), F.lit(None).cast(tie_type).alias(tie), "_gate")
+    )
     kept = (
-        instants.join(gates, [key, "_slice"])
-        .groupBy(key, "_slice").applyInPandas(passed, f"{key} {key_type}, _at bigint, {tie} {tie_type}")
+        instants.withColumn("_gate", F.lit(None).cast("bigint")).unionByName(gates)
+        .repartition(key, "_slice").sortWithinPartitions(key, "_slice", "_at")
+        .mapInPandas(passed, f"{key} {key_type}, _slice bigint, _at bigint, {tie} {tie_type}, _gate bigint")
     )
     return kept.select(key, values.from_micros("_at", kind).alias(ts), tie)
 
@@ -93,4 +154,6 @@ def throttle(df: DataFrame, key: str, ts: str, tie: str, wait_ms: int = THROTTLE
 def batches(df: DataFrame, items: str, size: int = BATCH_SIZE) -> DataFrame:
     """One row per batch of at most ``size`` items; the other columns are copied."""
     rest = [c for c in df.columns if c != items]
-    return df.select(*rest, F.posexplode(values.chunks(items, size)).alias("batch", items))
+    # the outer form keeps Spark from cutting the array once more to test its size
+    cut = df.select(*rest, F.posexplode_outer(values.chunks(items, size)).alias("batch", items))
+    return cut.where(F.col("batch").isNotNull())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from placetime.functions import text, values
-from placetime.operators import keyed
+from placetime.operators import arrays, keyed
 from placetime.operators.ordered import ordered_columns
 from placetime.plans.registry import query, r6, table
 
@@ -220,9 +220,7 @@ FROM (SELECT doc_id, string_split(text, ' ') AS words FROM documents)
 """)
 def zipped_rows(spark, sf):
     words = F.split("text", " ")
-    docs = table(spark, sf, "documents").select("doc_id", words.alias("w"))
-    rows = values.zip_rows(word="w", size=F.transform("w", F.length))
-    return docs.select("doc_id", F.inline(rows))
+    return arrays.zipped(table(spark, sf, "documents"), ["doc_id"], word=words, size=F.transform(words, F.length))
 
 
 @query("""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from placetime.functions import text
-from placetime.operators import search
+from placetime.operators import arrays, search
 from placetime.plans.fixtures import ASKED_SQL, SEARCH_DOCS_SQL, asked, search_documents
 from placetime.plans.registry import query, table
 
@@ -18,8 +18,7 @@ SELECT doc_id, pos, token FROM (
   FROM (SELECT doc_id, regexp_extract_all(text, '\d*\+|\d*\-|F|L|R|\[|\]|\|') AS tokens FROM documents))
 """)
 def extracted_tokens(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", text.extract_tokens("text").alias("tokens"))
-    return docs.select("doc_id", F.posexplode("tokens").alias("pos", "token"))
+    return arrays.tokens(table(spark, sf, "documents"), "text", ["doc_id"])
 
 
 def _rewrite_sql(source: str) -> str:
@@ -47,7 +46,7 @@ SELECT page_id, unnest(range(len(p))) AS pos, regexp_replace(unnest(p), '/(.)',
 """)
 def split_with_escape(spark, sf):
     parts = text.split_escaped("url", ".", "/")
-    return table(spark, sf, "pages").select("page_id", F.posexplode(parts).alias("pos", "part"))
+    return arrays.exploded(table(spark, sf, "pages"), parts, ["page_id"], "pos", "part")
 
 
 @query("""

@@ -48,14 +48,13 @@ def read_features(
     :func:`bad_documents`.
     """
     keep = keep or []
-    nodes = _parsed(df.select(*keep, text), text).select(*keep, "_node").where(
-        F.col("_node").isNotNull() & F.col("_node._bad").isNull()
-    )
+    # outer explodes and late filters: a filter on a parsed column would parse it twice
+    nodes = _parsed(df.select(*keep, text), text).select(*keep, "_node")
     node = F.col("_node")
     for _ in range(depth):
         members = F.transform(node["features"], lambda item: F.from_json(item, _NODE))
         inner = F.when(node["features"].isNull(), F.array(node)).otherwise(members)
-        nodes = nodes.select(*keep, F.explode(inner).alias("_node"))
+        nodes = nodes.select(*keep, F.explode_outer(inner).alias("_node"))
 
     bare = F.when(
         node["coordinates"].isNotNull() | node["geometries"].isNotNull(),
@@ -65,9 +64,9 @@ def read_features(
         *keep, node["id"].alias("feature_id"),
         F.coalesce(node["properties"], F.create_map().cast("map<string,string>")).alias("properties"),
         F.coalesce(node["geometry"], bare).alias("geometry"),
-        node["features"].isNotNull().alias("_deep"),
-    ).where(
-        F.col("_deep") | F.col("geometry.coordinates").isNotNull() | F.col("geometry.geometries").isNotNull()
+        node["features"].isNotNull().alias("_deep"), node["_bad"].alias("_bad"),
+    ).where(F.col("_bad").isNull()).where(
+        F.coalesce("_deep", F.lit(False)) | F.col("geometry.coordinates").isNotNull() | F.col("geometry.geometries").isNotNull()
     )
     if only is not None:
         flat = flat.where(only)
@@ -75,8 +74,9 @@ def read_features(
     for _ in range(depth):
         members = F.transform(geometry["geometries"], lambda item: F.from_json(item, _GEOMETRY))
         inner = F.when(geometry["type"] == "GeometryCollection", members).otherwise(F.array(geometry))
-        flat = flat.withColumn("geometry", F.explode(inner))
+        flat = flat.withColumn("geometry", F.explode_outer(inner))
 
+    flat = flat.where(geometry.isNotNull())
     kind = geometry["type"]
     too_deep = F.col("_deep") | (kind == "GeometryCollection")
     checked = (

@@ -8,9 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 from placetime.functions import values
-from placetime.operators.events import THROTTLE_MS, kept_positions
-
-_NEVER = -(2**62)
+from placetime.operators.events import NEVER, THROTTLE_MS, kept_positions
 
 
 def throttle_stream(events: DataFrame, key: str, ts: str, tie: str, wait_ms: int = THROTTLE_MS) -> DataFrame:
@@ -28,7 +26,7 @@ def throttle_stream(events: DataFrame, key: str, ts: str, tie: str, wait_ms: int
     columns = [key, "_at", tie]
 
     def run(group, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        last, late = state.get if state.exists else (_NEVER, 0)
+        last, late = state.get if state.exists else (NEVER, 0)
         # one micro-batch of one key
         batch = pd.concat(list(frames)).sort_values(["_at", tie])
         at = batch["_at"].to_numpy()
