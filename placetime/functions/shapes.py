@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from placetime.functions import values
+
 VERTEX = "struct<x:double,y:double>"
 
 
@@ -84,25 +86,27 @@ def line_length(line: Column | str) -> Column:
 def line_midpoint(line: Column | str) -> Column:
     """Point at half the length; a line without length gives its first vertex."""
     line = _c(line)
-    half = line_length(line) / 2
     first = F.get(line, F.lit(0))
 
-    def walk(acc: Column, step: Column) -> Column:
-        a, b = step["a"], step["b"]
-        length = _length(a, b)
-        reached = acc["gone"] + length
-        back = (reached - half) / F.nullif(length, F.lit(0.0))
-        here = vertex(b["x"] - back * (b["x"] - a["x"]), b["y"] - back * (b["y"] - a["y"]))
-        found = acc["at"].isNull() & (half > 0) & (reached > half)
-        return F.struct(
-            reached.alias("gone"), F.when(found, here).otherwise(acc["at"]).alias("at")
+    def at_half(half: Column) -> Column:
+        def walk(acc: Column, step: Column) -> Column:
+            a, b = step["a"], step["b"]
+            length = _length(a, b)
+            reached = acc["gone"] + length
+            back = (reached - half) / F.nullif(length, F.lit(0.0))
+            here = vertex(b["x"] - back * (b["x"] - a["x"]), b["y"] - back * (b["y"] - a["y"]))
+            found = acc["at"].isNull() & (half > 0) & (reached > half)
+            return F.struct(
+                reached.alias("gone"), F.when(found, here).otherwise(acc["at"]).alias("at")
+            )
+
+        start = F.struct(F.lit(0.0).alias("gone"), F.lit(None).cast(VERTEX).alias("at"))
+        return F.aggregate(
+            line_steps(line), start, walk,
+            lambda acc: F.coalesce(acc["at"], vertex(first["x"], first["y"])),
         )
 
-    start = F.struct(F.lit(0.0).alias("gone"), F.lit(None).cast(VERTEX).alias("at"))
-    return F.aggregate(
-        line_steps(line), start, walk,
-        lambda acc: F.coalesce(acc["at"], vertex(first["x"], first["y"])),
-    )
+    return values.let(line_length(line) / 2, at_half)
 
 
 def _clip_side(axis: str, limit: Column, sign: int):

@@ -7,12 +7,15 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from placetime.functions import values
+
 # Markup, limits and token forms that results depend on.
 MARK_OPEN = "<mark class='search-match'>"
 MARK_CLOSE = "</mark>"
 SNIPPET_LEAD = 50
 SNIPPET_TAIL = 200
 ELLIPSIS = "…"
+BREAKS = (" ", ",", ":")
 TURTLE_TOKENS = r"\d*\+|\d*\-|F|L|R|\[|\]|\|"
 
 _REGEX_SPECIAL = r"([.*+?^${}()|\[\]\\])"
@@ -40,12 +43,33 @@ def rewrite(text: Column | str, rules: dict[str, str], rounds: int = 1, limit: i
     if longest**rounds > limit:
         raise ValueError(f"{rounds} rounds may grow the text {longest**rounds} times; the limit is {limit}")
     table = F.create_map(*(F.lit(part) for pair in rules.items() for part in pair))
+    # stand-ins from the private use area: every rule character turns into its own
+    # stand-in before any replacement text comes in
+    stand_ins = {key: chr(0xE000 + i) for i, key in enumerate(rules)}
 
-    def once(current: Column, _round: int) -> Column:
+    def by_character(current: Column) -> Column:
         swapped = F.transform(F.split(current, ""), lambda ch: F.coalesce(table[ch], ch))
         return F.array_join(swapped, "")
 
-    return reduce(once, range(rounds), _c(text))
+    def by_stand_in(current: Column) -> Column:
+        for key, stand_in in stand_ins.items():
+            current = F.replace(current, F.lit(key), F.lit(stand_in))
+        for key, stand_in in stand_ins.items():
+            current = F.replace(current, F.lit(stand_in), F.lit(rules[key]))
+        return current
+
+    def has_stand_in(current: Column) -> Column:
+        return reduce(Column.__or__, (F.contains(current, F.lit(s)) for s in stand_ins.values()), F.lit(False))
+
+    def repeat(step, start: Column) -> Column:
+        return reduce(lambda current, _round: step(current), range(rounds), start)
+
+    # a rule that itself makes or takes stand-ins goes character by character
+    if set("".join([*rules, *rules.values()])) & set(stand_ins.values()):
+        return repeat(by_character, _c(text))
+    return F.when(has_stand_in(_c(text)), repeat(by_character, _c(text))).otherwise(
+        repeat(by_stand_in, _c(text))
+    )
 
 
 def split_escaped(text: Column | str, separator: str, escape: str) -> Column:
@@ -122,23 +146,34 @@ def snippet(text: Column | str, query: Column | str) -> Column:
     Without a match the text stays as it is. A tail without a break is kept whole.
     """
     text, query = _c(text), _c(query)
-    at = F.instr(F.lower(text), F.lower(query))
-    head = F.substring(text, F.lit(1), at - 1)
-    hit = F.substring(text, at, F.length(query))
-    rest = F.substring(text, at + F.length(query), F.length(text))
-    marked = F.concat(head, F.lit(MARK_OPEN), hit, F.lit(MARK_CLOSE), rest)
-
-    def breaks(value: Column) -> Column:
-        return F.translate(value, ",:", "  ")
-
-    since_break = F.length(F.substring_index(breaks(head), " ", -1))
-    begin = F.when(at - 1 < SNIPPET_LEAD, 0).otherwise(at - 1 - since_break)
-    stop = begin + len(MARK_OPEN) + len(MARK_CLOSE) + SNIPPET_TAIL
-    tail = F.substring(marked, stop + 1, F.length(marked))
-    until_break = F.length(F.substring_index(breaks(tail), " ", 1))
-    cut = until_break < F.length(tail)
-    clipped = F.concat(
-        F.substring(marked, begin + 1, stop - begin + until_break),
-        F.when(cut, F.lit(ELLIPSIS)).otherwise(F.lit("")),
-    )
-    return F.when(at > 0, clipped).otherwise(text)
+    marks = len(MARK_OPEN) + len(MARK_CLOSE)
+
+    def since_break(value: Column) -> Column:
+        return F.least(*(F.length(F.substring_index(value, sign, -1)) for sign in BREAKS))
+
+    def until_break(value: Column) -> Column:
+        return F.least(*(F.length(F.substring_index(value, sign, 1)) for sign in BREAKS))
+
+    def around(at: Column) -> Column:
+        head = F.substring(text, F.lit(1), at - 1)
+        begin = F.when(at - 1 < SNIPPET_LEAD, 0).otherwise(at - 1 - since_break(head))
+        return F.when(at > 0, values.let(begin, lambda b: cut(at, b))).otherwise(text)
+
+    def cut(at: Column, begin: Column) -> Column:
+        # the text from the cut on, with the match marked
+        marked = F.concat(
+            F.substring(text, begin + 1, at - 1 - begin), F.lit(MARK_OPEN),
+            F.substring(text, at, F.length(query)), F.lit(MARK_CLOSE),
+            F.substring(text, at + F.length(query), F.length(text)),
+        )
+        return values.let(marked, lambda m: values.let(
+            F.substring(m, F.lit(marks + SNIPPET_TAIL + 1), F.length(m)), lambda tail: close(m, tail)
+        ))
+
+    def close(marked: Column, tail: Column) -> Column:
+        return values.let(until_break(tail), lambda n: F.concat(
+            F.substring(marked, F.lit(1), marks + SNIPPET_TAIL + n),
+            F.when(n < F.length(tail), F.lit(ELLIPSIS)).otherwise(F.lit("")),
+        ))
+
+    return values.let(F.instr(F.lower(text), F.lower(query)), around)

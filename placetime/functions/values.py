@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -19,6 +20,11 @@ def to_day(value: Column | str, numeric: bool = False) -> Column:
     return F.to_date(_c(value))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Use a computed value several times in an expression, computing it once per row."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 _EPOCH = "1970-01-01 00:00:00"
 
 

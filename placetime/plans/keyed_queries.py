@@ -219,8 +219,8 @@ SELECT doc_id, unnest(words) AS word, unnest(list_transform(words, lambda w: len
 FROM (SELECT doc_id, string_split(text, ' ') AS words FROM documents)
 """)
 def zipped_rows(spark, sf):
-    words = F.split("text", " ")
-    return arrays.zipped(table(spark, sf, "documents"), ["doc_id"], word=words, size=F.transform(words, F.length))
+    docs = table(spark, sf, "documents").select("doc_id", F.split("text", " ").alias("words"))
+    return arrays.zipped(docs, ["doc_id"], word="words", size=F.transform("words", F.length))
 
 
 @query("""

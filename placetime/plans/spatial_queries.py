@@ -173,9 +173,9 @@ SELECT user_id, part, round(total, 6) AS length, round(coalesce(mx, fx), 6) AS x
 FROM firsts LEFT JOIN mids USING (user_id, part)
 """.replace("min_by(", "arg_min("))
 def line_midpoints(spark, sf):
-    mid = shapes.line_midpoint("line")
-    return tracks(spark, sf).select(
-        "user_id", "part", r6(shapes.line_length("line")).alias("length"), r6(mid["x"]).alias("x"), r6(mid["y"]).alias("y")
+    lines = tracks(spark, sf).withColumn("mid", shapes.line_midpoint("line"))
+    return lines.select(
+        "user_id", "part", r6(shapes.line_length("line")).alias("length"), r6("mid.x").alias("x"), r6("mid.y").alias("y")
     )
 
 
@@ -216,8 +216,8 @@ def ring_centroids(spark, sf):
         shapes.sides("line"), F.lit(0.0), lambda acc, s: acc + 3 * (s["a"]["y"] * s["b"]["x"] - s["b"]["y"] * s["a"]["x"])
     )
     rings = tracks(spark, sf).where((F.size("line") > 2) & (F.abs(side_sum) > 30))
-    centre = shapes.ring_centroid("line")
-    return rings.select("user_id", "part", r6(centre["x"], digits=3).alias("x"), r6(centre["y"], digits=3).alias("y"))
+    centred = rings.withColumn("centre", shapes.ring_centroid("line"))
+    return centred.select("user_id", "part", r6("centre.x", digits=3).alias("x"), r6("centre.y", digits=3).alias("y"))
 
 
 def _clip_sql() -> str:

@@ -95,8 +95,9 @@ WITH asked AS (SELECT doc_id, text, reverse(regexp_extract(reverse(text), '^\\S*
 """)
 def snippets(spark, sf):
     late_word = F.reverse(F.regexp_extract(F.reverse("text"), r"^\S*\s+\S+\s+(\S+)", 1))
-    docs = table(spark, sf, "documents").select("doc_id", "text", late_word.alias("query")).where("query <> ''")
-    return docs.select("doc_id", "query", text.snippet("text", "query").alias("snippet"))
+    docs = table(spark, sf, "documents").select("doc_id", "text", late_word.alias("query"))
+    cut = docs.select("doc_id", "query", text.snippet("text", "query").alias("snippet"))
+    return cut.where("query <> ''")
 
 
 @query(f"""
