@@ -76,7 +76,7 @@ def read_features(
         inner = F.when(geometry["type"] == "GeometryCollection", members).otherwise(F.array(geometry))
         flat = flat.withColumn("geometry", F.explode_outer(inner))
 
-    flat = flat.where(geometry.isNotNull())
+    flat = flat.where(geometry.isNotNull() | F.col("_deep"))
     kind = geometry["type"]
     too_deep = F.col("_deep") | (kind == "GeometryCollection")
     checked = (
