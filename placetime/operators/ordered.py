@@ -90,42 +90,40 @@ def exact_quantiles(
     counted and ordered exactly, so no task holds a whole column.
     """
     margin = 5.0 / accuracy
-    long = df.select(*(F.col(c).cast("double").alias(c) for c in columns)).unpivot(
-        [], columns, "column_name", "v"
-    ).where(F.col("v").isNotNull())
-
+    numbers = df.select(*(F.col(c).cast("double").alias(c) for c in columns))
     wanted = [min(1.0, max(0.0, q)) for p in probabilities for q in (p - margin, p + margin)]
-    # below this count the sketch margin is wider than the data; take every value
-    small = F.col("n") < 10 * accuracy
-    sketch = (
-        long.groupBy("column_name")
-        .agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("v", wanted, accuracy).alias("b"))
-        .select(
-            "column_name", "n",
-            F.explode(F.array(*(
-                F.struct(
-                    F.lit(p).alias("probability"),
-                    F.when(small, F.lit(float("-inf"))).otherwise(F.col("b")[2 * i]).alias("low"),
-                    F.when(small, F.lit(float("inf"))).otherwise(F.col("b")[2 * i + 1]).alias("high"),
-                )
-                for i, p in enumerate(probabilities)
-            ))).alias("s"),
-        )
-        .select("column_name", "n", "s.*")
-    )
+    sketch = numbers.agg(F.struct(*(
+        F.struct(F.count(c).alias("n"), F.percentile_approx(c, wanted, accuracy).alias("b")).alias(c) for c in columns
+    ))).scalar()
+
     # one row per (column, probability): bounded by the arguments, not by the data
-    bracketed = long.join(F.broadcast(sketch), "column_name")
-    below = bracketed.groupBy("column_name", "probability").agg(
-        F.count_if(F.col("v") < F.col("low")).alias("below"),
-        F.max("n").alias("n"),
-        F.min(F.when(F.col("v") >= F.col("low"), F.col("v"))).alias("least"),
-        F.max(F.when(F.col("v") <= F.col("high"), F.col("v"))).alias("most"),
-    )
+    parts, made = [], []
+    for c in columns:
+        mine = F.col("_sketch")[c]
+        # below this count the sketch margin is wider than the data; take every value
+        small = mine["n"] < 10 * accuracy
+        for i, p in enumerate(probabilities):
+            low = F.when(small, F.lit(float("-inf"))).otherwise(mine["b"][2 * i])
+            high = F.when(small, F.lit(float("inf"))).otherwise(mine["b"][2 * i + 1])
+            inside = F.when((F.col(c) >= low) & (F.col(c) <= high), F.col(c))
+            name = f"_{len(parts)}"
+            made.append(F.struct(
+                F.lit(c).alias("column_name"), F.lit(p).alias("probability"), F.max(mine["n"]).alias("n"),
+                F.max(low).alias("low"), F.max(high).alias("high"), F.count_if(F.col(c) < low).alias("below"),
+                F.min(inside).alias("least"), F.max(inside).alias("most"),
+            ).alias(name))
+            parts.append(name)
+    brackets = numbers.withColumn("_sketch", sketch).agg(*made).select(F.inline(F.array(*parts)))
+
+    long = numbers.unpivot([], columns, "_column", "v").where(F.col("v").isNotNull())
+    described = [c for c in brackets.columns if c not in ("low", "high")]
     counted = (
-        bracketed.where(F.col("v").between(F.col("low"), F.col("high")))
-        .groupBy("column_name", "probability", "v")
+        long.join(
+            F.broadcast(brackets),
+            (F.col("_column") == F.col("column_name")) & F.col("v").between(F.col("low"), F.col("high")),
+        )
+        .groupBy(*described, "v")
         .agg(F.count(F.lit(1)).alias("c"))
-        .join(F.broadcast(below), ["column_name", "probability"])
     )
     span = F.nullif(F.col("most") - F.col("least"), F.lit(0.0))
     slice_by = F.coalesce(F.floor((F.col("v") - F.col("least")) / span * 1000), F.lit(0))

@@ -179,9 +179,11 @@ def residuals(df: DataFrame, series: Series, fitted: DataFrame) -> DataFrame:
 
 def wide_residuals(df: DataFrame, series: Series, fitted: DataFrame) -> DataFrame:
     """Residuals as one column per series, without repeating the rows."""
-    entry = F.struct("series", F.struct("slope", "intercept"))
-    # one map entry per series named in the call
-    lines = fitted.agg(F.map_from_entries(F.collect_list(entry))).scalar()
+    # one struct field per series named in the call
+    lines = fitted.agg(F.struct(*(
+        F.struct(*(F.max(F.when(F.col("series") == name, F.col(c))).alias(c) for c in ("slope", "intercept"))).alias(name)
+        for name in series
+    ))).scalar()
     return df.withColumn("_lines", lines).select(*(
         (F.col(y) - F.col("_lines")[name]["intercept"] - F.col("_lines")[name]["slope"] * F.col(x)).alias(name)
         for name, (x, y) in series.items()
@@ -191,9 +193,10 @@ def wide_residuals(df: DataFrame, series: Series, fitted: DataFrame) -> DataFram
 def model_summary(df: DataFrame, series: Series, with_p: bool = True) -> DataFrame:
     """Residual five-number summary, residual standard error, R2, adjusted R2 and F."""
     fitted = fit(df, series)
-    rest = residuals(df, series, fitted)
-    per_series = rest.groupBy("series").agg(F.min("residual").alias("res_min"), F.max("residual").alias("res_max"))
     wide = wide_residuals(df, series, fitted)
+    per_series = wide.agg(F.array(*(
+        F.struct(F.lit(s).alias("series"), F.min(s).alias("res_min"), F.max(s).alias("res_max")) for s in series
+    )).alias("rows")).select(F.inline("rows"))
     quartiles = (
         exact_quantiles(wide, list(series), [0.25, 0.5, 0.75])
         .groupBy("column_name").pivot("probability", [0.25, 0.5, 0.75]).agg(F.first("quantile"))
@@ -217,10 +220,12 @@ def model_summary(df: DataFrame, series: Series, with_p: bool = True) -> DataFra
 def column_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     """Minimum, quartiles, median, mean, maximum and missing count per column."""
     numbers = df.select(*(F.col(c).cast("double").alias(c) for c in columns))
-    basics = numbers.unpivot([], columns, "column_name", "v").groupBy("column_name").agg(
-        F.min("v").alias("lowest"), F.avg("v").alias("mean"), F.max("v").alias("highest"),
-        F.count_if(F.col("v").isNull()).alias("missing"),
-    )
+    basics = numbers.agg(F.array(*(
+        F.struct(
+            F.lit(c).alias("column_name"), F.min(c).alias("lowest"), F.avg(c).alias("mean"),
+            F.max(c).alias("highest"), F.count_if(F.col(c).isNull()).alias("missing"),
+        ) for c in columns
+    )).alias("rows")).select(F.inline("rows"))
     quartiles = (
         exact_quantiles(numbers, columns, [0.25, 0.5, 0.75])
         .groupBy("column_name").pivot("probability", [0.25, 0.5, 0.75]).agg(F.first("quantile"))

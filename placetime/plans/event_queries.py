@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from placetime.operators import events, prep
 from placetime.plans.fixtures import POINTS_SQL, points, search_documents
-from placetime.plans.registry import query, table
+from placetime.plans.registry import documents, query, table
 from placetime.session import fresh_path
 from placetime.sources import layers, tables
 from placetime.streaming.throttle import run_to_table, throttle_stream
@@ -53,7 +53,7 @@ FROM (SELECT doc_id, words, unnest(range(CAST(ceil(len(words) / 20) AS BIGINT)))
       FROM (SELECT doc_id, string_split(text, ' ') AS words FROM documents))
 """)
 def item_batches(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", F.split("text", " ").alias("items"))
+    docs = documents(spark, sf).select("doc_id", F.split("text", " ").alias("items"))
     return events.batches(docs, "items").select(
         "doc_id", "batch", F.size("items").cast("bigint").alias("items"), F.array_join("items", " ").alias("joined")
     )

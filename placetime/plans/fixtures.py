@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from placetime.functions import geo, shapes
 from placetime.operators.ordered import ordered_columns
-from placetime.plans.registry import table
+from placetime.plans.registry import documents, table
 
 TRACK_PART = 256
 
@@ -79,7 +79,7 @@ def extents(spark: SparkSession, folder: str) -> DataFrame:
 def search_documents(spark: SparkSession, folder: str) -> DataFrame:
     doc = F.col("doc_id")
     anchor = F.when(doc % 4 == 0, F.lit("")).otherwise(F.concat(F.lit("#s"), doc % 4))
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         "doc_id", F.concat(F.lit("p"), F.expr("doc_id div 4"), F.lit(".html"), anchor).alias("href"),
         F.col("source").alias("title"), F.col("lang").alias("section"), "text",
     )

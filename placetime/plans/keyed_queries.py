@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from placetime.functions import text, values
 from placetime.operators import arrays, keyed
 from placetime.operators.ordered import ordered_columns
-from placetime.plans.registry import query, r6, table
+from placetime.plans.registry import documents, query, r6, table
 
 _CHANGES_SQL = """
 changes AS (
@@ -219,7 +219,7 @@ SELECT doc_id, unnest(words) AS word, unnest(list_transform(words, lambda w: len
 FROM (SELECT doc_id, string_split(text, ' ') AS words FROM documents)
 """)
 def zipped_rows(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", F.split("text", " ").alias("words"))
+    docs = documents(spark, sf).select("doc_id", F.split("text", " ").alias("words"))
     return arrays.zipped(docs, ["doc_id"], word="words", size=F.transform("words", F.length))
 
 

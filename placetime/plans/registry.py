@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from placetime.session import spread_small
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -27,6 +29,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents table for heavy work on its texts."""
+    return spread_small(table(spark, folder, "documents"), "doc_id")
+
+
 def r6(column: Column | str, scale: float = 1.0, digits: int = 6) -> Column:
     """Rounded result: both engines add doubles in their own order."""
     column = F.col(column) if isinstance(column, str) else column

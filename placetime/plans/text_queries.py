@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from placetime.functions import text
 from placetime.operators import arrays, search
 from placetime.plans.fixtures import ASKED_SQL, SEARCH_DOCS_SQL, asked, search_documents
-from placetime.plans.registry import query, table
+from placetime.plans.registry import documents, query, table
 
 _RULES = {"e": "ea", "a": "th", "t": "e"}
 
@@ -18,7 +18,7 @@ SELECT doc_id, pos, token FROM (
   FROM (SELECT doc_id, regexp_extract_all(text, '\d*\+|\d*\-|F|L|R|\[|\]|\|') AS tokens FROM documents))
 """)
 def extracted_tokens(spark, sf):
-    return arrays.tokens(table(spark, sf, "documents"), "text", ["doc_id"])
+    return arrays.tokens(documents(spark, sf), "text", ["doc_id"])
 
 
 def _rewrite_sql(source: str) -> str:
@@ -32,7 +32,7 @@ twice AS (SELECT doc_id, {_rewrite_sql("t")} AS t FROM once)
 SELECT doc_id, length(t) AS characters, md5(t) AS digest FROM twice
 """)
 def rewritten_text(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", text.rewrite("text", _RULES, rounds=2).alias("t"))
+    docs = documents(spark, sf).select("doc_id", text.rewrite("text", _RULES, rounds=2).alias("t"))
     return docs.select("doc_id", F.length("t").alias("characters"), F.md5(F.col("t").cast("binary")).alias("digest"))
 
 
@@ -95,7 +95,7 @@ WITH asked AS (SELECT doc_id, text, reverse(regexp_extract(reverse(text), '^\\S*
 """)
 def snippets(spark, sf):
     late_word = F.reverse(F.regexp_extract(F.reverse("text"), r"^\S*\s+\S+\s+(\S+)", 1))
-    docs = table(spark, sf, "documents").select("doc_id", "text", late_word.alias("query"))
+    docs = documents(spark, sf).select("doc_id", "text", late_word.alias("query"))
     cut = docs.select("doc_id", "query", text.snippet("text", "query").alias("snippet"))
     return cut.where("query <> ''")
 
@@ -107,7 +107,7 @@ SELECT doc_id, md5(regexp_replace(text, concat('(?i)(', regexp_escape(word), ')'
 FROM words WHERE word <> ''
 """)
 def marked_matches(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text", _word().alias("word")).where("word <> ''")
+    docs = documents(spark, sf).select("doc_id", "text", _word().alias("word")).where("word <> ''")
     marked = docs.withColumn("marked", text.mark_all("text", "word"))
     plain = (F.length("marked") - F.length("text")) / len("<mark></mark>")
     return marked.select(
@@ -117,7 +117,7 @@ def marked_matches(spark, sf):
 
 @query("SELECT doc_id, md5(text) AS digest FROM documents")
 def unmarked_matches(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text", _word().alias("word"))
+    docs = documents(spark, sf).select("doc_id", "text", _word().alias("word"))
     back = text.unmark(text.mark_all("text", "word"), "word")
     return docs.select("doc_id", F.md5(back.cast("binary")).alias("digest"))
 
