@@ -30,8 +30,13 @@ def sides(ring: Column | str) -> Column:
     )
 
 
-def contains_point(rings: Column | str, x, y) -> Column:
-    """Even-odd test over all rings of a polygon."""
+def all_sides(rings: Column | str) -> Column:
+    """Sides of all rings of a polygon in one array."""
+    return F.flatten(F.transform(_c(rings), sides))
+
+
+def odd_crossings(sides_: Column | str, x, y) -> Column:
+    """Even-odd test of a point against a polygon's sides."""
     x, y = _c(x), _c(y)
 
     def crosses(side: Column) -> Column:
@@ -39,8 +44,12 @@ def contains_point(rings: Column | str, x, y) -> Column:
         meets = (a["y"] > y) != (b["y"] > y)
         return meets & (x < (b["x"] - a["x"]) * (y - a["y"]) / F.nullif(b["y"] - a["y"], F.lit(0.0)) + a["x"])
 
-    all_sides = F.flatten(F.transform(_c(rings), sides))
-    return F.size(F.filter(all_sides, crosses)) % 2 == 1
+    return F.size(F.filter(_c(sides_), crosses)) % 2 == 1
+
+
+def contains_point(rings: Column | str, x, y) -> Column:
+    """Whether a polygon holds a point, by the even-odd rule over all rings."""
+    return odd_crossings(all_sides(rings), x, y)
 
 
 def ring_centroid(ring: Column | str) -> Column:

@@ -68,6 +68,11 @@ def merge_tables(left: DataFrame, right: DataFrame, on: list[str], null_safe: bo
     return a.join(keyed, same, "inner").select(*on, *rest)
 
 
+def sorted_merge(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """:func:`merge_tables` with the rows in key order, for final output only."""
+    return merge_tables(left, right, on).orderBy(*on)
+
+
 def lookup(df: DataFrame, dimension: DataFrame, on: list[str]) -> DataFrame:
     """Left join to a dimension; Spark broadcasts it when its measured size allows."""
     return df.join(dimension, on, "left")

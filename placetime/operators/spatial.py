@@ -80,9 +80,10 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, spread_by: list[s
                        lat: str = "lat", lon: str = "lon") -> DataFrame:
     """Each point with each polygon that contains it (even-odd over all rings)."""
     outline = ring_box(F.flatten(rings))
+    sided = polygons.withColumn("_sides", shapes.all_sides(rings))
     # rings can be long, so only measured hot cells repeat them
-    pairs = points_meet_shapes(points, polygons, lat, lon, F.array(outline), spread_by, salts=None)
-    return pairs.where(shapes.contains_point(rings, lon, lat))
+    pairs = points_meet_shapes(points, sided, lat, lon, F.array(outline), spread_by, salts=None)
+    return pairs.where(shapes.odd_crossings("_sides", lon, lat)).drop("_sides")
 
 
 def circle_boxes(lat: str, lon: str, metres: str) -> Column:

@@ -184,6 +184,15 @@ def merged_tables(spark, sf):
     return prep.merge_tables(left, right, ["place"])
 
 
+@query("""
+SELECT c_nationkey AS place, c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey ORDER BY c_nationkey
+""")
+def sorted_merge(spark, sf):
+    left = table(spark, sf, "customer").select(F.col("c_nationkey").alias("place"), "c_custkey")
+    right = table(spark, sf, "nation").select(F.col("n_nationkey").alias("place"), "n_name")
+    return prep.sorted_merge(left, right, ["place"])
+
+
 @query("""
 WITH a AS (SELECT s_nationkey AS k, count(*) AS l FROM supplier GROUP BY 1),
      b AS (SELECT c_nationkey AS k, count(*) AS r FROM customer GROUP BY 1)

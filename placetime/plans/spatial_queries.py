@@ -258,8 +258,52 @@ def clipped_rings(spark, sf):
     )
 
 
-@query()
+_TOLERANCE = 8.0
+
+
+@query(f"""
+WITH RECURSIVE {POINTS_SQL}, {NUMBERED_SQL}, verts AS (
+  SELECT user_id, part, pos, lon AS x, lat AS y, max(pos) OVER (PARTITION BY user_id, part) AS last,
+         min(pos) OVER (PARTITION BY user_id, part) AS first FROM tracked
+), hops AS (
+  SELECT a.user_id, a.part, a.pos, min(b.pos) AS next FROM verts a JOIN verts b
+    ON a.user_id = b.user_id AND a.part = b.part AND b.pos > a.pos
+   AND pow(b.x - a.x, 2) + pow(b.y - a.y, 2) > {_TOLERANCE**2} GROUP BY 1, 2, 3
+), thin AS (
+  SELECT user_id, part, pos FROM verts WHERE pos = first
+  UNION ALL SELECT t.user_id, t.part, h.next FROM thin t JOIN hops h ON t.user_id = h.user_id AND t.part = h.part AND t.pos = h.pos
+), left_over AS (
+  SELECT user_id, part, pos, x, y, first, last FROM verts WHERE pos = last OR (user_id, part, pos) IN (SELECT (user_id, part, pos) FROM thin)
+), spans AS (
+  SELECT DISTINCT user_id, part, first AS lo, last AS hi FROM verts WHERE last > first
+  UNION ALL
+  SELECT user_id, part, unnest([lo, far]) AS lo, unnest([far, hi]) AS hi FROM (
+    SELECT user_id, part, lo, hi, arg_max(pos, off) AS far, max(off) AS off FROM (
+      SELECT s.user_id, s.part, s.lo, s.hi, v.pos,
+             pow(v.x - a.x - k * (b.x - a.x), 2) + pow(v.y - a.y - k * (b.y - a.y), 2) AS off
+      FROM (
+        SELECT s.*, v.pos, greatest(0e0, least(1e0, ((v.x - a.x) * (b.x - a.x) + (v.y - a.y) * (b.y - a.y))
+                 / nullif(pow(b.x - a.x, 2) + pow(b.y - a.y, 2), 0))) AS k
+        FROM spans s JOIN left_over v ON v.user_id = s.user_id AND v.part = s.part AND v.pos > s.lo AND v.pos < s.hi
+        JOIN left_over a ON a.user_id = s.user_id AND a.part = s.part AND a.pos = s.lo
+        JOIN left_over b ON b.user_id = s.user_id AND b.part = s.part AND b.pos = s.hi) s
+      JOIN left_over v ON v.user_id = s.user_id AND v.part = s.part AND v.pos = s.pos
+      JOIN left_over a ON a.user_id = s.user_id AND a.part = s.part AND a.pos = s.lo
+      JOIN left_over b ON b.user_id = s.user_id AND b.part = s.part AND b.pos = s.hi
+    ) GROUP BY user_id, part, lo, hi
+  ) WHERE off > {_TOLERANCE**2}
+), kept AS (
+  SELECT user_id, part, lo AS pos FROM spans UNION SELECT user_id, part, hi FROM spans
+  UNION SELECT user_id, part, first FROM verts
+)
+SELECT user_id, part, count(*) AS before, count(k.pos) AS after,
+       round(sum(CASE WHEN k.pos IS NOT NULL THEN x END), 6) AS x_sum
+FROM verts LEFT JOIN kept k USING (user_id, part, pos) GROUP BY 1, 2
+""")
 def simplified_lines(spark, sf):
-    kept = spatial.simplify_lines(tracks(spark, sf), "line", 8.0, "simple")
-    return kept.select("user_id", "part", F.size("line").alias("before"), F.size("simple").alias("after"),
-                       r6(shapes.line_length("simple")).alias("length"))
+    kept = spatial.simplify_lines(tracks(spark, sf), "line", _TOLERANCE, "simple")
+    x_sum = F.aggregate("simple", F.lit(0.0), lambda acc, v: acc + v["x"])
+    return kept.select(
+        "user_id", "part", F.size("line").cast("bigint").alias("before"), F.size("simple").cast("bigint").alias("after"),
+        r6(x_sum).alias("x_sum"),
+    )

@@ -90,12 +90,29 @@ def coefficient_table(spark, sf):
     )
 
 
-@query()
+def _p_sql(t: str) -> str:
+    """Two-sided tail of the t distribution by Simpson's rule over its density."""
+    return f"""(
+      SELECT 1 - 2 * sum(CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+        * exp(lgamma((v + 1) / 2) - lgamma(v / 2) - ln(v * pi()) / 2 - (v + 1) / 2 * ln(1 + pow(i * h, 2) / v))) * max(h) / 3
+      FROM (SELECT i, least(abs({t}), 40) / 4000 AS h, CAST(n - 2 AS DOUBLE) AS v FROM range(4001) AS s(i)))"""
+
+
+@query(f"""
+WITH {FIT_SQL}, t AS (
+  SELECT series, n, 'intercept' AS term, intercept / sqrt(mse * (1e0 / n + mx * mx / sxx)) AS t FROM fit
+  UNION ALL SELECT series, n, 'slope', slope / sqrt(mse / sxx) FROM fit)
+SELECT series, term, abs(round({_p_sql("t")}, 6)) AS p_value FROM t
+""")
 def coefficient_p_values(spark, sf):
     return stats.coefficient_table(_fitted(spark, sf)).select("series", "term", r6("p_value").alias("p_value"))
 
 
-@query()
+@query(f"""
+WITH {FIT_SQL}
+SELECT series, 'x' AS term, abs(round({_p_sql("sqrt(ssr / mse)")}, 6)) AS p_value FROM fit
+UNION ALL SELECT series, 'Residuals', NULL FROM fit
+""")
 def anova_p_values(spark, sf):
     return stats.anova(_fitted(spark, sf)).select("series", "term", r6("p_value").alias("p_value"))
 
