@@ -180,7 +180,30 @@ def exact_search(spark, sf):
     return found.select("query_id", "doc_id", "score")
 
 
-@query()
+# every asked text has 10 to 19 characters, so one edit is allowed: a character of the query
+# missing or replaced in the text ('.?' in its place), or one more character between two
+_FUZZY_SQL = f"""
+{SEARCH_DOCS_SQL}, {ASKED_SQL}, folded AS (
+  SELECT query_id, lower(query) AS q, length(query) AS n FROM asked
+), patterns AS (
+  SELECT query_id, q, n, concat('(?s)', string_agg(concat(
+    regexp_escape(substr(q, 1, i - 1)), '.?', regexp_escape(substr(q, i + 1)),
+    CASE WHEN i < n THEN concat('|', regexp_escape(substr(q, 1, i)), '.', regexp_escape(substr(q, i + 1))) ELSE '' END), '|')) AS pattern
+  FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM folded) GROUP BY query_id, q, n
+), fields AS (
+  SELECT doc_id, 20 AS weight, lower(title) AS v FROM docs UNION ALL SELECT doc_id, 20, lower(section) FROM docs
+  UNION ALL SELECT doc_id, 10, lower(text) FROM docs
+), edited AS (
+  SELECT query_id, doc_id, weight, n, CASE WHEN contains(v, q) THEN 0 WHEN regexp_matches(v, pattern) THEN 1 END AS edits
+  FROM fields JOIN patterns ON contains(v, substr(q, 1, n // 2)) OR contains(v, substr(q, n // 2 + 1))
+)"""
+
+
+@query(f"""
+WITH {_FUZZY_SQL}
+SELECT query_id, doc_id, round(sum(weight * (1 - edits / n)) / 50, 9) AS score, min(edits) AS edits
+FROM edited WHERE edits IS NOT NULL GROUP BY 1, 2
+""")
 def fuzzy_search(spark, sf):
     return search.match_documents(search_documents(spark, sf), asked(spark, sf))
 
