@@ -18,8 +18,6 @@ ELLIPSIS = "…"
 BREAKS = (" ", ",", ":")
 TURTLE_TOKENS = r"\d*\+|\d*\-|F|L|R|\[|\]|\|"
 
-_REGEX_SPECIAL = r"([.*+?^${}()|\[\]\\])"
-
 
 def _c(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
@@ -123,7 +121,9 @@ def shared_prefix(page_path: Column | str, listing_path: Column | str) -> Column
 # --- matches --------------------------------------------------------------------
 
 def regex_quote(term: Column | str) -> Column:
-    return F.regexp_replace(_c(term), _REGEX_SPECIAL, r"\\$1")
+    """The term as a pattern that matches only itself."""
+    inner = F.replace(_c(term), F.lit(r"\E"), F.lit(r"\E\\E\Q"))
+    return F.concat(F.lit(r"\Q"), inner, F.lit(r"\E"))
 
 
 def mark_all(text: Column | str, term: Column | str) -> Column:

@@ -25,22 +25,31 @@ def kept_positions(at: np.ndarray, wait: int, open_from: int) -> np.ndarray:
     return np.array(kept, dtype=np.int64)
 
 
-def whole_groups(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """Regroup a key-sorted stream of frames so that no group is cut in two."""
-    rest = None
+def whole_groups(frames: Iterator[pd.DataFrame], keys: list[str], rows: int = 100_000) -> Iterator[pd.DataFrame]:
+    """Regroup a key-sorted stream of frames in blocks that cut no group in two.
+
+    A block has about ``rows`` rows, or one group if that is larger.
+    """
+    held: list[pd.DataFrame] = []
+    count, enough = 0, rows
     for frame in frames:
-        frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-        if not len(frame):
+        held.append(frame)
+        count += len(frame)
+        if count < enough or not count:
             continue
-        last = frame.iloc[-1]
-        still_open = np.logical_and.reduce(
-            [(frame[k] == last[k]) | (frame[k].isna() & pd.isna(last[k])) for k in keys]
+        block = pd.concat(held, ignore_index=True)
+        last = block.iloc[-1]
+        unfinished = np.logical_and.reduce(
+            [(block[k] == last[k]) | (block[k].isna() & pd.isna(last[k])) for k in keys]
         )
-        rest = frame[still_open]
-        if not still_open.all():
-            yield frame[~still_open]
-    if rest is not None and len(rest):
-        yield rest
+        if unfinished.all():
+            held, enough = [block], 2 * count
+            continue
+        yield block[~unfinished]
+        held, enough = [block[unfinished]], rows
+        count = len(held[0])
+    if count:
+        yield pd.concat(held, ignore_index=True)
 
 
 class _Timeline:

@@ -59,9 +59,11 @@ def test_whole_groups_regroups_frames():
     data = pd.DataFrame({"k": ["a", "a", "b", None, None, "c"], "v": range(6)})
     for cut in range(1, 7):
         frames = [data.iloc[i:i + cut] for i in range(0, 6, cut)]
-        seen = [sorted(set(f["k"].astype(str))) for f in events.whole_groups(frames, ["k"])]
-        flat = [k for part in seen for k in part]
-        assert len(flat) == len(set(flat)) == 4
+        for rows in (1, 2, 100):
+            blocks = list(events.whole_groups(iter(frames), ["k"], rows))
+            flat = [k for f in blocks for k in sorted(set(f["k"].astype(str)))]
+            assert len(flat) == len(set(flat)) == 4
+            assert list(pd.concat(blocks)["v"]) == list(range(6))
 
 
 def test_batches(spark):
