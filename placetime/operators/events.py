@@ -110,21 +110,28 @@ def throttle(df: DataFrame, key: str, ts: str, tie: str, wait_ms: int = THROTTLE
             at = frame["_at"].to_numpy()
             yield pd.DataFrame({
                 key: frame[key].to_numpy()[edge], "_slice": frame["_slice"].to_numpy()[edge],
-                "_opener": at[edge], "_end": at[last[edge]],
+                "_first": at[t.first[t.group[edge]]], "_opener": at[edge], "_end": at[last[edge]],
             })
 
     def follow(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in whole_groups(frames, [key]):
             keys = pd.factorize(frame[key], use_na_sentinel=False)[0]
-            slices, openers, ends = (frame[c].to_numpy() for c in ("_slice", "_opener", "_end"))
+            slices, opening, openers, ends = (frame[c].to_numpy() for c in ("_slice", "_first", "_opener", "_end"))
             new_key = np.append(True, keys[1:] != keys[:-1])
             first = np.flatnonzero(new_key | np.append(True, slices[1:] != slices[:-1]))
-            gate, gates = NEVER, []
-            for lo, hi in zip(first, np.append(first[1:], len(frame))):
-                gate = NEVER if new_key[lo] else gate
-                gates.append(gate)
-                at = lo + int(np.searchsorted(openers[lo:hi], gate))
-                if at < hi:
+            stop = np.append(first[1:], len(frame))
+            # a slice that starts after every wait from before it is open from the start;
+            # only runs of slices that may be touched by such a wait are followed in order
+            latest = np.append(NEVER, np.maximum.reduceat(ends, first)[:-1])
+            free = new_key[first] | (opening[first] >= latest + wait)
+            gates = np.full(len(first), NEVER)
+            gate = NEVER
+            touched = np.flatnonzero(~free | np.append(~free[1:], False))
+            for i in touched:
+                gate = NEVER if free[i] else gate
+                gates[i] = gate
+                at = first[i] + int(np.searchsorted(openers[first[i]:stop[i]], gate))
+                if at < stop[i]:
                     gate = int(ends[at]) + wait
             yield pd.DataFrame({key: frame[key].to_numpy()[first], "_slice": slices[first], "_gate": gates})
 
@@ -145,7 +152,7 @@ def throttle(df: DataFrame, key: str, ts: str, tie: str, wait_ms: int = THROTTLE
 
     reports = (
         instants.repartition(key, "_slice").sortWithinPartitions(key, "_slice", "_at")
-        .mapInPandas(report, f"{key} {key_type}, _slice bigint, _opener bigint, _end bigint")
+        .mapInPandas(report, f"{key} {key_type}, _slice bigint, _first bigint, _opener bigint, _end bigint")
     )
     gates = (
         reports.repartition(key).sortWithinPartitions(key, "_slice", "_opener")

@@ -49,6 +49,17 @@ def test_throttle_equals_a_plain_loop(spark, wait_ms, slice_ms, kind):
         assert all(b - a >= wait_ms * 1000 for a, b in zip(times, times[1:]))
 
 
+def test_throttle_over_many_keys_of_all_densities(spark):
+    rng = random.Random(9)
+    rows = [
+        (f"k{k}", rng.randrange(20) * 1000 if k % 5 == 0 else rng.randrange(10 ** (3 + k % 4)) * 100, k * 100 + i)
+        for k in range(150) for i in range(80)
+    ]
+    df = frame(spark, rows, "timestamp").cache()
+    for wait_ms, slice_ms in ((5, 7), (30, 100), (100, 30)):
+        assert micros(events.throttle(df, "k", "ts", "n", wait_ms, slice_ms)) == plain_throttle(rows, wait_ms)
+
+
 def test_throttle_before_1970_and_layout(spark):
     rows = [(k, at - 5_000_000, n) for k, at, n in sample(1, 500)]
     for parts in (1, 8):
