@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from placetime.functions import geo
 from placetime.operators import spatial
+from placetime.operators.ordered import ordered_columns
 from placetime.plans.fixtures import EXTENTS_SQL, NUMBERED_SQL, POINTS_SQL, extents, numbered_points, points
 from placetime.plans.registry import query, r6
-from placetime.operators.ordered import ordered_columns
+from placetime.session import spread_small
 from placetime.sources import geojson
 
 _R, _RM, _B = 6371000.0, 6378137.0, 6356752.314245179
@@ -276,7 +277,7 @@ FROM points
 """)
 def geojson_points(spark, sf):
     properties = F.create_map(F.lit("kind"), F.col("event_type"))
-    made = points(spark, sf).select(
+    made = spread_small(points(spark, sf), "event_id").select(
         "event_id", geojson.feature("Point", geojson.position(F.col("lon"), F.col("lat")), properties).alias("doc")
     )
     at = geojson.coordinates("Point")
