@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_test_folders: dict[str, str] = {}
-
 
 def local_session(cores: int | str = "*", app: str = "placetime") -> SparkSession:
     """Session for tests and the bench; a cluster brings its own settings."""
@@ -30,20 +27,17 @@ def local_session(cores: int | str = "*", app: str = "placetime") -> SparkSessio
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local session (tests, bench) may go without the setting; it gets a
-    fresh temporary folder. On a cluster a missing setting is an error.
-    """
+    """Folder every executor can reach: ``spark.checkpoint.dir``, else one below the warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    app = spark.sparkContext.applicationId
-    if app not in _test_folders:
-        _test_folders[app] = tempfile.mkdtemp(prefix="placetime-")
-    return _test_folders[app]
+    return named.rstrip("/") if named else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/placetime-scratch"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut lineage through a reliable checkpoint in the shared folder."""
+    spark = df.sparkSession
+    if spark.conf.get("spark.checkpoint.dir", None) is None and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    return df.checkpoint()
 
 
 def spread_small(scan: DataFrame, *keys: str) -> DataFrame:
@@ -60,10 +54,3 @@ def spread_small(scan: DataFrame, *keys: str) -> DataFrame:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no earlier run has used."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage by writing ``df`` to the shared folder and reading it back."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
