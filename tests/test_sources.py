@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from placetime.functions import shapes
 from placetime.operators import prep
-from placetime.session import fresh_path, materialize
+from placetime.session import checkpointed, fresh_path
 from placetime.sources import geojson, layers, tables
 
 
@@ -113,8 +113,8 @@ def test_feature_writer_rounds_half_up_and_closes_rings(spark):
     assert geojson.read_features(spark.read.text(path), "value").count() == 1
 
 
-def test_materialize(spark):
-    assert sorted(r.id for r in materialize(spark.range(3), "m").collect()) == [0, 1, 2]
+def test_checkpointed(spark):
+    assert sorted(r.id for r in checkpointed(spark.range(3)).collect()) == [0, 1, 2]
 
 
 def test_literal_table(spark):
