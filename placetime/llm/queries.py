@@ -2,21 +2,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
-from placetime.llm import simhash
+from placetime.llm import quality, simhash
 from placetime.plans.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
 CHECKS: dict[str, str] = {}
 
 
-def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under its function name, with the SQL that must agree where there is one."""
+    def register(fn: Query) -> Query:
+        QUERIES[fn.__name__] = fn
+        if sql is not None:
+            CHECKS[fn.__name__] = sql
+        return fn
+    return register
+
+
+@query(quality.SQL)
+def op3_quality_limits(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judged(table(spark, folder, "documents"))
 
 
-@query
+@query()
 def op10_simhash_trie(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.groups(table(spark, folder, "documents").select("doc_id", "text"))
     return found.select("doc_id", simhash.as_hex("fp").alias("fingerprint"), "component_id")
