@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from placetime.llm import quality, simhash
+from placetime.llm import mixing, quality, simhash
 from placetime.plans.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -28,6 +28,11 @@ def op3_quality_limits(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(table(spark, folder, "documents"))
 
 
+@query(f"WITH {mixing.sql('documents')} SELECT doc_id, text, lang, source, n_chars FROM (SELECT *, unnest(range(k)) FROM copied)")
+def op9_poisson_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixed(table(spark, folder, "documents"))
+
+
 @query()
 def op10_simhash_trie(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.groups(table(spark, folder, "documents").select("doc_id", "text"))
