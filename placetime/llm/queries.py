@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from placetime.llm import mixing, quality, simhash
+from placetime.llm import mixing, pieces, quality, simhash
 from placetime.plans.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -28,6 +29,14 @@ def op3_quality_limits(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(table(spark, folder, "documents"))
 
 
+@query()
+def op4_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    coded = docs.select("doc_id", "text", pieces.encoder()("text").alias("ids"))
+    lossless = pieces.decoder()("ids").eqNullSafe(F.col("text"))
+    return coded.select("doc_id", "ids", F.size("ids").alias("n_ids"), lossless.alias("lossless"))
+
+
 @query(f"WITH {mixing.sql('documents')} SELECT doc_id, text, lang, source, n_chars FROM (SELECT *, unnest(range(k)) FROM copied)")
 def op9_poisson_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(table(spark, folder, "documents"))
