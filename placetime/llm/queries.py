@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placetime.llm import mixing, pieces, quality, simhash
+from placetime.llm import mixing, pieces, pii, quality, simhash
 from placetime.plans.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -24,6 +24,11 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query()
+def op2_pii_votes(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.detected(table(spark, folder, "documents"))
+
+
 @query(quality.SQL)
 def op3_quality_limits(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(table(spark, folder, "documents"))
