@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placetime.llm import mixing, pieces, pii, quality, simhash
+from placetime.llm import mixing, pieces, pii, quality, simhash, warc
 from placetime.plans.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -24,6 +24,12 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query()
+def op1_warc_bundles(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.archived(table(spark, folder, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query()
 def op2_pii_votes(spark: SparkSession, folder: str) -> DataFrame:
     return pii.detected(table(spark, folder, "documents"))
