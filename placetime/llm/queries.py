@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placetime.llm import mixing, pieces, pii, quality, simhash, warc
+from placetime.llm import mixing, pieces, pii, quality, simhash, warc, wrappers
 from placetime.plans.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -48,6 +48,12 @@ def op4_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return coded.select("doc_id", "ids", F.size("ids").alias("n_ids"), lossless.alias("lossless"))
 
 
+@query()
+def op8_wrapper_text(spark: SparkSession, folder: str) -> DataFrame:
+    found = wrappers.extract(table(spark, folder, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query(f"WITH {mixing.sql('documents')} SELECT doc_id, text, lang, source, n_chars FROM (SELECT *, unnest(range(k)) FROM copied)")
 def op9_poisson_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(table(spark, folder, "documents"))
