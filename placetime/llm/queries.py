@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placetime.llm import mixing, pieces, pii, quality, simhash, warc, wrappers
+from placetime.llm import digest, mixing, pieces, pii, quality, simhash, warc, wrappers
 from placetime.plans.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -48,6 +48,11 @@ def op4_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return coded.select("doc_id", "ids", F.size("ids").alias("n_ids"), lossless.alias("lossless"))
 
 
+@query()
+def op7_feature_digest(spark: SparkSession, folder: str) -> DataFrame:
+    return digest.fingerprints(table(spark, folder, "documents"))
+
+
 @query()
 def op8_wrapper_text(spark: SparkSession, folder: str) -> DataFrame:
     found = wrappers.extract(table(spark, folder, "pages"))
