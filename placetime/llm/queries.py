@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placetime.llm import digest, mixing, pieces, pii, quality, simhash, toxicity, warc, wrappers
+from placetime.llm import digest, lm, mixing, pieces, pii, quality, simhash, toxicity, warc, wrappers
 from placetime.plans.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -53,6 +53,11 @@ def op5_factor_machine(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query()
+def op6_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.scored(table(spark, folder, "documents"))
+
+
 @query()
 def op7_feature_digest(spark: SparkSession, folder: str) -> DataFrame:
     return digest.fingerprints(table(spark, folder, "documents"))
