@@ -28,7 +28,6 @@ COLLAPSE_AFTER = 3
 QUERY_PARAMETER = "q"
 
 PACK_CHARACTERS = 1_000_000
-BROADCAST_HITS = 500_000
 _VERIFY_AT_ONCE = 200_000
 
 
@@ -177,15 +176,12 @@ def top_hits(scored: DataFrame, limit: int = RESULT_LIMIT) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit)
 
 
-def present_hits(hits: DataFrame, documents: DataFrame, queries: DataFrame, at_most: int | None = None) -> DataFrame:
+def present_hits(hits: DataFrame, documents: DataFrame, queries: DataFrame) -> DataFrame:
     """Hits with document fields, the query added to the link, and a snippet.
 
-    ``at_most`` is a known bound on the number of hits. A small bound lets Spark send
-    the hits to the documents instead of shuffling the documents.
+    The side that travels is Spark's choice, from measured sizes.
     """
     asked = hits.join(queries.select("query_id", "query"), "query_id")
-    if at_most is not None and at_most <= BROADCAST_HITS:
-        asked = F.broadcast(asked)
     return documents.join(asked, "doc_id").select(
         "query_id", "doc_id", "rank", "score", "title", "section",
         F.col("href").alias("link"),
@@ -217,10 +213,10 @@ def group_by_page(hits: DataFrame, link: str = "link") -> DataFrame:
 def collapse(grouped: DataFrame, after: int | bool | None = COLLAPSE_AFTER, expanded: DataFrame | None = None) -> DataFrame:
     """Show the first rows of each page and one row that counts the rest.
 
-    ``after``: None or False shows all, True means 1. ``expanded`` lists (query_id,
+    ``after``: None, False or 0 shows all, True means 1. ``expanded`` lists (query_id,
     page) pairs that show everything. Column ``kind`` is doc, item or more.
     """
-    limit = None if after is None or after is False else int(after)
+    limit = int(after) if after else None
     rows = grouped.withColumn("kind", F.when(F.col("in_page") == 1, "doc").otherwise("item"))
     rows = rows.withColumn("more", F.lit(None).cast("bigint"))
     if limit is None:
@@ -231,14 +227,14 @@ def collapse(grouped: DataFrame, after: int | bool | None = COLLAPSE_AFTER, expa
     else:
         rows = rows.withColumn("_open", F.lit(None).cast("boolean"))
     is_open = F.coalesce(F.col("_open"), F.lit(False))
-    # the counting row stands after ``limit`` rows, but never before the page's first
-    slot = max(limit, 1)
+    # the counting row stands after ``limit`` rows
+    slot = limit
     visible = rows.where((F.col("in_page") <= slot) | is_open).withColumn(
         "shown", F.when(F.col("in_page") > slot, F.col("in_page") + 1).otherwise(F.col("in_page"))
     )
     keep = {"query_id", "page", "page_order", "page_hits"}
     rest = (
-        rows.where((F.col("in_page") == 1) & (F.col("page_hits") > slot) & F.lit(limit >= 1))
+        rows.where((F.col("in_page") == 1) & (F.col("page_hits") > slot))
         .select(*(
             F.col(c) if c in keep else F.lit(None).cast(grouped.schema[c].dataType).alias(c)
             for c in grouped.columns
@@ -259,7 +255,7 @@ def search(documents: DataFrame, queries: DataFrame, fuzzy: bool = True, limit:
            after: int | bool | None = COLLAPSE_AFTER) -> DataFrame:
     """The whole search: match, keep the best, present, group by page, collapse."""
     hits = top_hits(match_documents(documents, queries, fuzzy), limit)
-    shown = present_hits(hits, documents, queries, at_most=queries.count() * limit)
+    shown = present_hits(hits, documents, queries)
     return collapse(group_by_page(shown), after)
 
 

@@ -74,7 +74,7 @@ def _continued_fraction(a: float, b: float, x: float) -> float:
     tiny = 1e-300
     c, d = 1.0, 1.0 / max(tiny, 1.0 - (a + b) * x / (a + 1.0), key=abs)
     value = d
-    for m in range(1, 400):
+    for m in range(1, 100_000):
         even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
         odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
         step = 1.0
@@ -84,27 +84,67 @@ def _continued_fraction(a: float, b: float, x: float) -> float:
             step = c * d
             value *= step
         if abs(step - 1.0) < 1e-15:
-            break
-    return value
+            return value
+    raise ArithmeticError(f"tail probability does not settle for {a}, {b}, {x}")
 
 
-def _beta_cdf(a: float, b: float, x: float) -> float:
+def _log_gamma_ratio(a: float, b: float) -> float:
+    """log(gamma(a + b) / gamma(a)), without the difference of two large logarithms."""
+    if a < 50:
+        return math.lgamma(a + b) - math.lgamma(a)
+
+    def rest(z: float) -> float:
+        return (1 - (1 / 30 - (2 / 105 - 1 / (140 * z * z)) / (z * z) / 2) / (z * z)) / (12 * z)
+
+    return (a + b - 0.5) * math.log1p(b / a) + b * (math.log(a) - 1) + rest(a + b) - rest(a)
+
+
+def _gamma_tail(b: float, z: float) -> float:
+    """Upper tail of the gamma distribution with shape ``b``."""
+    front = math.exp(b * math.log(z) - z - math.lgamma(b))
+    if z < b + 1:
+        term = total = 1 / b
+        k = b
+        while abs(term) > 1e-17 * abs(total):
+            k += 1
+            term *= z / k
+            total += term
+        return 1 - front * total
+    tiny = 1e-300
+    at = z + 1 - b
+    c, d = 1 / tiny, 1 / at
+    value = d
+    for i in range(1, 100_000):
+        part = -i * (i - b)
+        at += 2
+        d = 1 / max(tiny, part * d + at, key=abs)
+        c = max(tiny, at + part / c, key=abs)
+        value *= c * d
+        if abs(c * d - 1) < 1e-15:
+            return front * value
+    raise ArithmeticError(f"tail probability does not settle for {b}, {z}")
+
+
+def _beta_cdf(a: float, b: float, x: float, y: float) -> float:
+    """Incomplete beta function at ``x``; ``y`` is 1 - x, given apart to keep its digits."""
     if x <= 0.0:
         return 0.0
-    if x >= 1.0:
+    if y <= 0.0:
         return 1.0
-    front = math.exp(
-        math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    )
+    log_x, log_y = (math.log1p(-y), math.log(y)) if y < 0.5 else (math.log(x), math.log1p(-x))
+    if a > 1e5 * max(1.0, b * b):  # with so many rows the gamma limit has an error of about 1 / a ** 2
+        return _gamma_tail(b, -(a + (b - 1) / 2) * log_x)
+    ratio = _log_gamma_ratio(a, b) - math.lgamma(b) if a > b else _log_gamma_ratio(b, a) - math.lgamma(a)
+    front = math.exp(ratio + a * log_x + b * log_y)
     if x < (a + 1) / (a + b + 2):
         return front * _continued_fraction(a, b, x) / a
-    return 1.0 - front * _continued_fraction(b, a, 1.0 - x) / b
+    return 1.0 - front * _continued_fraction(b, a, y) / b
 
 
 def _f_tail(f: float, df1: float, df2: float) -> float:
     if not (np.isfinite(f) and df1 > 0 and df2 > 0):
         return math.nan
-    return _beta_cdf(df2 / 2, df1 / 2, df2 / (df2 + df1 * f))
+    return _beta_cdf(df2 / 2, df1 / 2, df2 / (df2 + df1 * f), df1 * f / (df2 + df1 * f))
 
 
 def f_p_value(f: Column, df1: Column, df2: Column) -> Column:

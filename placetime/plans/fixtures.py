@@ -10,8 +10,6 @@ from placetime.operators.ordered import ordered_columns
 from placetime.operators.spatial import extent
 from placetime.plans.registry import documents, table
 
-TRACK_PART = 256
-
 POINTS_SQL = """
 points AS (
   SELECT event_id, user_id, event_type, ts, value,
@@ -45,12 +43,10 @@ extents AS (
   FROM points GROUP BY user_id
 )"""
 
-NUMBERED_SQL = f"""
+NUMBERED_SQL = """
 numbered AS (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos FROM points
-), tracked AS (
-  SELECT *, (pos - 1) // {TRACK_PART} AS part FROM numbered
-)"""
+), tracked AS (SELECT * FROM numbered)"""
 
 
 def points(spark: SparkSession, folder: str) -> DataFrame:
@@ -98,12 +94,11 @@ def numbered_points(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tracks(spark: SparkSession, folder: str) -> DataFrame:
-    """Line features: the track of a user in parts of at most 256 vertices."""
-    part = F.floor((F.col("pos") - 1) / TRACK_PART).alias("part")
-    vertices = F.array_sort(F.collect_list(F.struct("pos", "lon", "lat")))
+    """Line features: the whole track of a user."""
+    vertices = F.array_sort(F.collect_list(F.struct("ts", "event_id", "lon", "lat")))
     return (
-        numbered_points(spark, folder).groupBy("user_id", part).agg(vertices.alias("v"))
-        .select("user_id", "part", F.transform("v", lambda v: shapes.vertex(v["lon"], v["lat"])).alias("line"))
+        points(spark, folder).groupBy("user_id").agg(vertices.alias("v"))
+        .select("user_id", F.transform("v", lambda v: shapes.vertex(v["lon"], v["lat"])).alias("line"))
     )
 
 

@@ -9,7 +9,6 @@ from placetime.operators import spatial
 from placetime.operators.ordered import ordered_columns
 from placetime.plans.fixtures import EXTENTS_SQL, NUMBERED_SQL, POINTS_SQL, extents, numbered_points, points
 from placetime.plans.registry import query, r6
-from placetime.session import spread_small
 from placetime.sources import geojson
 
 _R, _RM, _B = 6371000.0, 6378137.0, 6356752.314245179
@@ -277,7 +276,7 @@ FROM points
 """)
 def geojson_points(spark, sf):
     properties = F.create_map(F.lit("kind"), F.col("event_type"))
-    made = spread_small(points(spark, sf), "event_id").select(
+    made = points(spark, sf).select(
         "event_id", geojson.feature("Point", geojson.position(F.col("lon"), F.col("lat")), properties).alias("doc")
     )
     at = geojson.coordinates("Point")
@@ -290,9 +289,9 @@ _PART = 64
 
 
 @query(f"""
-WITH {POINTS_SQL}, {NUMBERED_SQL.replace("// 256", f"// {_PART}")}
+WITH {POINTS_SQL}, {NUMBERED_SQL}, parted AS (SELECT *, (pos - 1) // {_PART} AS part FROM numbered)
 SELECT user_id, part, event_type, count(*) AS features, round(sum(floor(lon * 1e6 + 0.5e0) / 1e6), 4) AS lon_sum
-FROM tracked WHERE event_type <> 'error' GROUP BY user_id, part, event_type
+FROM parted WHERE event_type <> 'error' GROUP BY user_id, part, event_type
 """)
 def geojson_collections(spark, sf):
     """Collections of up to 64 features, flattened again with a filter and an extra column."""

@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placetime.session import spread_small
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -30,8 +28,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    """The documents table for heavy work on its texts."""
-    return spread_small(table(spark, folder, "documents"), "doc_id")
+    return table(spark, folder, "documents")
 
 
 def r6(column: Column | str, scale: float = 1.0, digits: int = 6) -> Column:

@@ -154,61 +154,61 @@ def resampled_cells(spark, sf):
 
 _STEPS_SQL = f"""
 {NUMBERED_SQL}, steps AS (
-  SELECT user_id, part, pos, lon AS bx, lat AS b_y, lag(lon) OVER w AS ax, lag(lat) OVER w AS ay
-  FROM tracked WINDOW w AS (PARTITION BY user_id, part ORDER BY pos)
+  SELECT user_id, pos, lon AS bx, lat AS b_y, lag(lon) OVER w AS ax, lag(lat) OVER w AS ay
+  FROM tracked WINDOW w AS (PARTITION BY user_id ORDER BY pos)
 ), lengths AS (
   SELECT *, coalesce(sqrt(pow(bx - ax, 2) + pow(b_y - ay, 2)), 0e0) AS d FROM steps
 ), runs AS (
-  SELECT *, sum(d) OVER (PARTITION BY user_id, part ORDER BY pos) AS gone, sum(d) OVER (PARTITION BY user_id, part) AS total FROM lengths)"""
+  SELECT *, sum(d) OVER (PARTITION BY user_id ORDER BY pos) AS gone, sum(d) OVER (PARTITION BY user_id) AS total FROM lengths)"""
 
 
 @query(f"""
 WITH {POINTS_SQL}, {_STEPS_SQL}, firsts AS (
-  SELECT user_id, part, min_by(bx, pos) AS fx, min_by(b_y, pos) AS fy, max(total) AS total FROM runs GROUP BY 1, 2
+  SELECT user_id, min_by(bx, pos) AS fx, min_by(b_y, pos) AS fy, max(total) AS total FROM runs GROUP BY 1
 ), mids AS (
-  SELECT user_id, part, min_by(bx - (gone - total / 2) / d * (bx - ax), pos) AS mx, min_by(b_y - (gone - total / 2) / d * (b_y - ay), pos) AS my
-  FROM runs WHERE gone > total / 2 AND d > 0 GROUP BY 1, 2
+  SELECT user_id, min_by(bx - (gone - total / 2) / d * (bx - ax), pos) AS mx, min_by(b_y - (gone - total / 2) / d * (b_y - ay), pos) AS my
+  FROM runs WHERE gone > total / 2 AND d > 0 GROUP BY 1
 )
-SELECT user_id, part, round(total, 6) AS length, round(coalesce(mx, fx), 6) AS x, round(coalesce(my, fy), 6) AS y
-FROM firsts LEFT JOIN mids USING (user_id, part)
+SELECT user_id, round(total, 6) AS length, round(coalesce(mx, fx), 6) AS x, round(coalesce(my, fy), 6) AS y
+FROM firsts LEFT JOIN mids USING (user_id)
 """.replace("min_by(", "arg_min("))
 def line_midpoints(spark, sf):
     lines = tracks(spark, sf).withColumn("mid", shapes.line_midpoint("line"))
     return lines.select(
-        "user_id", "part", r6(shapes.line_length("line")).alias("length"), r6("mid.x").alias("x"), r6("mid.y").alias("y")
+        "user_id", r6(shapes.line_length("line")).alias("length"), r6("mid.x").alias("x"), r6("mid.y").alias("y")
     )
 
 
 @query(f"""
 WITH {POINTS_SQL}, {_STEPS_SQL}, near AS (
-  SELECT user_id, part, ax, ay, bx - ax AS dx, b_y - ay AS dy FROM steps WHERE ax IS NOT NULL
+  SELECT user_id, ax, ay, bx - ax AS dx, b_y - ay AS dy FROM steps WHERE ax IS NOT NULL
 ), k AS (
   SELECT *, CASE WHEN dx * dx + dy * dy > 0 THEN
     greatest(0e0, least(1e0, ((-95e0 - ax) * dx + (37e0 - ay) * dy) / (dx * dx + dy * dy))) ELSE 0e0 END AS k FROM near
 )
-SELECT user_id, part, round(min(sqrt(pow(-95e0 - (ax + dx * k), 2) + pow(37e0 - (ay + dy * k), 2))), 6) AS distance FROM k GROUP BY 1, 2
+SELECT user_id, round(min(sqrt(pow(-95e0 - (ax + dx * k), 2) + pow(37e0 - (ay + dy * k), 2))), 6) AS distance FROM k GROUP BY 1
 """)
 def nearest_on_lines(spark, sf):
     near = spatial.nearest_on_line(F.lit(-95.0), F.lit(37.0), "line")
     lines = tracks(spark, sf).where(F.size("line") > 1)
-    return lines.select("user_id", "part", r6(near["distance"]).alias("distance"))
+    return lines.select("user_id", r6(near["distance"]).alias("distance"))
 
 
 _RING_SIDES_SQL = """
-ringed AS (SELECT user_id, part, pos, lon AS x, lat AS y FROM tracked)"""
+ringed AS (SELECT user_id, pos, lon AS x, lat AS y FROM tracked)"""
 
 
 @query(f"""
 WITH {POINTS_SQL}, {NUMBERED_SQL}, {_RING_SIDES_SQL}, sides AS (
-  SELECT user_id, part, pos, x AS bx, y AS b_y,
+  SELECT user_id, pos, x AS bx, y AS b_y,
          coalesce(lag(x) OVER w, last_value(x) OVER f) AS ax, coalesce(lag(y) OVER w, last_value(y) OVER f) AS ay
-  FROM ringed WINDOW w AS (PARTITION BY user_id, part ORDER BY pos),
-    f AS (PARTITION BY user_id, part ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+  FROM ringed WINDOW w AS (PARTITION BY user_id ORDER BY pos),
+    f AS (PARTITION BY user_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
 ), sums AS (
-  SELECT user_id, part, sum((ax + bx) * (ay * bx - b_y * ax)) AS sx, sum((ay + b_y) * (ay * bx - b_y * ax)) AS sy,
-         sum(3 * (ay * bx - b_y * ax)) AS area, count(*) AS n FROM sides GROUP BY 1, 2
+  SELECT user_id, sum((ax + bx) * (ay * bx - b_y * ax)) AS sx, sum((ay + b_y) * (ay * bx - b_y * ax)) AS sy,
+         sum(3 * (ay * bx - b_y * ax)) AS area, count(*) AS n FROM sides GROUP BY 1
 )
-SELECT user_id, part, round(sx / area, 3) AS x, round(sy / area, 3) AS y FROM sums WHERE n > 2 AND abs(area) > 30
+SELECT user_id, round(sx / area, 3) AS x, round(sy / area, 3) AS y FROM sums WHERE n > 2 AND abs(area) > 30
 """)
 def ring_centroids(spark, sf):
     """Tracks taken as rings; nearly flat ones would only compare rounding noise."""
@@ -217,7 +217,7 @@ def ring_centroids(spark, sf):
     )
     rings = tracks(spark, sf).where((F.size("line") > 2) & (F.abs(side_sum) > 30))
     centred = rings.withColumn("centre", shapes.ring_centroid("line"))
-    return centred.select("user_id", "part", r6("centre.x", digits=3).alias("x"), r6("centre.y", digits=3).alias("y"))
+    return centred.select("user_id", r6("centre.x", digits=3).alias("x"), r6("centre.y", digits=3).alias("y"))
 
 
 def _clip_sql() -> str:
@@ -230,12 +230,12 @@ def _clip_sql() -> str:
         stages.append(f"""
 pairs{number} AS (
   SELECT *, coalesce(lag(x) OVER w, last_value(x) OVER f) AS px, coalesce(lag(y) OVER w, last_value(y) OVER f) AS py
-  FROM {source} WINDOW w AS (PARTITION BY user_id, part ORDER BY pos),
-    f AS (PARTITION BY user_id, part ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+  FROM {source} WINDOW w AS (PARTITION BY user_id ORDER BY pos),
+    f AS (PARTITION BY user_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
 ), kept{number} AS (
-  SELECT user_id, part, pos * 2 + 1 AS pos, x, y FROM pairs{number} WHERE {axis} {op} {limit}
+  SELECT user_id, pos * 2 + 1 AS pos, x, y FROM pairs{number} WHERE {axis} {op} {limit}
   UNION ALL
-  SELECT user_id, part, pos * 2, {x}, {y} FROM pairs{number} WHERE ({axis} {op} {limit}) <> (p{axis} {op} {limit})
+  SELECT user_id, pos * 2, {x}, {y} FROM pairs{number} WHERE ({axis} {op} {limit}) <> (p{axis} {op} {limit})
 )""")
         source = f"kept{number}"
     return ",".join(stages)
@@ -243,7 +243,7 @@ pairs{number} AS (
 
 @query(f"""
 WITH {POINTS_SQL}, {NUMBERED_SQL}, {_RING_SIDES_SQL}, {_clip_sql()}
-SELECT user_id, part, count(*) AS vertices, round(sum(x), 4) AS x_sum, round(sum(y), 4) AS y_sum FROM kept3 GROUP BY 1, 2
+SELECT user_id, count(*) AS vertices, round(sum(x), 4) AS x_sum, round(sum(y), 4) AS y_sum FROM kept3 GROUP BY 1
 """)
 def clipped_rings(spark, sf):
     rings = tracks(spark, sf).withColumn("box", geo.box(30.0, -110.0, 42.0, -80.0))
@@ -253,7 +253,7 @@ def clipped_rings(spark, sf):
         return F.aggregate("clipped", F.lit(0.0), lambda acc, v: acc + v[axis])
 
     return clipped.select(
-        "user_id", "part", F.size("clipped").cast("bigint").alias("vertices"),
+        "user_id", F.size("clipped").cast("bigint").alias("vertices"),
         r6(total("x"), digits=4).alias("x_sum"), r6(total("y"), digits=4).alias("y_sum"),
     )
 
@@ -263,47 +263,47 @@ _TOLERANCE = 8.0
 
 @query(f"""
 WITH RECURSIVE {POINTS_SQL}, {NUMBERED_SQL}, verts AS (
-  SELECT user_id, part, pos, lon AS x, lat AS y, max(pos) OVER (PARTITION BY user_id, part) AS last,
-         min(pos) OVER (PARTITION BY user_id, part) AS first FROM tracked
+  SELECT user_id, pos, lon AS x, lat AS y, max(pos) OVER (PARTITION BY user_id) AS last,
+         min(pos) OVER (PARTITION BY user_id) AS first FROM tracked
 ), hops AS (
-  SELECT a.user_id, a.part, a.pos, min(b.pos) AS next FROM verts a JOIN verts b
-    ON a.user_id = b.user_id AND a.part = b.part AND b.pos > a.pos
-   AND pow(b.x - a.x, 2) + pow(b.y - a.y, 2) > {_TOLERANCE**2} GROUP BY 1, 2, 3
+  SELECT a.user_id, a.pos, min(b.pos) AS next FROM verts a JOIN verts b
+    ON a.user_id = b.user_id AND b.pos > a.pos
+   AND pow(b.x - a.x, 2) + pow(b.y - a.y, 2) > {_TOLERANCE**2} GROUP BY 1, 2
 ), thin AS (
-  SELECT user_id, part, pos FROM verts WHERE pos = first
-  UNION ALL SELECT t.user_id, t.part, h.next FROM thin t JOIN hops h ON t.user_id = h.user_id AND t.part = h.part AND t.pos = h.pos
+  SELECT user_id, pos FROM verts WHERE pos = first
+  UNION ALL SELECT t.user_id, h.next FROM thin t JOIN hops h ON t.user_id = h.user_id AND t.pos = h.pos
 ), left_over AS (
-  SELECT user_id, part, pos, x, y, first, last FROM verts WHERE pos = last OR (user_id, part, pos) IN (SELECT (user_id, part, pos) FROM thin)
+  SELECT user_id, pos, x, y, first, last FROM verts WHERE pos = last OR (user_id, pos) IN (SELECT (user_id, pos) FROM thin)
 ), spans AS (
-  SELECT DISTINCT user_id, part, first AS lo, last AS hi FROM verts WHERE last > first
+  SELECT DISTINCT user_id, first AS lo, last AS hi FROM verts WHERE last > first
   UNION ALL
-  SELECT user_id, part, unnest([lo, far]) AS lo, unnest([far, hi]) AS hi FROM (
-    SELECT user_id, part, lo, hi, arg_max(pos, off) AS far, max(off) AS off FROM (
-      SELECT s.user_id, s.part, s.lo, s.hi, v.pos,
+  SELECT user_id, unnest([lo, far]) AS lo, unnest([far, hi]) AS hi FROM (
+    SELECT user_id, lo, hi, arg_max(pos, off) AS far, max(off) AS off FROM (
+      SELECT s.user_id, s.lo, s.hi, v.pos,
              pow(v.x - a.x - k * (b.x - a.x), 2) + pow(v.y - a.y - k * (b.y - a.y), 2) AS off
       FROM (
         SELECT s.*, v.pos, greatest(0e0, least(1e0, ((v.x - a.x) * (b.x - a.x) + (v.y - a.y) * (b.y - a.y))
                  / nullif(pow(b.x - a.x, 2) + pow(b.y - a.y, 2), 0))) AS k
-        FROM spans s JOIN left_over v ON v.user_id = s.user_id AND v.part = s.part AND v.pos > s.lo AND v.pos < s.hi
-        JOIN left_over a ON a.user_id = s.user_id AND a.part = s.part AND a.pos = s.lo
-        JOIN left_over b ON b.user_id = s.user_id AND b.part = s.part AND b.pos = s.hi) s
-      JOIN left_over v ON v.user_id = s.user_id AND v.part = s.part AND v.pos = s.pos
-      JOIN left_over a ON a.user_id = s.user_id AND a.part = s.part AND a.pos = s.lo
-      JOIN left_over b ON b.user_id = s.user_id AND b.part = s.part AND b.pos = s.hi
-    ) GROUP BY user_id, part, lo, hi
+        FROM spans s JOIN left_over v ON v.user_id = s.user_id AND v.pos > s.lo AND v.pos < s.hi
+        JOIN left_over a ON a.user_id = s.user_id AND a.pos = s.lo
+        JOIN left_over b ON b.user_id = s.user_id AND b.pos = s.hi) s
+      JOIN left_over v ON v.user_id = s.user_id AND v.pos = s.pos
+      JOIN left_over a ON a.user_id = s.user_id AND a.pos = s.lo
+      JOIN left_over b ON b.user_id = s.user_id AND b.pos = s.hi
+    ) GROUP BY user_id, lo, hi
   ) WHERE off > {_TOLERANCE**2}
 ), kept AS (
-  SELECT user_id, part, lo AS pos FROM spans UNION SELECT user_id, part, hi FROM spans
-  UNION SELECT user_id, part, first FROM verts
+  SELECT user_id, lo AS pos FROM spans UNION SELECT user_id, hi FROM spans
+  UNION SELECT user_id, first FROM verts
 )
-SELECT user_id, part, count(*) AS before, count(k.pos) AS after,
+SELECT user_id, count(*) AS before, count(k.pos) AS after,
        round(sum(CASE WHEN k.pos IS NOT NULL THEN x END), 6) AS x_sum
-FROM verts LEFT JOIN kept k USING (user_id, part, pos) GROUP BY 1, 2
+FROM verts LEFT JOIN kept k USING (user_id, pos) GROUP BY 1
 """)
 def simplified_lines(spark, sf):
     kept = spatial.simplify_lines(tracks(spark, sf), "line", _TOLERANCE, "simple")
     x_sum = F.aggregate("simple", F.lit(0.0), lambda acc, v: acc + v["x"])
     return kept.select(
-        "user_id", "part", F.size("line").cast("bigint").alias("before"), F.size("simple").cast("bigint").alias("after"),
+        "user_id", F.size("line").cast("bigint").alias("before"), F.size("simple").cast("bigint").alias("after"),
         r6(x_sum).alias("x_sum"),
     )

@@ -230,7 +230,7 @@ def top_documents(spark, sf):
 def _field_hits(spark, sf):
     docs, words = search_documents(spark, sf), _field_queries(spark, sf)
     hits = search.top_hits(search.match_documents(docs, words, fuzzy=False))
-    return search.present_hits(hits, docs, words, at_most=words.count() * search.RESULT_LIMIT)
+    return search.present_hits(hits, docs, words)
 
 
 _PAGED_SQL = f"""
@@ -268,6 +268,45 @@ def collapsed_hits(spark, sf):
     )
 
 
+_SHOWN = """SELECT query_id, page, page_order, in_page AS shown, CASE WHEN in_page = 1 THEN 'doc' ELSE 'item' END AS kind, doc_id,
+       CAST(NULL AS BIGINT) AS more FROM grouped"""
+
+
+def _collapsed(spark, sf, **how):
+    return search.collapse(search.group_by_page(_field_hits(spark, sf)), **how).select(
+        "query_id", "page", F.col("page_order").cast("bigint").alias("page_order"),
+        F.col("shown").cast("bigint").alias("shown"), "kind", "doc_id", "more",
+    )
+
+
+@query(f"WITH {_PAGED_SQL} {_SHOWN}")
+def uncollapsed_hits(spark, sf):
+    """A limit of 0 shows every row."""
+    return _collapsed(spark, sf, after=0)
+
+
+@query(f"""
+WITH {_PAGED_SQL} {_SHOWN} WHERE in_page = 1
+UNION ALL SELECT query_id, page, page_order, 2, 'more', NULL, page_hits - 1 FROM grouped WHERE in_page = 1 AND page_hits > 1
+""")
+def hits_collapsed_to_pages(spark, sf):
+    """True shows one row of each page."""
+    return _collapsed(spark, sf, after=True)
+
+
+@query(f"""
+WITH {_PAGED_SQL}, opened AS (SELECT DISTINCT query_id, page FROM grouped WHERE page_order % 2 = 1)
+SELECT query_id, page, page_order, CASE WHEN in_page > 1 THEN in_page + 1 ELSE in_page END AS shown,
+       CASE WHEN in_page = 1 THEN 'doc' ELSE 'item' END AS kind, doc_id, CAST(NULL AS BIGINT) AS more
+FROM grouped WHERE in_page = 1 OR page_order % 2 = 1
+UNION ALL SELECT query_id, page, page_order, 2, 'more', NULL, page_hits - 1 FROM grouped WHERE in_page = 1 AND page_hits > 1
+""")
+def expanded_hits(spark, sf):
+    """Every second page is opened by its reader and shows all its rows."""
+    opened = search.group_by_page(_field_hits(spark, sf)).where("page_order % 2 = 1").select("query_id", "page")
+    return _collapsed(spark, sf, after=1, expanded=opened)
+
+
 @query(f"""
 WITH {_FIELD_SCORED_SQL}
 SELECT query_id, count(DISTINCT split_part(href, '#', 1)) AS pages FROM hits JOIN docs USING (doc_id) GROUP BY query_id

@@ -17,6 +17,8 @@ def local_session(cores: int | str = "*", app: str = "placetime") -> SparkSessio
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # little data with much work per row: keep the parts small
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        .config("spark.sql.files.maxPartitionBytes", "4m")
+        .config("spark.sql.files.openCostInBytes", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
@@ -40,17 +42,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def spread_small(scan: DataFrame, *keys: str) -> DataFrame:
-    """Give a scan with fewer splits than cores one part per core.
-
-    For heavy work per row on a small file, which may be a single split. A large table
-    has enough splits and stays as it is, without a shuffle. Only for plain scans, whose
-    split count is known without running anything.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, *keys)
-
-
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no earlier run has used."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

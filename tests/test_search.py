@@ -137,12 +137,12 @@ def test_page_counts_and_whole_search(corpus, spark):
     assert "q=" in one.href and one.text.count("<mark") == 1
 
 
-def test_present_hits_is_the_same_without_broadcast(corpus):
-    _, _, docs, asked = corpus
-    hits = search.top_hits(search.match_documents(docs, asked))
-    small = search.present_hits(hits, docs, asked, at_most=10)
-    large = search.present_hits(hits, docs, asked, at_most=None)
-    assert sorted(map(repr, small.collect())) == sorted(map(repr, large.collect()))
+def test_collapse_without_a_limit_shows_all(spark):
+    rows = [(1, "p", 1, i, 5) for i in range(1, 6)]
+    grouped = spark.createDataFrame(rows, "query_id int, page string, page_order int, in_page int, page_hits int")
+    for after in (0, None, False):
+        assert search.collapse(grouped, after).count() == 5
+    assert [r.kind for r in search.collapse(grouped, True).orderBy("shown").collect()] == ["doc", "more"]
 
 
 def test_required_fields(spark):

@@ -140,3 +140,16 @@ def test_ordered_columns_match_a_plain_window(spark):
         F.lag("v").over(w).alias("p"), F.lead("t").over(w).alias("f"),
     )
     assert sorted(map(repr, got.select(want.columns).collect())) == sorted(map(repr, want.collect()))
+
+
+@pytest.mark.parametrize("t", [0.5, 1.0, 2.0, 3.0, 5.0])
+@pytest.mark.parametrize("n", [1e9, 1e10, 1e12])
+def test_tail_probability_of_many_rows(t, n):
+    correction = 1 + (t * t + 1) * t * math.exp(-t * t / 2) / math.sqrt(2 * math.pi) / 2 / n / math.erfc(t / math.sqrt(2))
+    assert stats._f_tail(t * t, 1, n) == pytest.approx(math.erfc(t / math.sqrt(2)) * correction, rel=1e-9)
+
+
+def test_tail_probability_joins_at_the_switch():
+    for t in (0.5, 1.0, 2.0, 4.0):
+        below, above = stats._f_tail(t * t, 1, 1.99999e5), stats._f_tail(t * t, 1, 2.00001e5)
+        assert below == pytest.approx(above, rel=1e-8)
