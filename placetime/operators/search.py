@@ -9,16 +9,15 @@ better, ties go to the lower document id.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import ahocorasick
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from placetime.functions import text
+from placetime.session import checkpointed
 
 # Field weights, tolerance and list lengths that results depend on.
 WEIGHTS = {"title": 20, "section": 20, "text": 10}
@@ -27,19 +26,10 @@ RESULT_LIMIT = 50
 COLLAPSE_AFTER = 3
 QUERY_PARAMETER = "q"
 
-PACK_CHARACTERS = 1_000_000
+GRAM = 3
 _VERIFY_AT_ONCE = 200_000
 
 
-def _packs(queries: DataFrame, limit: int) -> Iterator[list[tuple]]:
-    """Query lists of bounded size: what one task's matcher may hold."""
-    size = queries.agg(F.coalesce(F.sum(F.length("query")), F.lit(0)).alias("characters")).first()
-    count = max(1, -(-size["characters"] // limit))
-    for pack in range(count):
-        mine = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(count)) == pack)
-        yield [(row["query_id"], row["query"]) for row in mine.collect()]
-
-
 def _edit_distance(windows: np.ndarray, patterns: np.ndarray) -> np.ndarray:
     """Fewest edits between each pattern and any part of its window, row by row."""
     rows, length = patterns.shape
@@ -55,116 +45,112 @@ def _edit_distance(windows: np.ndarray, patterns: np.ndarray) -> np.ndarray:
     return best
 
 
-class _Matcher:
-    """Finds every query of a pack in texts, within its number of edits."""
-
-    def __init__(self, pack: list[tuple], threshold: float):
-        self.queries = [(qid, q, int(threshold * len(q) + 1e-9)) for qid, q in pack]
-        self.codes = [np.frombuffer(q.encode("utf-32-le"), dtype=np.uint32) for _, q, _ in self.queries]
-        pieces: dict[str, list[tuple[int, int]]] = {}
-        for number, (_, query, edits) in enumerate(self.queries):
-            # with k edits at least one of k + 1 pieces is found unchanged
-            cuts = [len(query) * i // (edits + 1) for i in range(edits + 2)]
-            for start, stop in zip(cuts, cuts[1:]):
-                pieces.setdefault(query[start:stop], []).append((number, start))
-        self.automaton = ahocorasick.Automaton()
-        for piece, uses in pieces.items():
-            self.automaton.add_word(piece, (len(piece), uses))
-        self.automaton.make_automaton()
-
-    def find(self, texts: list[str | None]) -> dict[tuple[int, int], int]:
-        """Fewest edits per (text number, query number) that matches."""
-        found: dict[tuple[int, int], int] = {}
-        open_: dict[int, set[tuple[int, int]]] = {}
-        for t, value in enumerate(texts):
-            if not value:
-                continue
-            for end, (length, uses) in self.automaton.iter(value):
-                for number, offset in uses:
-                    query, edits = self.queries[number][1:]
-                    at = end + 1 - length - offset
-                    if value.startswith(query, max(at, 0)) and at >= 0:
-                        found[(t, number)] = 0
-                    elif edits and found.get((t, number)) != 0:
-                        open_.setdefault(number, set()).add((t, at))
-                        if len(open_[number]) >= _VERIFY_AT_ONCE:
-                            self._verify(number, open_.pop(number), texts, found)
-        for number, spots in open_.items():
-            self._verify(number, spots, texts, found)
-        return found
-
-    def _verify(self, number: int, spots: set[tuple[int, int]], texts: list, found: dict) -> None:
-        _, query, edits = self.queries[number]
-        spots = [(t, at) for t, at in spots if found.get((t, number)) != 0]
-        if not spots:
-            return
-        width = len(query) + 2 * edits
-        windows = np.zeros((len(spots), width), dtype=np.uint32)
-        for row, (t, at) in enumerate(spots):
+def _cuts(length: int, edits: int) -> list[int]:
+    """Bounds of the pieces of a query: with k edits at least one of k + 1 is found unchanged."""
+    return [length * i // (edits + 1) for i in range(edits + 2)]
+
+
+def _fewest_edits(texts: list[str | None], queries: list[str], threshold: float) -> list[int | None]:
+    """Fewest edits between each query and any part of its text; None beyond the tolerance."""
+    found: list[int | None] = [None] * len(texts)
+    open_: dict[str, list[tuple[int, int]]] = {}
+    for row, (value, query) in enumerate(zip(texts, queries, strict=True)):
+        edits = int(threshold * len(query) + 1e-9)
+        if not value:
+            continue
+        if query in value:
+            found[row] = 0
+        elif edits:
+            cuts, spots = _cuts(len(query), edits), set()
+            for start, stop in zip(cuts, cuts[1:], strict=False):
+                at = value.find(query[start:stop])
+                while at >= 0:
+                    spots.add(at - start)
+                    at = value.find(query[start:stop], at + 1)
+            waiting = open_.setdefault(query, [])
+            waiting += [(row, at) for at in spots]
+            if len(waiting) >= _VERIFY_AT_ONCE:
+                _verify(query, edits, open_.pop(query), texts, found)
+    for query, spots in open_.items():
+        _verify(query, int(threshold * len(query) + 1e-9), spots, texts, found)
+    return found
+
+
+def _verify(query: str, edits: int, spots: list[tuple[int, int]], texts: list, found: list) -> None:
+    """Compare a query with the stretches of texts around spots, many at a time."""
+    pattern = np.frombuffer(query.encode("utf-32-le"), dtype=np.uint32)
+    width = len(query) + 2 * edits
+    for k in range(0, len(spots), _VERIFY_AT_ONCE):
+        some = spots[k:k + _VERIFY_AT_ONCE]
+        windows = np.zeros((len(some), width), dtype=np.uint32)
+        for row, (t, at) in enumerate(some):
             lo = at - edits
-            part = texts[t][max(lo, 0):lo + width]
-            codes = np.frombuffer(part.encode("utf-32-le"), dtype=np.uint32)
+            codes = np.frombuffer(texts[t][max(lo, 0):max(lo + width, 0)].encode("utf-32-le"), dtype=np.uint32)
             begin = max(-lo, 0)
             windows[row, begin:begin + len(codes)] = codes
-        patterns = np.broadcast_to(self.codes[number], (len(spots), len(query)))
-        for (t, _), distance in zip(spots, _edit_distance(windows, patterns)):
-            if distance <= edits and distance < found.get((t, number), edits + 1):
-                found[(t, number)] = int(distance)
+        patterns = np.broadcast_to(pattern, (len(some), len(query)))
+        for (t, _), distance in zip(some, _edit_distance(windows, patterns), strict=True):
+            if distance <= edits and (found[t] is None or distance < found[t]):
+                found[t] = int(distance)
 
 
-def match_documents(
-    documents: DataFrame, queries: DataFrame, fuzzy: bool = True, pack_characters: int = PACK_CHARACTERS,
-) -> DataFrame:
+def _runs(value: Column, widths: list[int]) -> Column:
+    """Distinct runs of characters of the given lengths; a look-ahead finds those that overlap."""
+    return F.array_distinct(F.concat(*(F.regexp_extract_all(value, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in widths)))
+
+
+def match_documents(documents: DataFrame, queries: DataFrame, fuzzy: bool = True) -> DataFrame:
     """Score every (query, document) pair that matches.
 
     ``documents``: doc_id, title, section, text. ``queries``: query_id, query. Empty and
-    null queries match nothing. Each pack of queries is one pass over the documents with
-    a multi-pattern matcher; documents are never shuffled and whole texts are read.
+    null queries match nothing. A query within its number of edits keeps one of its pieces
+    unchanged, so each piece's rarest run of characters is joined with the runs that occur in
+    each document. Only runs that queries use are shuffled, never texts. The pairs that share
+    one are verified on the whole texts, batch by batch.
     """
-    spark = documents.sparkSession
+    threshold = THRESHOLD if fuzzy else 0.0
     asked = queries.select("query_id", F.lower("query").alias("query")).where(F.length("query") > 0)
     folded = documents.select("doc_id", *(F.lower(f).alias(f) for f in WEIGHTS))
-    doc_type = documents.schema["doc_id"].dataType.simpleString()
-    query_type = queries.schema["query_id"].dataType.simpleString()
-    columns = ["query_id", "doc_id", "length", *(f"{f}_edits" for f in WEIGHTS)]
-    schema = ", ".join(
-        [f"query_id {query_type}", f"doc_id {doc_type}", *(f"{c} int" for c in columns[2:])]
+    size = F.length("query")
+    parts = F.floor(F.lit(threshold) * size + 1e-9).cast("int") + 1
+
+    def piece(i: Column) -> Column:
+        start = F.floor(size * i / parts).cast("int")
+        return F.substring("query", start + 1, F.floor(size * (i + 1) / parts).cast("int") - start)
+
+    pieces = asked.select("query_id", F.posexplode(F.transform(F.sequence(F.lit(0), parts - 1), piece)).alias("part", "piece"))
+    width = F.least(F.length("piece"), F.lit(GRAM))
+    within = F.transform(F.sequence(F.lit(1), F.length("piece") - width + 1), lambda i: F.substring("piece", i, width))
+    runs = pieces.select("query_id", "part", F.explode(F.array_distinct(within)).alias("run"))
+
+    # at most GRAM rows: the lengths of runs that queries use
+    widths = sorted(r.n for r in runs.select(F.length("run").alias("n")).distinct().collect()) or [GRAM]
+    # outer: else Spark filters on the array first, and works it out again for that
+    held = folded.select("doc_id", F.explode_outer(_runs(F.concat_ws("\n", *WEIGHTS), widths)).alias("run"))
+    held = checkpointed(held.join(runs.select("run").distinct(), "run", "left_semi"))
+    spread = held.groupBy("run").agg(F.count("*").alias("n"))
+    rarest = (
+        runs.join(spread, "run", "left").groupBy("query_id", "part")
+        .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "run"))["run"].alias("run"))
     )
-    threshold = THRESHOLD if fuzzy else 0.0
+    pairs = rarest.select("query_id", "run").join(held, "run").select("query_id", "doc_id").distinct()
+
+    @F.pandas_udf(T.IntegerType())
+    def edits(values: pd.Series, asked: pd.Series) -> pd.Series:
+        texts = [v if isinstance(v, str) else None for v in values]
+        return pd.Series(_fewest_edits(texts, list(asked), threshold), dtype="Int32")
 
-    def scan(pack: list[tuple]):
-        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            matcher = _Matcher(pack, threshold)
-            for frame in frames:
-                edits: dict[tuple[int, int], list] = {}
-                for position, field in enumerate(WEIGHTS):
-                    texts = [v if isinstance(v, str) else None for v in frame[field]]
-                    for pair, count in matcher.find(texts).items():
-                        edits.setdefault(pair, [None] * len(WEIGHTS))[position] = count
-                docs = frame["doc_id"].to_list()
-                rows = [
-                    (matcher.queries[q][0], docs[d], len(matcher.queries[q][1]), *counts)
-                    for (d, q), counts in edits.items()
-                ]
-                out = pd.DataFrame(rows, columns=columns)
-                yield out.astype({c: "Int32" for c in columns[2:]})
-        return run
-
-    # one union branch per pack
-    matches = None
-    for pack in _packs(asked, pack_characters):
-        if pack:
-            part = folded.mapInPandas(scan(pack), schema)
-            matches = part if matches is None else matches.unionByName(part)
-    if matches is None:
-        matches = spark.createDataFrame([], schema)
+    checked = (
+        pairs.join(asked, "query_id").join(folded, "doc_id")
+        .select("query_id", "doc_id", size.alias("length"), *(edits(f, "query").alias(f"{f}_edits") for f in WEIGHTS))
+    )
+    fewest = F.least(*(f"{f}_edits" for f in WEIGHTS))
     gained = [
         F.coalesce(weight * (1 - F.col(f"{field}_edits") / F.col("length")), F.lit(0.0))
         for field, weight in WEIGHTS.items()
     ]
     score = F.round(sum(gained[1:], gained[0]) / sum(WEIGHTS.values()), 9)
-    fewest = F.least(*(f"{f}_edits" for f in WEIGHTS))
-    return matches.select("query_id", "doc_id", score.alias("score"), fewest.alias("edits"))
+    return checked.where(fewest.isNotNull()).select("query_id", "doc_id", score.alias("score"), fewest.alias("edits"))
 
 
 def top_hits(scored: DataFrame, limit: int = RESULT_LIMIT) -> DataFrame:

@@ -180,6 +180,17 @@ def exact_search(spark, sf):
     return found.select("query_id", "doc_id", "score")
 
 
+_WHOLE_ASKED_SQL = """
+asked AS (SELECT item_id AS query_id, text AS query FROM benchmark)"""
+
+
+@query(f"WITH {_SCORED_SQL.replace(ASKED_SQL, _WHOLE_ASKED_SQL)} SELECT query_id, doc_id, score FROM scored")
+def long_exact_search(spark, sf):
+    """Whole benchmark texts as queries."""
+    long = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
+    return search.match_documents(search_documents(spark, sf), long, fuzzy=False).select("query_id", "doc_id", "score")
+
+
 # every asked text has 10 to 19 characters, so one edit is allowed: a character of the query
 # missing or replaced in the text ('.?' in its place), or one more character between two
 _FUZZY_SQL = f"""

@@ -77,10 +77,9 @@ def corpus(spark):
 
 
 @pytest.mark.parametrize("fuzzy", [False, True])
-@pytest.mark.parametrize("pack", [search.PACK_CHARACTERS, 40])
-def test_matches_equal_brute_force(corpus, fuzzy, pack):
+def test_matches_equal_brute_force(corpus, fuzzy):
     documents, queries, docs, asked = corpus
-    got = search.match_documents(docs, asked, fuzzy, pack_characters=pack).collect()
+    got = search.match_documents(docs, asked, fuzzy).collect()
     scores = {(r.query_id, r.doc_id): r.score for r in got}
     assert len(scores) == len(got)
     assert scores == brute_force(documents, queries, fuzzy)
@@ -88,11 +87,11 @@ def test_matches_equal_brute_force(corpus, fuzzy, pack):
 
 def test_edits_are_verified_in_bounded_blocks(corpus, monkeypatch):
     documents, queries, *_ = corpus
-    pack = [(i, q.lower()) for i, q in queries if q]
-    texts = [(d["text"] or "").lower() for d in documents]
-    whole = search._Matcher(pack, 0.1).find(texts)
+    pairs = [(d["text"], q.lower()) for d in documents for _, q in queries if q]
+    texts, asked = [t.lower() if t else t for t, _ in pairs], [q for _, q in pairs]
+    whole = search._fewest_edits(texts, asked, 0.1)
     monkeypatch.setattr(search, "_VERIFY_AT_ONCE", 3)
-    assert search._Matcher(pack, 0.1).find(texts) == whole
+    assert search._fewest_edits(texts, asked, 0.1) == whole
 
 
 def test_top_hits_break_ties_by_document(spark):
