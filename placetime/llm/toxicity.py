@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PER_CLASS = 10_000
+PER_CLASS = 4_000
 TERMS = 512
 LEAST_SIGNAL = 2.5
 FACTORS = 8
@@ -167,7 +167,12 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # in the order of ids, whatever order the rows come in
-        every = sorted(((i, y, np.sort(np.array(t, np.int64))) for b in batches for i, y, t in zip(*[c.to_pylist() for c in b.columns], strict=True)), key=lambda r: r[0])
+        every = []
+        for b in batches:
+            flat = b.column(2).flatten().to_numpy()
+            sets = np.split(flat, np.cumsum(b.column(2).value_lengths().to_numpy())[:-1])
+            every += [(i, y, np.sort(t)) for i, y, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), sets, strict=True)]
+        every.sort(key=lambda r: r[0])
         y = np.array([r[1] for r in every], np.float64)
         if not every or not 0 < y.mean() < 1:
             return
