@@ -126,9 +126,8 @@ def overlapping_intervals(ranges: DataFrame, spans: DataFrame, spread_by: list[s
     listed in the coarser buckets the other side uses, so long and short intervals mix
     without long lists. A pair is taken only in the first bucket both share.
     """
-    def levelled(df: DataFrame, low: str, high: str, own: str) -> DataFrame:
-        length = F.greatest((F.col(high) - F.col(low)).cast("double") / unit, F.lit(1.0))
-        return df.withColumn(own, F.ceil(F.log2(length)).cast("int"))
+    def level(low: str, high: str) -> Column:
+        return F.ceil(F.log2((F.col(high) - F.col(low)).cast("double") / unit)).cast("int")
 
     def listed(df: DataFrame, low: str, high: str, own: str, levels: Column, side: str) -> DataFrame:
         width = F.pow(F.lit(2.0), F.col("_level")) * unit
@@ -142,8 +141,14 @@ def overlapping_intervals(ranges: DataFrame, spans: DataFrame, spread_by: list[s
             .drop("_levels", own)
         )
 
-    a = levelled(ranges.where(F.col("low") < F.col("high")), "low", "high", "_own_a")
-    b = levelled(spans.where(F.col("first") <= F.col("last")), "first", "last", "_own_b")
+    a = ranges.where(F.col("low") < F.col("high")).withColumn("_own_a", level("low", "high"))
+    # spans shorter than every range, and those of one point, live among the shortest ranges
+    shortest = a.agg(F.min("_own_a")).scalar()
+    own_b = F.when(F.col("first") < F.col("last"), F.greatest(level("first", "last"), F.col("_shortest"))).otherwise(F.col("_shortest"))
+    b = (
+        spans.where(F.col("first") <= F.col("last")).withColumn("_shortest", shortest)
+        .where(F.col("_shortest").isNotNull()).withColumn("_own_b", own_b).drop("_shortest")
+    )
     levels_a = a.agg(F.collect_set("_own_a")).scalar()
     levels_b = b.agg(F.collect_set("_own_b")).scalar()
     pairs = salted_join(
@@ -190,12 +195,7 @@ def cluster_points(points: DataFrame, zoom: int, keys: list[str] | None = None,
 
 def pyramid_depth(width: int, height: int) -> int:
     """Index of the smallest level: halving goes on until a side is shorter than 2."""
-    level = 0
-    while width >= 2 and height >= 2:
-        width, height, level = -(-width // 2), -(-height // 2), level + 1
-        if width < 2 or height < 2:
-            break
-    return level
+    return max(0, (min(width, height) - 1).bit_length())
 
 
 def pyramid(cells: DataFrame, width: int, height: int, x: str = "x", y: str = "y", value: str = "value") -> DataFrame:
@@ -216,7 +216,7 @@ def pyramid(cells: DataFrame, width: int, height: int, x: str = "x", y: str = "y
     )
 
 
-def best_level(width: Column, height: Column, want_width: Column, want_height: Column, deepest: int = 40) -> Column:
+def best_level(width: Column, height: Column, want_width: Column, want_height: Column) -> Column:
     """Smallest pyramid level that is still at least as large as wanted; 0 if none is."""
     def side(full: Column, level: Column) -> Column:
         return F.ceil(full / F.pow(F.lit(2.0), level))
@@ -226,7 +226,8 @@ def best_level(width: Column, height: Column, want_width: Column, want_height: C
         exists = (level == 0) | ((side(width, above) >= 2) & (side(height, above) >= 2))
         return exists & (side(width, level) >= want_width) & (side(height, level) >= want_height)
 
-    fits = F.filter(F.sequence(F.lit(0), F.lit(deepest)), usable)
+    deepest = F.ceil(F.log2(F.greatest(width, height, F.lit(1)).cast("double"))).cast("int")
+    fits = F.filter(F.sequence(F.lit(0), deepest), usable)
     return F.coalesce(F.array_max(fits), F.lit(0))
 
 

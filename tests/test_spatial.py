@@ -104,3 +104,15 @@ def test_resampling_covers_every_pixel_once(spark):
     xs, ys = {p[0] for p in painted}, {p[1] for p in painted}
     assert len(painted) == len(xs) * len(ys)
     assert max(xs) - min(xs) + 1 == len(xs)
+
+
+def test_intervals_far_below_one_unit(spark):
+    ranges = spark.range(400).select(F.col("id").alias("r"), (F.col("id") / 400.0).alias("low"), (F.col("id") / 400.0 + 0.001).alias("high"))
+    spans = spark.range(400).select(F.col("id").alias("s"), (F.col("id") / 400.0 + 0.0005).alias("first"), (F.col("id") / 400.0 + 0.0005).alias("last"))
+    joined = spatial.overlapping_intervals(ranges, spans, ["s"])
+    assert sorted((r.r, r.s) for r in joined.collect()) == [(i, i) for i in range(400)]
+    # every bucket holds a few intervals, not all of them
+    wide = spans.withColumn("last", F.col("first") + 0.004)
+    got = {(r.r, r.s) for r in spatial.overlapping_intervals(ranges, wide, ["s"]).collect()}
+    want = {(i, j) for i in range(400) for j in range(400) if j / 400.0 + 0.0005 < i / 400.0 + 0.001 and j / 400.0 + 0.0005 + 0.004 >= i / 400.0}
+    assert got == want
