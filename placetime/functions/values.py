@@ -43,9 +43,10 @@ def from_micros(value: Column | str, kind: str) -> Column:
 
 def jitter(value: Column | str, amount: float, key: Column | str, seed: int = 0) -> Column:
     """Add uniform noise in [-amount, amount), fixed by the key, so that neither
-    partitioning nor a retried task changes it."""
-    steps = float(2**53)
-    unit = F.pmod(F.xxhash64(_c(key), F.lit(seed)), F.lit(2**53)) / steps
+    partitioning nor a retried task changes it. The noise is the first 52 bits of an
+    MD5 of key and seed; a null key is the empty text."""
+    digest = F.md5(F.concat(F.coalesce(_c(key).cast("string"), F.lit("")), F.lit(f":{seed}")))
+    unit = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(2**52)
     return _c(value) + (unit * 2 - 1) * amount
 
 

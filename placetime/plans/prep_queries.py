@@ -122,11 +122,17 @@ def jitter_bounds(spark, sf):
     )
 
 
-@query()
+@query(f"""
+WITH {POINTS_SQL}, noise AS (
+  SELECT *, ('0x' || substr(md5(concat(event_id, ':1')), 1, 13))::BIGINT / 4503599627370496e0 AS u,
+         ('0x' || substr(md5(concat(event_id, ':2')), 1, 13))::BIGINT / 4503599627370496e0 AS v FROM points
+)
+SELECT event_id, round(lat + (u * 2 - 1) * 0.0001e0, 9) AS jittered_lat, round(lon + (v * 2 - 1) * 0.0002e0, 9) AS jittered_lon FROM noise
+""")
 def jittered_points(spark, sf):
     return points(spark, sf).select(
-        "event_id", values.jitter("lat", 0.0001, "event_id", 1).alias("jittered_lat"),
-        values.jitter("lon", 0.0002, "event_id", 2).alias("jittered_lon"),
+        "event_id", r6(values.jitter("lat", 0.0001, "event_id", 1), digits=9).alias("jittered_lat"),
+        r6(values.jitter("lon", 0.0002, "event_id", 2), digits=9).alias("jittered_lon"),
     )
 
 
