@@ -81,26 +81,25 @@ def _leaf_pairs(fps: DataFrame, budget: int, leaf: int) -> tuple[DataFrame, list
 
     Every pair of fingerprints within the budget lies under exactly one of them.
     """
-    total = fps.count()
-    spark = fps.sparkSession
-    found = spark.createDataFrame([], "a long, b long, used int, depth int")
-    pairs = spark.createDataFrame([(0, 0, 0, total, total)], "a long, b long, used int, na long, nb long")
-    depth, depths = 0, []
+    found = fps.sparkSession.createDataFrame([], "a long, b long, used int, depth int")
+    pairs, depth, depths = None, 0, []
     while True:
         deeper = depth + STEP
-        crowded = pairs.select(F.col("a").alias("parent")).union(pairs.select("b")).distinct()
-        parent = F.lit(0).cast("long") if depth == 0 else _node("fp", depth)
-        children = (
-            fps.select(parent.alias("parent"), _node("fp", deeper).alias("node"))
-            .groupBy("parent", "node").agg(F.count("*").alias("n"))
-            .join(crowded, "parent", "left_semi")
+        children = fps.select(_node("fp", deeper).alias("node")).groupBy("node").agg(F.count("*").alias("n"))
+        if pairs is None:
+            started = children.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.lit(0).cast("long").alias("b"), F.lit(0).alias("used"), F.lit(True).alias("same"))
+        else:
+            started = pairs.select("a", "b", "used", (F.col("a") == F.col("b")).alias("same")).join(
+                children.select(F.shiftrightunsigned("node", STEP).alias("a"), F.col("node").alias("x"), F.col("n").alias("nx")), "a")
+        # from a node below a, the nodes below b that lie within the budget
+        masks = F.array(*[F.struct(F.lit(m).cast("long").alias("m"), F.lit(m.bit_count()).alias("d")) for m in range(1 << STEP) if m.bit_count() <= budget])
+        low = F.col("x").bitwiseAND(F.lit((1 << STEP) - 1))
+        wanted = (
+            started.withColumn("mask", F.explode(masks)).withColumn("used", F.col("used") + F.col("mask.d")).where(F.col("used") <= budget)
+            .withColumn("y", F.shiftleft("b", STEP).bitwiseOR(low.bitwiseXOR(F.col("mask.m")))).where(~F.col("same") | (F.col("x") <= F.col("y")))
         )
-        left = children.select(F.col("parent").alias("a"), F.col("node").alias("x"), F.col("n").alias("nx"))
-        right = children.select(F.col("parent").alias("b"), F.col("node").alias("y"), F.col("n").alias("ny"))
         pairs = checkpointed(
-            pairs.select("a", "b", "used").join(left, "a").join(right, "b")
-            .withColumn("used", F.col("used") + F.bit_count(F.col("x").bitwiseXOR(F.col("y")).bitwiseAND(F.lit((1 << STEP) - 1))))
-            .where((F.col("used") <= budget) & ((F.col("a") < F.col("b")) | (F.col("x") <= F.col("y"))))
+            wanted.join(children.select(F.col("node").alias("y"), F.col("n").alias("ny")), "y")
             .select(F.col("x").alias("a"), F.col("y").alias("b"), "used", F.col("nx").alias("na"), F.col("ny").alias("nb"))
         )
         depth = deeper
