@@ -101,7 +101,8 @@ def mixed(docs: DataFrame, weights: DataFrame | None = None, flatness: float = F
     copies, order, copy = (free_name(docs, n) for n in ("copies", "order", "copy"))
     counted = repetitions(docs, spark.read.parquet(path), seed, copies)
     digest = counted.columns[-2]
-    each = counted.select("*", F.posexplode(F.array_repeat(F.lit(0), F.col(copies))).alias(copy, free_name(docs, "zero")))
+    # outer: else Spark filters on the array first, and draws the numbers again for that
+    each = counted.select("*", F.posexplode_outer(F.array_repeat(F.lit(0), F.col(copies))).alias(copy, free_name(docs, "zero"))).where(F.col(copy).isNotNull())
     dealt = each.withColumn(order, F.md5(F.concat(F.col(digest), F.lit(f":{seed}:"), F.col(copy).cast("string"))))
     return dealt.repartition(F.col(order)).sortWithinPartitions(order).select(*[F.col(quoted(c)) for c in docs.columns])
 

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placetime.functions.values import let
-from placetime.llm.common import every, free_name, quoted
+from placetime.llm.common import every
 from placetime.session import checkpointed
 
 BASE = ["email", "ip", "card", "phone"]
@@ -279,10 +279,9 @@ def without(text: Column, spans: Column) -> Column:
 
 def redacted(docs: DataFrame) -> DataFrame:
     """``docs`` with the spans in text replaced and n_chars, where there is one, counted anew."""
-    model = fit(checkpointed(docs.select(found("text")["more"].alias("more")).where(F.size("more") > 0)))
-    name = free_name(docs, "found")
-    text = without(F.col("text"), all_spans(F.col(quoted(name)), model))
-    changed = docs.select(*every(docs), found("text").alias(name)).withColumn("text", F.when(F.col("text").isNotNull(), text))
+    model = fit(checkpointed(docs.select(found("text")["more"].alias("more"))))
+    own = let(F.col("text"), lambda t: let(let(found(t), lambda f: all_spans(f, model)), lambda spans: without(t, spans)))
+    changed = docs.withColumn("text", F.when(F.col("text").isNotNull(), own))
     if "n_chars" in docs.columns:
         changed = changed.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text").cast(dict(docs.dtypes)["n_chars"])))
     return changed.select(*every(docs))

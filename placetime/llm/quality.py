@@ -28,7 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from placetime.functions.values import let
-from placetime.llm.common import WHITE, every, free_name
+from placetime.llm.common import WHITE, quoted
 from placetime.session import checkpointed, fresh_path
 
 WINDOW = 8
@@ -105,7 +105,8 @@ def bin_of(value: Column) -> Column:
 def sketches(measured: DataFrame) -> DataFrame:
     """Counters (lang, source, measure, bin, n) of rows with lang, source and an array of measures."""
     return (
-        measured.select("lang", "source", F.posexplode("measures").alias("measure", "value"))
+        # outer: else Spark filters on the array first, and works it out again for that
+        measured.select("lang", "source", F.posexplode_outer("measures").alias("measure", "value"))
         .groupBy("lang", "source", "measure", bin_of(F.col("value")).alias("bin")).agg(F.count("*").alias("n"))
     )
 
@@ -164,15 +165,13 @@ def passing(docs: DataFrame, least: int = LEAST) -> DataFrame:
     The limits are written first, so Spark knows their size when it plans the join: they are
     sent to all tasks where they are small, and joined by shuffle where they are not.
     """
-    measured = docs.select("lang", "source", measures(counts("text")).alias("measures"))
+    measured = docs.select("lang", "source", let(counts("text"), measures).alias("measures"))
     spark, path = docs.sparkSession, fresh_path(docs.sparkSession, "quality-limits")
     limits(measured, least).write.parquet(path)
     tops = spark.read.parquet(path)
-    name = free_name(docs, "counted")
-    counted = docs.select(*every(docs), counts("text").alias(name))
-    joined = counted.join(tops, counted["lang"].eqNullSafe(tops["lang"]) & counted["source"].eqNullSafe(tops["source"]), "inner")
-    keep = ~base_failed(counted[name]) & within(measures(counted[name]), tops["limits"])
-    return joined.where(keep).select(*[counted[f"`{c.replace('`', '``')}`"] for c in docs.columns])
+    joined = docs.join(tops, docs["lang"].eqNullSafe(tops["lang"]) & docs["source"].eqNullSafe(tops["source"]))
+    keep = let(counts(docs["text"]), lambda c: ~base_failed(c) & within(measures(c), tops["limits"]))
+    return joined.where(keep).select(*[docs[quoted(c)] for c in docs.columns])
 
 
 _MEASURES = {
