@@ -73,7 +73,7 @@ class Vocabulary:
 
     def ids(self, text: str | None) -> np.ndarray:
         seen = self.seen
-        return np.array([seen[w] for w in (text or "").split()], np.int64)
+        return np.array([seen[w] for w in (text or "").split()], np.int16)
 
 
 def shared_id(word: str) -> int:
@@ -151,12 +151,12 @@ class Network:
     def windows(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """All words of the documents, and the ids around each; EDGE beyond a document's ends."""
         reach = max(SIDE)
-        gap = np.full(reach, EDGE, np.int64)
+        gap = np.full(reach, EDGE, np.int16)
         line = np.concatenate([gap, *(x for d in ids for x in (d, gap))])
         sizes = np.array([len(d) for d in ids])
         starts = reach + np.cumsum(sizes + reach) - sizes - reach
         at = np.concatenate([np.arange(s, s + n) for s, n in zip(starts, sizes, strict=True)]) if len(ids) else np.zeros(0, np.int64)
-        return line[at], np.stack([line[at + j] for j in SIDE]) if len(at) else np.zeros((len(SIDE), 0), np.int64)
+        return line[at], np.stack([line[at + j] for j in SIDE]) if len(at) else np.zeros((len(SIDE), 0), np.int16)
 
     def hidden(self, around: np.ndarray) -> np.ndarray:
         w = self.weights
@@ -188,7 +188,7 @@ class Network:
             slopes["cluster"], slopes["cluster_bias"] = h.T @ p, p.sum(0)
             back += p @ w["cluster"].T
             slopes["within"], slopes["within_bias"] = np.zeros_like(w["within"]), np.zeros_like(w["within_bias"])
-        order = np.argsort(cluster, kind="stable")
+        order = np.argsort(cluster.astype(np.int16), kind="stable")  # 16 bits: sorted by counting
         cuts = np.searchsorted(cluster[order], np.arange(CLUSTERS + 1))
         for c in range(CLUSTERS):
             own = order[cuts[c]:cuts[c + 1]]
