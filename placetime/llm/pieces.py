@@ -9,7 +9,8 @@ stretch on which paths stay apart, not the text.
 
 A boundary that no piece of the vocabulary can cross is such a boundary for every path.
 Texts are cut there first (before a run of spaces, around characters that occur in no longer
-piece), and the ids of short cuts are remembered, since words repeat.
+piece). Short cuts fit in the window as a whole; those of one length go through the search
+together, and their ids are remembered, since words repeat.
 
 Costs are whole numbers, so equal sums are equal. A model whose scores are fractions has log
 probabilities, and a path costs their negative sum: the search of the unigram model. A model
@@ -39,7 +40,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,8 +48,12 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"  # fixed value: the mark for a space in vocabulary files
 SHIFT = 100
 UNIT = 1_000_000
-REMEMBERED = 200_000  # cuts whose ids a task keeps; a full memory starts anew
-SHORT = 64  # characters of a cut that is worth remembering
+REMEMBERED = 400_000  # cuts whose ids a task keeps; a full memory starts anew
+SHORT = 64  # characters of a cut that is searched together with others and remembered
+AHEAD = 200_000  # cuts whose texts are looked at together
+TOGETHER = 20_000  # cuts of one length in one search
+FACTOR = np.uint64(0x9E3779B97F4A7C15)  # of the polynomial hash of a piece
+NEVER = np.int64(1 << 60)
 
 
 @dataclass(frozen=True)
@@ -90,6 +95,14 @@ class Codec:
         texts = [t.replace(SPACE, " ") for t in self.pieces.texts]
         self.known = {t: (c, i) for i, (t, c, k) in enumerate(zip(texts, self.pieces.costs, self.pieces.kinds, strict=True)) if k == "n"}
         self.longest = max(map(len, self.known), default=1)
+        #: cost of a piece; None for what only longer pieces start with
+        self.starts = {t[:n]: None for t in self.known for n in range(1, len(t))} | {t: c for t, (c, _) in self.known.items()}
+        marked = sorted((self.mark(t), int(NEVER) if c is None else c, -1 if c is None else self.known[t][1]) for t, c in self.starts.items())
+        self.marks = np.array([m for m, _, _ in marked], np.uint64)
+        self.mark_costs = np.array([c for _, c, _ in marked], np.int64)
+        self.mark_ids = np.array([i for _, _, i in marked], np.int32)
+        if len(set(self.marks.tolist())) < len(marked):
+            raise ValueError("two starts of pieces have one hash")
         self.byte_ids = {int(t[1:-1], 16): i for i, (t, k) in enumerate(zip(texts, self.pieces.kinds, strict=True)) if k == "b"}
         self.byte_cost = max(self.pieces.costs, default=1)
         self.table = [bytes([int(t[1:-1], 16)]) if k == "b" else b"" if k == "c" else t.encode() for t, k in zip(texts, self.pieces.kinds, strict=True)]
@@ -98,6 +111,13 @@ class Codec:
         spaced = all(" " not in t.lstrip(" ") for t in self.known)
         self.cuts = re.compile(rf"[{re.escape(alone)}]| *[^ {re.escape(alone)}]+| +" if alone and spaced else r"(?s).+")
 
+    @staticmethod
+    def mark(piece: str) -> int:
+        total = 0
+        for c in piece:
+            total = (total * int(FACTOR) + ord(c)) & (2**64 - 1)
+        return total
+
     def single(self, char: str) -> tuple[int, list[int]]:
         """Cost and ids of one character that is no piece: its bytes."""
         raw = char.encode("utf-8", "surrogatepass")
@@ -105,68 +125,130 @@ class Codec:
 
     def search(self, text: str) -> Iterator[list[int]]:
         """Ids of a text in the order and as soon as they are final."""
-        known, longest = self.known, self.longest
-        final = 0  # all paths run through this boundary, and ids before it are given out
-        cost, came, look = {0: 0}, {0: 0}, 4 * longest
-        for end in range(1, len(text) + 1):
-            low, origin = None, end - 1
-            for start in range(max(final, end - longest), end):
-                found = known.get(text[start:end])
-                if found is None:
-                    if start < end - 1:
-                        continue
-                    step = self.single(text[start])[0]
-                else:
-                    step = found[0]
-                total = cost[start] + step
-                if low is None or total < low:
-                    low, origin = total, start
-            cost[end], came[end] = low, origin
-            if end - final >= look:
-                boundary = self.meeting(came, end, final)
+        starts, longest, size = self.starts, self.longest, len(text)
+        final, look = 0, 4 * longest  # all paths run through final, and ids before it are given out
+        cost: list[int | None] = [0] + [None] * min(size, longest)
+        came = [0] * len(cost)  # both from position final on
+        for at in range(size):
+            base, step = cost[at - final], None
+            for end in range(at + 1, min(at + longest, size) + 1):
+                step = starts.get(text[at:end], 0)
+                if step is None:
+                    continue  # longer pieces start so
+                if step == 0:
+                    if end > at + 1:
+                        break
+                    step = self.single(text[at])[0]
+                old = cost[end - final]
+                if old is None or base + step < old:
+                    cost[end - final], came[end - final] = base + step, at
+            if cost[at + 1 - final] is None:
+                step = base + self.single(text[at])[0]
+                cost[at + 1 - final], came[at + 1 - final] = step, at
+            if at + 1 - final >= look:
+                boundary = self.meeting(cost, came, at, final)
                 look = 4 * longest if boundary > final else 2 * look  # paths that stay apart are not walked at every step
                 if boundary > final:
-                    yield self.path(text, came, final, boundary)
+                    yield self.path(text, came, final, boundary, final)
+                    del cost[:boundary - final], came[:boundary - final]
                     final = boundary
-                    for old in [p for p in cost if p < final]:
-                        del cost[old], came[old]
-        if final < len(text):
-            yield self.path(text, came, final, len(text))
-
-    def meeting(self, came: dict[int, int], end: int, final: int) -> int:
-        """The last boundary on the paths of all positions that a later piece can start from."""
-        live = set(range(max(final, end - self.longest + 1), end + 1))
+            if at + 1 + longest <= size:
+                cost.append(None)
+                came.append(0)
+        if final < size:
+            yield self.path(text, came, final, size, final)
+
+    def meeting(self, cost: list[int | None], came: list[int], at: int, final: int) -> int:
+        """The last boundary on the paths to all positions after ``at`` that pieces have reached."""
+        live = {p for p in range(at + 1, final + len(cost)) if cost[p - final] is not None}
         while len(live) > 1:
             last = max(live)
             live.remove(last)
-            live.add(came[last] if last > final else final)
+            live.add(came[last - final] if last > final else final)
         return live.pop()
 
-    def path(self, text: str, came: dict[int, int], start: int, end: int) -> list[int]:
+    def path(self, text: str, came: list[int], start: int, end: int, final: int) -> list[int]:
         cuts = [end]
         while cuts[-1] > start:
-            cuts.append(came[cuts[-1]])
+            cuts.append(came[cuts[-1] - final])
         ids: list[int] = []
         for a, b in zip(cuts[:0:-1], cuts[-2::-1], strict=True):
             found = self.known.get(text[a:b])
             ids += [found[1]] if found else self.single(text[a])[1]
         return ids
 
+    def search_many(self, cuts: list[str]) -> Iterator[tuple[int, ...]]:
+        """Ids of cuts of one length: the same search, for all of them position by position."""
+        size, many = len(cuts[0]), len(cuts)
+        chars = np.frombuffer("".join(cuts).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(many, size).T.astype(np.uint64)
+        raw = self.byte_cost * (1 + (chars > 0x7F) + (chars > 0x7FF) + (chars > 0xFFFF))
+        cost = np.full((size + 1, many), NEVER, np.int64)
+        came = np.zeros((size + 1, many), np.int16)
+        last = np.full((size + 1, many), -1, np.int32)  # id of the piece that ends here; -1 for bytes
+        cost[0] = 0
+        for start in range(size):
+            open_ = np.arange(many)  # cuts in which a piece can still go on
+            mark = np.zeros(many, np.uint64)
+            for end in range(start + 1, min(start + self.longest, size) + 1):
+                mark = mark * FACTOR + chars[end - 1][open_]
+                at = np.minimum(np.searchsorted(self.marks, mark), len(self.marks) - 1)
+                hit = self.marks[at] == mark
+                step = np.where(hit, self.mark_costs[at], NEVER)
+                own = np.where(step == NEVER, -1, self.mark_ids[at])
+                if end == start + 1:
+                    step = np.where(step == NEVER, raw[start], step)
+                total = cost[start][open_] + step
+                better = total < cost[end][open_]
+                cost[end][open_[better]] = total[better]
+                came[end][open_[better]] = start
+                last[end][open_[better]] = own[better]
+                open_, mark = open_[hit], mark[hit]
+                if not len(open_):
+                    break
+        for text, starts, ids in zip(cuts, came.T.tolist(), last.T.tolist(), strict=True):
+            out, end = [], size
+            while end:
+                start = starts[end]
+                if ids[end] >= 0:
+                    out.append(ids[end])
+                else:
+                    out += self.single(text[start])[1][::-1]
+                end = start
+            yield tuple(out[::-1])
+
+    def learn(self, cuts: set[str]) -> None:
+        """Remember the ids of short cuts."""
+        if len(self.seen) + len(cuts) > REMEMBERED:
+            self.seen.clear()
+        by_length: dict[int, list[str]] = {}
+        for cut in cuts:
+            by_length.setdefault(len(cut), []).append(cut)
+        for same in by_length.values():
+            for k in range(0, len(same), TOGETHER):
+                self.seen.update(zip(same[k:k + TOGETHER], self.search_many(same[k:k + TOGETHER]), strict=True))
+
+    def encode_many(self, texts: list[str | None]) -> Iterator[list[int] | None]:
+        """Ids of each text, some texts at a time."""
+        held: list[list[str] | None] = []
+        room = 0
+        for k, text in enumerate(texts):
+            held.append(None if text is None else self.cuts.findall(" " + text) if text else [])
+            room += len(held[-1] or ())
+            if room > AHEAD or k == len(texts) - 1:
+                self.learn({c for cuts in held if cuts for c in cuts if len(c) <= SHORT} - self.seen.keys())
+                for cuts in held:
+                    if cuts is None:
+                        yield None
+                        continue
+                    ids: list[int] = []
+                    for cut in cuts:
+                        own = self.seen.get(cut)
+                        ids += own if own is not None else [i for part in self.search(cut) for i in part]
+                    yield ids
+                held, room = [], 0
+
     def encode(self, text: str) -> list[int]:
-        if not text:
-            return []
-        ids: list[int] = []
-        seen = self.seen
-        for cut in self.cuts.findall(" " + text):
-            own = seen.get(cut)
-            if own is None:
-                own = tuple(i for part in self.search(cut) for i in part)
-                if len(cut) <= SHORT:
-                    if len(seen) >= REMEMBERED:
-                        seen.clear()
-                    seen[cut] = own
-            ids += own
-        return ids
+        return next(self.encode_many([text]))
 
     def decode(self, ids: list[int]) -> str:
         table = self.table
@@ -186,12 +268,31 @@ def encoder(pieces: Pieces | None = None) -> Callable[[Column | str], Column]:
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def encode(texts: pa.Array) -> pa.Array:
         own = codec(pieces)
-        found = [None if t is None else np.array(own.encode(t), np.int32) for t in texts.to_pylist()]
+        found = [None if ids is None else np.array(ids, np.int32) for ids in own.encode_many(texts.to_pylist())]
         return pa.array(found, pa.list_(pa.int32()))
 
     return encode
 
 
+def encoded(docs: DataFrame, pieces: Pieces | None = None, text: str = "text", into: str = "ids") -> DataFrame:
+    """``docs`` with the ids of a text column in a new column, worked out once per row.
+
+    Unlike the column of ``encoder``, this one can be decoded or used several times without
+    Spark joining both steps and encoding again.
+    """
+    pieces = pieces or load()
+    place = docs.columns.index(text)
+    schema = T.StructType([*docs.schema.fields, T.StructField(into, T.ArrayType(T.IntegerType()))])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(pieces)
+        for b in batches:
+            found = [None if ids is None else np.array(ids, np.int32) for ids in own.encode_many(b.column(place).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.list_(pa.int32()))], names=[*b.schema.names, into])
+
+    return docs.mapInArrow(work, schema)
+
+
 def decoder(pieces: Pieces | None = None) -> Callable[[Column | str], Column]:
     """A function from a column of ids to the column of their texts."""
     pieces = pieces or load()
@@ -199,8 +300,6 @@ def decoder(pieces: Pieces | None = None) -> Callable[[Column | str], Column]:
     @F.arrow_udf(T.StringType())
     def decode(ids: pa.Array) -> pa.Array:
         own = codec(pieces)
-        flat, ends = ids.flatten().to_pylist(), np.cumsum(ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-        starts = np.concatenate(([0], ends[:-1])) if len(ends) else ends
-        return pa.array([None if not ok else own.decode(flat[a:b]) for ok, a, b in zip(ids.is_valid().to_pylist(), starts, ends, strict=True)], pa.string())
+        return pa.array([own.decode(x.values.to_numpy(zero_copy_only=False).tolist()) if x.is_valid else None for x in ids], pa.string())
 
     return decode

@@ -42,8 +42,7 @@ def op3_quality_limits(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op4_pieces(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    coded = docs.select("doc_id", "text", pieces.encoder()("text").alias("ids"))
+    coded = pieces.encoded(table(spark, folder, "documents").select("doc_id", "text"))
     lossless = pieces.decoder()("ids").eqNullSafe(F.col("text"))
     return coded.select("doc_id", "ids", F.size("ids").alias("n_ids"), lossless.alias("lossless"))
 

@@ -67,7 +67,7 @@ def test_columns(spark):
 
 
 def test_all_documents(spark, sf):
-    df = spark.read.parquet(f"{sf}/documents.parquet").select("text", pieces.encoder()("text").alias("ids")).withColumn("again", pieces.decoder()("ids"))
+    df = pieces.encoded(spark.read.parquet(f"{sf}/documents.parquet")).withColumn("again", pieces.decoder()("ids"))
     for r in df.collect():
         assert r.again == r.text
     for r in df.limit(20).collect():
