@@ -26,7 +26,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each group of near-duplicates."""
+    """The document with the least doc_id of each group of near-duplicates: Jaccard of five words 0.8 or more."""
     return simhash.deduplicated(docs)
 
 

@@ -35,6 +35,9 @@ SEED = 42
 SHINGLE = 3
 BUDGET = 2
 STEP = 4  # bits that node pairs go down at a time
+NEAR_SHINGLE = 5  # of near copies, which the pipeline drops
+NEAR_BUDGET = 14
+CELLS = 1 << 21  # distances that numpy works out at a time
 LEAF = 32_768  # fingerprints of a pair of nodes that one piece of work may hold
 BLOCK = 65_536  # shingles of a text that are counted at a time
 FRONTIER = 1 << 18  # node pairs that numpy extends at a time
@@ -228,23 +231,142 @@ def grouped(marked: DataFrame, budget: int = BUDGET) -> DataFrame:
     return marked.join(named, "fp")
 
 
-def deduplicated(docs: DataFrame, budget: int = BUDGET) -> DataFrame:
-    """One document of each group: the one with the least doc_id, all columns unchanged.
+def _shingles(text: str | None, size: int = NEAR_SHINGLE) -> np.ndarray:
+    """Different hashes of the word shingles of a text, ascending."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    joined, size = b" ".join(words), min(size, len(words))
+    lengths = [len(w) for w in words]
+    starts = list(accumulate((n + 1 for n in lengths[:-1]), initial=0))
+    ends = [a + n for a, n in zip(starts[size - 1:], lengths[size - 1:], strict=True)]
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, ends, strict=False)), np.uint64, len(ends)))
+
+
+def _set_simhash(hashes: np.ndarray) -> int:
+    """Fingerprint of a set of shingle hashes."""
+    total = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), BLOCK):
+        total += np.unpackbits(hashes[at:at + BLOCK].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * total > len(hashes)).tobytes(), "big", signed=True)
+
+
+@F.pandas_udf(T.StructType([T.StructField("fp", T.LongType()), T.StructField("sig", T.LongType())]))
+def _set_marks(texts: pd.Series) -> pd.DataFrame:
+    """Fingerprint of a text's set of shingles, and a hash that equal sets share."""
+    found = []
+    for t in texts:
+        own = _shingles(t)
+        found.append((_set_simhash(own), int.from_bytes(xxhash.xxh64_digest(own.tobytes(), SEED), "big", signed=True)))
+    return pd.DataFrame(found, columns=["fp", "sig"]).astype("int64")
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _set_of(texts: pd.Series) -> pd.Series:
+    return pd.Series([_shingles(t).view(np.int64) for t in texts], dtype=object)
+
+
+def _near(budget: int, nearest: bool):
+    """Pairs (u, v) of sets of different roots under one pair of nodes; with ``nearest`` one for each u, else all."""
+    def work(key: tuple, rows: pa.Table) -> pa.Table:
+        fps, sigs, roots = (rows[c].to_numpy() for c in ("fp", "sig", "root"))
+        fps = fps.view(np.uint64)
+        side = rows["right"].to_numpy(zero_copy_only=False).astype(bool)
+        same = key[0] == key[1]
+        left = np.arange(len(fps)) if same else np.flatnonzero(~side)
+        right = left if same else np.flatnonzero(side)
+        step, us, vs, ds = max(1, CELLS // max(1, len(right))), [], [], []
+        for at in range(0, len(left), step):
+            i = left[at:at + step]
+            far = np.bitwise_count(fps[i][:, None] ^ fps[right][None, :])
+            far[roots[i][:, None] == roots[right][None, :]] = 65
+            if nearest:
+                best = np.argmin(far, axis=1)
+                x, y = np.arange(len(i)), best
+                near = far[x, y] <= budget
+                x, y = x[near], y[near]
+            else:
+                x, y = np.nonzero(far <= budget)
+                if same:
+                    once = i[x] < right[y]
+                    x, y = x[once], y[once]
+            us.append(sigs[i[x]])
+            vs.append(sigs[right[y]])
+            ds.append(far[x, y].astype(np.int32))
+        return pa.table({"u": np.concatenate(us), "v": np.concatenate(vs), "d": np.concatenate(ds)}) if us else pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64()), "d": pa.array([], pa.int32())})
+    return work
+
 
-    Rows that repeat a doc_id count as one document: of those the row with the least content
-    hash stays. A group without any doc_id keeps one row of each fingerprint, chosen alike.
+def _candidates(sets: DataFrame, cut: tuple[DataFrame, list[int]], budget: int, nearest: bool) -> DataFrame:
+    """Pairs (u, v) of ``sets`` (sig, fp, root) of different roots whose fingerprints lie within the budget."""
+    pairs, depths = cut
+    dealt = None
+    for depth in depths:
+        here = pairs.where(F.col("depth") == depth).select("a", "b", "depth")
+        keyed = sets.select("fp", "sig", "root", _node("fp", depth).alias("node"))
+        lefts = keyed.join(here.withColumnRenamed("a", "node"), "node").select(F.col("node").alias("a"), "b", "depth", "fp", "sig", "root", F.lit(False).alias("right"))
+        rights = keyed.join(here.where("a <> b").withColumnRenamed("b", "node"), "node").select("a", F.col("node").alias("b"), "depth", "fp", "sig", "root", F.lit(True).alias("right"))
+        both = lefts.union(rights)
+        dealt = both if dealt is None else dealt.union(both)
+    if dealt is None:
+        return sets.select(F.col("sig").alias("u"), F.col("sig").alias("v")).limit(0)
+    found = dealt.groupBy("a", "b", "depth").applyInArrow(_near(budget, nearest), "u long, v long, d int")
+    if nearest:
+        found = found.groupBy("u").agg(F.min(F.struct("d", "v")).alias("best")).select("u", "best.v")
+    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
+def near_groups(sets: DataFrame, shingled, budget: int = NEAR_BUDGET) -> DataFrame:
+    """(sig, root): the sets that chains of pairs of a Jaccard similarity of 4/5 or more connect.
+
+    ``sets`` has one row (sig, fp) per different set of shingles, ``shingled`` gives (sig, shingles)
+    for a table of sig. Pairs whose fingerprints differ in at most ``budget`` bits are compared
+    shingle by shingle. First every set is compared with its nearest one only, twice, and sets
+    found alike are not paired again: a group of copies does not give all of its pairs.
+    """
+    cut = _leaf_pairs(sets.select("fp"), budget, LEAF)
+    rooted, alike, held = checkpointed(sets.select("sig", "fp", F.col("sig").alias("root"))), None, None
+    for nearest in (True, True, False):
+        tried = checkpointed(_candidates(rooted, cut, budget, nearest))
+        if held is None:  # a set that is near none now is near none later
+            held = checkpointed(shingled(tried.select(F.col("u").alias("sig")).union(tried.select("v")).distinct()))
+        sides = [held.select(F.col("sig").alias(s), F.col("shingles").alias(f"of_{s}")) for s in "uv"]
+        common = F.size(F.array_intersect("of_u", "of_v"))
+        # c / (m + n - c) >= 4 / 5; two empty sets are one set
+        good = checkpointed(tried.join(sides[0], "u").join(sides[1], "v").where(9 * common >= 4 * (F.size("of_u") + F.size("of_v"))).select("u", "v"))
+        alike = good if alike is None else alike.union(good)
+        roots = components(alike).select(F.col("node").alias("sig"), F.col("root").alias("new"))
+        rooted = checkpointed(rooted.join(roots, "sig", "left").select("sig", "fp", F.coalesce("new", "sig").alias("root")))
+    return rooted.select("sig", "root")
+
+
+def deduplicated(docs: DataFrame, budget: int = NEAR_BUDGET) -> DataFrame:
+    """One document of each group of near copies: the one with the least doc_id, all columns unchanged.
+
+    Near copies are texts whose sets of five-word shingles have a Jaccard similarity of 4/5 or
+    more; fingerprints of the sets propose the pairs. Rows that repeat a doc_id count as one
+    document: of those the row with the least content hash stays, as in a group without any doc_id.
     """
     mark = F.xxhash64(*every(docs))
-    marked = checkpointed(docs.select("doc_id", mark.alias("content"), fingerprint("text").alias("fp")))
+    name = free_name(docs, "content")
+    hashed = docs.select(*every(docs), mark.alias(name))
+    marked = checkpointed(docs.select("doc_id", mark.alias("content"), _set_marks("text").alias("m")).select("doc_id", "content", "m.fp", "m.sig"))
+    sets = checkpointed(marked.groupBy("sig").agg(F.min("fp").alias("fp"), F.min("content").alias("one"), F.min("doc_id").alias("least_doc")))
+
+    def shingled(wanted: DataFrame) -> DataFrame:
+        ones = sets.join(wanted, "sig").select("sig", "one")
+        texts = hashed.join(ones, hashed[name] == ones["one"]).select("sig", "text").dropDuplicates(["sig"])
+        return texts.select("sig", _set_of("text").alias("shingles"))
+
+    rooted = checkpointed(sets.join(near_groups(sets.select("sig", "fp"), shingled, budget), "sig").select("sig", "root", "least_doc"))
+    named = rooted.join(rooted.groupBy("root").agg(F.min("least_doc").alias("component_id")), "root").select("sig", "root", "component_id")
     best = (
-        grouped(marked, budget).where(F.col("component_id").eqNullSafe(F.col("doc_id")))
-        .groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("alone"))
-        .agg(F.min("content").alias("content")).select("content")
+        marked.join(named, "sig").where(F.col("component_id").eqNullSafe(F.col("doc_id")))
+        .groupBy("root").agg(F.min("content").alias("content")).select("content")
     )
     copies = marked.groupBy("content").agg((F.count("*") > 1).alias("repeated"))
     keys = checkpointed(copies.join(best, "content", "left_semi"))
-    name = free_name(docs, "content")
-    hashed = docs.select(*every(docs), mark.alias(name))
 
     def chosen(repeated: bool) -> DataFrame:
         wanted = keys.where(F.col("repeated") == repeated)

@@ -110,3 +110,20 @@ def test_long_chain_is_one_component(spark):
     edges = spark.range(100).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
     assert {r.root for r in components(edges).collect()} == {0}
     assert components(edges).count() == 100
+
+
+def edited(base, n, word):
+    """A text with n words replaced, far apart."""
+    out = base.split()
+    for k in range(n):
+        out[10 + 30 * k] = f"{word}{k}"
+    return " ".join(out)
+
+
+def test_deduplicated_by_jaccard_of_five_words(spark):
+    bases = [" ".join(f"{a}{i}" for i in range(100)) for a in ("p", "q", "r")]
+    # of 96 shingles an edit changes five: similarities 91 / 101, 86 / 106 and 81 / 111
+    rows = [(10 * b + n, edited(text, n, "new")) for b, text in enumerate(bases) for n in (0, b + 1)]
+    rows += [(50 + i, edited(bases[0], 1, f"copy{i}")) for i in range(40)]
+    kept = {r.doc_id for r in simhash.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == {0, 10, 20, 23}
