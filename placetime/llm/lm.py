@@ -5,8 +5,9 @@ gives a probability to every word there. A document's score is the sum of the lo
 probabilities of its own words, each judged from both sides.
 
 Words are those of the corpus: all documents' words are counted, the most frequent get ids of
-their own, and the others share ids by their last two characters; the network tells ids
-apart, not the words that share one. Ids in order of frequency are cut into clusters; the
+their own, and the others share ids by their last two characters. The network gives a probability to
+the id; a word that shares one has its part of the id's count, so its log probability is that
+of the id plus log(n(word) / n(id)), by the counts of all words. Ids in order of frequency are cut into clusters; the
 network first gives a probability to the cluster, then to the id in it.
 
 Training reads every word of every document. Each task runs gradient steps in numpy over the
@@ -101,9 +102,9 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def vocabulary(docs: DataFrame) -> Vocabulary:
+def vocabulary(docs: DataFrame, counted: DataFrame | None = None) -> Vocabulary:
     """The most frequent words and the counts of all ids: IDS rows come to the driver."""
-    counted = checkpointed(word_counts(docs))
+    counted = checkpointed(word_counts(docs)) if counted is None else counted
     room = IDS - 1 - SHARED
     top = counted.orderBy(F.desc("n"), "word").limit(room).collect()
     words = tuple(r.word for r in top)
@@ -288,9 +289,36 @@ def trained(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> Network
     return net
 
 
+def shared_parts(docs: DataFrame, words: Vocabulary, counted: DataFrame) -> DataFrame:
+    """(mark, parts): per hash of a text the sum of log(n(word) / n(id)) over its words that share ids."""
+    own, totals = frozenset(words.words), words.counts
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(w, math.log(n / totals[shared_id(w)])) for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) if w not in own]
+            yield pa.RecordBatch.from_pydict({"word": pa.array([w for w, _ in rows], pa.string()), "part": pa.array([p for _, p in rows], pa.float64())})
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            marks, rows = [], []
+            for i, (mark, text) in enumerate(zip(b.column(0).to_pylist(), b.column(1), strict=True)):
+                found = Counter(w for w in (text.as_py() or "").split() if w not in own)
+                marks += [mark] * len(found)
+                rows += found.items()
+                if rows and (len(rows) > BATCH or i == b.num_rows - 1):
+                    yield pa.RecordBatch.from_pydict({"mark": pa.array(marks, pa.int64()), "word": pa.array([w for w, _ in rows], pa.string()), "k": pa.array([n for _, n in rows], pa.int64())})
+                    marks, rows = [], []
+
+    marked = docs.select(F.xxhash64("text").alias("mark"), "text")
+    # rows of equal texts add up alike: their sum is shared out again
+    sums = marked.mapInArrow(held, "mark long, word string, k long").join(counted.mapInArrow(part, "word string, part double"), "word").groupBy("mark").agg(F.sum(F.col("k") * F.col("part")).alias("sum"))
+    return sums.join(marked.groupBy("mark").agg(F.count("*").alias("copies")), "mark").select("mark", (F.col("sum") / F.col("copies")).alias("parts"))
+
+
 def scored(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, score (sum of log probabilities) and per_word for every row of ``docs``."""
-    words = vocabulary(docs)
+    counted = checkpointed(word_counts(docs))
+    words = vocabulary(docs, counted)
     net = trained(docs, words)
     weights, place, kind = net.weights, net.place, dict(docs.dtypes)["doc_id"]
     bare = Vocabulary(words.words, words.counts)
@@ -298,6 +326,7 @@ def scored(docs: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Network(weights, place)
         for ids, rows, b in _grouped(batches, 1, bare):
+            part = slice(rows[0], rows[0] + len(rows))
             sizes = np.array([len(d) for d in ids])
             target, around = own.windows(ids)
             found = np.concatenate([own.log_probabilities(target[a:a + BATCH], around[:, a:a + BATCH]) for a in range(0, len(target), BATCH)] or [np.zeros(0)])
@@ -306,7 +335,9 @@ def scored(docs: DataFrame) -> DataFrame:
             score = upto[ends] - upto[ends - sizes]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": b.column(0).slice(rows[0], len(rows)), "n_words": pa.array(sizes, pa.int64()), "score": pa.array(score),
-                "per_word": pa.array(score / np.maximum(sizes, 1)),
+                "mark": b.column(2)[part],
             })
 
-    return docs.select("doc_id", "text").mapInArrow(work, f"doc_id {kind}, n_words long, score double, per_word double")
+    by_id = docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(work, f"doc_id {kind}, n_words long, score double, mark long")
+    joined = by_id.join(shared_parts(docs, words, counted), "mark", "left").withColumn("score", F.col("score") + F.coalesce("parts", F.lit(0.0)))
+    return joined.select("doc_id", "n_words", "score", (F.col("score") / F.greatest("n_words", F.lit(1))).alias("per_word"))

@@ -91,3 +91,15 @@ def test_odd_rows(spark):
     assert all(r.score == 0 for r in got if r.n_words == 0) and all(r.score < 0 for r in got if r.n_words)
     assert [r.score for r in lm.scored(docs.where("text is null")).collect()] == [0.0, 0.0]
     assert lm.scored(docs.limit(0)).collect() == []
+
+
+def test_words_that_share_an_id_are_told_apart(spark):
+    common = [(i, " ".join(f"w{k}" for k in range(lm.IDS) for _ in range(2))) for i in range(3)]
+    rows = [*common, (10, "rare rare rare bare"), (11, "bare"), (12, "rare"), (12, "rare")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    words = lm.vocabulary(docs)
+    assert not {"rare", "bare"} & set(words.words) and lm.shared_id("rare") == lm.shared_id("bare")
+    got = {r.doc_id: r for r in lm.scored(docs).collect()}
+    # five and two of the words with this id; all else is alike
+    assert got[12].score - got[11].score == pytest.approx(math.log(5 / 2), rel=1e-6)
+    assert got[12].per_word == got[12].score and lm.scored(docs).count() == len(rows)
