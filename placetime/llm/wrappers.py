@@ -8,7 +8,7 @@ part of the layout; a node whose text varies is a slot. Menus, headers, footers,
 forms and the like are known by their element, class, id or role; their slots hold no
 content, nor do slots that are mostly links. The content root is the lowest node above all
 content slots. A page's text is what stands below its host's content root, without the
-unwanted nodes. A host whose pages do not differ is served by the template of all hosts.
+unwanted nodes; there names count only for block containers, by class or role. A host whose pages do not differ is served by the template of all hosts.
 
 A template has one node per run of equal siblings, so it has the size of a layout, not of a
 page or a host. Tasks merge the pages they read by host; only templates are shuffled,
@@ -49,18 +49,20 @@ NAMES = re.compile(
 )
 KEPT_TAGS = frozenset({"html", "body", "article", "main"})
 ROOTS = ("article", "main")
+TEXTUAL = frozenset("h1 h2 h3 h4 h5 h6 p li dl dt dd pre blockquote figure figcaption table thead tbody tfoot tr td th caption address summary hgroup".split())
+INNER_TAGS = frozenset({"header", "label", "object"})  # content where they stand below a content root
 MOST_RUNS = 64  # a node with more runs of children groups them by label
 HOSTS = 2_000  # templates a task holds before it gives them out
 SALTS = 32
 
 
 class Node:
-    """An element of a page: label, whether it is unwanted, and its texts and elements in order."""
+    """An element of a page: label, whether it is unwanted, also below a content root, and its texts and elements in order."""
 
-    __slots__ = ("items", "label", "tag", "unwanted")
+    __slots__ = ("items", "label", "tag", "unwanted", "within")
 
-    def __init__(self, tag: str, label: str, unwanted: bool) -> None:
-        self.tag, self.label, self.unwanted, self.items = tag, label, unwanted, []
+    def __init__(self, tag: str, label: str, unwanted: bool, within: bool = False) -> None:
+        self.tag, self.label, self.unwanted, self.within, self.items = tag, label, unwanted, within, []
 
 
 class _Reader(HTMLParser):
@@ -75,11 +77,14 @@ class _Reader(HTMLParser):
             return
         if tag == "hr":
             self.close_p()
-            self.stack[-1].items.append(Node("hr", "hr", True))
+            self.stack[-1].items.append(Node("hr", "hr", True, True))
             return
         names = dict(attrs)
         marks = " ".join(str(names.get(k) or "") for k in ("class", "id", "role")).strip()
-        odd = tag in UNWANTED or (bool(marks) and tag not in KEPT_TAGS and bool(NAMES.search(marks))) or "hidden" in names or names.get("aria-hidden") == "true"
+        unseen = "hidden" in names or names.get("aria-hidden") == "true"
+        odd = tag in UNWANTED or (bool(marks) and tag not in KEPT_TAGS and bool(NAMES.search(marks))) or unseen
+        roles = f"{names.get('class') or ''} {names.get('role') or ''}".strip()
+        within = unseen or tag in UNWANTED - INNER_TAGS or (tag in BLOCKS - TEXTUAL - KEPT_TAGS and bool(NAMES.search(roles)))
         if tag in VOID:
             return
         if tag in CLOSES_P:
@@ -93,7 +98,7 @@ class _Reader(HTMLParser):
             if tag in ("html", "body") and any(n.tag == tag for n in self.stack):
                 return
             label = tag + re.sub(r"[\d\s]+", ".", f" {names['class']}") if names.get("class") else tag
-            node = Node(tag, label, odd)
+            node = Node(tag, label, odd, within)
             self.stack[-1].items.append(node)
             self.stack.append(node)
 
@@ -138,8 +143,12 @@ def parse(html: str | None) -> Node:
     return reader.root
 
 
-def blocks(node: Node) -> list[str]:
-    """Texts of the blocks below a node in page order, white space made single, unwanted nodes left out."""
+def blocks(node: Node, rooted: bool = False) -> list[str]:
+    """Texts of the blocks below a node in page order, white space made single, unwanted nodes left out.
+
+    Below a content root (``rooted``) only elements and block containers with an unwanted class
+    or role are unwanted: no heading, paragraph or inline element by its name, and none by its id.
+    """
     out: list[str] = []
     run: list[str] = []
 
@@ -156,9 +165,11 @@ def blocks(node: Node) -> list[str]:
             end()
         elif isinstance(item, tuple):
             run.append(item[0])
-        elif item.unwanted and item is not node:
+        elif (item.within if rooted else item.unwanted) and item is not node:
             if item.tag in BLOCKS or item.tag in CLOSES_P:
                 end()
+        elif rooted and item.tag not in BLOCKS and item.tag not in CLOSES_P:
+            todo += item.items[::-1]
         else:
             end()
             todo.append(None)
@@ -172,8 +183,9 @@ def blocks(node: Node) -> list[str]:
 LABEL, PAGES, LOW, HIGH, CHARS, LINKED, ODD, CHILDREN = range(8)
 
 
-def template(node: Node, depth: int = 0) -> list:
-    """The template of one page: equal siblings that follow each other are one node."""
+def template(node: Node, depth: int = 0, rooted: bool = False) -> list:
+    """The template of one page: equal siblings that follow each other are one node; ``rooted`` below an article."""
+    rooted = rooted or node.tag in ROOTS
     own = "".join(t for t, _ in (i for i in node.items if isinstance(i, tuple)))
     text = " ".join(own.split())
     mark = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1 if text else 0
@@ -182,7 +194,7 @@ def template(node: Node, depth: int = 0) -> list:
     if depth < 200:
         for item in node.items:
             if isinstance(item, Node):
-                made = template(item, depth + 1) if not item.unwanted else [item.label, 1, 0, 0, 0, 0, True, []]
+                made = template(item, depth + 1, rooted) if not (item.within if rooted else item.unwanted) else [item.label, 1, 0, 0, 0, 0, True, []]
                 if children and children[-1][LABEL] == made[LABEL]:
                     children[-1] = _one(children[-1], made)
                 else:
@@ -192,7 +204,7 @@ def template(node: Node, depth: int = 0) -> list:
             for c in children:
                 by[c[LABEL]] = _one(by[c[LABEL]], c) if c[LABEL] in by else c
             children = list(by.values())
-    return [node.label, 1, mark, mark, len(text), linked, node.unwanted, children]
+    return [node.label, 1, mark, mark, len(text), linked, node.within if rooted else node.unwanted, children]
 
 
 def _one(a: list, b: list) -> list:
@@ -295,7 +307,7 @@ def main_text(html: str | None, paths: list[list[str] | None]) -> str:
     for path in paths:
         found = below(page, path) if path else []
         if found:
-            return "\n\n".join(b for n in found for b in blocks(n))
+            return "\n\n".join(b for n in found for b in blocks(n, True))
     return "\n\n".join(blocks(page))
 
 

@@ -83,3 +83,12 @@ def test_odd_rows(spark):
     got = sorted(((r.page_id, r.text) for r in wrappers.extract(pages).collect()), key=str)
     assert got == sorted([(1, ""), (1, ""), (None, "a"), (2, ""), (3, "same"), (4, "same")], key=str)
     assert wrappers.extract(pages.limit(0)).collect() == []
+
+
+def test_names_inside_the_content_root(spark):
+    page = (
+        "<body><article><header><h1>T{n}</h1></header><h2 id='side-effects'>Effects {n}</h2><p class='notice'>text {n} <span class='hljs-comment'># why</span> end</p>"
+        "<section id='related-work'><p>work {n}</p></section><div class='ad'>buy {n}</div></article></body>"
+    )
+    docs = spark.createDataFrame([(i, f"http://h/{i}", page.format(n=i)) for i in range(4)], "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in wrappers.extract(docs).collect()} == {i: f"T{i}\n\nEffects {i}\n\ntext {i} # why end\n\nwork {i}" for i in range(4)}
