@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placetime.llm import digest, lm, mixing, pieces, pii, quality, simhash, toxicity, warc, wrappers
+from placetime.llm import digest, infill, lm, mixing, pieces, pii, quality, simhash, toxicity, warc, wrappers
 from placetime.plans.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -77,3 +77,12 @@ def op9_poisson_mix(spark: SparkSession, folder: str) -> DataFrame:
 def op10_simhash_trie(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.groups(table(spark, folder, "documents").select("doc_id", "text"))
     return found.select("doc_id", simhash.as_hex("fp").alias("fingerprint"), "component_id")
+
+
+@query(infill.SQL)
+def op11_wavelet_infill(spark: SparkSession, folder: str) -> DataFrame:
+    found = infill.transformed(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(infill.restored("output", "form"), 256).alias("restored_sha256"),
+    )
