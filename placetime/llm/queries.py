@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placetime.llm import digest, infill, lm, mixing, pieces, pii, quality, simhash, toxicity, warc, wrappers
+from placetime.llm import digest, infill, lm, mixing, pieces, pii, quality, simhash, toxicity, variants, warc, wrappers
 from placetime.plans.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -86,3 +86,8 @@ def op11_wavelet_infill(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n", "form", "prefix_chars", "middle_chars",
         F.sha2("output", 256).alias("output_sha256"), F.sha2(infill.restored("output", "form"), 256).alias("restored_sha256"),
     )
+
+
+@query(variants.SQL)
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.variants(table(spark, folder, "documents").select("doc_id", "text"))
