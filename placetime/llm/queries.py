@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placetime.llm import digest, infill, lm, mixing, pieces, pii, quality, simhash, toxicity, variants, warc, wrappers
+from placetime.llm import digest, infill, lm, mixing, pieces, pii, quality, shards, simhash, toxicity, variants, warc, wrappers
 from placetime.plans.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -91,3 +91,9 @@ def op11_wavelet_infill(spark: SparkSession, folder: str) -> DataFrame:
 @query(variants.SQL)
 def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return variants.variants(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query()
+def op13_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
+    found = shards.placed(table(spark, folder, "documents"))
+    return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
