@@ -9,12 +9,13 @@ better, ties go to the lower document id.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from placetime.functions import text
 from placetime.session import checkpointed
@@ -26,7 +27,12 @@ RESULT_LIMIT = 50
 COLLAPSE_AFTER = 3
 QUERY_PARAMETER = "q"
 
-GRAM = 3
+RUN = 8  # bytes of the longest run
+RUNS = 4  # runs of a piece of a query
+SLOT_BITS = 22
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+_BYTES_AT_ONCE = 1 << 20
+_QUERIES_AT_ONCE = 1000
 _VERIFY_AT_ONCE = 200_000
 
 
@@ -94,63 +100,164 @@ def _verify(query: str, edits: int, spots: list[tuple[int, int]], texts: list, f
                 found[t] = int(distance)
 
 
-def _runs(value: Column, widths: list[int]) -> Column:
-    """Distinct runs of characters of the given lengths; a look-ahead finds those that overlap."""
-    return F.array_distinct(F.concat(*(F.regexp_extract_all(value, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in widths)))
+def _slots(runs: np.ndarray, width: int) -> np.ndarray:
+    """Places of runs of bytes in the filter."""
+    return ((runs + np.uint64(width)) * _MIX) >> np.uint64(64 - SLOT_BITS)
+
+
+def _query_runs(query: str, threshold: float) -> list[tuple[int, int, int, int, int]]:
+    """(part, run, width, slot, runs of the part): a few runs of bytes spread over each piece of a query."""
+    found, cuts = [], _cuts(len(query), int(threshold * len(query) + 1e-9))
+    for part, (start, stop) in enumerate(zip(cuts, cuts[1:], strict=False)):
+        piece = query[start:stop].encode()
+        width = min(RUN, len(piece))
+        last = len(piece) - width
+        runs = sorted({int.from_bytes(piece[at:at + width], "little") for at in {last * i // (RUNS - 1) for i in range(RUNS)}})
+        places = _slots(np.array(runs, np.uint64), width)
+        found += [(part, int(np.uint64(r).view(np.int64)), width, int(p), len(runs)) for r, p in zip(runs, places, strict=True)]
+    return found
+
+
+def _asked_runs(threshold: float):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, rows = [], []
+            for i, query in enumerate(batch["query"].to_pylist()):
+                own = _query_runs(query, threshold)
+                ids += [i] * len(own)
+                rows += own
+            columns = [pa.array([r[k] for r in rows], pa.int64()) for k in range(5)]
+            yield pa.RecordBatch.from_arrays([batch["query_id"].take(pa.array(ids, pa.int64())), *columns], names=["query_id", "part", "run", "width", "slot", "needed"])
+    return work
+
+
+def _held_runs(bits: bytes, widths: list[int]):
+    """Which of the runs that queries use, as far as the filter tells, each text holds."""
+    masks = [(w, np.uint64((1 << 8 * w) - 1)) for w in widths]
+
+    def places(data: np.ndarray, offsets: np.ndarray, wanted: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        for at in range(int(offsets[0]), int(offsets[-1]), _BYTES_AT_ONCE):
+            stop = min(at + _BYTES_AT_ONCE, int(offsets[-1]))
+            piece = np.zeros(stop - at + RUN, np.uint64)
+            own = data[at:min(stop + RUN - 1, int(offsets[-1]))]
+            piece[:len(own)] = own
+            runs = piece
+            for k in (1, 2, 4):  # pairs, fours, eights of bytes
+                runs = runs[:-k] | runs[k:] << np.uint64(8 * k)
+            runs = runs[:stop - at]
+            for width, mask in masks:
+                some = runs & mask
+                hit = np.flatnonzero(wanted[_slots(some, width)])
+                doc = np.searchsorted(offsets, hit + at, side="right") - 1
+                whole = hit + at + width <= offsets[doc + 1]
+                doc, some = doc[whole], some[hit[whole]]
+                order = np.lexsort((some, doc))
+                doc, some = doc[order], some[order]
+                first = np.ones(len(doc), bool)
+                first[1:] = (doc[1:] != doc[:-1]) | (some[1:] != some[:-1])
+                yield doc[first], some[first].view(np.int64), np.full(int(first.sum()), width, np.int64)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").astype(bool)
+        for batch in batches:
+            texts = batch["text"]
+            _, offsets, data = texts.buffers()
+            offsets = np.frombuffer(offsets, np.int64 if pa.types.is_large_string(texts.type) else np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+            data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+            for doc, run, width in places(data, offsets, wanted):
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].take(pa.array(doc)), pa.array(run), pa.array(width)], names=["doc_id", "run", "width"])
+    return work
+
+
+def _with_edits(threshold: float):
+    """Checks the queries of every row on its whole texts, batch by batch."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch["asked"]
+            rows = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+            pairs = lists.flatten()
+            ids, asked = pairs.field("query_id"), pairs.field("query").to_pylist()
+            found = []
+            for field in WEIGHTS:
+                texts = batch[field].to_pylist()
+                found.append(_fewest_edits([texts[r] for r in rows], asked, threshold))
+            met = [k for k, edits in enumerate(zip(*found, strict=True)) if any(e is not None for e in edits)]
+            take = pa.array(met, pa.int64())
+            edits = [pa.array([column[k] for k in met], pa.int32()) for column in found]
+            yield pa.RecordBatch.from_arrays(
+                [ids.take(take), batch["doc_id"].take(pa.array(rows[met], pa.int64())), pa.array([len(asked[k]) for k in met], pa.int32()), *edits],
+                names=["query_id", "doc_id", "length", *(f"{f}_edits" for f in WEIGHTS)],
+            )
+    return work
+
+
+def candidates(folded: DataFrame, asked: DataFrame, threshold: float) -> DataFrame:
+    """(query_id, doc_id) pairs that the check of whole texts has to see.
+
+    With k edits a query keeps one of its k + 1 pieces unchanged, so a document that matches
+    holds all runs of bytes of some piece. Texts are cut in runs in numpy; a filter of
+    fixed size, one bit per slot of a hash, keeps those that queries may use, and a join tells
+    which they do. Building the filter is one job over the queries.
+    """
+    runs = checkpointed(asked.select("query_id", "query").mapInArrow(
+        _asked_runs(threshold), f"query_id {_kind(asked, 'query_id')}, part long, run long, width long, slot long, needed long"
+    ))
+    # at most 2 ** SLOT_BITS / 64 rows, whatever the number of queries
+    words = runs.groupBy(F.expr("slot div 64").alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.expr("int(slot % 64)"))).alias("bits"),
+        F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("width").cast("int"))).alias("widths"),
+    ).collect()
+    filled, used = np.zeros(1 << SLOT_BITS >> 6, np.int64), 0
+    for word, bits, widths in words:
+        filled[word] = bits
+        used |= widths
+    lengths = [w for w in range(1, RUN + 1) if used >> w & 1]
+    texts = folded.select("doc_id", F.concat_ws("\n", *WEIGHTS).alias("text"))
+    held = texts.mapInArrow(_held_runs(filled.tobytes(), lengths), f"doc_id {_kind(folded, 'doc_id')}, run long, width long")
+    met = held.join(runs.drop("slot"), ["run", "width"])
+    # a text that is cut in two blocks can hold a run twice
+    whole = met.groupBy("query_id", "part", "doc_id", "needed").agg(F.count_distinct("run").alias("n")).where("n = needed")
+    return whole.select("query_id", "doc_id").distinct()
+
+
+def _kind(df: DataFrame, column: str) -> str:
+    return df.schema[column].dataType.simpleString()
 
 
 def match_documents(documents: DataFrame, queries: DataFrame, fuzzy: bool = True) -> DataFrame:
     """Score every (query, document) pair that matches.
 
     ``documents``: doc_id, title, section, text. ``queries``: query_id, query. Empty and
-    null queries match nothing. A query within its number of edits keeps one of its pieces
-    unchanged, so each piece's rarest run of characters is joined with the runs that occur in
-    each document. Only runs that queries use are shuffled, never texts. The pairs that share
-    one are verified on the whole texts, batch by batch.
+    null queries match nothing; equal queries are worked on once. A document that meets a
+    candidate of some query is read once more, with the list of its queries, at most
+    ``_QUERIES_AT_ONCE`` in a row; only pairs of ids are shuffled, and the texts of such documents where Spark
+    does not send the lists to them.
     """
     threshold = THRESHOLD if fuzzy else 0.0
-    asked = queries.select("query_id", F.lower("query").alias("query")).where(F.length("query") > 0)
+    every = queries.select(F.col("query_id").alias("of"), F.lower("query").alias("query")).where(F.length("query") > 0)
+    asked = checkpointed(every.groupBy("query").agg(F.min("of").alias("query_id")))
     folded = documents.select("doc_id", *(F.lower(f).alias(f) for f in WEIGHTS))
-    size = F.length("query")
-    parts = F.floor(F.lit(threshold) * size + 1e-9).cast("int") + 1
-
-    def piece(i: Column) -> Column:
-        start = F.floor(size * i / parts).cast("int")
-        return F.substring("query", start + 1, F.floor(size * (i + 1) / parts).cast("int") - start)
-
-    pieces = asked.select("query_id", F.posexplode(F.transform(F.sequence(F.lit(0), parts - 1), piece)).alias("part", "piece"))
-    width = F.least(F.length("piece"), F.lit(GRAM))
-    within = F.transform(F.sequence(F.lit(1), F.length("piece") - width + 1), lambda i: F.substring("piece", i, width))
-    runs = pieces.select("query_id", "part", F.explode(F.array_distinct(within)).alias("run"))
-
-    # at most GRAM rows: the lengths of runs that queries use
-    widths = sorted(r.n for r in runs.select(F.length("run").alias("n")).distinct().collect()) or [GRAM]
-    # outer: else Spark filters on the array first, and works it out again for that
-    held = folded.select("doc_id", F.explode_outer(_runs(F.concat_ws("\n", *WEIGHTS), widths)).alias("run"))
-    held = checkpointed(held.join(runs.select("run").distinct(), "run", "left_semi"))
-    spread = held.groupBy("run").agg(F.count("*").alias("n"))
-    rarest = (
-        runs.join(spread, "run", "left").groupBy("query_id", "part")
-        .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "run"))["run"].alias("run"))
-    )
-    pairs = rarest.select("query_id", "run").join(held, "run").select("query_id", "doc_id").distinct()
+    pairs = candidates(folded, asked, threshold)
 
-    @F.pandas_udf(T.IntegerType())
-    def edits(values: pd.Series, asked: pd.Series) -> pd.Series:
-        texts = [v if isinstance(v, str) else None for v in values]
-        return pd.Series(_fewest_edits(texts, list(asked), threshold), dtype="Int32")
-
-    checked = (
-        pairs.join(asked, "query_id").join(folded, "doc_id")
-        .select("query_id", "doc_id", size.alias("length"), *(edits(f, "query").alias(f"{f}_edits") for f in WEIGHTS))
+    numbered = pairs.join(pairs.groupBy("doc_id").agg(F.count("*").alias("n")), "doc_id")
+    part = F.pmod(F.xxhash64("query_id"), F.ceil(F.col("n") / _QUERIES_AT_ONCE))
+    lists = (
+        numbered.select("doc_id", "query_id", part.alias("part")).join(asked, "query_id")
+        .groupBy("doc_id", "part").agg(F.collect_list(F.struct("query_id", "query")).alias("asked"))
+    )
+    fields = [f"{f}_edits" for f in WEIGHTS]
+    checked = folded.join(lists.drop("part"), "doc_id").mapInArrow(
+        _with_edits(threshold),
+        f"query_id {_kind(asked, 'query_id')}, doc_id {_kind(folded, 'doc_id')}, length int, " + ", ".join(f"{f} int" for f in fields),
     )
-    fewest = F.least(*(f"{f}_edits" for f in WEIGHTS))
     gained = [
         F.coalesce(weight * (1 - F.col(f"{field}_edits") / F.col("length")), F.lit(0.0))
         for field, weight in WEIGHTS.items()
     ]
     score = F.round(sum(gained[1:], gained[0]) / sum(WEIGHTS.values()), 9)
-    return checked.where(fewest.isNotNull()).select("query_id", "doc_id", score.alias("score"), fewest.alias("edits"))
+    found = checked.select("query_id", "doc_id", score.alias("score"), F.least(*fields).alias("edits"))
+    same = every.join(asked, "query").select("query_id", "of")
+    return found.join(same, "query_id").select(F.col("of").alias("query_id"), "doc_id", "score", "edits")
 
 
 def top_hits(scored: DataFrame, limit: int = RESULT_LIMIT) -> DataFrame:
