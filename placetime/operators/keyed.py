@@ -34,10 +34,10 @@ def latest_per_key(changes: DataFrame, keys: list[str], order: list[str], option
     return named.unionByName(changes.where(F.col(optional).isNull()))
 
 
-def replaced_by(changes: DataFrame, keys: list[str], order: list[str], slice_by: Column, columns: list[str]) -> DataFrame:
+def replaced_by(changes: DataFrame, keys: list[str], order: list[str], columns: list[str]) -> DataFrame:
     """Every keyed change with the values of the row it replaces (null for the first)."""
     named = changes.dropna("any", subset=keys)
-    return ordered_columns(named, keys, order, slice_by, previous={f"old_{c}": c for c in columns})
+    return ordered_columns(named, keys, order, previous={f"old_{c}": c for c in columns})
 
 
 def latest_state(df: DataFrame, entity: str, order: list[str], state: list[str]) -> DataFrame:

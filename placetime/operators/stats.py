@@ -10,9 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placetime.functions import values
-from placetime.operators.ordered import exact_quantiles, ordered_columns
+from placetime.operators.ordered import exact_quantiles, ordered_columns, quantile_sketch
+from placetime.session import checkpointed
 
 Series = dict[str, tuple[str, str]]
+QUARTILES = [0.25, 0.5, 0.75]
 
 
 def long_series(df: DataFrame, series: Series) -> DataFrame:
@@ -231,15 +233,19 @@ def wide_residuals(df: DataFrame, series: Series, fitted: DataFrame) -> DataFram
 
 
 def model_summary(df: DataFrame, series: Series, with_p: bool = True) -> DataFrame:
-    """Residual five-number summary, residual standard error, R2, adjusted R2 and F."""
-    fitted = fit(df, series)
+    """Residual five-number summary, residual standard error, R2, adjusted R2 and F.
+
+    ``df`` is read three times: for the lines, a sketch of the residuals, and their exact quartiles.
+    """
+    fitted = checkpointed(fit(df, series))
     wide = wide_residuals(df, series, fitted)
-    per_series = wide.agg(F.array(*(
-        F.struct(F.lit(s).alias("series"), F.min(s).alias("res_min"), F.max(s).alias("res_max")) for s in series
-    )).alias("rows")).select(F.inline("rows"))
+    sketch = checkpointed(quantile_sketch(wide, list(series), QUARTILES))
+    per_series = sketch.select(F.inline(F.array(*(
+        F.struct(F.lit(s).alias("series"), F.col(s)["lowest"].alias("res_min"), F.col(s)["highest"].alias("res_max")) for s in series
+    ))))
     quartiles = (
-        exact_quantiles(wide, list(series), [0.25, 0.5, 0.75])
-        .groupBy("column_name").pivot("probability", [0.25, 0.5, 0.75]).agg(F.first("quantile"))
+        exact_quantiles(wide, list(series), QUARTILES, sketch=sketch)
+        .groupBy("column_name").pivot("probability", QUARTILES).agg(F.first("quantile"))
         .toDF("series", "res_q1", "res_median", "res_q3")
     )
     f_value = F.try_divide(F.col("ssr"), F.col("mse"))
@@ -258,17 +264,14 @@ def model_summary(df: DataFrame, series: Series, with_p: bool = True) -> DataFra
 
 
 def column_profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Minimum, quartiles, median, mean, maximum and missing count per column."""
-    numbers = df.select(*(F.col(c).cast("double").alias(c) for c in columns))
-    basics = numbers.agg(F.array(*(
-        F.struct(
-            F.lit(c).alias("column_name"), F.min(c).alias("lowest"), F.avg(c).alias("mean"),
-            F.max(c).alias("highest"), F.count_if(F.col(c).isNull()).alias("missing"),
-        ) for c in columns
-    )).alias("rows")).select(F.inline("rows"))
+    """Minimum, quartiles, median, mean, maximum and missing count per column; ``df`` is read twice."""
+    sketch = checkpointed(quantile_sketch(df, columns, QUARTILES))
+    basics = sketch.select(F.inline(F.array(*(
+        F.struct(F.lit(c).alias("column_name"), *(F.col(c)[f].alias(f) for f in ("lowest", "mean", "highest", "missing"))) for c in columns
+    ))))
     quartiles = (
-        exact_quantiles(numbers, columns, [0.25, 0.5, 0.75])
-        .groupBy("column_name").pivot("probability", [0.25, 0.5, 0.75]).agg(F.first("quantile"))
+        exact_quantiles(df, columns, QUARTILES, sketch=sketch)
+        .groupBy("column_name").pivot("probability", QUARTILES).agg(F.first("quantile"))
         .toDF("column_name", "q1", "median", "q3")
     )
     return basics.join(quartiles, "column_name", "left").select(
@@ -276,10 +279,10 @@ def column_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def shares(df: DataFrame, category: str, value: str, slice_by: Column) -> DataFrame:
-    """Share of the total per category, with start and end angle in category order."""
-    per_category = df.groupBy(category).agg(F.sum(value).alias("amount"))
-    run = ordered_columns(per_category, [], [category], slice_by, running={"upto": "amount"})
+def shares(df: DataFrame, category: str, value: str) -> DataFrame:
+    """Share of the total per category, with start and end angle in category order; ``df`` is read once."""
+    per_category = checkpointed(df.groupBy(category).agg(F.sum(value).alias("amount")))
+    run = ordered_columns(per_category, [], [category], running={"upto": "amount"})
     total = per_category.agg(F.sum("amount")).scalar()
     return run.withColumn("total", total).select(
         category,
@@ -289,9 +292,9 @@ def shares(df: DataFrame, category: str, value: str, slice_by: Column) -> DataFr
     )
 
 
-def even_ramp(df: DataFrame, order: list[str], low: float, high: float, slice_by: Column, into: str) -> DataFrame:
+def even_ramp(df: DataFrame, order: list[str], low: float, high: float, into: str) -> DataFrame:
     """Evenly spaced values from low to high in row order."""
-    ranked = ordered_columns(df, [], order, slice_by, rank="_position")
+    ranked = ordered_columns(df, [], order, rank="_position")
     size = df.agg(F.count(F.lit(1))).scalar()
     return (
         ranked.withColumn("_size", size)

@@ -89,7 +89,7 @@ def asked(spark: SparkSession, folder: str) -> DataFrame:
 def numbered_points(spark: SparkSession, folder: str) -> DataFrame:
     """Points with their position in the track of their user."""
     return ordered_columns(
-        points(spark, folder), ["user_id"], ["ts", "event_id"], F.date_trunc("day", "ts"), rank="pos"
+        points(spark, folder), ["user_id"], ["ts", "event_id"], rank="pos"
     )
 
 

@@ -213,7 +213,7 @@ segments AS (
 def _segments(spark, sf):
     """Each point with the next one of the same user."""
     next_ = ordered_columns(
-        points(spark, sf), ["user_id"], ["ts", "event_id"], F.date_trunc("day", "ts"), following={"x2": "lon", "y2": "lat"}
+        points(spark, sf), ["user_id"], ["ts", "event_id"], following={"x2": "lon", "y2": "lat"}
     )
     return next_.where(F.col("x2").isNotNull()).select(
         "event_id", F.col("lon").alias("x1"), F.col("lat").alias("y1"), "x2", "y2"

@@ -41,7 +41,7 @@ SELECT category, layer_id, event_id, lag(event_id) OVER (PARTITION BY category,
 FROM changes WHERE layer_id IS NOT NULL
 """)
 def replaced_layers(spark, sf):
-    rows = keyed.replaced_by(_changes(spark, sf), _KEYS, _SEQ, F.date_trunc("day", "ts"), ["event_id"])
+    rows = keyed.replaced_by(_changes(spark, sf), _KEYS, _SEQ, ["event_id"])
     return rows.select("category", "layer_id", "event_id", "old_event_id")
 
 
@@ -182,7 +182,7 @@ SELECT o_orderkey, ['green', 'limegreen', 'darkgreen'][(row_number() OVER (ORDER
 """)
 def recycled_values(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey")
-    ranked = ordered_columns(orders, [], ["o_orderkey"], F.floor(F.col("o_orderkey") / 100_000), rank="n")
+    ranked = ordered_columns(orders, [], ["o_orderkey"], rank="n")
     colour = values.recycle(["green", "limegreen", "darkgreen"], F.col("n") - 1)
     return ranked.select("o_orderkey", colour.alias("colour"))
 

@@ -173,8 +173,7 @@ SELECT category, round(amount / total, 9) AS share, round((upto - amount) / tota
 def shares_of_total(spark, sf):
     df = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     amounts = df.select(F.col("c_name").alias("category"), "o_totalprice")
-    # names are equally long and end in digits: the front of the name cuts the order in slices
-    parts = stats.shares(amounts, "category", "o_totalprice", F.substring("category", 1, 16))
+    parts = stats.shares(amounts, "category", "o_totalprice")
     return parts.select(
         "category", r6("share", digits=9).alias("share"), r6("angle_start").alias("angle_start"), r6("angle_end").alias("angle_end")
     )
@@ -185,5 +184,5 @@ SELECT p_partkey, round(0.3e0 + (row_number() OVER (ORDER BY p_partkey) - 1) * 0
 """)
 def grey_ramp(spark, sf):
     parts = table(spark, sf, "part").select("p_partkey")
-    ramp = stats.even_ramp(parts, ["p_partkey"], 0.3, 1.0, F.floor(F.col("p_partkey") / 100_000), "grey")
+    ramp = stats.even_ramp(parts, ["p_partkey"], 0.3, 1.0, "grey")
     return ramp.withColumn("grey", r6("grey", digits=9))

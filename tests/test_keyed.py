@@ -21,7 +21,7 @@ def test_last_write_wins_and_rows_without_id_append(spark):
 
 
 def test_replaced_rows(spark):
-    got = keyed.replaced_by(layers(spark), ["category", "id"], ["seq"], F.col("seq"), ["v"])
+    got = keyed.replaced_by(layers(spark), ["category", "id"], ["seq"], ["v"])
     assert sorted((r.seq, r.old_v or "-") for r in got.collect()) == [(1, "-"), (2, "x"), (5, "-")]
 
 

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from placetime.operators import keyed, prep, search, spatial
@@ -34,13 +35,36 @@ def test_range_joins_become_equi_joins(spark, sf, name):
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
 
 
+def windows_in_one_task(tree):
+    """Window nodes whose rows all come from an exchange into a single partition."""
+    lines, found = tree.splitlines(), []
+    depth = lambda line: len(re.match(r"[\s|:+-]*", line).group())
+    for i, line in enumerate(lines):
+        if not re.match(r"[\s|:+-]*(\*\(\d+\) )?Window ", line):
+            continue
+        for below in lines[i + 1:]:
+            if depth(below) <= depth(line):
+                break
+            if "Exchange" in below:
+                found += [line.strip()] if "SinglePartition" in below else []
+                break
+    return found
+
+
+def test_windows_in_one_task_are_seen(spark):
+    rows = spark.range(10)
+    simple = lambda df: df._jdf.queryExecution().simpleString()
+    assert windows_in_one_task(simple(rows.withColumn("n", F.row_number().over(W.orderBy("id")))))
+    assert not windows_in_one_task(simple(rows.withColumn("n", F.row_number().over(W.partitionBy("id").orderBy("id")))))
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_joins_and_no_single_task_windows(spark, sf, name):
-    if name in ("throttled_stream", "csv_dimension", "release_tables", "json_documents", "stored_layer"):
-        pytest.skip("writes tables; covered by the query check")
-    text = plan(QUERIES[name](spark, sf))
+    df = QUERIES[name](spark, sf)
+    text = plan(df)
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
     assert "BatchEvalPython" not in text, "row-at-a-time Python"
+    assert windows_in_one_task(df._jdf.queryExecution().simpleString()) == []
 
 
 def test_top_k_is_cut_before_the_shuffle(spark):

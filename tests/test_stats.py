@@ -1,11 +1,13 @@
 import math
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from placetime.operators import stats
-from placetime.operators.ordered import exact_quantiles, ordered_columns
+from placetime.operators.ordered import exact_quantiles, ordered_columns, range_bounds, range_number
+from placetime.session import checkpointed
 
 # four regression series, F. J. Anscombe (1973)
 X = [10, 8, 13, 9, 11, 14, 6, 4, 12, 7, 5]
@@ -98,12 +100,12 @@ def test_summary_matrix_and_residuals(quartet):
 def test_shares_and_ramp(spark):
     shares = {"Blueberry": 0.12, "Cherry": 0.3, "Apple": 0.26, "Boston Cream": 0.16, "Other": 0.04, "Vanilla": 0.12}
     df = spark.createDataFrame(list(shares.items()), "category string, v double")
-    parts = stats.shares(df, "category", "v", F.substring("category", 1, 1)).orderBy("category").collect()
+    parts = stats.shares(df, "category", "v").orderBy("category").collect()
     assert sum(p.share for p in parts) == pytest.approx(1.0)
     assert parts[0].angle_start == pytest.approx(0.0) and parts[-1].angle_end == pytest.approx(360.0)
     for before, after in zip(parts, parts[1:]):
         assert before.angle_end == pytest.approx(after.angle_start)
-    ramp = stats.even_ramp(df, ["category"], 0.3, 1.0, F.substring("category", 1, 1), "grey")
+    ramp = stats.even_ramp(df, ["category"], 0.3, 1.0, "grey")
     assert sorted(round(r.grey, 9) for r in ramp.collect()) == [0.3, 0.44, 0.58, 0.72, 0.86, 1.0]
 
 
@@ -125,7 +127,8 @@ def test_exact_quantiles_with_and_without_the_sketch(spark, size, accuracy):
         assert got[p] == pytest.approx(float(np.quantile(values, p)), rel=1e-12), p
 
 
-def test_ordered_columns_match_a_plain_window(spark):
+@pytest.mark.parametrize("ranges", [1, 2, 30, 5000])
+def test_ordered_columns_match_a_plain_window(spark, ranges):
     from pyspark.sql import Window as W
 
     # one key holds most rows
@@ -133,7 +136,7 @@ def test_ordered_columns_match_a_plain_window(spark):
         F.when(F.col("id") % 10 < 7, F.lit(None).cast("int")).otherwise((F.col("id") % 3).cast("int")).alias("k"),
         (F.col("id") * 7919 % 3001).alias("t"), (F.col("id") % 13).cast("double").alias("v"),
     )
-    got = ordered_columns(df, ["k"], ["t"], F.floor(F.col("t") / 97), rank="n", running={"s": "v"}, previous={"p": "v"}, following={"f": "t"})
+    got = ordered_columns(df, ["k"], ["t"], rank="n", running={"s": "v"}, previous={"p": "v"}, following={"f": "t"}, ranges=ranges)
     w = W.partitionBy("k").orderBy("t")
     want = df.select(
         "k", "t", "v", F.row_number().over(w).alias("n"), F.sum("v").over(w.rowsBetween(W.unboundedPreceding, 0)).alias("s"),
@@ -153,3 +156,44 @@ def test_tail_probability_joins_at_the_switch():
     for t in (0.5, 1.0, 2.0, 4.0):
         below, above = stats._f_tail(t * t, 1, 1.99999e5), stats._f_tail(t * t, 1, 2.00001e5)
         assert below == pytest.approx(above, rel=1e-8)
+
+
+def test_ordered_columns_without_a_key(spark):
+    df = spark.range(2000).select(F.col("id").alias("t"), F.when(F.col("id") % 3 > 0, F.col("id") % 11).alias("v")).repartition(7)
+    got = ordered_columns(df, [], ["t"], rank="n", running={"s": "v"}, previous={"p": "v"}, following={"f": "v"}, ranges=16).collect()
+    rows, total, last = sorted(got, key=lambda r: r.t), None, None
+    for i, r in enumerate(rows):
+        total = r.v if total is None else total + (r.v or 0)
+        assert (r.n, r.s, r.p) == (i + 1, total, last)
+        assert r.f == (rows[i + 1].v if i + 1 < len(rows) else None)
+        last = r.v
+
+
+def test_ranges_are_about_equal(spark):
+    # one key holds most rows, and its order is far from even
+    df = spark.range(20_000).select(F.when(F.col("id") < 14_000, "hot").otherwise(F.col("id").cast("string")).alias("k"), (F.col("id") * F.col("id")).alias("t"))
+    bounds = range_bounds(df, ["k", "t"], 16).first()["bounds"]
+    held = df.withColumn("b", range_bounds(df, ["k", "t"], 16).scalar())
+    cut = held.select(range_number(F.col("b"), F.struct("k", "t"), 16).alias("r")).groupBy("r").count().collect()
+    assert len(bounds) == 15 and len(cut) == 16 and max(r["count"] for r in cut) < 2.2 * 20_000 / 16
+    assert range_bounds(df.where("false"), ["k", "t"], 16).first()["bounds"] in (None, [])
+
+
+@pytest.mark.parametrize("name,most", [("model_summary", 3), ("column_profile", 2), ("shares_of_total", 2)])
+def test_tables_are_scanned_a_fixed_number_of_times(spark, sf, monkeypatch, name, most):
+    """Scans of all jobs together; shares read two tables once each."""
+    from placetime.operators import ordered
+    from placetime.plans.catalog import QUERIES
+
+    plans = []
+
+    def recorded(df):
+        plans.append(df)
+        return checkpointed(df)
+
+    monkeypatch.setattr(ordered, "checkpointed", recorded)
+    monkeypatch.setattr(stats, "checkpointed", recorded)
+    plans.append(QUERIES[name](spark, sf))
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    texts = [df._jdf.queryExecution().explainString(mode) for df in plans]
+    assert sum(len(re.findall(r"^\(\d+\) Scan parquet", text, re.M)) for text in texts) <= most
