@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placetime.functions import values
+from placetime.operators.ordered import range_bounds, range_number
+from placetime.session import checkpointed
 
 BATCH_SIZE = 20  # fixed value: items per batch
 THROTTLE_MS = 50  # fixed value: default wait of the throttle
@@ -52,121 +54,144 @@ def whole_groups(frames: Iterator[pd.DataFrame], keys: list[str], rows: int = 10
         yield pd.concat(held, ignore_index=True)
 
 
-class _Timeline:
-    """The times of many (key, slice) groups laid end to end, with the next time each lets through."""
+def _segments(frame: pd.DataFrame, by: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """First position of each run of equal values, and the run of every row."""
+    fresh = np.zeros(len(frame), bool)
+    fresh[:1] = True
+    for c in by:
+        codes = pd.factorize(frame[c], use_na_sentinel=False)[0]
+        fresh[1:] |= codes[1:] != codes[:-1]
+    return np.flatnonzero(fresh), np.cumsum(fresh) - 1
 
-    def __init__(self, frame: pd.DataFrame, key: str, width: int, wait: int):
-        slices = frame["_slice"].to_numpy()
-        keys = pd.factorize(frame[key], use_na_sentinel=False)[0]
-        fresh = np.append(True, (keys[1:] != keys[:-1]) | (slices[1:] != slices[:-1]))
-        self.first = np.flatnonzero(fresh)
-        self.group = np.cumsum(fresh) - 1
-        self.stop = np.append(self.first[1:], len(frame))
-        self.starts = slices * width
-        # each group owns a stretch long enough that a wait never reaches the next one
-        self.stretch = width + wait + 1
-        self.offset = frame["_at"].to_numpy() - self.starts
-        self.line = self.group * self.stretch + self.offset
-        self.next = np.searchsorted(self.line, self.line + wait)
 
-    def at_or_after(self, offset: np.ndarray | int) -> np.ndarray:
-        """First position of each group at or after an offset, or the group's stop."""
-        groups = np.arange(len(self.first))
-        reach = np.clip(offset, 0, self.stretch - 1)
-        return np.minimum(np.searchsorted(self.line, groups * self.stretch + reach), self.stop)
+def _next_open(at: np.ndarray, first: np.ndarray, wait: int) -> np.ndarray:
+    """For each event the next of its segment that passes if it does, or the next segment's first.
+
+    All segments lie on one line: steps of more than a wait are as good as one wait.
+    """
+    step = np.diff(at, prepend=0)
+    step[first] = wait
+    line = np.cumsum(np.minimum(step, wait))
+    return np.searchsorted(line, line + wait)
 
 
-def throttle(df: DataFrame, key: str, ts: str, tie: str, wait_ms: int = THROTTLE_MS, slice_ms: int | None = None) -> DataFrame:
+def throttle(df: DataFrame, key: str, ts: str, tie: str, wait_ms: int = THROTTLE_MS, ranges: int | None = None, fan_in: int = 16) -> DataFrame:
     """Let one event per key through, drop the rest for ``wait_ms``, repeat.
 
     Exact for keys of any size. Only the first event of a key at one instant can pass,
-    so the rest go in a pre-aggregation. Each (key, time slice) then reports, for every
-    event that may open it, the last event it lets through; following these reports
-    along a key gives the moment the gate opens in each slice. No task holds more than
-    one slice of a key at a time, or one key's reports.
+    so the rest go in a pre-aggregation. Events are cut in ranges of (key, time) of about equal size, so
+    only the first and last key of a range can go on in another one. For these each range reports
+    a map: from the moment the gate opens to the last event that the range lets through. The maps of
+    ``fan_in`` ranges that follow each other are composed to one, in rounds; going back down, the composed
+    maps give the moment the gate opens for each range, and all ranges then run in parallel.
     """
-    wait = wait_ms * 1000
+    wait = max(1, wait_ms * 1000)
     kind = df.schema[ts].dataType.simpleString()
     key_type, tie_type = (df.schema[c].dataType.simpleString() for c in (key, tie))
-    width = (slice_ms or max(3_600_000, wait_ms)) * 1000
-    instants = (
-        df.groupBy(key, ts).agg(F.min(tie).alias(tie))
-        .withColumn("_at", values.micros(ts, kind))
-        .select(key, F.floor(F.col("_at") / width).alias("_slice"), "_at", tie)
+    ranges = ranges or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    timed = df.withColumn("_at", values.micros(ts, kind))
+    bounds = range_bounds(timed.select(key, "_at"), [key, "_at"], ranges).scalar()
+    instants = timed.groupBy(key, "_at").agg(F.min(tie).alias(tie)).withColumn("_bounds", bounds)
+    cut = checkpointed(
+        instants.select(key, range_number(F.col("_bounds"), F.struct(key, "_at"), ranges).alias("_range"), "_at", tie)
+        .repartition("_range").sortWithinPartitions("_range", key, "_at")
     )
 
     def report(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in whole_groups(frames, [key, "_slice"]):
-            t = _Timeline(frame, key, width, wait)
+        for frame in whole_groups(frames, ["_range"]):
+            at = frame["_at"].to_numpy()
+            first, segment = _segments(frame, ["_range", key])
+            stop = np.append(first[1:], len(frame))
+            after = _next_open(at, first, wait)
             here = np.arange(len(frame))
-            last = np.where(t.next < t.stop[t.group], t.next, here)
+            last = np.where(after < stop[segment], after, here)
             while not np.array_equal(last[last], last):
                 last = last[last]
-            # a slice can be opened by the events a wait may still cover, and by the next one
-            opens = here <= t.at_or_after(wait)[t.group]
-            # openers with the same end behave alike: keep the latest of each run
-            alike = np.append((last[1:] == last[:-1]) & opens[1:] & (t.group[1:] == t.group[:-1]), False)
-            edge = np.flatnonzero(opens & ~alike)
-            at = frame["_at"].to_numpy()
-            yield pd.DataFrame({
-                key: frame[key].to_numpy()[edge], "_slice": frame["_slice"].to_numpy()[edge],
-                "_first": at[t.first[t.group[edge]]], "_opener": at[edge], "_end": at[last[edge]],
-            })
-
-    def follow(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in whole_groups(frames, [key]):
-            keys = pd.factorize(frame[key], use_na_sentinel=False)[0]
-            slices, opening, openers, ends = (frame[c].to_numpy() for c in ("_slice", "_first", "_opener", "_end"))
-            new_key = np.append(True, keys[1:] != keys[:-1])
-            first = np.flatnonzero(new_key | np.append(True, slices[1:] != slices[:-1]))
-            stop = np.append(first[1:], len(frame))
-            # a slice that starts after every wait from before it is open from the start;
-            # only runs of slices that may be touched by such a wait are followed in order
-            latest = np.append(NEVER, np.maximum.reduceat(ends, first)[:-1])
-            free = new_key[first] | (opening[first] >= latest + wait)
-            gates = np.full(len(first), NEVER)
-            gate = NEVER
-            touched = np.flatnonzero(~free | np.append(~free[1:], False))
-            for i in touched:
-                gate = NEVER if free[i] else gate
-                gates[i] = gate
-                at = first[i] + int(np.searchsorted(openers[first[i]:stop[i]], gate))
-                if at < stop[i]:
-                    gate = int(ends[at]) + wait
-            yield pd.DataFrame({key: frame[key].to_numpy()[first], "_slice": slices[first], "_gate": gates})
+            outer, _ = _segments(frame, ["_range"])
+            edges = np.union1d(segment[outer], segment[np.append(outer[1:], len(frame)) - 1])
+            for k in edges:
+                own = slice(first[k], stop[k])
+                openers, ends = _reachable(at[own], at[last[own]], wait)
+                yield pd.DataFrame({key: frame[key].iloc[[first[k]] * len(openers)], "_node": frame["_range"].iloc[first[k]], "_opener": openers, "_end": ends})
+
+    def composed(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["_node", "_opener"])
+        first, _ = _segments(frame, ["_node"])
+        openers, ends = frame["_opener"].to_numpy(), frame["_end"].to_numpy()
+        stop = np.append(first[1:], len(frame))
+        # from the last map back: what the later ones make of each end
+        later_openers, later_ends = openers[first[-1]:], ends[first[-1]:]
+        for a, b in zip(first[-2::-1], stop[-2::-1], strict=True):
+            place = np.searchsorted(later_openers, ends[a:b] + wait)
+            known = np.append(later_ends, 0)[place]
+            later_ends = np.append(np.where(place < len(later_openers), known, ends[a:b]), later_ends)
+            later_openers = np.append(openers[a:b], later_openers)
+            later_openers, later_ends = _reachable(later_openers, later_ends, wait)
+        return pd.DataFrame({key: frame[key].iloc[[0] * len(later_openers)], "_node": frame["_node"].iloc[0] // fan_in, "_opener": later_openers, "_end": later_ends})
+
+    def followed(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["_node", "_opener"])
+        first, _ = _segments(frame, ["_node"])
+        openers, ends = frame["_opener"].to_numpy(), frame["_end"].to_numpy()
+        gate, gates = int(frame["_gate"].iloc[0]), []
+        for a, b in zip(first, np.append(first[1:], len(frame)), strict=True):
+            gates.append(gate)
+            place = a + int(np.searchsorted(openers[a:b], gate))
+            if place < b:
+                gate = int(ends[place]) + wait
+        return pd.DataFrame({key: frame[key].to_numpy()[first], "_node": frame["_node"].to_numpy()[first], "_gate": gates})
 
     def passed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in whole_groups(frames, [key, "_slice"]):
-            # the gate row sorts in front of the events of its slice
-            is_gate = frame["_gate"].notna().to_numpy()
-            gates = frame["_gate"].to_numpy()[is_gate].astype(np.int64)
-            frame = frame[~is_gate]
-            t = _Timeline(frame, key, width, wait)
-            now = t.at_or_after(gates - t.starts[t.first])
-            now, kept = now[now < t.stop], []
+        for frame in whole_groups(frames, ["_range"]):
+            at = frame["_at"].to_numpy()
+            first, segment = _segments(frame, ["_range", key])
+            stop = np.append(first[1:], len(frame))
+            after = _next_open(at, first, wait)
+            now, gates = first.copy(), frame["_gate"].to_numpy()[first]
+            for k in np.flatnonzero(gates > NEVER):
+                now[k] += int(np.searchsorted(at[first[k]:stop[k]], gates[k]))
+            now, kept = now[now < stop], []
             while len(now):
                 kept.append(now)
-                step = t.next[now]
-                now = step[step < t.stop[t.group[now]]]
-            yield frame.iloc[np.sort(np.concatenate(kept))] if kept else frame.iloc[:0]
-
-    reports = (
-        instants.repartition(key, "_slice").sortWithinPartitions(key, "_slice", "_at")
-        .mapInPandas(report, f"{key} {key_type}, _slice bigint, _first bigint, _opener bigint, _end bigint")
-    )
-    gates = (
-        reports.repartition(key).sortWithinPartitions(key, "_slice", "_opener")
-        .mapInPandas(follow, f"{key} {key_type}, _slice bigint, _gate bigint")
-        .select(key, "_slice", F.lit(NEVER).alias("_at"), F.lit(None).cast(tie_type).alias(tie), "_gate")
-    )
+                step = after[now]
+                now = step[step < stop[segment[now]]]
+            yield frame[[key, "_at", tie]].iloc[np.sort(np.concatenate(kept))] if kept else frame[[key, "_at", tie]].iloc[:0]
+
+    map_type = f"{key} {key_type}, _node bigint, _opener bigint, _end bigint"
+    maps = [cut.select(key, "_range", "_at").mapInPandas(report, map_type)]
+    parent = F.floor(F.col("_node") / fan_in).alias("_parent")
+    while fan_in ** len(maps) < ranges:
+        maps.append(maps[-1].groupBy(key, parent).applyInPandas(composed, map_type))
+    gates = None
+    for level in reversed(maps):
+        held = level.withColumn("_parent", parent)
+        if gates is None:
+            held = held.withColumn("_gate", F.lit(NEVER))
+        else:
+            above = gates.select(F.col(key).alias("_key"), F.col("_node").alias("_parent"), "_gate")
+            held = held.join(above, F.col(key).eqNullSafe(F.col("_key")) & (held["_parent"] == above["_parent"])).select(held["*"], "_gate")
+        gates = held.groupBy(key, "_parent").applyInPandas(followed, f"{key} {key_type}, _node bigint, _gate bigint")
+    # at most two rows per range
+    opened = F.broadcast(gates.select(F.col(key).alias("_key"), "_node", "_gate"))
+    gated = cut.join(opened, cut[key].eqNullSafe(F.col("_key")) & (cut["_range"] == F.col("_node")), "left")
     kept = (
-        instants.withColumn("_gate", F.lit(None).cast("bigint")).unionByName(gates)
-        .repartition(key, "_slice").sortWithinPartitions(key, "_slice", "_at")
-        .mapInPandas(passed, f"{key} {key_type}, _slice bigint, _at bigint, {tie} {tie_type}, _gate bigint")
+        gated.select(key, "_range", "_at", tie, F.coalesce("_gate", F.lit(NEVER)).alias("_gate"))
+        .mapInPandas(passed, f"{key} {key_type}, _at bigint, {tie} {tie_type}")
     )
     return kept.select(key, values.from_micros("_at", kind).alias(ts), tie)
 
 
+def _reachable(openers: np.ndarray, ends: np.ndarray, wait: int) -> tuple[np.ndarray, np.ndarray]:
+    """The part of a map that is asked for: the gate opens within a wait of the first event.
+
+    Of openers that follow each other and have the same end the latest stays.
+    """
+    some = int(np.searchsorted(openers, openers[0] + wait)) + 1
+    openers, ends = openers[:some], ends[:some]
+    last = np.append(ends[1:] != ends[:-1], True)
+    return openers[last], ends[last]
+
+
 def batches(df: DataFrame, items: str, size: int = BATCH_SIZE) -> DataFrame:
     """One row per batch of at most ``size`` items; the other columns are copied."""
     rest = [c for c in df.columns if c != items]

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from placetime.operators import events
-from placetime.session import fresh_path
+from placetime.session import checkpointed, fresh_path
 from placetime.streaming.throttle import run_to_table, throttle_stream
 
 
@@ -36,10 +36,10 @@ def micros(df):
     return sorted(((r.k, r.at, r.n) for r in df.withColumn("at", F.unix_micros(F.col("ts").cast("timestamp"))).collect()), key=repr)
 
 
-@pytest.mark.parametrize("wait_ms,slice_ms,kind", [(50, None, "timestamp"), (50, 100, "timestamp_ntz"), (50, 20, "timestamp"), (7, 1000, "timestamp"), (900, 100, "timestamp")])
-def test_throttle_equals_a_plain_loop(spark, wait_ms, slice_ms, kind):
+@pytest.mark.parametrize("wait_ms,ranges,kind", [(50, None, "timestamp"), (50, 1, "timestamp_ntz"), (50, 20, "timestamp"), (7, 40, "timestamp"), (900, 300, "timestamp")])
+def test_throttle_equals_a_plain_loop(spark, wait_ms, ranges, kind):
     rows = sample(wait_ms, 3000)
-    got = micros(events.throttle(frame(spark, rows, kind), "k", "ts", "n", wait_ms, slice_ms))
+    got = micros(events.throttle(frame(spark, rows, kind), "k", "ts", "n", wait_ms, ranges, fan_in=4))
     assert got == plain_throttle(rows, wait_ms)
     by_key = {}
     for k, at, _ in got:
@@ -49,6 +49,17 @@ def test_throttle_equals_a_plain_loop(spark, wait_ms, slice_ms, kind):
         assert all(b - a >= wait_ms * 1000 for a, b in zip(times, times[1:]))
 
 
+@pytest.mark.parametrize("wait_ms", [3, 40, 2000])
+def test_throttle_of_one_key_over_many_tasks(spark, monkeypatch, wait_ms):
+    rng = random.Random(wait_ms)
+    rows = [("one", rng.randrange(3_000_000), i) for i in range(4000)]
+    cuts = []
+    monkeypatch.setattr(events, "checkpointed", lambda df: cuts.append(checkpointed(df)) or cuts[-1])
+    assert micros(events.throttle(frame(spark, rows, "timestamp"), "k", "ts", "n", wait_ms, 64, fan_in=2)) == plain_throttle(rows, wait_ms)
+    per_range = [r["count"] for r in cuts[0].groupBy("_range").count().collect()]
+    assert len(per_range) == 64 and max(per_range) < 3 * 4000 / 64
+
+
 def test_throttle_over_many_keys_of_all_densities(spark):
     rng = random.Random(9)
     rows = [
@@ -56,14 +67,15 @@ def test_throttle_over_many_keys_of_all_densities(spark):
         for k in range(150) for i in range(80)
     ]
     df = frame(spark, rows, "timestamp").cache()
-    for wait_ms, slice_ms in ((5, 7), (30, 100), (100, 30)):
-        assert micros(events.throttle(df, "k", "ts", "n", wait_ms, slice_ms)) == plain_throttle(rows, wait_ms)
+    for wait_ms, ranges in ((5, 7), (30, 100), (100, 30)):
+        assert micros(events.throttle(df, "k", "ts", "n", wait_ms, ranges)) == plain_throttle(rows, wait_ms)
 
 
 def test_throttle_before_1970_and_layout(spark):
     rows = [(k, at - 5_000_000, n) for k, at, n in sample(1, 500)]
     for parts in (1, 8):
-        assert micros(events.throttle(frame(spark, rows, "timestamp").repartition(parts), "k", "ts", "n", 50, 75)) == plain_throttle(rows, 50)
+        assert micros(events.throttle(frame(spark, rows, "timestamp").repartition(parts), "k", "ts", "n", 50, 12)) == plain_throttle(rows, 50)
+    assert events.throttle(frame(spark, rows, "timestamp").where("false"), "k", "ts", "n").collect() == []
 
 
 def test_whole_groups_regroups_frames():
