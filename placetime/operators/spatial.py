@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placetime.functions import geo, shapes
-from placetime.operators.joins import DEFAULT_SALTS, salted_join
+from placetime.operators.joins import salted_join
 
 TILE_PIXELS = 256  # fixed value: side of a map tile
 _SMALLEST_SIDE = 1e-6
+IMAGE_BLOCK = 256  # rows and columns of an image that share a key
 
 
 # --- cells ----------------------------------------------------------------------
@@ -38,12 +39,11 @@ def _cover(df: DataFrame, boxes: Column, fineness: int) -> DataFrame:
 
 def points_meet_shapes(
     points: DataFrame, made: DataFrame, lat: str, lon: str, boxes: Column, spread_by: list[str], fineness: int = 4,
-    salts: int | None = DEFAULT_SALTS,
 ) -> DataFrame:
     """Candidate pairs by grid cell: every point with the shapes whose box holds it.
 
     Points are repeated once per shape size class in use. A shape has one class and
-    lists a cell once, so no pair comes twice. Busy cells are salted.
+    lists a cell once, so no pair comes twice. Busy cells are spread over tasks.
     """
     covered = _cover(made, boxes, fineness)
     levels = covered.agg(F.collect_set("_level")).scalar()
@@ -54,7 +54,7 @@ def points_meet_shapes(
         .withColumns({"_cx": F.floor(F.col(lon) / cell), "_cy": F.floor(F.col(lat) / cell)})
         .drop("_levels")
     )
-    pairs = salted_join(placed, covered, ["_level", "_cx", "_cy"], spread_by, salts)
+    pairs = salted_join(placed, covered, ["_level", "_cx", "_cy"], spread_by)
     inside = geo.box_contains_point("_box", lat, lon)
     return pairs.where(inside).drop("_level", "_cx", "_cy", "_box")
 
@@ -76,14 +76,62 @@ def ring_box(ring: Column | str) -> Column:
     return geo.box(F.array_min(ys), F.array_min(xs), F.array_max(ys), F.array_max(xs))
 
 
-def points_in_polygons(points: DataFrame, polygons: DataFrame, spread_by: list[str], rings: str = "rings",
-                       lat: str = "lat", lon: str = "lon") -> DataFrame:
-    """Each point with each polygon that contains it (even-odd over all rings)."""
-    outline = ring_box(F.flatten(rings))
-    sided = polygons.withColumn("_sides", shapes.all_sides(rings))
-    # rings can be long, so only measured hot cells repeat them
-    pairs = points_meet_shapes(points, sided, lat, lon, F.array(outline), spread_by, salts=None)
-    return pairs.where(shapes.odd_crossings("_sides", lon, lat)).drop("_sides")
+def polygon_cells(polygons: DataFrame, rings: str = "rings", fineness: int = 8) -> DataFrame:
+    """Grid cells of each polygon that can hold a point of it: _level, _cx, _cy and _sides, the rings left out.
+
+    A cell that no side comes near lies wholly inside, with no sides, or outside, and is left out.
+    A border cell has the sides of its row of cells that do not end west of it: those that a ray
+    from one of its points to the east can meet. Cells have a size that follows the polygon's own.
+    """
+    sided = polygons.withColumn("_box", ring_box(F.flatten(rings))).withColumn("_all", shapes.all_sides(rings)).drop(rings)
+    b = F.col("_box")
+    side = F.greatest(b["north"] - b["south"], b["east"] - b["west"], F.lit(_SMALLEST_SIDE))
+    leveled = sided.withColumn("_level", F.ceil(F.log2(side)).cast("int")).withColumn("_cell", F.pow(F.lit(2.0), F.col("_level")) / fineness)
+    cell = F.col("_cell")
+    slack = cell * 1e-6  # rounding must not bring a side into a cell that it does not touch, or keep it out
+
+    rows = leveled.withColumn("_cy", F.explode(F.sequence(F.floor(b["south"] / cell), F.floor(b["north"] / cell))))
+    south, north = F.col("_cy") * cell - slack, (F.col("_cy") + 1) * cell + slack
+    low, high = (lambda s, f=f: f(s["a"]["y"], s["b"]["y"]) for f in (F.least, F.greatest))
+    band = F.filter("_all", lambda s: (high(s) >= south) & (low(s) <= north))
+
+    def reach(s: Column) -> Column:
+        """The side with the stretch of x that it covers in the row of cells."""
+        a, b_ = s["a"], s["b"]
+        slope = (b_["x"] - a["x"]) / F.nullif(b_["y"] - a["y"], F.lit(0.0))
+        at = lambda y: a["x"] + slope * (F.least(high(s), F.greatest(low(s), y)) - a["y"])
+        first, last = F.coalesce(at(south), a["x"]), F.coalesce(at(north), b_["x"])
+        return F.struct(a.alias("a"), b_.alias("b"), F.least(first, last).alias("low"), F.greatest(first, last).alias("high"))
+
+    rows = rows.withColumn("_band", F.transform(band, reach)).drop("_all")
+    cells = rows.withColumn("_cx", F.explode(F.sequence(F.floor(b["west"] / cell), F.floor(b["east"] / cell))))
+    west, east = F.col("_cx") * cell - slack, (F.col("_cx") + 1) * cell + slack
+    near = F.exists("_band", lambda s: (s["high"] >= west) & (s["low"] <= east))
+    inside = shapes.odd_crossings("_band", (F.col("_cx") + 0.5) * cell, (F.col("_cy") + 0.5) * cell)
+    ahead = F.filter("_band", lambda s: F.greatest(s["a"]["x"], s["b"]["x"]) >= west)
+    bare = F.transform(ahead, lambda s: F.struct(s["a"].alias("a"), s["b"].alias("b")))
+    return (
+        cells.withColumn("_sides", F.when(near, bare).when(inside, F.array().cast(f"array<struct<a:{shapes.VERTEX},b:{shapes.VERTEX}>>")))
+        .where(F.col("_sides").isNotNull()).drop("_band", "_box", "_cell")
+    )
+
+
+def points_in_polygons(points: DataFrame, polygons: DataFrame, rings: str = "rings", lat: str = "lat", lon: str = "lon", fineness: int = 8) -> DataFrame:
+    """Each point with each polygon that contains it (even-odd over all rings), the rings left out.
+
+    ``points`` is read once: a point meets the cell that it lies in, at once inside or with the few
+    sides of that cell to test. A cell with a large share of all points is split by adaptive execution,
+    which repeats the rows of that cell alone.
+    """
+    cells = polygon_cells(polygons, rings, fineness)
+    levels = cells.agg(F.collect_set("_level")).scalar()
+    cell = F.pow(F.lit(2.0), F.col("_level")) / fineness
+    placed = (
+        points.withColumn("_levels", levels).withColumn("_level", F.explode("_levels"))
+        .withColumns({"_cx": F.floor(F.col(lon) / cell), "_cy": F.floor(F.col(lat) / cell)}).drop("_levels")
+    )
+    pairs = placed.join(cells, ["_level", "_cx", "_cy"])
+    return pairs.where((F.size("_sides") == 0) | shapes.odd_crossings("_sides", lon, lat)).drop("_level", "_cx", "_cy", "_sides")
 
 
 def circle_boxes(lat: str, lon: str, metres: str) -> Column:
@@ -235,13 +283,18 @@ def resample_cells(cells: DataFrame, images: DataFrame, zoom: int) -> DataFrame:
     """Place the cells of georeferenced grids into map tiles (nearest neighbour).
 
     ``cells``: image, row, col, value. ``images``: image, box, w, h. Gives one row per
-    cell and tile it shows in, with pixel position and size inside the tile.
+    cell and tile it shows in, with pixel position and size inside the tile. Blocks of an
+    image are keys of their own, so a large image is spread over tasks.
     """
     placed = images.withColumns({
         "_tl": geo.tile_xy(F.col("box.north"), F.col("box.west"), zoom),
         "_br": geo.tile_xy(F.col("box.south"), F.col("box.east"), zoom),
     })
-    df = salted_join(cells, placed, ["image"], spread_by=["row", "col"])
+    block = lambda c: F.floor(F.col(c) / IMAGE_BLOCK)
+    blocks = placed
+    for name, count in (("_brow", "h"), ("_bcol", "w")):
+        blocks = blocks.withColumn(name, F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(count) - 1) / IMAGE_BLOCK))))
+    df = cells.withColumns({"_brow": block("row"), "_bcol": block("col")}).join(blocks, ["image", "_brow", "_bcol"]).drop("_brow", "_bcol")
     for axis, position, count in (("x", "col", "w"), ("y", "row", "h")):
         start, stop = F.col(f"_tl.{axis}"), F.col(f"_br.{axis}")
         res, n, i = F.col(f"_r{axis}"), F.col(count), F.col(position)

@@ -47,7 +47,7 @@ SELECT event_id, box_id, kind FROM points JOIN sides
 GROUP BY event_id, box_id, kind HAVING count(*) % 2 = 1
 """)
 def points_in_polygons(spark, sf):
-    found = spatial.points_in_polygons(points(spark, sf), polygons(spark, sf), spread_by=["event_id"])
+    found = spatial.points_in_polygons(points(spark, sf), polygons(spark, sf))
     return found.select("event_id", "box_id", "kind")
 
 

@@ -81,5 +81,9 @@ def test_one_row_per_key_combines_before_the_shuffle(spark, sf):
 
 
 def test_polygon_join_runs_without_python(spark, sf):
-    df = spatial.points_in_polygons(fixtures.points(spark, sf), fixtures.polygons(spark, sf), ["event_id"])
-    assert "Python" not in plan(df) and "Pandas" not in plan(df)
+    df = spatial.points_in_polygons(fixtures.points(spark, sf), fixtures.polygons(spark, sf))
+    text = plan(df)
+    assert "Python" not in text and "Pandas" not in text
+    assert len(re.findall(r"Scan parquet[^\n]*\n(?:(?!\n\n).)*events\.parquet", text, re.S)) == 1
+    joined = df.columns
+    assert "rings" not in joined and "box_id" in joined

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from placetime.functions import geo
 from placetime.operators import spatial
-from placetime.operators.joins import fanout_report, salted_join
+from placetime.operators.joins import fanout_report, hot_keys, salted_join
 
 
 def haversine(a, b, c, d):
@@ -53,14 +53,20 @@ def test_interval_join_mixes_lengths(spark):
     assert got == want
 
 
-@pytest.mark.parametrize("salts", [16, None])
+def test_hot_keys_are_those_with_more_than_a_share(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 100 == 1, 8).otherwise(F.col("id") + 10).alias("k"))
+    hot = [tuple(r) for r in hot_keys(df, ["k"]).collect()]
+    assert hot == [(spark.range(1).select(F.xxhash64(F.lit(7).cast("bigint"))).first()[0], math.ceil(4 / 3))]
+    assert hot_keys(df.where("false"), ["k"]).collect() == []
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_a_plain_join(spark, salts, how):
+def test_salted_join_equals_a_plain_join(spark, how):
     big = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500).alias("k"))
     small = spark.range(400).select((F.col("id") % 200).alias("k"), F.col("id").alias("v"))
     if how != "inner":
         small = small.dropDuplicates(["k"]).select("k")
-    got = salted_join(big, small, ["k"], ["id"], salts, how)
+    got = salted_join(big, small, ["k"], ["id"], how)
     want = big.join(small, ["k"], how)
     assert sorted(map(repr, got.select(want.columns).collect())) == sorted(map(repr, want.collect()))
 
@@ -116,3 +122,33 @@ def test_intervals_far_below_one_unit(spark):
     got = {(r.r, r.s) for r in spatial.overlapping_intervals(ranges, wide, ["s"]).collect()}
     want = {(i, j) for i in range(400) for j in range(400) if j / 400.0 + 0.0005 < i / 400.0 + 0.001 and j / 400.0 + 0.0005 + 0.004 >= i / 400.0}
     assert got == want
+
+
+def plain_inside(rings, x, y):
+    odd = False
+    for ring in rings:
+        for (ax, ay), (bx, by) in zip([ring[-1], *ring[:-1]], ring, strict=True):
+            if (ay > y) != (by > y) and x < (bx - ax) * (y - ay) / (by - ay) + ax:
+                odd = not odd
+    return odd
+
+
+def test_polygon_cells_equal_the_plain_test(spark):
+    rng = random.Random(4)
+
+    def star(x, y, size, n):
+        return [(x + size * r * math.cos(2 * math.pi * k / n), y + size * r * math.sin(2 * math.pi * k / n)) for k in range(n) for r in [rng.uniform(0.4, 1)]]
+
+    shapes_ = [(i, [star(rng.uniform(-20, 20), rng.uniform(-20, 20), 10 ** rng.uniform(-2, 1.3), rng.choice([3, 8, 200]))]) for i in range(25)]
+    square = [(0.0, 0.0), (8.0, 0.0), (8.0, 8.0), (0.0, 8.0)]
+    shapes_ += [(100, [square, [(2.0, 2.0), (6.0, 2.0), (6.0, 6.0), (2.0, 6.0)]]), (101, [square]), (102, [[(1.0, 1.0), (1.0, 1.0)]]), (103, [[(-5.0, 3.0), (5.0, 3.0), (0.0, 3.0)]])]
+    dots = [(i, rng.uniform(-30, 30), rng.uniform(-30, 30)) for i in range(3000)]
+    dots += [(10_000 + 20 * a + b, a / 2.0, b / 2.0) for a in range(20) for b in range(20)]  # on sides, corners and cell borders
+    points = spark.createDataFrame(dots, "id int, lon double, lat double")
+    polygons = spark.createDataFrame([(i, [[{"x": x, "y": y} for x, y in r] for r in rings]) for i, rings in shapes_], "p int, rings array<array<struct<x:double,y:double>>>")
+    want = sorted((d, p) for d, x, y in dots for p, rings in shapes_ if plain_inside(rings, x, y))
+    for fineness in (1, 8):
+        got = sorted((r.id, r.p) for r in spatial.points_in_polygons(points, polygons, fineness=fineness).collect())
+        assert got == want
+    cells = spatial.polygon_cells(polygons.where("p = 101")).select(F.size("_sides").alias("n")).collect()
+    assert 0 in {r.n for r in cells} and max(r.n for r in cells) <= 3
