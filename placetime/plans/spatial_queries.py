@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from placetime.functions import geo, shapes
-from placetime.operators import spatial
+from placetime.operators import lines, spatial
 from placetime.operators.keyed import latest_per_key
 from placetime.plans.fixtures import (
-    BOXES_SQL, NUMBERED_SQL, POINTS_SQL, POLYGON_SIDES_SQL, boxes, points, polygons, tracks,
+    BOXES_SQL, EXTENTS_SQL, NUMBERED_SQL, POINTS_SQL, POLYGON_SIDES_SQL, boxes, extents, points, polygons, tracks,
 )
 from placetime.plans.geo_queries import tile_sql
 from placetime.plans.registry import query, r6, table
@@ -173,10 +173,8 @@ SELECT user_id, round(total, 6) AS length, round(coalesce(mx, fx), 6) AS x, roun
 FROM firsts LEFT JOIN mids USING (user_id)
 """.replace("min_by(", "arg_min("))
 def line_midpoints(spark, sf):
-    lines = tracks(spark, sf).withColumn("mid", shapes.line_midpoint("line"))
-    return lines.select(
-        "user_id", r6(shapes.line_length("line")).alias("length"), r6("mid.x").alias("x"), r6("mid.y").alias("y")
-    )
+    found = lines.line_measures(points(spark, sf), ["user_id"], ["ts", "event_id"], "lon", "lat")
+    return found.select("user_id", r6("length").alias("length"), r6("x").alias("x"), r6("y").alias("y"))
 
 
 @query(f"""
@@ -189,9 +187,38 @@ WITH {POINTS_SQL}, {_STEPS_SQL}, near AS (
 SELECT user_id, round(min(sqrt(pow(-95e0 - (ax + dx * k), 2) + pow(37e0 - (ay + dy * k), 2))), 6) AS distance FROM k GROUP BY 1
 """)
 def nearest_on_lines(spark, sf):
-    near = spatial.nearest_on_line(F.lit(-95.0), F.lit(37.0), "line")
-    lines = tracks(spark, sf).where(F.size("line") > 1)
-    return lines.select("user_id", r6(near["distance"]).alias("distance"))
+    steps = lines.segments(points(spark, sf), ["user_id"], ["ts", "event_id"], "lon", "lat")
+    return lines.nearest_to(steps, ["user_id"], -95.0, 37.0).select("user_id", r6("distance").alias("distance"))
+
+
+@query(f"""
+WITH {POINTS_SQL}, {EXTENTS_SQL}, zigzags AS (
+  SELECT user_id, 0 AS part, west AS ax, south AS ay, (west + east) / 2 AS bx, north AS b_y FROM extents
+  UNION ALL SELECT user_id, 1, (west + east) / 2, north, east, south FROM extents
+), along AS (
+  SELECT event_id, z.user_id, part, lon, lat, ax, ay, bx - ax AS dx, b_y - ay AS dy,
+    CASE WHEN pow(bx - ax, 2) + pow(b_y - ay, 2) > 0 THEN greatest(0e0, least(1e0,
+      ((lon - ax) * (bx - ax) + (lat - ay) * (b_y - ay)) / (pow(bx - ax, 2) + pow(b_y - ay, 2)))) ELSE 0e0 END AS k
+  FROM points, zigzags z
+), met AS (
+  SELECT event_id, user_id, part, ax + dx * k AS x, ay + dy * k AS y, sqrt(pow(lon - ax - dx * k, 2) + pow(lat - ay - dy * k, 2)) AS distance FROM along
+)
+SELECT event_id, first(user_id ORDER BY distance, user_id, part) AS nearest, round(min(distance), 6) AS distance,
+       round(first(x ORDER BY distance, user_id, part), 5) AS x, round(first(y ORDER BY distance, user_id, part), 5) AS y
+FROM met GROUP BY event_id
+""")
+def nearest_line_points(spark, sf):
+    """For every event the nearest of the lines that zigzag through the extents of the users."""
+    b, middle = F.col("box"), (F.col("box.west") + F.col("box.east")) / 2
+    part = lambda n, ax, ay, bx, by: F.struct(F.lit(n).alias("part"), ax.alias("ax"), ay.alias("ay"), bx.alias("bx"), by.alias("by"))
+    zigzags = extents(spark, sf).select("user_id", F.inline(F.array(
+        part(0, b["west"], b["south"], middle, b["north"]), part(1, middle, b["north"], b["east"], b["south"]),
+    )))
+    found = lines.nearest_lines(points(spark, sf), zigzags, ["event_id"], ["user_id", "part"], "lon", "lat")
+    return found.select(
+        "event_id", F.col("user_id").alias("nearest"), r6("distance").alias("distance"),
+        r6("near_x", digits=5).alias("x"), r6("near_y", digits=5).alias("y"),
+    )
 
 
 _RING_SIDES_SQL = """
@@ -206,18 +233,16 @@ WITH {POINTS_SQL}, {NUMBERED_SQL}, {_RING_SIDES_SQL}, sides AS (
     f AS (PARTITION BY user_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
 ), sums AS (
   SELECT user_id, sum((ax + bx) * (ay * bx - b_y * ax)) AS sx, sum((ay + b_y) * (ay * bx - b_y * ax)) AS sy,
-         sum(3 * (ay * bx - b_y * ax)) AS area, count(*) AS n FROM sides GROUP BY 1
+         sum(3 * (ay * bx - b_y * ax)) AS area, sum(abs(ay * bx - b_y * ax)) AS size FROM sides GROUP BY 1
 )
-SELECT user_id, round(sx / area, 3) AS x, round(sy / area, 3) AS y FROM sums WHERE n > 2 AND abs(area) > 30
+SELECT s.user_id, round(CASE WHEN abs(area) > 3e-12 * size THEN sx / area ELSE fx END, 3) AS x,
+       round(CASE WHEN abs(area) > 3e-12 * size THEN sy / area ELSE fy END, 3) AS y FROM sums s
+JOIN (SELECT user_id, arg_min(x, pos) AS fx, arg_min(y, pos) AS fy FROM ringed GROUP BY 1) f ON f.user_id = s.user_id
 """)
 def ring_centroids(spark, sf):
-    """Tracks taken as rings; nearly flat ones would only compare rounding noise."""
-    side_sum = F.aggregate(
-        shapes.sides("line"), F.lit(0.0), lambda acc, s: acc + 3 * (s["a"]["y"] * s["b"]["x"] - s["b"]["y"] * s["a"]["x"])
-    )
-    rings = tracks(spark, sf).where((F.size("line") > 2) & (F.abs(side_sum) > 30))
-    centred = rings.withColumn("centre", shapes.ring_centroid("line"))
-    return centred.select("user_id", r6("centre.x", digits=3).alias("x"), r6("centre.y", digits=3).alias("y"))
+    """Tracks taken as rings; those without area give their first vertex."""
+    found = lines.ring_centroids(points(spark, sf), ["user_id"], ["ts", "event_id"], "lon", "lat")
+    return found.select("user_id", r6("x", digits=3).alias("x"), r6("y", digits=3).alias("y"))
 
 
 def _clip_sql() -> str:
