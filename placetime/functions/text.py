@@ -33,41 +33,31 @@ def extract_tokens(text: Column | str, pattern: str = TURTLE_TOKENS) -> Column:
 def rewrite(text: Column | str, rules: dict[str, str], rounds: int = 1, limit: int = 10_000) -> Column:
     """Replace every character that has a rule, all at once, ``rounds`` times.
 
-    Refuses rule sets whose output could grow by more than ``limit`` times.
+    A text that grows to more than ``limit`` times its bytes fails the job. A character of a rule first turns
+    into an escape and a number, so no replacement is replaced again in the same round; escapes that the text
+    holds are escaped too. Escape and numbers are private-use characters that no rule has.
     """
-    if any(len(key) != 1 for key in rules):
+    if any(len(key) > 1 for key in rules):
         raise ValueError("rules rewrite single characters")
-    longest = max((len(value) for value in rules.values()), default=1)
-    if longest**rounds > limit:
-        raise ValueError(f"{rounds} rounds may grow the text {longest**rounds} times; the limit is {limit}")
-    table = F.create_map(*(F.lit(part) for pair in rules.items() for part in pair))
-    # stand-ins from the private use area: every rule character turns into its own
-    # stand-in before any replacement text comes in
-    stand_ins = {key: chr(0xE000 + i) for i, key in enumerate(rules)}
-
-    def by_character(current: Column) -> Column:
-        swapped = F.transform(F.split(current, ""), lambda ch: F.coalesce(table[ch], ch))
-        return F.array_join(swapped, "")
-
-    def by_stand_in(current: Column) -> Column:
-        for key, stand_in in stand_ins.items():
-            current = F.replace(current, F.lit(key), F.lit(stand_in))
-        for key, stand_in in stand_ins.items():
-            current = F.replace(current, F.lit(stand_in), F.lit(rules[key]))
-        return current
-
-    def has_stand_in(current: Column) -> Column:
-        return reduce(Column.__or__, (F.contains(current, F.lit(s)) for s in stand_ins.values()), F.lit(False))
-
-    def repeat(step, start: Column) -> Column:
-        return reduce(lambda current, _round: step(current), range(rounds), start)
-
-    # a rule that itself makes or takes stand-ins goes character by character
-    if set("".join([*rules, *rules.values()])) & set(stand_ins.values()):
-        return repeat(by_character, _c(text))
-    return F.when(has_stand_in(_c(text)), repeat(by_character, _c(text))).otherwise(
-        repeat(by_stand_in, _c(text))
-    )
+    rules = {key: value for key, value in rules.items() if key}
+    taken = set("".join([*rules, *rules.values()]))
+    free = (chr(c) for c in range(0xE000, 0xF8FF) if chr(c) not in taken)
+    escape, own, *numbers = (next(free) for _ in range(len(rules) + 2))
+    start = _c(text)
+
+    def once(current: Column) -> Column:
+        current = F.replace(current, F.lit(escape), F.lit(escape + own))
+        for key, number in zip(rules, numbers, strict=True):
+            current = F.replace(current, F.lit(key), F.lit(escape + number))
+        for value, number in zip(rules.values(), numbers, strict=True):
+            current = F.replace(current, F.lit(escape + number), F.lit(value))
+        return F.replace(current, F.lit(escape + own), F.lit(escape))
+
+    def checked(current: Column) -> Column:
+        grown = F.octet_length(current) > limit * F.greatest(F.octet_length(start), F.lit(1)).cast("long")
+        return F.when(grown, F.raise_error(F.lit(f"the text grows more than {limit} times")).cast("string")).otherwise(current)
+
+    return reduce(lambda current, _round: values.let(once(current), checked), range(rounds), start)
 
 
 def split_escaped(text: Column | str, separator: str, escape: str) -> Column:

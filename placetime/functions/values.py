@@ -26,6 +26,7 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 _EPOCH = "1970-01-01 00:00:00"
+NOISE_FACTOR = 1_640_531_527  # odd, near 2 ** 32 over the square of the golden ratio; products stay below 2 ** 63
 
 
 def micros(value: Column | str, kind: str) -> Column:
@@ -43,10 +44,10 @@ def from_micros(value: Column | str, kind: str) -> Column:
 
 def jitter(value: Column | str, amount: float, key: Column | str, seed: int = 0) -> Column:
     """Add uniform noise in [-amount, amount), fixed by the key, so that neither
-    partitioning nor a retried task changes it. The noise is the first 52 bits of an
-    MD5 of key and seed; a null key is the empty text."""
-    digest = F.md5(F.concat(F.coalesce(_c(key).cast("string"), F.lit("")), F.lit(f":{seed}")))
-    unit = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(2**52)
+    partitioning nor a retried task changes it. The noise is the CRC-32 of key and
+    seed, its bits mixed by a multiplication; a null key is the empty text."""
+    mark = F.crc32(F.concat(F.coalesce(_c(key).cast("string"), F.lit("")), F.lit(f":{seed}")).cast("binary"))
+    unit = (mark * NOISE_FACTOR % F.lit(2**32)).cast("double") / float(2**32)
     return _c(value) + (unit * 2 - 1) * amount
 
 

@@ -87,14 +87,14 @@ FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1
 """)
 def release_tables(spark, sf):
     """A release stored once, then loaded by year and week."""
-    root, day = fresh_path(spark, "releases"), "2023-06-20"
+    root, day = fresh_path(spark, "releases"), "2024-03-14"
     bundle = {
         "sightings": table(spark, sf, "orders").select("o_custkey", "o_totalprice"),
         "places": table(spark, sf, "customer").select("c_custkey", "c_mktsegment"),
     }
     tables.write_release(bundle, root, day)
     manifest = tables.manifest_rows(spark, day, list(bundle))
-    loaded = tables.load_release(spark, root, manifest, year=2023, week=25)
+    loaded = tables.load_release(spark, root, manifest, year=2024, week=11)
     sightings, places = tables.pick_table(loaded, "sightings"), tables.pick_table(loaded, "places")
     joined = sightings.join(places, F.col("o_custkey") == F.col("c_custkey"))
     return joined.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("sightings"), F.round(F.sum("o_totalprice"), 2).alias("total"))
@@ -114,24 +114,42 @@ def json_documents(spark, sf):
     return stored.select("href", "title", "section", F.md5(F.col("text").cast("binary")).alias("digest"))
 
 
+_ARRAY = 500
+
+
+@query("""
+SELECT doc_id // 500 AS part, concat('p', doc_id // 4, '.html', CASE WHEN doc_id % 4 = 0 THEN '' ELSE concat('#s', doc_id % 4) END) AS href,
+       source AS title, lang AS section, md5(text) AS digest FROM documents
+""")
+def json_array_documents(spark, sf):
+    """Search documents stored as files of one JSON array each, 500 documents to a file, and read with their schema."""
+    path = fresh_path(spark, "document-arrays")
+    docs = search_documents(spark, sf).withColumn("part", F.floor(F.col("doc_id") / _ARRAY))
+    one = F.to_json(F.struct(F.col("href").alias("objectID"), "href", "title", "section", "text"))
+    arrays = docs.groupBy("part").agg(F.concat(F.lit("["), F.array_join(F.collect_list(one), ",\n"), F.lit("]")).alias("value"))
+    arrays.write.partitionBy("part").text(path)
+    stored = tables.read_documents(spark, path, array_file=True)
+    return stored.select(F.col("part").cast("bigint").alias("part"), "href", "title", "section", F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
 @query(f"WITH {POINTS_SQL} SELECT event_id, lon, lat, 4326 AS srid FROM points")
 def stored_layer(spark, sf):
     """A spatial layer written twice under one name, then read back from its binary points."""
     root = fresh_path(spark, "layers")
     made = prep.with_points(points(spark, sf))
-    layers.write_layer(made.where(F.col("event_type") == "click"), root, "geocoded_addresses")
-    layers.write_layer(made, root, "geocoded_addresses")
-    stored = layers.read_layer(spark, root, "geocoded_addresses")
+    layers.write_layer(made.where(F.col("event_type") == "click"), root, "event_points")
+    layers.write_layer(made, root, "event_points")
+    stored = layers.read_layer(spark, root, "event_points")
     return prep.with_coordinates(stored).select("event_id", "lon", "lat", "srid")
 
 
 @query("""
 SELECT o_orderpriority, s.share, count(*) AS orders FROM orders
-JOIN (VALUES ('1-URGENT', 0.12e0), ('2-HIGH', 0.3e0), ('3-MEDIUM', 0.26e0), ('4-NOT SPECIFIED', 0.16e0), ('5-LOW', 0.16e0)) AS s(p, share)
+JOIN (VALUES ('1-URGENT', 0.35e0), ('2-HIGH', 0.25e0), ('3-MEDIUM', 0.2e0), ('4-NOT SPECIFIED', 0.05e0), ('5-LOW', 0.15e0)) AS s(p, share)
   ON p = o_orderpriority GROUP BY 1, 2
 """)
 def literal_shares(spark, sf):
-    shares = {"1-URGENT": 0.12, "2-HIGH": 0.3, "3-MEDIUM": 0.26, "4-NOT SPECIFIED": 0.16, "5-LOW": 0.16}
+    shares = {"1-URGENT": 0.35, "2-HIGH": 0.25, "3-MEDIUM": 0.2, "4-NOT SPECIFIED": 0.05, "5-LOW": 0.15}
     named = tables.literal_table(spark, shares, "o_orderpriority", "share")
     return table(spark, sf, "orders").join(named, "o_orderpriority").groupBy("o_orderpriority", "share").agg(
         F.count(F.lit(1)).alias("orders")

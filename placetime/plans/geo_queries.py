@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from placetime.functions import geo
+from placetime.functions import geo, shapes
 from placetime.operators import spatial
 from placetime.operators.ordered import ordered_columns
-from placetime.plans.fixtures import EXTENTS_SQL, NUMBERED_SQL, POINTS_SQL, extents, numbered_points, points
+from placetime.plans.fixtures import (
+    BOXES_SQL, EXTENTS_SQL, NUMBERED_SQL, POINTS_SQL, POLYGON_SIDES_SQL, boxes, extents, numbered_points, points, polygons,
+)
 from placetime.plans.registry import query, r6
+from placetime.session import fresh_path
 from placetime.sources import geojson
 
 _R, _RM, _B = 6371000.0, 6378137.0, 6356752.314245179
@@ -21,12 +24,12 @@ def _xy(column, scale=1.0, digits=6):
 
 @query(f"""
 WITH {POINTS_SQL}, a AS (
-  SELECT event_id, pow(sin(radians(37.0902e0 - lat) / 2), 2)
-         + cos(radians(lat)) * cos(radians(37.0902e0)) * pow(sin(radians(-95.7129e0 - lon) / 2), 2) AS a FROM points)
+  SELECT event_id, pow(sin(radians(39.5e0 - lat) / 2), 2)
+         + cos(radians(lat)) * cos(radians(39.5e0)) * pow(sin(radians(-103.5e0 - lon) / 2), 2) AS a FROM points)
 SELECT event_id, round(2 * 6371000e0 * atan2(sqrt(a), sqrt(1 - a)), 4) AS metres FROM a
 """)
 def great_circle_distance(spark, sf):
-    metres = geo.great_circle("lat", "lon", 37.0902, -95.7129)
+    metres = geo.great_circle("lat", "lon", 39.5, -103.5)
     return points(spark, sf).select("event_id", r6(metres, digits=4).alias("metres"))
 
 
@@ -244,13 +247,13 @@ WITH {POINTS_SQL}, {_SEGMENTS_SQL}, t AS (
   SELECT *, x2 - x1 AS dx, y2 - y1 AS dy FROM segments
 ), u AS (
   SELECT *, CASE WHEN dx * dx + dy * dy > 0 THEN
-    greatest(0e0, least(1e0, ((-95.7129e0 - x1) * dx + (37.0902e0 - y1) * dy) / (dx * dx + dy * dy))) ELSE 0e0 END AS k FROM t
+    greatest(0e0, least(1e0, ((-103.5e0 - x1) * dx + (39.5e0 - y1) * dy) / (dx * dx + dy * dy))) ELSE 0e0 END AS k FROM t
 )
 SELECT event_id, round(x1 + dx * k, 6) AS x, round(y1 + dy * k, 6) AS y,
-       round(sqrt(pow(-95.7129e0 - (x1 + dx * k), 2) + pow(37.0902e0 - (y1 + dy * k), 2)), 6) AS distance FROM u
+       round(sqrt(pow(-103.5e0 - (x1 + dx * k), 2) + pow(39.5e0 - (y1 + dy * k), 2)), 6) AS distance FROM u
 """)
 def nearest_on_segments(spark, sf):
-    near = geo.nearest_on_segment(-95.7129, 37.0902, "x1", "y1", "x2", "y2")
+    near = geo.nearest_on_segment(-103.5, 39.5, "x1", "y1", "x2", "y2")
     return _segments(spark, sf).select("event_id", near.alias("n")).select(
         "event_id", *(r6(F.col("n")[c]).alias(c) for c in ("x", "y", "distance"))
     )
@@ -308,3 +311,88 @@ def geojson_collections(spark, sf):
     return flat.groupBy("user_id", "part", "event_type").agg(
         F.count(F.lit(1)).alias("features"), r6(F.sum("lon"), digits=4).alias("lon_sum")
     )
+
+
+_DECIMALS_SQL = "floor({} * 1e6 + 0.5e0) / 1e6"
+
+
+def _rounded_sql(*columns: str) -> str:
+    return ", ".join(f"{_DECIMALS_SQL.format(c)} AS {c}" for c in columns)
+
+
+@query(f"""
+WITH {POINTS_SQL}, {EXTENTS_SQL}, {BOXES_SQL}, {POLYGON_SIDES_SQL}, positions AS (
+  SELECT 'Point' AS geometry_type, concat('e', event_id) AS name, lon AS x, lat AS y, value AS z FROM points
+  UNION ALL SELECT 'LineString', concat('u', user_id), unnest([west, (west + east) / 2, east]), unnest([south, north, south]), NULL FROM extents
+  UNION ALL SELECT 'Polygon', concat('b', box_id, kind), v.x, v.y, NULL FROM (
+    SELECT box_id, kind, unnest([{{'x': bx, 'y': b_y}}, {{'x': bx, 'y': b_y}}]) AS v, unnest([i = 1, true]) AS used FROM sides) WHERE used
+), rounded AS (SELECT geometry_type, name, {_rounded_sql("x", "y", "z")} FROM positions)
+SELECT geometry_type, name, count(*) AS positions, round(sum(x), 5) AS x, round(sum(y), 5) AS y, round(sum(z), 5) AS z FROM rounded GROUP BY 1, 2
+""")
+def geojson_shapes(spark, sf):
+    """Points with an altitude, lines and closed polygon rings written as features, one to a line, and read back."""
+    name = lambda mark, *columns: F.create_map(F.lit("name"), F.concat(F.lit(mark), *columns))
+    b = F.col("box")
+    zigzag = F.array(
+        shapes.vertex(b["west"], b["south"]), shapes.vertex((b["west"] + b["east"]) / 2, b["north"]), shapes.vertex(b["east"], b["south"])
+    )
+    features = [
+        points(spark, sf).select(geojson.feature("Point", geojson.position(F.col("lon"), F.col("lat"), F.col("value")), name("e", "event_id")).alias("f")),
+        extents(spark, sf).select(geojson.feature("LineString", geojson.line_positions(zigzag), name("u", "user_id")).alias("f")),
+        polygons(spark, sf).select(geojson.feature("Polygon", F.transform("rings", geojson.ring_positions), name("b", "box_id", "kind")).alias("f")),
+    ]
+    path = fresh_path(spark, "features")
+    geojson.write_features(features[0].union(features[1]).union(features[2]), "f", path)
+    read = geojson.read_features(spark.read.text(path), "value")
+    kind = F.col("geometry_type")
+    every = F.when(kind == "Point", F.array(geojson.coordinates("Point"))).when(kind == "LineString", geojson.coordinates("LineString")).otherwise(
+        F.flatten(geojson.coordinates("Polygon"))
+    )
+    placed = read.select("geometry_type", F.col("properties")["name"].alias("name"), F.explode_outer(every).alias("p"))
+    total = lambda i: r6(F.sum(F.get("p", F.lit(i))), digits=5)
+    return placed.groupBy("geometry_type", "name").agg(F.count("*").alias("positions"), total(0).alias("x"), total(1).alias("y"), total(2).alias("z"))
+
+
+_DEEP = 5
+
+
+@query(f"""
+WITH {BOXES_SQL}, nodes AS (
+  SELECT box_id, 'Polygon' AS geometry_type, 'frame' AS name, 0 AS k, west AS x FROM boxes UNION ALL SELECT box_id, 'Polygon', 'triangle', 0, west + 0.5e0 FROM boxes
+  UNION ALL SELECT box_id, 'Point', 'corner', k, west + k / 8e0 FROM boxes, range(1, {_DEEP + 1}) AS r(k)
+  UNION ALL SELECT box_id, 'LineString', 'inside', k, west + k / 4e0 FROM boxes, range(1, 4) AS r(k)
+)
+SELECT box_id, geometry_type, name, count(*) AS features, round(sum(x), 6) AS x FROM nodes GROUP BY 1, 2, 3
+""")
+def geojson_nested(spark, sf):
+    """Collections in collections, five deep, with geometry collections three deep, flattened by rounds."""
+    b, name = F.col("box"), lambda text: F.create_map(F.lit("name"), text)
+    rings = polygons(spark, sf).select("box_id", geojson.feature("Polygon", F.transform("rings", geojson.ring_positions), name(F.col("kind"))).alias("f"))
+    documents = rings.groupBy("box_id").agg(geojson.feature_collection(F.collect_list("f")).alias("doc")).join(boxes(spark, sf), "box_id")
+    geometry = lambda kind, member: F.concat(F.lit(f'{{"type":"{kind}",'), member, F.lit("}"))
+    inner = None
+    for k in range(1, 4):
+        ends = F.array(geojson.position(b["west"] + k / 4, b["south"]), geojson.position(b["east"], b["north"]))
+        line = geometry("LineString", F.concat(F.lit('"coordinates":'), F.to_json(ends)))
+        members = line if inner is None else F.concat(inner, F.lit(","), line)
+        inner = geometry("GeometryCollection", F.concat(F.lit('"geometries":['), members, F.lit("]")))
+    deep = F.concat(F.lit('{"type":"Feature","properties":{"name":"inside"},"geometry":'), inner, F.lit("}"))
+    documents = documents.withColumn("doc", geojson.feature_collection(F.array("doc", deep)))
+    for k in range(1, _DEEP + 1):
+        corner = geojson.feature("Point", geojson.position(b["west"] + k / 8, b["south"]), name(F.lit("corner")))
+        documents = documents.withColumn("doc", geojson.feature_collection(F.array("doc", corner)))
+    read = geojson.read_features(documents.select("box_id", "doc"), "doc", keep=["box_id"])
+    # the first number of any coordinates
+    first = F.regexp_extract("coordinates", r"^[\[]+([^,\]]+)", 1).cast("double")
+    return read.groupBy("box_id", "geometry_type", F.col("properties")["name"].alias("name")).agg(
+        F.count("*").alias("features"), r6(F.sum(first)).alias("x")
+    )
+
+
+@query("SELECT event_id, event_type FROM events WHERE event_type = 'error'")
+def geojson_rejects(spark, sf):
+    """Texts that are cut before their end go to the reject table."""
+    whole = geojson.feature("Point", geojson.position(F.col("lon"), F.col("lat")))
+    cut = F.when(F.col("event_type") == "error", F.substring(whole, F.lit(1), F.length(whole) - 1)).otherwise(whole)
+    made = points(spark, sf).select("event_id", "event_type", cut.alias("doc"))
+    return geojson.bad_documents(made, "doc").select("event_id", "event_type")

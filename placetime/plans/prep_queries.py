@@ -10,7 +10,7 @@ from placetime.functions import values
 from placetime.operators import prep
 from placetime.operators.joins import fanout_report
 from placetime.plans.fixtures import POINTS_SQL, points
-from placetime.plans.registry import query, r6, table
+from placetime.plans.registry import CRC_SQL, crc32_sql, query, r6, table
 
 _FIRST, _LAST, _WIDTH = 1995, 2003, 2
 
@@ -123,9 +123,9 @@ def jitter_bounds(spark, sf):
 
 
 @query(f"""
-WITH {POINTS_SQL}, noise AS (
-  SELECT *, ('0x' || substr(md5(concat(event_id, ':1')), 1, 13))::BIGINT / 4503599627370496e0 AS u,
-         ('0x' || substr(md5(concat(event_id, ':2')), 1, 13))::BIGINT / 4503599627370496e0 AS v FROM points
+WITH {POINTS_SQL}, {CRC_SQL}, noise AS (
+  SELECT points.*, {crc32_sql("concat(event_id, ':1')")} * {values.NOISE_FACTOR} % 4294967296 / 4294967296e0 AS u,
+         {crc32_sql("concat(event_id, ':2')")} * {values.NOISE_FACTOR} % 4294967296 / 4294967296e0 AS v FROM points, crc
 )
 SELECT event_id, round(lat + (u * 2 - 1) * 0.0001e0, 9) AS jittered_lat, round(lon + (v * 2 - 1) * 0.0002e0, 9) AS jittered_lon FROM noise
 """)
@@ -191,6 +191,19 @@ def merged_tables(spark, sf):
     return prep.merge_tables(left, right, ["place"])
 
 
+@query("""
+WITH a AS (SELECT CASE WHEN user_id % 10 > 0 THEN user_id END AS place, event_id FROM events WHERE event_type = 'purchase'),
+b AS (SELECT CASE WHEN n_nationkey % 10 > 0 THEN n_nationkey END AS place, n_name FROM nation)
+SELECT a.place, event_id, n_name FROM a JOIN b ON a.place IS NOT DISTINCT FROM b.place
+""")
+def merged_null_safe(spark, sf):
+    """Rows without a place meet the places without a key."""
+    events = prep.only_equal(table(spark, sf, "events"), "event_type", "purchase")
+    left = events.select(F.when(F.col("user_id") % 10 > 0, F.col("user_id")).alias("place"), "event_id")
+    right = table(spark, sf, "nation").select(F.when(F.col("n_nationkey") % 10 > 0, F.col("n_nationkey")).alias("place"), "n_name")
+    return prep.merge_tables(left, right, ["place"], null_safe=True)
+
+
 @query("""
 SELECT c_nationkey AS place, c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey ORDER BY c_nationkey
 """)

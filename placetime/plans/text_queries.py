@@ -68,12 +68,12 @@ def link_with_parameter(spark, sf):
     return table(spark, sf, "pages").select("page_id", text.add_parameter("url", "q", value).alias("href"))
 
 
-# each document is searched for a word of its own: the third one
-_WORD_SQL = "regexp_extract(text, '^\\S+\\s+\\S+\\s+(\\S+)', 1)"
+# each document is searched for a word of its own: the third one, or its language if there are fewer
+_WORD_SQL = "coalesce(nullif(regexp_extract(text, '^\\S+\\s+\\S+\\s+(\\S+)', 1), ''), lang)"
 
 
 def _word():
-    return F.regexp_extract("text", r"^\S+\s+\S+\s+(\S+)", 1)
+    return F.coalesce(F.nullif(F.regexp_extract("text", r"^\S+\s+\S+\s+(\S+)", 1), F.lit("")), F.col("lang"))
 
 
 SNIPPET_SQL = """
@@ -91,24 +91,24 @@ SNIPPET_SQL = """
 
 
 @query(f"""
-WITH asked AS (SELECT doc_id, text, reverse(regexp_extract(reverse(text), '^\\S*\\s+\\S+\\s+(\\S+)', 1)) AS query FROM documents)
-{SNIPPET_SQL.format(keys="doc_id, query", source="asked WHERE query <> ''")}
+WITH asked AS (SELECT doc_id, text, coalesce(nullif(reverse(regexp_extract(reverse(text), '^\\S*\\s+\\S+\\s+(\\S+)', 1)), ''), lang) AS query FROM documents)
+{SNIPPET_SQL.format(keys="doc_id, query", source="asked")}
 """)
 def snippets(spark, sf):
     late_word = F.reverse(F.regexp_extract(F.reverse("text"), r"^\S*\s+\S+\s+(\S+)", 1))
-    docs = documents(spark, sf).select("doc_id", "text", late_word.alias("query"))
-    cut = docs.select("doc_id", "query", text.snippet("text", "query").alias("snippet"))
-    return cut.where("query <> ''")
+    asked_for = F.coalesce(F.nullif(late_word, F.lit("")), F.col("lang"))
+    docs = documents(spark, sf).select("doc_id", "text", asked_for.alias("query"))
+    return docs.select("doc_id", "query", text.snippet("text", "query").alias("snippet"))
 
 
 @query(f"""
 WITH words AS (SELECT doc_id, text, {_WORD_SQL} AS word FROM documents)
 SELECT doc_id, md5(regexp_replace(text, concat('(?i)(', regexp_escape(word), ')'), '<mark>\\1</mark>', 'g')) AS digest,
        len(regexp_extract_all(text, concat('(?i)', regexp_escape(word)))) AS marks
-FROM words WHERE word <> ''
+FROM words
 """)
 def marked_matches(spark, sf):
-    docs = documents(spark, sf).select("doc_id", "text", _word().alias("word")).where("word <> ''")
+    docs = documents(spark, sf).select("doc_id", "text", _word().alias("word"))
     marked = docs.withColumn("marked", text.mark_all("text", "word"))
     plain = (F.length("marked") - F.length("text")) / len("<mark></mark>")
     return marked.select(
@@ -116,11 +116,18 @@ def marked_matches(spark, sf):
     )
 
 
-@query("SELECT doc_id, md5(text) AS digest FROM documents")
+@query(f"""
+WITH words AS (SELECT doc_id, text, {_WORD_SQL} AS word FROM documents),
+marked AS (SELECT *, concat('<mark>', word, 'x</mark> ', regexp_replace(text, concat('(?i)(', regexp_escape(word), ')'), '<mark>\\1</mark>', 'g')) AS m FROM words)
+SELECT doc_id, md5(concat('<mark>', word, 'x</mark> ', text)) AS digest, length(m) - length(concat('<mark>', word, 'x</mark> ', text)) AS dropped FROM marked
+""")
 def unmarked_matches(spark, sf):
+    """The marks of the document's word go, one of another word in front of the text stays."""
+    other = F.concat(F.lit("<mark>"), F.col("word"), F.lit("x</mark> "))
     docs = documents(spark, sf).select("doc_id", "text", _word().alias("word"))
-    back = text.unmark(text.mark_all("text", "word"), "word")
-    return docs.select("doc_id", F.md5(back.cast("binary")).alias("digest"))
+    marked = docs.withColumn("m", F.concat(other, text.mark_all("text", "word")))
+    back = marked.withColumn("back", text.unmark("m", "word"))
+    return back.select("doc_id", F.md5(F.col("back").cast("binary")).alias("digest"), (F.length("m") - F.length("back")).cast("bigint").alias("dropped"))
 
 
 @query("SELECT doc_id, source AS title, lang AS section FROM documents")
@@ -160,6 +167,13 @@ def valid_documents(spark, sf):
     return search.valid_documents(_lacking(spark, sf)).select("doc_id", "href", "title")
 
 
+@query("SELECT doc_id, source AS title, length(text) AS characters FROM documents")
+def required_fields(spark, sf):
+    """Every row passes the check that fails a job at the first row without a required field."""
+    docs = documents(spark, sf).withColumnsRenamed({"source": "title"}).withColumn("href", F.concat(F.lit("p"), "doc_id"))
+    return search.require_fields(docs).select("doc_id", "title", F.length("text").cast("bigint").alias("characters"))
+
+
 # --- search -----------------------------------------------------------------------
 
 _SCORED_SQL = f"""

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from placetime.session import checkpointed
+
 # Geometry types with the nesting of their coordinates, and decimals kept.
 COORDINATE_DEPTH = {
     "Point": 0,
@@ -34,55 +36,66 @@ def bad_documents(df: DataFrame, text: str) -> DataFrame:
     return _parsed(df, text).where(F.col("_node").isNull() | F.col("_node._bad").isNotNull()).drop("_node")
 
 
+def _some(df: DataFrame) -> bool:
+    return df.limit(1).count() > 0
+
+
 def read_features(
-    df: DataFrame, text: str, keep: list[str] | None = None, depth: int = 2,
-    only: Column | None = None, each: dict[str, Column] | None = None,
+    df: DataFrame, text: str, keep: list[str] | None = None, only: Column | None = None, each: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Flatten GeoJSON texts to one row per geometry, in one pass.
+    """Flatten GeoJSON texts of any depth to one row per geometry.
 
     Gives ``keep`` columns, ``feature_id``, ``geometry_type``, ``coordinates`` (JSON
     text) and ``properties``. Members of a geometry collection keep the feature's
-    properties. Features without geometry are skipped. An unknown geometry type fails,
-    and so does nesting deeper than ``depth`` collections. ``only`` filters and ``each``
-    adds columns per feature. Texts that are no JSON object are left to
+    properties. Features without geometry are skipped. An unknown geometry type fails.
+    ``only`` filters and ``each`` adds columns per feature. Texts that are no JSON object are left to
     :func:`bad_documents`.
+
+    Collections are opened in rounds over the nodes that still hold others. The
+    first round is part of the plan; whether there is another depends on the data.
     """
     keep = keep or []
-    # outer explodes and late filters: a filter on a parsed column would parse it twice
-    nodes = _parsed(df.select(*keep, text), text).select(*keep, "_node")
     node = F.col("_node")
-    for _ in range(depth):
+
+    def opened(nodes: DataFrame) -> DataFrame:
         members = F.transform(node["features"], lambda item: F.from_json(item, _NODE))
         inner = F.when(node["features"].isNull(), F.array(node)).otherwise(members)
-        nodes = nodes.select(*keep, F.explode_outer(inner).alias("_node"))
+        # outer explodes and written nodes: a filter on a parsed column would parse it twice
+        return nodes.select(*keep, F.explode_outer(inner).alias("_node"))
+
+    nodes = checkpointed(opened(_parsed(df.select(*keep, text), text).select(*keep, "_node")))
+    frontier = nodes.where(node["features"].isNotNull())
+    nodes = nodes.where(node["features"].isNull())
+    while _some(frontier):
+        inner = checkpointed(opened(frontier))
+        nodes, frontier = nodes.union(inner.where(node["features"].isNull())), inner.where(node["features"].isNotNull())
 
     bare = F.when(
         node["coordinates"].isNotNull() | node["geometries"].isNotNull(),
         F.struct(*(node[part].alias(part) for part in ("type", "coordinates", "geometries"))),
     )
+    geometry = F.col("geometry")
     flat = nodes.select(
         *keep, node["id"].alias("feature_id"),
         F.coalesce(node["properties"], F.create_map().cast("map<string,string>")).alias("properties"),
-        F.coalesce(node["geometry"], bare).alias("geometry"),
-        node["features"].isNotNull().alias("_deep"), node["_bad"].alias("_bad"),
-    ).where(F.col("_bad").isNull()).where(
-        F.coalesce("_deep", F.lit(False)) | F.col("geometry.coordinates").isNotNull() | F.col("geometry.geometries").isNotNull()
-    )
+        F.coalesce(node["geometry"], bare).alias("geometry"), node["_bad"].alias("_bad"),
+    ).where(F.col("_bad").isNull()).drop("_bad").where(geometry["coordinates"].isNotNull() | geometry["geometries"].isNotNull())
     if only is not None:
         flat = flat.where(only)
-    geometry = F.col("geometry")
-    for _ in range(depth):
+
+    def taken_apart(features: DataFrame) -> DataFrame:
         members = F.transform(geometry["geometries"], lambda item: F.from_json(item, _GEOMETRY))
-        inner = F.when(geometry["type"] == "GeometryCollection", members).otherwise(F.array(geometry))
-        flat = flat.withColumn("geometry", F.explode_outer(inner))
+        return features.withColumn("geometry", F.explode(members))
+
+    collection = F.coalesce(geometry["type"] == "GeometryCollection", F.lit(False))
+    frontier, flat = flat.where(collection), flat.where(~collection)
+    while _some(frontier):
+        inner = checkpointed(taken_apart(frontier))
+        flat, frontier = flat.union(inner.where(~collection)), inner.where(collection)
 
-    flat = flat.where(geometry.isNotNull() | F.col("_deep"))
     kind = geometry["type"]
-    too_deep = F.col("_deep") | (kind == "GeometryCollection")
-    checked = (
-        F.when(kind.isin(list(COORDINATE_DEPTH)) & ~F.col("_deep"), kind)
-        .when(too_deep, F.raise_error(F.lit(f"GeoJSON nested deeper than {depth} collections")).cast("string"))
-        .otherwise(F.raise_error(F.concat(F.lit("invalid GeoJSON type "), F.coalesce(kind, F.lit("null")))).cast("string"))
+    checked = F.when(kind.isin(list(COORDINATE_DEPTH)), kind).otherwise(
+        F.raise_error(F.concat(F.lit("invalid GeoJSON type "), F.coalesce(kind, F.lit("null")))).cast("string")
     )
     out = flat.select(
         *keep, "feature_id", checked.alias("geometry_type"), geometry["coordinates"].alias("coordinates"), "properties"

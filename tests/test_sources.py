@@ -19,13 +19,13 @@ def test_csv_with_missing_values(spark):
 
 def test_releases_by_date_and_week(spark):
     root = fresh_path(spark, "releases")
-    tables.write_release({"sightings": spark.range(3), "places": spark.range(2)}, root, "2023-06-20")
-    manifest = tables.manifest_rows(spark, "2023-06-20", ["sightings", "places"])
-    by_week = tables.load_release(spark, root, manifest, year=2023, week=25)
-    by_date = tables.load_release(spark, root, manifest, date="2023-06-20")
+    tables.write_release({"sightings": spark.range(3), "places": spark.range(2)}, root, "2024-03-14")
+    manifest = tables.manifest_rows(spark, "2024-03-14", ["sightings", "places"])
+    by_week = tables.load_release(spark, root, manifest, year=2024, week=11)
+    by_date = tables.load_release(spark, root, manifest, date="2024-03-14")
     assert {k: v.count() for k, v in by_week.items()} == {k: v.count() for k, v in by_date.items()} == {"sightings": 3, "places": 2}
     with pytest.raises(LookupError):
-        tables.load_release(spark, root, manifest, year=2023, week=26)
+        tables.load_release(spark, root, manifest, year=2024, week=12)
     with pytest.raises(LookupError):
         tables.pick_table(by_week, "nope")
 
@@ -46,12 +46,28 @@ def test_layer_is_replaced_and_binary_is_well_known(spark):
     made = prep.with_points(df)
     layers.write_layer(made.where("id = 1"), root, "l")
     layers.write_layer(made, root, "l")
-    raw = spark.read.parquet(f"{root}/l").where("id = 1").select(F.hex("geom").alias("h"), "srid").first()
+    raw = spark.read.parquet(f"{root}/l/versions/{layers.current_version(spark, root, 'l')[1]}").where("id = 1").select(F.hex("geom").alias("h"), "srid").first()
     assert raw.h == "0101000000" + "0000000000000440" + "0000000000000AC0" and raw.srid == 4326
     back = sorted((r.id, r.geom.lon, r.geom.lat) for r in layers.read_layer(spark, root, "l").collect())
     assert back == [(1, 2.5, -3.25), (2, 1e-9, 90.0)]
 
 
+def test_a_failed_write_leaves_the_old_layer(spark):
+    root = fresh_path(spark, "layers")
+    with pytest.raises(LookupError):
+        layers.read_layer(spark, root, "l")
+    made = prep.with_points(spark.createDataFrame([(1, 2.5, -3.25), (2, 0.0, 90.0)], "id int, lon double, lat double").repartition(2))
+    layers.write_layer(made, root, "l")
+    reader = layers.read_layer(spark, root, "l")
+    broken = made.withColumn("id", F.when(F.col("id") == 1, F.col("id")).otherwise(F.raise_error(F.lit("lost")).cast("int")))
+    with pytest.raises(Exception, match="lost"):
+        layers.write_layer(broken, root, "l")
+    assert sorted(r.id for r in layers.read_layer(spark, root, "l").collect()) == [1, 2]
+    layers.write_layer(made.where("id = 2"), root, "l")
+    assert [r.id for r in layers.read_layer(spark, root, "l").collect()] == [2]
+    assert sorted(r.id for r in reader.collect()) == [1, 2]  # a reader that had started
+
+
 def feature(kind, coordinates, **properties):
     return {"type": "Feature", "properties": properties, "geometry": {"type": kind, "coordinates": coordinates}}
 
@@ -84,11 +100,14 @@ def test_bad_texts_unknown_types_and_deep_nesting(spark):
     with pytest.raises(Exception, match="invalid GeoJSON type Blob"):
         read(spark, feature("Blob", [1, 2])).collect()
     deep = feature("Point", [1, 2])
-    for _ in range(3):
-        deep = {"type": "FeatureCollection", "features": [deep]}
-    with pytest.raises(Exception, match="nested deeper"):
-        read(spark, deep).collect()
-    assert read(spark, deep, depth=3).count() == 1
+    many = {"type": "GeometryCollection", "geometries": [{"type": "Point", "coordinates": [5, 6]}]}
+    for _ in range(5):
+        deep = {"type": "FeatureCollection", "features": [deep, feature("Point", [7, 8])]}
+        many = {"type": "GeometryCollection", "geometries": [many, {"type": "Point", "coordinates": [9, 9]}]}
+    assert read(spark, deep).count() == 6
+    got = read(spark, deep, {"type": "Feature", "properties": {"a": "b"}, "geometry": many}, {"type": "FeatureCollection", "features": []})
+    assert sorted((r.n, r.coordinates, r.properties.get("a")) for r in got.collect()) == sorted(
+        [(0, "[1,2]", None)] + [(0, "[7,8]", None)] * 5 + [(1, "[5,6]", "b")] + [(1, "[9,9]", "b")] * 5, key=str)
 
 
 def test_hooks(spark):
