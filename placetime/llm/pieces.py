@@ -9,8 +9,10 @@ stretch on which paths stay apart, not the text.
 
 A boundary that no piece of the vocabulary can cross is such a boundary for every path.
 Texts are cut there first (before a run of spaces, around characters that occur in no longer
-piece). Short cuts fit in the window as a whole; those of one length go through the search
-together, and their ids are remembered, since words repeat.
+piece). A cut that is longer than the window is streamed, and gives out ids as soon as its paths meet.
+Cuts that fit in the window as a whole go through the search together with others of one
+length. Equal cuts of some hundred thousand are searched once, and a memory of a fixed
+number of bytes keeps the ids of those that came last, since words repeat.
 
 Costs are whole numbers, so equal sums are equal. A model whose scores are fractions has log
 probabilities, and a path costs their negative sum: the search of the unigram model. A model
@@ -48,10 +50,11 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"  # fixed value: the mark for a space in vocabulary files
 SHIFT = 100
 UNIT = 1_000_000
-REMEMBERED = 400_000  # cuts whose ids a task keeps; a full memory starts anew
-SHORT = 64  # characters of a cut that is searched together with others and remembered
-AHEAD = 200_000  # cuts whose texts are looked at together
-TOGETHER = 20_000  # cuts of one length in one search
+MEMORY = 24 << 20  # bytes, about, of the cuts and ids that a worker remembers
+ENTRY = 250  # bytes of an entry besides its characters and ids, about
+AHEAD = 100_000  # cuts whose texts are looked at together
+TOGETHER = 10_000  # cuts of one length in one search
+ROWS = 1_000  # texts that are given back together
 FACTOR = np.uint64(0x9E3779B97F4A7C15)  # of the polynomial hash of a piece
 NEVER = np.int64(1 << 60)
 
@@ -89,7 +92,11 @@ class Codec:
 
     pieces: Pieces
     known: dict[str, tuple[int, int]] = field(default_factory=dict)
-    seen: dict[str, tuple[int, ...]] = field(default_factory=dict)
+    #: ids of cuts as bytes: those of late, and those of before; the latter go when the former are half the memory
+    late: dict[str, bytes] = field(default_factory=dict)
+    before: dict[str, bytes] = field(default_factory=dict)
+    held: int = 0
+    commits: int = 0  # how often a streamed cut gave out ids before its end
 
     def __post_init__(self) -> None:
         texts = [t.replace(SPACE, " ") for t in self.pieces.texts]
@@ -105,7 +112,6 @@ class Codec:
             raise ValueError("two starts of pieces have one hash")
         self.byte_ids = {int(t[1:-1], 16): i for i, (t, k) in enumerate(zip(texts, self.pieces.kinds, strict=True)) if k == "b"}
         self.byte_cost = max(self.pieces.costs, default=1)
-        self.table = [bytes([int(t[1:-1], 16)]) if k == "b" else b"" if k == "c" else t.encode() for t, k in zip(texts, self.pieces.kinds, strict=True)]
         inside = {c for t in self.known if len(t) > 1 for c in t}
         alone = "".join(c for c in "\n\t\r" if c not in inside)
         spaced = all(" " not in t.lstrip(" ") for t in self.known)
@@ -126,7 +132,7 @@ class Codec:
     def search(self, text: str) -> Iterator[list[int]]:
         """Ids of a text in the order and as soon as they are final."""
         starts, longest, size = self.starts, self.longest, len(text)
-        final, look = 0, 4 * longest  # all paths run through final, and ids before it are given out
+        final, look = 0, longest  # all paths run through final, and ids before it are given out
         cost: list[int | None] = [0] + [None] * min(size, longest)
         came = [0] * len(cost)  # both from position final on
         for at in range(size):
@@ -147,7 +153,7 @@ class Codec:
                 cost[at + 1 - final], came[at + 1 - final] = step, at
             if at + 1 - final >= look:
                 boundary = self.meeting(cost, came, at, final)
-                look = 4 * longest if boundary > final else 2 * look  # paths that stay apart are not walked at every step
+                look = longest if boundary > final else 2 * look  # paths that stay apart are not walked at every step
                 if boundary > final:
                     yield self.path(text, came, final, boundary, final)
                     del cost[:boundary - final], came[:boundary - final]
@@ -205,29 +211,61 @@ class Codec:
                 open_, mark = open_[hit], mark[hit]
                 if not len(open_):
                     break
-        for text, starts, ids in zip(cuts, came.T.tolist(), last.T.tolist(), strict=True):
-            out, end = [], size
-            while end:
-                start = starts[end]
-                if ids[end] >= 0:
-                    out.append(ids[end])
-                else:
-                    out += self.single(text[start])[1][::-1]
-                end = start
-            yield tuple(out[::-1])
-
-    def learn(self, cuts: set[str]) -> None:
-        """Remember the ids of short cuts."""
-        if len(self.seen) + len(cuts) > REMEMBERED:
-            self.seen.clear()
+        # all paths back together: ids from the last to the first, and how many
+        found, count = np.zeros((size, many), np.int32), np.zeros(many, np.int64)
+        every, end, raw_piece = np.arange(many), np.full(many, size), np.zeros(many, bool)
+        while len(every):
+            own = last[end[every], every]
+            raw_piece[every] |= own < 0
+            found[count[every], every] = own
+            count[every] += 1
+            end[every] = came[end[every], every]
+            every = every[end[every] > 0]
+        flat = found[::-1].T[(np.arange(size)[::-1] < count[:, None])].astype(np.int32).tobytes()
+        stop = np.cumsum(count * 4)
+        for text, first, until, raw_, column in zip(cuts, (stop - count * 4).tolist(), stop.tolist(), raw_piece.tolist(), range(many), strict=True):
+            yield self.with_bytes(text, came[:, column], last[:, column]) if raw_ else flat[first:until]
+
+    def with_bytes(self, text: str, came: np.ndarray, last: np.ndarray) -> bytes:
+        """Ids of a cut on whose path characters become bytes."""
+        out, end = [], len(text)
+        while end:
+            start = int(came[end])
+            out.append([int(last[end])] if last[end] >= 0 else self.single(text[start])[1])
+            end = start
+        return np.array([i for part in out[::-1] for i in part], np.int32).tobytes()
+
+    def streamed(self, cut: str) -> bytes:
+        """Ids of a cut longer than the window."""
+        parts = list(self.search(cut))
+        self.commits += len(parts) - 1
+        return np.array([i for part in parts for i in part], np.int32).tobytes()
+
+    def learn(self, cuts: set[str]) -> dict[str, bytes]:
+        """Ids of cuts, remembered or searched."""
+        late, before = self.late, self.before
+        found = {c: ids for c in cuts if (ids := late.get(c) or before.get(c)) is not None}
         by_length: dict[int, list[str]] = {}
-        for cut in cuts:
-            by_length.setdefault(len(cut), []).append(cut)
+        new: dict[str, bytes] = {}
+        for cut in cuts - found.keys():
+            if len(cut) > self.longest:
+                new[cut] = self.streamed(cut)
+            else:
+                by_length.setdefault(len(cut), []).append(cut)
         for same in by_length.values():
             for k in range(0, len(same), TOGETHER):
-                self.seen.update(zip(same[k:k + TOGETHER], self.search_many(same[k:k + TOGETHER]), strict=True))
-
-    def encode_many(self, texts: list[str | None]) -> Iterator[list[int] | None]:
+                new.update(zip(same[k:k + TOGETHER], self.search_many(same[k:k + TOGETHER]), strict=True))
+        for cut, ids in new.items():
+            size = ENTRY + 2 * len(cut) + len(ids)
+            if size > MEMORY // 100:
+                continue
+            if self.held + size > MEMORY // 2:
+                self.late, self.before, self.held = {}, self.late, 0
+            self.late[cut] = ids
+            self.held += size
+        return found | new
+
+    def encode_many(self, texts: list[str | None]) -> Iterator[np.ndarray | None]:
         """Ids of each text, some texts at a time."""
         held: list[list[str] | None] = []
         room = 0
@@ -235,27 +273,32 @@ class Codec:
             held.append(None if text is None else self.cuts.findall(" " + text) if text else [])
             room += len(held[-1] or ())
             if room > AHEAD or k == len(texts) - 1:
-                self.learn({c for cuts in held if cuts for c in cuts if len(c) <= SHORT} - self.seen.keys())
+                ids_of = self.learn({c for cuts in held if cuts for c in cuts}).__getitem__
                 for cuts in held:
-                    if cuts is None:
-                        yield None
-                        continue
-                    ids: list[int] = []
-                    for cut in cuts:
-                        own = self.seen.get(cut)
-                        ids += own if own is not None else [i for part in self.search(cut) for i in part]
-                    yield ids
+                    yield None if cuts is None else np.frombuffer(b"".join(map(ids_of, cuts)), np.int32)
                 held, room = [], 0
 
     def encode(self, text: str) -> list[int]:
-        return next(self.encode_many([text]))
+        return next(self.encode_many([text])).tolist()
+
+
+@dataclass(frozen=True)
+class Reader:
+    """Decoder of one vocabulary: the bytes of every piece."""
+
+    table: tuple[bytes, ...]
 
     def decode(self, ids: list[int]) -> str:
-        table = self.table
-        raw = b"".join([table[i] for i in ids])
+        raw = b"".join(map(self.table.__getitem__, ids))
         return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
 
 
+@cache
+def reader(pieces: Pieces) -> Reader:
+    rows = zip(pieces.texts, pieces.kinds, strict=True)
+    return Reader(tuple(bytes([int(t[1:-1], 16)]) if k == "b" else b"" if k == "c" else t.replace(SPACE, " ").encode() for t, k in rows))
+
+
 @cache
 def codec(pieces: Pieces) -> Codec:
     return Codec(pieces)
@@ -267,28 +310,35 @@ def encoder(pieces: Pieces | None = None) -> Callable[[Column | str], Column]:
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def encode(texts: pa.Array) -> pa.Array:
-        own = codec(pieces)
-        found = [None if ids is None else np.array(ids, np.int32) for ids in own.encode_many(texts.to_pylist())]
-        return pa.array(found, pa.list_(pa.int32()))
+        return pa.array(list(codec(pieces).encode_many(texts.to_pylist())), pa.list_(pa.int32()))
 
     return encode
 
 
-def encoded(docs: DataFrame, pieces: Pieces | None = None, text: str = "text", into: str = "ids") -> DataFrame:
+def encoded(docs: DataFrame, pieces: Pieces | None = None, text: str = "text", into: str = "ids", check: str | None = None, keep_text: bool = True) -> DataFrame:
     """``docs`` with the ids of a text column in a new column, worked out once per row.
 
-    Unlike the column of ``encoder``, this one can be decoded or used several times without
-    Spark joining both steps and encoding again.
+    ``check`` names a column that says whether the ids decode to the text, found in the same
+    worker. Without ``keep_text`` the text does not come back.
     """
     pieces = pieces or load()
     place = docs.columns.index(text)
-    schema = T.StructType([*docs.schema.fields, T.StructField(into, T.ArrayType(T.IntegerType()))])
+    kept = [k for k in range(len(docs.columns)) if keep_text or k != place]
+    added = [T.StructField(into, T.ArrayType(T.IntegerType()))] + ([T.StructField(check, T.BooleanType())] if check else [])
+    schema = T.StructType([*(docs.schema.fields[k] for k in kept), *added])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(pieces)
-        for b in batches:
-            found = [None if ids is None else np.array(ids, np.int32) for ids in own.encode_many(b.column(place).to_pylist())]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.list_(pa.int32()))], names=[*b.schema.names, into])
+        for whole in batches:
+            for at in range(0, len(whole), ROWS):
+                b = whole.slice(at, ROWS)
+                texts = b.column(place).to_pylist()
+                found = list(own.encode_many(texts))
+                made = [pa.array(found, pa.list_(pa.int32()))]
+                if check:
+                    decode = reader(pieces).decode
+                    made.append(pa.array([t is None if ids is None else decode(ids.tolist()) == t for t, ids in zip(texts, found, strict=True)], pa.bool_()))
+                yield pa.RecordBatch.from_arrays([*(b.column(k) for k in kept), *made], names=schema.names)
 
     return docs.mapInArrow(work, schema)
 
@@ -299,7 +349,7 @@ def decoder(pieces: Pieces | None = None) -> Callable[[Column | str], Column]:
 
     @F.arrow_udf(T.StringType())
     def decode(ids: pa.Array) -> pa.Array:
-        own = codec(pieces)
+        own = reader(pieces)
         return pa.array([own.decode(x.values.to_numpy(zero_copy_only=False).tolist()) if x.is_valid else None for x in ids], pa.string())
 
     return decode

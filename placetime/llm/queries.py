@@ -42,9 +42,8 @@ def op3_quality_limits(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op4_pieces(spark: SparkSession, folder: str) -> DataFrame:
-    coded = pieces.encoded(table(spark, folder, "documents").select("doc_id", "text"))
-    lossless = pieces.decoder()("ids").eqNullSafe(F.col("text"))
-    return coded.select("doc_id", "ids", F.size("ids").alias("n_ids"), lossless.alias("lossless"))
+    coded = pieces.encoded(table(spark, folder, "documents").select("doc_id", "text"), check="lossless", keep_text=False)
+    return coded.select("doc_id", "ids", F.size("ids").alias("n_ids"), "lossless")
 
 
 @query()

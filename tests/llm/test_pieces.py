@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from placetime.llm import pieces
 
 OWN = pieces.codec(pieces.load())
+READER = pieces.reader(pieces.load())
 
 
 def plain(text, own=OWN):
@@ -33,16 +34,16 @@ TEXTS = ["a", " ", "   x", "Hello  world\nfoo\tbar ", "▁ ▁▁x", "ciónñ é
 def test_best_path_and_round_trip(text):
     ids = OWN.encode(text)
     assert cost_of(ids) == plain(text)
-    assert OWN.decode(ids) == text
+    assert READER.decode(ids) == text
     whole = [i for part in OWN.search(" " + text) for i in part]
-    assert cost_of(whole) == plain(text) and OWN.decode(whole) == text
+    assert cost_of(whole) == plain(text) and READER.decode(whole) == text
 
 
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet="abcdeinorst éñ▁\n 漢.", max_size=120))
 def test_random_texts(text):
     ids = OWN.encode(text)
-    assert OWN.decode(ids) == text and (not text or cost_of(ids) == plain(text))
+    assert READER.decode(ids) == text and (not text or cost_of(ids) == plain(text))
 
 
 def test_ids_come_before_the_text_ends():
@@ -53,7 +54,7 @@ def test_ids_come_before_the_text_ends():
 def test_unigram_scores_of_a_small_vocabulary():
     small = pieces.Codec(pieces.Pieces(("▁", "a", "b", "ab", "aba", "ba", "▁ab", "<0x0A>"), (9, 5, 5, 7, 12, 6, 8, 30), "nnnnnnnb"))
     for text in ("abab", "ababa" * 30, "a\nb"):
-        assert cost_of(small.encode(text), small) == plain(text, small) and small.decode(small.encode(text)) == text
+        assert cost_of(small.encode(text), small) == plain(text, small) and pieces.reader(small.pieces).decode(small.encode(text)) == text
 
 
 def test_columns(spark):
@@ -72,3 +73,27 @@ def test_all_documents(spark, sf):
         assert r.again == r.text
     for r in df.limit(20).collect():
         assert cost_of(r.ids) == plain(r.text)
+
+
+def test_real_documents_are_streamed(spark, sf):
+    own = pieces.Codec(pieces.load())
+    texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
+    found = list(own.encode_many(texts))
+    assert own.commits > 10 and all(READER.decode(ids.tolist()) == t for ids, t in zip(found, texts, strict=True))
+
+
+def test_the_memory_is_bounded(monkeypatch):
+    monkeypatch.setattr(pieces, "MEMORY", 40_000)
+    monkeypatch.setattr(pieces, "AHEAD", 50)
+    own = pieces.Codec(pieces.load())
+    texts = [f"word{i} other{i % 7}" for i in range(2000)]
+    found = list(own.encode_many(texts))
+    assert all(READER.decode(ids.tolist()) == t for ids, t in zip(found, texts, strict=True))
+    size = lambda kept: sum(pieces.ENTRY + 2 * len(c) + len(ids) for c, ids in kept.items())
+    assert 0 < size(own.late) <= 20_000 and 0 < size(own.before) <= 20_000
+
+
+def test_check_in_the_same_worker(spark):
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "a b")], "doc_id long, text string")
+    got = pieces.encoded(df, check="ok", keep_text=False)
+    assert got.columns == ["doc_id", "ids", "ok"] and all(r.ok for r in got.collect())

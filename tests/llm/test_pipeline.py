@@ -48,7 +48,7 @@ def test_personal_data(made):
 def test_mixing_and_ids(made):
     texts = {r["doc_id"]: r["text"] for r in made[3]}
     assert all(r["text"] == texts[r["doc_id"]] for r in made[4])
-    own = pieces.codec(pieces.load())
+    own = pieces.reader(pieces.load())
     assert sorted(r["doc_id"] for r in made[5]) == sorted(r["doc_id"] for r in made[4])
     for r in made[5][:40]:
         assert own.decode(r["ids"]) == texts[r["doc_id"]] and cost_of(r["ids"]) == plain_cost(texts[r["doc_id"]])
