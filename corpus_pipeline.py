@@ -42,7 +42,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, the ids of the text and their number, for every document."""
-    coded = docs.select("doc_id", "lang", "source", pieces.encoder()("text").alias("ids"))
+    coded = pieces.encoded(docs.select("doc_id", "lang", "source", "text"), keep_text=False)
     return coded.withColumn("n_ids", F.size("ids"))
 
 
