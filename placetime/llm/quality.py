@@ -3,13 +3,17 @@
 A document gets four measures, all whole numbers: symbols per thousand word characters,
 repeated lines per thousand lines, words in repeated windows per thousand words, and mean
 word length in tenths of a character. For each (language, source) and measure a quantile
-sketch counts documents per bin. Bins are whole numbers below 16 and an eighth of a power of
-two wide above, so a sketch has a few hundred counters at most, is exact to one part in
-eight, and merges by adding counters: it does not depend on how rows are dealt to tasks.
-
-A measure's limit is ``max(q3 + 3 (q3 - q1), q2 + slack)``; a document passes when all its
-measures are at most their limits and it did not fail the base rules. The slack is the
-distance from the median below which nothing is an outlier. A group with fewer than
+sketch counts the documents that pass the base rules per bin. Bins are whole numbers below 128 and a 64th of a power of
+two wide above, so a sketch has some hundred counters at most, is exact to one part in
+64, and merges by adding counters: it does not depend on how rows are dealt to tasks.
+
+A measure's limit follows the spread of its sketch, as far above a high quantile as that
+quantile lies above the median, times a factor: ``high + factor (high - median)``. Which quantile and
+factor depends on the measure (``RULES``): rubbish of one kind, as symbols or endless words, can be some
+per cent of a source, so the quantile has to be lower than that; repeats are no rubbish until they are far
+more than what the source's own documents have. A document passes when all its
+measures are at most their limits and it did not fail the base rules. The least distance is that from the
+median below which rounding and a handful of characters or lines decide. A group with fewer than
 ``LEAST`` documents is judged by its language's sketch, a small language by that of all
 documents.
 
@@ -35,9 +39,8 @@ WINDOW = 8
 LEAST_WORDS = 20
 MOST_REPEATED = 30  # per cent of words
 LEAST = 200
-FENCE = 3
-#: measure and its slack
-SLACKS = {"symbols": 40, "dup_lines": 450, "repeats": 250, "word_length": 80}
+#: measure: per cent of its high quantile, factor in tenths, least distance from the median
+RULES = {"symbols": (75, 30, 10), "dup_lines": (99, 10, 100), "repeats": (99, 15, 100), "word_length": (90, 40, 10)}
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -91,15 +94,15 @@ def base_failed(c: Column) -> Column:
 
 
 def measures(c: Column) -> Column:
-    """Array of the four measures, in the order of SLACKS."""
+    """Array of the four measures, in the order of RULES."""
     per = lambda top, scale, bottom: F.floor(F.lit(scale) * c[top] / F.greatest(c[bottom], F.lit(1)))
     return F.array(per("n_symbols", 1000, "word_chars"), per("n_dup_lines", 1000, "n_lines"), per("n_repeat_words", 1000, "n_words"), per("word_chars", 10, "n_words"))
 
 
 def bin_of(value: Column) -> Column:
     """Least value of the sketch bin that holds a whole number."""
-    width = F.greatest(F.length(F.bin(value)) - 4, F.lit(0))
-    return F.when(value < 16, value).otherwise(F.call_function("shiftleft", F.call_function("shiftright", value, width), width))
+    width = F.greatest(F.length(F.bin(value)) - 7, F.lit(0))
+    return F.when(value < 128, value).otherwise(F.call_function("shiftleft", F.call_function("shiftright", value, width), width))
 
 
 def sketches(measured: DataFrame) -> DataFrame:
@@ -107,7 +110,7 @@ def sketches(measured: DataFrame) -> DataFrame:
     return (
         # outer: else Spark filters on the array first, and works it out again for that
         measured.select("lang", "source", F.posexplode_outer("measures").alias("measure", "value"))
-        .groupBy("lang", "source", "measure", bin_of(F.col("value")).alias("bin")).agg(F.count("*").alias("n"))
+        .where(F.col("value").isNotNull()).groupBy("lang", "source", "measure", bin_of(F.col("value")).alias("bin")).agg(F.count("*").alias("n"))
     )
 
 
@@ -116,28 +119,35 @@ def merged(counters: DataFrame, *by: str) -> DataFrame:
     return counters.groupBy(*by, "measure", "bin").agg(F.sum("n").alias("n"))
 
 
-def quartiles(counters: DataFrame, *by: str) -> DataFrame:
-    """Per group and measure: total and the three quartiles, the least bins that reach them."""
+def _rule(part: int) -> Column:
+    return F.element_at(F.array(*[F.lit(r[part]) for r in RULES.values()]), F.col("measure") + 1)
+
+
+def quantiles(counters: DataFrame, *by: str) -> DataFrame:
+    """Per group and measure: total, median and the measure's high quantile, the least bins that reach them."""
     upto = W.partitionBy(*by, "measure").orderBy("bin")
     ranked = counters.withColumn("upto", F.sum("n").over(upto)).withColumn("total", F.sum("n").over(W.partitionBy(*by, "measure")))
-    reach = lambda k: F.min(F.when(4 * F.col("upto") >= k * F.col("total"), F.col("bin"))).alias(f"q{k}")
-    return ranked.groupBy(*by, "measure").agg(F.max("total").alias("total"), reach(1), reach(2), reach(3))
+    reach = lambda per_cent: F.min(F.when(100 * F.col("upto") >= per_cent * F.col("total"), F.col("bin")))
+    return ranked.groupBy(*by, "measure").agg(F.max("total").alias("total"), reach(F.lit(50)).alias("median"), reach(_rule(0)).alias("high"))
 
 
 def limits(measured: DataFrame, least: int = LEAST) -> DataFrame:
-    """(lang, source, limits): an array with the limit of each measure, a row per group."""
+    """(lang, source, limits): an array with the limit of each measure, a row per group.
+
+    ``measured`` has the documents that pass the base rules, and a group in which none does has no row.
+    """
     own = checkpointed(sketches(measured))
     langs = checkpointed(merged(own, "lang"))
-    q = F.struct("total", "q1", "q2", "q3")
-    per_group = quartiles(own, "lang", "source").select("lang", "source", "measure", q.alias("own"))
-    per_lang = quartiles(langs, "lang").select(F.col("lang").alias("of_lang"), F.col("measure").alias("m1"), q.alias("wide"))
-    overall = quartiles(merged(langs)).select(F.col("measure").alias("m2"), q.alias("widest"))
+    q = F.struct("total", "median", "high")
+    per_group = quantiles(own, "lang", "source").select("lang", "source", "measure", q.alias("own"))
+    per_lang = quantiles(langs, "lang").select(F.col("lang").alias("of_lang"), F.col("measure").alias("m1"), q.alias("wide"))
+    overall = quantiles(merged(langs)).select(F.col("measure").alias("m2"), q.alias("widest"))
     chosen = F.when(F.col("own.total") >= least, F.col("own")).when(F.col("wide.total") >= least, F.col("wide")).otherwise(F.col("widest"))
-    slack = F.element_at(F.array(*[F.lit(v) for v in SLACKS.values()]), F.col("measure") + 1)
+    spread = F.col("q.high") - F.col("q.median")
     joined = (
         per_group.join(per_lang, F.col("lang").eqNullSafe(F.col("of_lang")) & (F.col("measure") == F.col("m1")))
         .join(overall, F.col("measure") == F.col("m2")).withColumn("q", chosen)
-        .withColumn("top", F.greatest(F.col("q.q3") + FENCE * (F.col("q.q3") - F.col("q.q1")), F.col("q.q2") + slack))
+        .withColumn("top", F.greatest(F.col("q.high") + F.floor(spread * _rule(1) / 10), F.col("q.median") + _rule(2)))
     )
     return joined.groupBy("lang", "source").agg(F.transform(F.array_sort(F.collect_list(F.struct("measure", "top"))), lambda x: x["top"]).alias("limits"))
 
@@ -153,10 +163,10 @@ def judged(docs: DataFrame, least: int = LEAST) -> DataFrame:
         docs.select("doc_id", "lang", "source", counts("text").alias("c"))
         .select("doc_id", "lang", "source", "c", base_failed(F.col("c")).alias("base_failed"), measures(F.col("c")).alias("measures"))
     )
-    tops = limits(measured, least).withColumnsRenamed({"lang": "of_lang", "source": "of_source"})
+    tops = limits(measured.where("not base_failed"), least).withColumnsRenamed({"lang": "of_lang", "source": "of_source"})
     both = F.col("lang").eqNullSafe(F.col("of_lang")) & F.col("source").eqNullSafe(F.col("of_source"))
     kept = ~F.col("base_failed") & within(F.col("measures"), F.col("limits"))
-    return measured.join(tops, both).select("doc_id", *[f"c.{n}" for n in COUNTS], "base_failed", kept.alias("kept"))
+    return measured.join(tops, both, "left").select("doc_id", *[f"c.{n}" for n in COUNTS], "base_failed", F.coalesce(kept, F.lit(False)).alias("kept"))
 
 
 def passing(docs: DataFrame, least: int = LEAST) -> DataFrame:
@@ -165,7 +175,8 @@ def passing(docs: DataFrame, least: int = LEAST) -> DataFrame:
     The limits are written first, so Spark knows their size when it plans the join: they are
     sent to all tasks where they are small, and joined by shuffle where they are not.
     """
-    measured = docs.select("lang", "source", let(counts("text"), measures).alias("measures"))
+    good = lambda c: F.when(~base_failed(c), measures(c))
+    measured = docs.select("lang", "source", let(counts("text"), good).alias("measures"))
     spark, path = docs.sparkSession, fresh_path(docs.sparkSession, "quality-limits")
     limits(measured, least).write.parquet(path)
     tops = spark.read.parquet(path)
@@ -184,7 +195,7 @@ _MEASURES = {
 
 def _sql_rows() -> str:
     """Shared first part of the SQL check: every document with its counts and measures."""
-    values = ", ".join(f"{{'measure': {i}, 'value': {e}, 'slack': {s}}}" for i, (e, s) in enumerate(zip(_MEASURES.values(), SLACKS.values(), strict=True)))
+    values = ", ".join(f"{{'measure': {i}, 'value': {e}, 'rank': {p}, 'factor': {k}, 'least': {d}}}" for i, (e, (p, k, d)) in enumerate(zip(_MEASURES.values(), RULES.values(), strict=True)))
     return rf"""
     d AS (SELECT row_number() OVER () AS row_id, *, coalesce(text, '') AS t FROM documents),
     w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
@@ -196,18 +207,17 @@ def _sql_rows() -> str:
         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(cover.n, 0)::BIGINT AS n_repeat_words
         FROM w LEFT JOIN cover USING (row_id)),
     f AS (SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words AS base_failed FROM c),
-    m AS (SELECT row_id, lang, source, unnest([{values}], recursive := true) FROM f),
-    s AS (SELECT *, CASE WHEN value < 16 THEN value ELSE (value >> (length(bin(value)) - 4)::INT) << (length(bin(value)) - 4)::INT END AS bin FROM m),
-    u AS (SELECT 0 AS kind, lang, source, measure, bin FROM s UNION ALL SELECT 1, lang, NULL, measure, bin FROM s UNION ALL SELECT 2, NULL, NULL, measure, bin FROM s),
+    m AS (SELECT row_id, lang, source, unnest([{values}], recursive := true) FROM f WHERE NOT base_failed),
+    s AS (SELECT *, CASE WHEN value < 128 THEN value ELSE (value >> (length(bin(value)) - 7)::INT) << (length(bin(value)) - 7)::INT END AS bin FROM m),
+    u AS (SELECT 0 AS kind, lang, source, measure, rank, factor, least, bin FROM s UNION ALL SELECT 1, lang, NULL, measure, rank, factor, least, bin FROM s UNION ALL SELECT 2, NULL, NULL, measure, rank, factor, least, bin FROM s),
     r AS (SELECT *, row_number() OVER (PARTITION BY kind, lang, source, measure ORDER BY bin) AS k, count(*) OVER (PARTITION BY kind, lang, source, measure) AS total FROM u),
-    q AS (SELECT kind, lang, source, measure, total, min(bin) FILTER (4 * k >= total) AS q1, min(bin) FILTER (4 * k >= 2 * total) AS q2, min(bin) FILTER (4 * k >= 3 * total) AS q3 FROM r GROUP BY ALL),
+    q AS (SELECT kind, lang, source, measure, total, greatest(min(bin) FILTER (100 * k >= rank * total) + (min(bin) FILTER (100 * k >= rank * total) - min(bin) FILTER (100 * k >= 50 * total)) * factor // 10,
+            min(bin) FILTER (100 * k >= 50 * total) + least) AS top FROM r GROUP BY kind, lang, source, measure, total, factor, least),
     bad AS (SELECT DISTINCT s.row_id FROM s
         JOIN q a ON a.kind = 0 AND a.measure = s.measure AND a.lang IS NOT DISTINCT FROM s.lang AND a.source IS NOT DISTINCT FROM s.source
         JOIN q b ON b.kind = 1 AND b.measure = s.measure AND b.lang IS NOT DISTINCT FROM s.lang
         JOIN q e ON e.kind = 2 AND e.measure = s.measure
-        WHERE s.value > CASE WHEN a.total >= {LEAST} THEN greatest(a.q3 + {FENCE} * (a.q3 - a.q1), a.q2 + s.slack)
-            WHEN b.total >= {LEAST} THEN greatest(b.q3 + {FENCE} * (b.q3 - b.q1), b.q2 + s.slack)
-            ELSE greatest(e.q3 + {FENCE} * (e.q3 - e.q1), e.q2 + s.slack) END)"""
+        WHERE s.value > CASE WHEN a.total >= {LEAST} THEN a.top WHEN b.total >= {LEAST} THEN b.top ELSE e.top END)"""
 
 
 SQL = f"""WITH {_sql_rows()}

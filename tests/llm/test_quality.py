@@ -36,19 +36,19 @@ def test_counts(spark):
 
 
 def bin_of(v):
-    width = max(v.bit_length() - 4, 0)
+    width = max(v.bit_length() - 7, 0)
     return v >> width << width
 
 
-def test_sketch_bins_and_quartiles(spark):
+def test_sketch_bins_and_quantiles(spark):
     values = [0, 1, 15, 16, 17, 18, 100, 1000, 999_999]
     rows = [("en", "s", [v]) for v in values]
     counters = quality.sketches(spark.createDataFrame(rows, "lang string, source string, measures array<long>"))
     assert {(r.bin, r.n) for r in counters.collect()} == set(Counter(map(bin_of, values)).items())
-    q = quality.quartiles(counters, "lang", "source").first()
-    assert (q.total, q.q1, q.q2, q.q3) == (9, bin_of(15), bin_of(17), bin_of(100))
+    q = quality.quantiles(counters, "lang", "source").first()
+    assert (q.total, q.median, q.high) == (9, bin_of(17), bin_of(100))
     twice = quality.merged(counters.union(counters), "lang")
-    assert quality.quartiles(twice, "lang").first().q2 == bin_of(17)
+    assert quality.quantiles(twice, "lang").first().median == bin_of(17)
 
 
 def test_limits_follow_the_source(spark):
@@ -62,6 +62,21 @@ def test_limits_follow_the_source(spark):
     assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == kept
 
 
+def test_sources_of_different_spread_have_different_limits(spark):
+    """Every limit of the wide source is above that of the narrow one, and none is the least distance."""
+    rows = [("en", s, [k * (i % 100) // 10 + 100 for k in (1, 2, 3, 4)] if s == "wide" else [k * (i % 100) // 30 + 100 for k in (4, 8, 8, 3)]) for i in range(1000) for s in ("wide", "narrow")]
+    tops = {r.source: r.limits for r in quality.limits(spark.createDataFrame(rows, "lang string, source string, measures array<long>")).collect()}
+    def plain(values, rule):
+        per_cent, factor, least = rule
+        ranked = sorted(map(bin_of, values))
+        median, high = (ranked[-(-p * len(ranked) // 100) - 1] for p in (50, per_cent))
+        return max(high + (high - median) * factor // 10, median + least)
+    for s in tops:
+        of = list(zip(*(m for _, name, m in rows if name == s), strict=True))
+        assert tops[s] == [plain(v, r) for v, r in zip(of, quality.RULES.values(), strict=True)]
+    assert all(a != b for a, b in zip(tops["wide"], tops["narrow"], strict=True))
+
+
 @pytest.mark.parametrize("least", [1, 5, 200])
 def test_odd_rows(spark, least):
     text = " ".join(f"w{i}" for i in range(25))
