@@ -8,7 +8,8 @@ part of the layout; a node whose text varies is a slot. Menus, headers, footers,
 forms and the like are known by their element, class, id or role; their slots hold no
 content, nor do slots that are mostly links. The content root is the lowest node above all
 content slots. A page's text is what stands below its host's content root, without the
-unwanted nodes; there names count only for block containers, by class or role. A host whose pages do not differ is served by the template of all hosts.
+unwanted nodes; there a name counts if all its words are of that kind (``cookie-banner``, not ``related-work``),
+for containers by class, role or id, for paragraphs as adverts or comments by class. Elements more than 200 deep belong to no template; their text is read like all other. A host whose pages do not differ is served by the template of all hosts.
 
 A template has one node per run of equal siblings, so it has the size of a layout, not of a
 page or a host. Tasks merge the pages they read by host; only templates are shuffled,
@@ -47,6 +48,20 @@ NAMES = re.compile(
     r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|header|masthead|topbar|footer|sidebar|side|aside|notice|notices|cookie|cookies|consent|gdpr|banner|ad|ads|adv|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|promotion|popup|modal|overlay|comment|comments|commentlist|disqus|respond|replies|share|sharing|social|related|recommended|breadcrumb|breadcrumbs|newsletter|subscribe|subscription|signup|login|search|pagination|pager|widget|toolbar|complementary|contentinfo)(?:[\s_-]|\d*$)",
     re.IGNORECASE,
 )
+#: fixed values: below a content root, the words that mark readers' comments, notices, adverts and the like ...
+INNER_WORDS = frozenset(
+    "nav navbar navigation menu masthead topbar footer sidebar side aside notice notices cookie cookies consent gdpr banner ad ads adv advert adverts advertisement"
+    " advertising sponsor sponsored promo promotion popup modal overlay comment comments commentlist disqus respond replies share sharing social related recommended"
+    " breadcrumb breadcrumbs newsletter subscribe subscription signup login search pagination pager widget toolbar complementary contentinfo".split()
+)
+#: ... those that may stand beside them in a name, and those that make a header the site's and not the article's
+BESIDE_WORDS = frozenset(
+    "box wrapper wrap container section list area block inner outer top bottom left right main content form links link posts post items item bar panel row col column"
+    " group holder unit slot title heading text message msg alert header module region entry entries thread reply count toggle button buttons icon icons page site js is has".split()
+)
+#: those of the first that also count for a paragraph
+ADVERT_WORDS = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent newsletter subscribe comment comments".split())
+SITE_WORDS = frozenset("site masthead topbar global".split())
 KEPT_TAGS = frozenset({"html", "body", "article", "main"})
 ROOTS = ("article", "main")
 TEXTUAL = frozenset("h1 h2 h3 h4 h5 h6 p li dl dt dd pre blockquote figure figcaption table thead tbody tfoot tr td th caption address summary hgroup".split())
@@ -56,6 +71,20 @@ HOSTS = 2_000  # templates a task holds before it gives them out
 SALTS = 32
 
 
+def parts_of(name: str) -> list[str]:
+    """Words of a class, id or role in lower case: cut at signs, digits and capitals."""
+    return re.findall(r"[a-z]+", re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "-", name).lower())
+
+
+def marks_unwanted(names: str, kinds: frozenset = INNER_WORDS) -> bool:
+    """Whether one of the names says nothing but that its element is unwanted below a content root."""
+    for name in names.split():
+        words = parts_of(name)
+        if any(w in kinds for w in words) and all(w in INNER_WORDS or w in BESIDE_WORDS for w in words):
+            return True
+    return False
+
+
 class Node:
     """An element of a page: label, whether it is unwanted, also below a content root, and its texts and elements in order."""
 
@@ -80,11 +109,10 @@ class _Reader(HTMLParser):
             self.stack[-1].items.append(Node("hr", "hr", True, True))
             return
         names = dict(attrs)
-        marks = " ".join(str(names.get(k) or "") for k in ("class", "id", "role")).strip()
+        marks = re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "-", " ".join(str(names.get(k) or "") for k in ("class", "id", "role"))).strip()
         unseen = "hidden" in names or names.get("aria-hidden") == "true"
         odd = tag in UNWANTED or (bool(marks) and tag not in KEPT_TAGS and bool(NAMES.search(marks))) or unseen
-        roles = f"{names.get('class') or ''} {names.get('role') or ''}".strip()
-        within = unseen or tag in UNWANTED - INNER_TAGS or (tag in BLOCKS - TEXTUAL - KEPT_TAGS and bool(NAMES.search(roles)))
+        within = unseen or tag in UNWANTED - INNER_TAGS or self.marked(tag, f"{names.get('class') or ''} {names.get('role') or ''}", str(names.get("id") or ""))
         if tag in VOID:
             return
         if tag in CLOSES_P:
@@ -102,6 +130,15 @@ class _Reader(HTMLParser):
             self.stack[-1].items.append(node)
             self.stack.append(node)
 
+    @staticmethod
+    def marked(tag: str, roles: str, name: str) -> bool:
+        """Unwanted below a content root by name: containers by class, role or id, paragraphs and items as adverts or comments, headers as the site's."""
+        if tag == "header":
+            return any(w in SITE_WORDS for w in parts_of(f"{roles} {name}")) or marks_unwanted(roles)
+        if tag in BLOCKS - TEXTUAL - KEPT_TAGS or tag in ("ul", "ol", "dl", "table"):
+            return marks_unwanted(f"{roles} {name}") or {"site", "header"} <= set(parts_of(f"{roles} {name}"))
+        return tag in ("p", "li", "dd", "figure", "blockquote") and marks_unwanted(roles, ADVERT_WORDS)
+
     def close_p(self) -> None:
         if self.stack[-1].tag == "p":
             self.stack.pop()
@@ -146,8 +183,8 @@ def parse(html: str | None) -> Node:
 def blocks(node: Node, rooted: bool = False) -> list[str]:
     """Texts of the blocks below a node in page order, white space made single, unwanted nodes left out.
 
-    Below a content root (``rooted``) only elements and block containers with an unwanted class
-    or role are unwanted: no heading, paragraph or inline element by its name, and none by its id.
+    Below a content root (``rooted``) containers are unwanted by a class, role or id that says nothing else,
+    paragraphs by one of adverts or comments, headers as those of the site; headings and inline elements never by a name.
     """
     out: list[str] = []
     run: list[str] = []

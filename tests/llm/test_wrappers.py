@@ -92,3 +92,22 @@ def test_names_inside_the_content_root(spark):
     )
     docs = spark.createDataFrame([(i, f"http://h/{i}", page.format(n=i)) for i in range(4)], "page_id long, url string, html string")
     assert {r.page_id: r.text for r in wrappers.extract(docs).collect()} == {i: f"T{i}\n\nEffects {i}\n\ntext {i} # why end\n\nwork {i}" for i in range(4)}
+
+
+def test_comments_notices_and_adverts_inside_the_content_root(spark):
+    page = (
+        "<body><article><header class='site'>My site {n}</header><header><h1>T{n}</h1></header><p>body {n}</p><p class='advert'>buy {n}</p>"
+        "<section id='cookie-banner'>we use {n} cookies</section><div class='relatedPosts'><a href=x>more {n}</a></div><div class='post-header'>by someone {n}</div>"
+        "<div id='social-history'><p>history {n}</p></div><div id='comments'><p>first! {n}</p></div><ul class='shareButtons'><li>share {n}</li></ul></article></body>"
+    )
+    docs = spark.createDataFrame([(i, f"http://h/{i}", page.format(n=i)) for i in range(4)], "page_id long, url string, html string")
+    want = {i: f"T{i}\n\nbody {i}\n\nby someone {i}\n\nhistory {i}" for i in range(4)}
+    assert {r.page_id: r.text for r in wrappers.extract(docs).collect()} == want
+
+
+@pytest.mark.parametrize("name,unwanted", [
+    ("comments", True), ("cookie-banner", True), ("relatedPosts", True), ("ad-box2", True), ("related-work", False), ("side-effects", False), ("content", False),
+    ("main-content", False), ("post-header", False), ("hljs-comment", False), ("", False), ("Sidebar left", True), ("search-algorithms", False),
+])
+def test_names(name, unwanted):
+    assert wrappers.marks_unwanted(name) is unwanted
