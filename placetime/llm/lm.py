@@ -10,6 +10,9 @@ the id; a word that shares one has its part of the id's count, so its log probab
 of the id plus log(n(word) / n(id)), by the counts of all words. Ids in order of frequency are cut into clusters; the
 network first gives a probability to the cluster, then to the id in it.
 
+Texts are read twice: to count, and to turn words into ids, which are written. The counts of the ``KNOWN`` most
+frequent words go to every task; words beyond are joined with the table of all counts.
+
 Training reads every word of every document. Each task runs gradient steps in numpy over the
 rows it reads and gives out its weights; the weights of all tasks are averaged by the words
 they saw, in rounds of a bounded fan-in. ``ROUNDS`` such rounds, each over its share of the
@@ -36,9 +39,10 @@ from pyspark.sql import functions as F
 
 from placetime.session import checkpointed
 
-IDS = 512
-SHARED = 96  # ids of words that are not among the most frequent
-CLUSTERS = 16
+IDS = 1024
+SHARED = 256  # ids of words that are not among the most frequent
+CLUSTERS = 32
+KNOWN = 65_536  # words whose counts every task has
 WIDTH = 16
 SIDE = (-2, -1, 1, 2)
 EDGE = 0  # the id outside a document
@@ -46,35 +50,44 @@ BATCH = 4096
 RATE = 0.2
 ROUNDS = 2
 FAN_IN = 32
+DOCS = 1000  # documents that are given back together
 SEED = 42
-REMEMBERED = 300_000
+ROWS = 1024  # rows of a product: more would wake the threads of the algebra library, which gain nothing here
 COUNTED = 500_000  # different words a task counts before it gives them out
 
 
-class _Ids(dict):
-    """Ids of words met so far; the memory starts anew when it is full."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        found = self[word] = self.own.get(word) or shared_id(word)
-        return found
-
-
 @dataclass
 class Vocabulary:
-    """Ids of words: EDGE, then shared ids, then the most frequent words in order."""
+    """Ids of words: EDGE, then shared ids, then the most frequent words in order.
+
+    ``words`` has the KNOWN most frequent words, ``known`` their counts, ``counts`` those of the ids.
+    """
 
     words: tuple[str, ...]
+    known: np.ndarray
     counts: np.ndarray
 
     def __post_init__(self) -> None:
-        self.seen = _Ids()
-        self.seen.own = {w: 1 + SHARED + i for i, w in enumerate(self.words)}
+        room = IDS - 1 - SHARED
+        self.place = {w: i for i, w in enumerate(self.words)}
+        own = np.arange(1 + SHARED, 1 + SHARED + min(room, len(self.words)))
+        self.id_of = np.concatenate([own, [shared_id(w) for w in self.words[room:]]]).astype(np.int16)
+        with np.errstate(divide="ignore"):
+            self.part_of = np.log(self.known / self.counts[self.id_of])
+
+    def read(self, text: str | None) -> tuple[np.ndarray, float, list[str]]:
+        """Ids of a text, the sum of log(n(word) / n(id)) over its known words, and the words that are not known."""
+        words = (text or "").split()
+        place = np.array([self.place.get(w, -1) for w in words], np.int64)
+        known = place >= 0
+        rare = [words[i] for i in np.flatnonzero(~known)]
+        ids = np.empty(len(words), np.int16)
+        ids[known] = self.id_of[place[known]]
+        ids[~known] = [shared_id(w) for w in rare]
+        return ids, float(self.part_of[place[known]].sum()), rare
 
     def ids(self, text: str | None) -> np.ndarray:
-        seen = self.seen
-        return np.array([seen[w] for w in (text or "").split()], np.int16)
+        return self.read(text)[0]
 
 
 def shared_id(word: str) -> int:
@@ -103,14 +116,13 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def vocabulary(docs: DataFrame, counted: DataFrame | None = None) -> Vocabulary:
-    """The most frequent words and the counts of all ids: IDS rows come to the driver."""
+    """The most frequent words and the counts of all ids: KNOWN + IDS rows come to the driver."""
     counted = checkpointed(word_counts(docs)) if counted is None else counted
-    room = IDS - 1 - SHARED
-    top = counted.orderBy(F.desc("n"), "word").limit(room).collect()
-    words = tuple(r.word for r in top)
+    top = counted.orderBy(F.desc("n"), "word").limit(KNOWN).collect()
+    own = frozenset(r.word for r in top[:IDS - 1 - SHARED])
 
     def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, own = np.zeros(1 + SHARED, np.int64), set(words)
+        total = np.zeros(1 + SHARED, np.int64)
         for b in batches:
             for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 if w not in own:
@@ -120,8 +132,25 @@ def vocabulary(docs: DataFrame, counted: DataFrame | None = None) -> Vocabulary:
     counts = np.zeros(IDS, np.int64)
     for r in counted.mapInArrow(share, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
         counts[r.id] = r.n
-    counts[1 + SHARED:1 + SHARED + len(top)] = [r.n for r in top]
-    return Vocabulary(words, counts)
+    counts[1 + SHARED:1 + SHARED + len(own)] = [r.n for r in top[:len(own)]]
+    return Vocabulary(tuple(r.word for r in top), np.array([r.n for r in top], np.int64), counts)
+
+
+def coded(docs: DataFrame, words: Vocabulary) -> DataFrame:
+    """doc_id, mark (a hash of the text), ids as bytes, part and rare of every row; see ``Vocabulary.read``."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Vocabulary(words.words, words.known, words.counts)
+        for b in batches:
+            for at in range(0, b.num_rows, DOCS):
+                some = b.slice(at, DOCS)
+                found = [own.read(t) for t in some.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays([
+                    some.column(0), some.column(1), pa.array([ids.tobytes() for ids, _, _ in found], pa.binary()),
+                    pa.array([part for _, part, _ in found], pa.float64()), pa.array([rare for _, _, rare in found], pa.list_(pa.string())),
+                ], names=["doc_id", "mark", "ids", "part", "rare"])
+
+    kind = dict(docs.dtypes)["doc_id"]
+    return docs.select("doc_id", F.xxhash64("text").alias("mark"), "text").mapInArrow(work, f"doc_id {kind}, mark long, ids binary, part double, rare array<string>")
 
 
 SHAPES = {"inner": (len(SIDE), IDS, WIDTH), "bias": (WIDTH,), "cluster": (WIDTH, CLUSTERS), "cluster_bias": (CLUSTERS,), "within": (CLUSTERS, WIDTH, IDS // CLUSTERS), "within_bias": (CLUSTERS, IDS // CLUSTERS)}
@@ -179,15 +208,15 @@ class Network:
         where = self.place[target]
         cluster, inside = where // (IDS // CLUSTERS), where % (IDS // CLUSTERS)
         h = self.hidden(around)
-        p = _softmax(h @ w["cluster"] + w["cluster_bias"])
+        p = _softmax(_times(h, w["cluster"]) + w["cluster_bias"])
         rows = np.arange(n)
         out = np.log(p[rows, cluster])
         back = np.zeros_like(h)
         slopes: dict[str, np.ndarray] = {}
         if learn:
             p[rows, cluster] -= 1
-            slopes["cluster"], slopes["cluster_bias"] = h.T @ p, p.sum(0)
-            back += p @ w["cluster"].T
+            slopes["cluster"], slopes["cluster_bias"] = sum(h[k:k + ROWS].T @ p[k:k + ROWS] for k in range(0, n, ROWS)), p.sum(0)
+            back += _times(p, w["cluster"].T)
             slopes["within"], slopes["within_bias"] = np.zeros_like(w["within"]), np.zeros_like(w["within_bias"])
         order = np.argsort(cluster.astype(np.int16), kind="stable")  # 16 bits: sorted by counting
         cuts = np.searchsorted(cluster[order], np.arange(CLUSTERS + 1))
@@ -218,6 +247,10 @@ class Network:
         return out
 
 
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.concatenate([a[k:k + ROWS] @ b for k in range(0, len(a), ROWS)]) if len(a) else a @ b
+
+
 def _softmax(x: np.ndarray) -> np.ndarray:
     x -= x.max(1, keepdims=True)
     np.exp(x, out=x)
@@ -225,13 +258,13 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return np.maximum(x, 1e-30, out=x)
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], column: int, words: Vocabulary) -> Iterator[tuple[list[np.ndarray], list[int], pa.RecordBatch]]:
+def _grouped(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[list[np.ndarray], list[int], pa.RecordBatch]]:
     """Ids of a few documents at a time, about BATCH words or one document."""
     for b in batches:
         held, rows, size = [], [], 0
         texts = b.column(column)
         for i in range(len(texts)):
-            held.append(words.ids(texts[i].as_py()))
+            held.append(np.frombuffer(texts[i].as_buffer(), np.int16))
             rows.append(i)
             size += len(held[-1])
             if size >= BATCH or i == len(texts) - 1:
@@ -250,17 +283,16 @@ def _average(key: tuple, rows: pa.Table) -> pa.Table:
 _VECTORS = "part long, seen double, vector binary"
 
 
-def trained(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> Network:
-    """Network after ``rounds`` rounds; every document is read for training in one of them."""
+def trained(read: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> Network:
+    """Network after ``rounds`` rounds over ``coded`` documents; each is read for training in one of them."""
     net = Network.start(words.counts)
     names, place = list(SHAPES), net.place
-    bare = Vocabulary(words.words, words.counts)
     for k in range(rounds):
         weights = net.weights
 
         def work(batches: Iterator[pa.RecordBatch], weights=weights) -> Iterator[pa.RecordBatch]:
             own, total, part = Network({n: v.copy() for n, v in weights.items()}, place), 0, None
-            for ids, _, b in _grouped(batches, 0, bare):
+            for ids, _, b in _grouped(batches, 0):
                 part = b.column(1)[0].as_py() if part is None else part
                 target, around = own.windows(ids)
                 for a in range(0, len(target), BATCH):
@@ -270,8 +302,8 @@ def trained(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> Network
                 vector = np.concatenate([own.weights[n].ravel() for n in names]).tobytes()
                 yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int64()), "seen": pa.array([float(total)]), "vector": pa.array([vector], pa.binary())})
 
-        share = docs.select("text").where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == k)
-        vectors = checkpointed(share.select("text", F.spark_partition_id().cast("long").alias("part")).mapInArrow(work, _VECTORS))
+        share = read.where(F.pmod("mark", F.lit(rounds)) == k)
+        vectors = checkpointed(share.select("ids", F.spark_partition_id().cast("long").alias("part")).mapInArrow(work, _VECTORS))
         parts = vectors.agg(F.max("part")).first()[0]
         if parts is None:
             continue
@@ -289,55 +321,42 @@ def trained(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> Network
     return net
 
 
-def shared_parts(docs: DataFrame, words: Vocabulary, counted: DataFrame) -> DataFrame:
-    """(mark, parts): per hash of a text the sum of log(n(word) / n(id)) over its words that share ids."""
+def rare_parts(read: DataFrame, words: Vocabulary, counted: DataFrame) -> DataFrame:
+    """(mark, rest): per hash of a text the sum of log(n(word) / n(id)) over its words that are not known."""
     own, totals = frozenset(words.words), words.counts
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = [(w, math.log(n / totals[shared_id(w)])) for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) if w not in own]
-            yield pa.RecordBatch.from_pydict({"word": pa.array([w for w, _ in rows], pa.string()), "part": pa.array([p for _, p in rows], pa.float64())})
+            yield pa.RecordBatch.from_pydict({"word": pa.array([w for w, _ in rows], pa.string()), "rest": pa.array([p for _, p in rows], pa.float64())})
 
-    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            marks, rows = [], []
-            for i, (mark, text) in enumerate(zip(b.column(0).to_pylist(), b.column(1), strict=True)):
-                found = Counter(w for w in (text.as_py() or "").split() if w not in own)
-                marks += [mark] * len(found)
-                rows += found.items()
-                if rows and (len(rows) > BATCH or i == b.num_rows - 1):
-                    yield pa.RecordBatch.from_pydict({"mark": pa.array(marks, pa.int64()), "word": pa.array([w for w, _ in rows], pa.string()), "k": pa.array([n for _, n in rows], pa.int64())})
-                    marks, rows = [], []
-
-    marked = docs.select(F.xxhash64("text").alias("mark"), "text")
+    # outer: else Spark filters on the array first
+    held = read.select("mark", F.explode_outer("rare").alias("word")).where(F.col("word").isNotNull())
+    sums = held.join(counted.mapInArrow(part, "word string, rest double"), "word").groupBy("mark").agg(F.sum("rest").alias("sum"))
     # rows of equal texts add up alike: their sum is shared out again
-    sums = marked.mapInArrow(held, "mark long, word string, k long").join(counted.mapInArrow(part, "word string, part double"), "word").groupBy("mark").agg(F.sum(F.col("k") * F.col("part")).alias("sum"))
-    return sums.join(marked.groupBy("mark").agg(F.count("*").alias("copies")), "mark").select("mark", (F.col("sum") / F.col("copies")).alias("parts"))
+    return sums.join(read.groupBy("mark").agg(F.count("*").alias("copies")), "mark").select("mark", (F.col("sum") / F.col("copies")).alias("rest"))
 
 
 def scored(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, score (sum of log probabilities) and per_word for every row of ``docs``."""
     counted = checkpointed(word_counts(docs))
     words = vocabulary(docs, counted)
-    net = trained(docs, words)
+    read = checkpointed(coded(docs, words))
+    net = trained(read, words)
     weights, place, kind = net.weights, net.place, dict(docs.dtypes)["doc_id"]
-    bare = Vocabulary(words.words, words.counts)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Network(weights, place)
-        for ids, rows, b in _grouped(batches, 1, bare):
-            part = slice(rows[0], rows[0] + len(rows))
+        for ids, rows, b in _grouped(batches, 1):
+            some = b.slice(rows[0], len(rows))
             sizes = np.array([len(d) for d in ids])
             target, around = own.windows(ids)
             found = np.concatenate([own.log_probabilities(target[a:a + BATCH], around[:, a:a + BATCH]) for a in range(0, len(target), BATCH)] or [np.zeros(0)])
             upto = np.concatenate(([0.0], np.cumsum(found, dtype=np.float64)))
             ends = np.cumsum(sizes)
-            score = upto[ends] - upto[ends - sizes]
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": b.column(0).slice(rows[0], len(rows)), "n_words": pa.array(sizes, pa.int64()), "score": pa.array(score),
-                "mark": b.column(2)[part],
-            })
-
-    by_id = docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(work, f"doc_id {kind}, n_words long, score double, mark long")
-    joined = by_id.join(shared_parts(docs, words, counted), "mark", "left").withColumn("score", F.col("score") + F.coalesce("parts", F.lit(0.0)))
+            score = upto[ends] - upto[ends - sizes] + some.column(3).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_pydict({"doc_id": some.column(0), "n_words": pa.array(sizes, pa.int64()), "score": pa.array(score), "mark": some.column(2)})
+
+    by_id = read.select("doc_id", "ids", "mark", "part").mapInArrow(work, f"doc_id {kind}, n_words long, score double, mark long")
+    joined = by_id.join(rare_parts(read, words, counted), "mark", "left").withColumn("score", F.col("score") + F.coalesce("rest", F.lit(0.0)))
     return joined.select("doc_id", "n_words", "score", (F.col("score") / F.greatest("n_words", F.lit(1))).alias("per_word"))

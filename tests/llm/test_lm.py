@@ -35,7 +35,7 @@ def corpus(spark):
 @pytest.fixture(scope="module")
 def model(corpus):
     words = lm.vocabulary(corpus)
-    return words, lm.trained(corpus, words)
+    return words, lm.trained(lm.coded(corpus, words), words)
 
 
 def test_scores_against_plain_loops(spark, corpus, model):
@@ -69,7 +69,7 @@ def test_counts(spark):
     docs = spark.createDataFrame([("a b a",), ("b c\n a",), (None,), ("",)], "text string")
     assert {r.word: r.n for r in lm.word_counts(docs).collect()} == {"a": 3, "b": 2, "c": 1}
     words = lm.vocabulary(docs)
-    assert words.words[:3] == ("a", "b", "c") and words.counts.sum() == 6
+    assert words.words == ("a", "b", "c") and words.counts.sum() == 6 and words.known.tolist() == [3, 2, 1]
     assert words.ids("zz a").tolist() == [lm.shared_id("zz"), 1 + lm.SHARED]
 
 
@@ -93,13 +93,32 @@ def test_odd_rows(spark):
     assert lm.scored(docs.limit(0)).collect() == []
 
 
-def test_words_that_share_an_id_are_told_apart(spark):
+@pytest.mark.parametrize("known", [lm.IDS - lm.SHARED, lm.KNOWN])
+def test_words_that_share_an_id_are_told_apart(spark, monkeypatch, known):
+    """Both by the counts that every task has and by the join."""
+    monkeypatch.setattr(lm, "KNOWN", known)
     common = [(i, " ".join(f"w{k}" for k in range(lm.IDS) for _ in range(2))) for i in range(3)]
     rows = [*common, (10, "rare rare rare bare"), (11, "bare"), (12, "rare"), (12, "rare")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     words = lm.vocabulary(docs)
-    assert not {"rare", "bare"} & set(words.words) and lm.shared_id("rare") == lm.shared_id("bare")
+    assert not {"rare", "bare"} & set(words.words[:lm.IDS - 1 - lm.SHARED]) and lm.shared_id("rare") == lm.shared_id("bare")
     got = {r.doc_id: r for r in lm.scored(docs).collect()}
     # five and two of the words with this id; all else is alike
     assert got[12].score - got[11].score == pytest.approx(math.log(5 / 2), rel=1e-6)
     assert got[12].per_word == got[12].score and lm.scored(docs).count() == len(rows)
+
+
+def test_real_documents_with_rare_words(spark, sf, monkeypatch):
+    monkeypatch.setattr(lm, "KNOWN", 2000)  # so that known, shared and joined words all occur
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").cache()
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    counted = {r.word: r.n for r in lm.word_counts(docs).collect()}
+    words = lm.vocabulary(docs)
+    net = lm.trained(lm.coded(docs, words), words)
+    own = set(words.words[:lm.IDS - 1 - lm.SHARED])
+    assert len(counted) > 4000 and len(words.words) == 2000
+    got = {r.doc_id: r for r in lm.scored(docs).collect()}
+    for doc_id in sorted(texts)[:15]:
+        split = texts[doc_id].split()
+        parts = sum(math.log(counted[w] / words.counts[lm.shared_id(w)]) for w in split if w not in own)
+        assert got[doc_id].score == pytest.approx(plain_score(net, words.ids(texts[doc_id])) + parts, rel=1e-4)
