@@ -239,7 +239,8 @@ def in_order(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """doc_id, text, range and after: documents dealt by range of doc_id and sorted in each.
 
     A range ends with a copy of the first document of the next range that has any (the last
-    with that of the first), marked by ``after``. Rows without a doc_id form range -1.
+    with that of the first), marked by ``after``. Rows without a doc_id have no next one; they are
+    dealt by their texts to ranges below 0.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -248,13 +249,15 @@ def in_order(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     shares = [i / ranges for i in range(1, ranges)] or [0.5]
     cuts = ids.agg(F.percentile_approx("doc_id", shares, 10 * ranges)).first()[0]
     bounds = sorted(set(cuts or []))
-    part = F.when(F.col("doc_id").isNull(), -1).otherwise(_range_of(F.col("doc_id"), bounds))
-    heads = {r[0]: r[1] for r in ids.groupBy(part.alias("range")).agg(F.min("doc_id")).collect()}
+    alone = (-1 - F.pmod(F.xxhash64("text"), F.lit(ranges))).cast("int")
+    own = _range_of(F.col("doc_id"), bounds)
+    part = F.when(F.col("doc_id").isNull(), alone).otherwise(own)
+    heads = {r[0]: r[1] for r in ids.groupBy(own.alias("range")).agg(F.min("doc_id")).collect()}
     full = sorted(heads)
     before = [(heads[r], full[i - 1]) for i, r in enumerate(full)]
     copied = docs.join(F.broadcast(spark.createDataFrame(before, "doc_id long, range int")), "doc_id").select("doc_id", "text", "range", F.lit(True).alias("after"))
     dealt = docs.select("doc_id", "text", part.alias("range"), F.lit(False).alias("after")).union(copied)
-    return dealt.repartition(ranges, "range").sortWithinPartitions("range", "after", "doc_id", "text")
+    return dealt.repartitionById(ranges, F.col("range")).sortWithinPartitions("range", "after", "doc_id", "text")
 
 
 RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
@@ -282,7 +285,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             for doc_id, text, part, after in zip(*[c.to_pylist() for c in b.columns], strict=True):
                 if last is not None:
                     ids.append(last[0])
-                    pairs.append((last[1], text if last[2] == part != -1 else ""))
+                    pairs.append((last[1], text if last[2] == part >= 0 else ""))
                     size += 2 * len(last[1])
                 last = None if after else (doc_id, text, part)
                 if size > CHUNK:

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import struct
 import uuid
 from collections.abc import Callable, Iterator
@@ -40,6 +41,8 @@ from placetime.session import fresh_path
 FRAME = 1 << 18  # plain bytes after which a frame ends
 BUNDLE = 1 << 27  # compressed bytes after which a bundle ends
 LEVEL = 3
+TOGETHER = 64  # frames of a bundle that one task reads after each other
+TASK = 1 << 28  # plain bytes of a reading task, about
 DATE = "2024-01-01T00:00:00Z"  # pages carry no fetch time
 
 # fixed values of the WARC and seekable Zstandard formats
@@ -231,13 +234,17 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read(spark, index: str, wanted: DataFrame | None = None) -> DataFrame:
     """Records of an archive from its index table: all, or those with a page_id in ``wanted``.
 
-    A revisit has its own fields and no payload; ``refers_to`` tells where the payload is.
+    A revisit has its own fields and no payload; ``refers_to`` tells where the payload is. Frames are dealt in
+    runs of ``TOGETHER`` of a bundle, to a number of tasks that follows from their bytes and not from those of the index.
     """
     rows = spark.read.parquet(index)
     if wanted is not None:
         rows = rows.join(wanted.select("page_id").distinct(), "page_id", "left_semi")
     frames = rows.groupBy("bundle", "frame").agg(F.array_sort(F.collect_list(F.struct("record_start", "record_bytes"))).alias("wanted"))
-    return frames.sortWithinPartitions("bundle", "frame").mapInArrow(_read, RECORDS)
+    total = rows.agg(F.sum("record_bytes")).first()[0] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / TASK))
+    runs = frames.repartition(tasks, "bundle", F.floor(F.col("frame") / TOGETHER))
+    return runs.sortWithinPartitions("bundle", "frame").mapInArrow(_read, RECORDS)
 
 
 def archived(pages: DataFrame, least: int = 0) -> DataFrame:
