@@ -88,13 +88,14 @@ def throttle(df: DataFrame, key: str, ts: str, tie: str, wait_ms: int = THROTTLE
     wait = max(1, wait_ms * 1000)
     kind = df.schema[ts].dataType.simpleString()
     key_type, tie_type = (df.schema[c].dataType.simpleString() for c in (key, tie))
-    ranges = ranges or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = ranges or 4 * parts
     timed = df.withColumn("_at", values.micros(ts, kind))
     bounds = range_bounds(timed.select(key, "_at"), [key, "_at"], ranges).scalar()
     instants = timed.groupBy(key, "_at").agg(F.min(tie).alias(tie)).withColumn("_bounds", bounds)
     cut = checkpointed(
         instants.select(key, range_number(F.col("_bounds"), F.struct(key, "_at"), ranges).alias("_range"), "_at", tie)
-        .repartition("_range").sortWithinPartitions("_range", key, "_at")
+        .repartitionById(parts, F.col("_range")).sortWithinPartitions("_range", key, "_at")
     )
 
     def report(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -150,6 +150,7 @@ def with_missing_class(domain: DataFrame, label: str, colour: str, missing_colou
 def styled_features(df: DataFrame, properties: str = "properties") -> DataFrame:
     """Nine style columns, popup and label out of a feature's property map."""
     p = F.col(properties)
+    # fixed values: the property names that features carry
     numbers = ("radius", "opacity", "weight", "fillOpacity")
     texts = ("fillColor", "color", "dashArray", "popup", "label")
     flags = ("stroke", "fill")
