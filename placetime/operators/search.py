@@ -28,7 +28,10 @@ COLLAPSE_AFTER = 3
 QUERY_PARAMETER = "q"
 
 RUN = 8  # bytes of the longest run
-RUNS = 4  # runs of a piece of a query
+RUNS = 4  # runs of a query without edits
+AROUND = 48  # bytes before and after a run that are looked at if there can be edits
+TILE = 3  # bytes
+_SHIFT = 4  # bytes of the longest character
 SLOT_BITS = 22
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BYTES_AT_ONCE = 1 << 20
@@ -105,17 +108,27 @@ def _slots(runs: np.ndarray, width: int) -> np.ndarray:
     return ((runs + np.uint64(width)) * _MIX) >> np.uint64(64 - SLOT_BITS)
 
 
-def _query_runs(query: str, threshold: float) -> list[tuple[int, int, int, int, int]]:
-    """(part, run, width, slot, runs of the part): a few runs of bytes spread over each piece of a query."""
-    found, cuts = [], _cuts(len(query), int(threshold * len(query) + 1e-9))
+def _query_runs(query: str, threshold: float) -> Iterator[tuple]:
+    """(part, run, width, slot, runs of the part, edits, near, at): runs of bytes of each piece of a query.
+
+    Without edits the one piece has a few runs spread over it. With edits each piece has its
+    first run, and ``near`` is what stands around it, from byte ``at`` before the run.
+    """
+    edits, whole = int(threshold * len(query) + 1e-9), query.encode()
+    cuts = _cuts(len(query), edits)
     for part, (start, stop) in enumerate(zip(cuts, cuts[1:], strict=False)):
-        piece = query[start:stop].encode()
+        piece, before = query[start:stop].encode(), len(query[:start].encode())
         width = min(RUN, len(piece))
         last = len(piece) - width
-        runs = sorted({int.from_bytes(piece[at:at + width], "little") for at in {last * i // (RUNS - 1) for i in range(RUNS)}})
-        places = _slots(np.array(runs, np.uint64), width)
-        found += [(part, int(np.uint64(r).view(np.int64)), width, int(p), len(runs)) for r, p in zip(runs, places, strict=True)]
-    return found
+        spread = {0} if edits else {last * i // (RUNS - 1) for i in range(RUNS)}
+        runs = sorted({int.from_bytes(piece[at:at + width], "little") for at in spread})
+        reach = max(0, AROUND - _SHIFT * edits)
+        near = whole[max(0, before - reach):before + width + reach] if edits else None
+        for run, place in zip(runs, _slots(np.array(runs, np.uint64), width), strict=True):
+            yield part, int(np.uint64(run).view(np.int64)), width, int(place), len(runs), edits, near, min(before, reach)
+
+
+_RUN_FIELDS = {"part": pa.int64(), "run": pa.int64(), "width": pa.int64(), "slot": pa.int64(), "needed": pa.int64(), "edits": pa.int64(), "near": pa.binary(), "at": pa.int64()}
 
 
 def _asked_runs(threshold: float):
@@ -123,52 +136,83 @@ def _asked_runs(threshold: float):
         for batch in batches:
             ids, rows = [], []
             for i, query in enumerate(batch["query"].to_pylist()):
-                own = _query_runs(query, threshold)
+                own = list(_query_runs(query, threshold))
                 ids += [i] * len(own)
                 rows += own
-            columns = [pa.array([r[k] for r in rows], pa.int64()) for k in range(5)]
-            yield pa.RecordBatch.from_arrays([batch["query_id"].take(pa.array(ids, pa.int64())), *columns], names=["query_id", "part", "run", "width", "slot", "needed"])
+            columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(_RUN_FIELDS.values())]
+            yield pa.RecordBatch.from_arrays([batch["query_id"].take(pa.array(ids, pa.int64())), *columns], names=["query_id", *_RUN_FIELDS])
     return work
 
 
-def _held_runs(bits: bytes, widths: list[int]):
-    """Which of the runs that queries use, as far as the filter tells, each text holds."""
-    masks = [(w, np.uint64((1 << 8 * w) - 1)) for w in widths]
+def _held_runs(exact: bytes, loose: bytes, widths: list[int]):
+    """Which of the runs that queries use, as far as the filters tell, each text holds.
 
-    def places(data: np.ndarray, offsets: np.ndarray, wanted: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        for at in range(int(offsets[0]), int(offsets[-1]), _BYTES_AT_ONCE):
-            stop = min(at + _BYTES_AT_ONCE, int(offsets[-1]))
-            piece = np.zeros(stop - at + RUN, np.uint64)
-            own = data[at:min(stop + RUN - 1, int(offsets[-1]))]
-            piece[:len(own)] = own
-            runs = piece
-            for k in (1, 2, 4):  # pairs, fours, eights of bytes
-                runs = runs[:-k] | runs[k:] << np.uint64(8 * k)
-            runs = runs[:stop - at]
-            for width, mask in masks:
-                some = runs & mask
-                hit = np.flatnonzero(wanted[_slots(some, width)])
-                doc = np.searchsorted(offsets, hit + at, side="right") - 1
-                whole = hit + at + width <= offsets[doc + 1]
-                doc, some = doc[whole], some[hit[whole]]
-                order = np.lexsort((some, doc))
-                doc, some = doc[order], some[order]
-                first = np.ones(len(doc), bool)
-                first[1:] = (doc[1:] != doc[:-1]) | (some[1:] != some[:-1])
-                yield doc[first], some[first].view(np.int64), np.full(int(first.sum()), width, np.int64)
+    Runs of queries without edits come once per text; others each time they occur, with the bytes around.
+    """
+    masks = [(w, np.uint64((1 << 8 * w) - 1)) for w in widths]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").astype(bool)
+        filters = [np.unpackbits(np.frombuffer(f, np.uint8), bitorder="little").astype(bool) for f in (exact, loose)]
+        names = ["doc_id", "run", "width", "context", "lead"]
         for batch in batches:
             texts = batch["text"]
             _, offsets, data = texts.buffers()
             offsets = np.frombuffer(offsets, np.int64 if pa.types.is_large_string(texts.type) else np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
             data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-            for doc, run, width in places(data, offsets, wanted):
-                yield pa.RecordBatch.from_arrays([batch["doc_id"].take(pa.array(doc)), pa.array(run), pa.array(width)], names=["doc_id", "run", "width"])
+            for begin in range(int(offsets[0]), int(offsets[-1]), _BYTES_AT_ONCE):
+                stop = min(begin + _BYTES_AT_ONCE, int(offsets[-1]))
+                runs = np.zeros(stop - begin + RUN, np.uint64)
+                own = data[begin:min(stop + RUN - 1, int(offsets[-1]))]
+                runs[:len(own)] = own
+                for k in (1, 2, 4):  # pairs, fours, eights of bytes
+                    runs = runs[:-k] | runs[k:] << np.uint64(8 * k)
+                runs = runs[:stop - begin]
+                for width, mask in masks:
+                    some = runs & mask
+                    slots = _slots(some, width)
+                    for wanted, contexts in zip(filters, (False, True), strict=True):
+                        hit = np.flatnonzero(wanted[slots])
+                        place = hit + begin
+                        doc = np.searchsorted(offsets, place, side="right") - 1
+                        whole = place + width <= offsets[doc + 1]
+                        doc, place, run = doc[whole], place[whole], some[hit[whole]]
+                        if contexts:
+                            first = np.maximum(place - AROUND, offsets[doc])
+                            end = np.minimum(place + width + AROUND, offsets[doc + 1])
+                            found = pa.array([data[a:b].tobytes() for a, b in zip(first.tolist(), end.tolist(), strict=True)], pa.binary())
+                            lead = pa.array(place - first, pa.int64())
+                        else:
+                            order = np.lexsort((run, doc))
+                            doc, run = doc[order], run[order]
+                            once = np.ones(len(doc), bool)
+                            once[1:] = (doc[1:] != doc[:-1]) | (run[1:] != run[:-1])
+                            doc, run = doc[once], run[once]
+                            found, lead = pa.nulls(len(doc), pa.binary()), pa.nulls(len(doc), pa.int64())
+                        yield pa.RecordBatch.from_arrays(
+                            [batch["doc_id"].take(pa.array(doc)), pa.array(run.view(np.int64)), pa.array(np.full(len(doc), width, np.int64)), found, lead], names=names
+                        )
     return work
 
 
+def _plausible(near: bytes, at: int, width: int, edits: int, context: bytes, lead: int) -> bool:
+    """Whether the bytes around a run can be those of its query: an edit spoils one tile, or two that share a character, and moves the others a little."""
+    slack, spoilt, most = _SHIFT * edits, 0, edits if near.isascii() else 2 * edits
+    for start in (*range(at - TILE, -1, -TILE), *range(at + width, len(near) - TILE + 1, TILE)):
+        place = lead + start - at
+        if place + TILE + slack <= 0 or context.find(near[start:start + TILE], max(0, place - slack), place + TILE + slack) < 0:
+            spoilt += 1
+            if spoilt > most:
+                return False
+    return True
+
+
+def _checked_around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = zip(*(batch[c].to_pylist() for c in ("near", "at", "width", "edits", "context", "lead")), strict=True)
+        keep = pa.array([r[4] is None or _plausible(*r) for r in rows], pa.bool_())
+        yield batch.select(["query_id", "part", "doc_id", "needed", "run"]).filter(keep)
+
+
 def _with_edits(threshold: float):
     """Checks the queries of every row on its whole texts, batch by batch."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,29 +238,30 @@ def _with_edits(threshold: float):
 def candidates(folded: DataFrame, asked: DataFrame, threshold: float) -> DataFrame:
     """(query_id, doc_id) pairs that the check of whole texts has to see.
 
-    With k edits a query keeps one of its k + 1 pieces unchanged, so a document that matches
-    holds all runs of bytes of some piece. Texts are cut in runs in numpy; a filter of
-    fixed size, one bit per slot of a hash, keeps those that queries may use, and a join tells
-    which they do. Building the filter is one job over the queries.
+    With k edits a query keeps one of its k + 1 pieces unchanged, and the other bytes around that piece
+    are spoilt in k places at most. Texts are cut in runs in numpy; filters of
+    fixed size, one bit per slot of a hash, keep those that queries may use, a join tells
+    which they do, and the bytes around the run decide. Building the filters is one job over the queries.
     """
-    runs = checkpointed(asked.select("query_id", "query").mapInArrow(
-        _asked_runs(threshold), f"query_id {_kind(asked, 'query_id')}, part long, run long, width long, slot long, needed long"
-    ))
-    # at most 2 ** SLOT_BITS / 64 rows, whatever the number of queries
-    words = runs.groupBy(F.expr("slot div 64").alias("word")).agg(
+    fields = ", ".join(f"{name} {'binary' if name == 'near' else 'long'}" for name in _RUN_FIELDS)
+    runs = checkpointed(asked.select("query_id", "query").mapInArrow(_asked_runs(threshold), f"query_id {_kind(asked, 'query_id')}, {fields}"))
+    # at most 2 ** SLOT_BITS / 64 rows for each filter, whatever the number of queries
+    words = runs.groupBy((F.col("edits") > 0).alias("loose"), F.expr("slot div 64").alias("word")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.expr("int(slot % 64)"))).alias("bits"),
         F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("width").cast("int"))).alias("widths"),
     ).collect()
-    filled, used = np.zeros(1 << SLOT_BITS >> 6, np.int64), 0
-    for word, bits, widths in words:
-        filled[word] = bits
+    filters, used = np.zeros((2, 1 << SLOT_BITS >> 6), np.int64), 0
+    for loose, word, bits, widths in words:
+        filters[int(loose), word] = bits
         used |= widths
     lengths = [w for w in range(1, RUN + 1) if used >> w & 1]
     texts = folded.select("doc_id", F.concat_ws("\n", *WEIGHTS).alias("text"))
-    held = texts.mapInArrow(_held_runs(filled.tobytes(), lengths), f"doc_id {_kind(folded, 'doc_id')}, run long, width long")
-    met = held.join(runs.drop("slot"), ["run", "width"])
+    doc, query = _kind(folded, "doc_id"), _kind(asked, "query_id")
+    held = texts.mapInArrow(_held_runs(filters[0].tobytes(), filters[1].tobytes(), lengths), f"doc_id {doc}, run long, width long, context binary, lead long")
+    met = held.join(runs.drop("slot"), ["run", "width"]).where(F.col("context").isNull() == (F.col("edits") == 0))
+    kept = met.mapInArrow(_checked_around, f"query_id {query}, part long, doc_id {doc}, needed long, run long")
     # a text that is cut in two blocks can hold a run twice
-    whole = met.groupBy("query_id", "part", "doc_id", "needed").agg(F.count_distinct("run").alias("n")).where("n = needed")
+    whole = kept.groupBy("query_id", "part", "doc_id", "needed").agg(F.count_distinct("run").alias("n")).where("n = needed")
     return whole.select("query_id", "doc_id").distinct()
 
 

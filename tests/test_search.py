@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from placetime.operators import search
+from placetime.plans import fixtures
+from placetime.plans.registry import table
 
 
 def fewest_edits(query, value):
@@ -85,6 +87,40 @@ def test_matches_equal_brute_force(corpus, fuzzy):
     assert scores == brute_force(documents, queries, fuzzy)
 
 
+@pytest.mark.parametrize("fuzzy", [False, True])
+def test_blocks_of_bytes_and_of_queries(corpus, monkeypatch, fuzzy):
+    documents, queries, docs, asked = corpus
+    monkeypatch.setattr(search, "_BYTES_AT_ONCE", 50)
+    monkeypatch.setattr(search, "_QUERIES_AT_ONCE", 1)
+    got = {(r.query_id, r.doc_id): r.score for r in search.match_documents(docs, asked, fuzzy).collect()}
+    assert got == brute_force(documents, queries, fuzzy)
+
+
+def test_equal_queries_are_found_alike(corpus, spark):
+    documents, queries, docs, _ = corpus
+    twice = spark.createDataFrame([(i + k, q) for i, q in queries[:4] for k in (0, 500)], "query_id int, query string")
+    got = {(r.query_id, r.doc_id) for r in search.match_documents(docs, twice).collect()}
+    assert got and got == {(q + k, d) for q, d in brute_force(documents, queries[:4], True) for k in (0, 500)}
+
+
+@pytest.mark.parametrize("width", [12, 24])
+def test_candidates_are_few(spark, sf, width):
+    """At most ten times the hits, over real documents and queries cut from them."""
+    folder = sf.replace("0.001", "0.01")
+    docs = fixtures.search_documents(spark, folder)
+    asked = table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), F.lower(F.substring("text", 11, width)).alias("query"))
+    folded = docs.select("doc_id", *(F.lower(f).alias(f) for f in search.WEIGHTS))
+    found = search.match_documents(docs, asked, width > 12).count()
+    assert 0 < found <= search.candidates(folded, asked, search.THRESHOLD if width > 12 else 0.0).count() <= 10 * found
+
+
+def test_runs_of_long_and_short_queries(spark):
+    docs = spark.createDataFrame([(1, None, None, "x" * 5000 + "needle in é haystack" + "y" * 5000), (2, "T", "", "né"), (3, None, None, None)], "doc_id long, title string, section string, text string")
+    asked = spark.createDataFrame([(1, "needle in é haystack" + "y" * 300), (2, "é"), (3, "NÉ"), (4, "x" * 4000), (5, "x" * 5001)], "query_id long, query string")
+    got = {(r.query_id, r.doc_id) for r in search.match_documents(docs, asked, fuzzy=False).collect()}
+    assert got == {(1, 1), (2, 1), (2, 2), (3, 2), (4, 1)}
+
+
 def test_edits_are_verified_in_bounded_blocks(corpus, monkeypatch):
     documents, queries, *_ = corpus
     pairs = [(d["text"], q.lower()) for d in documents for _, q in queries if q]
