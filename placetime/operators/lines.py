@@ -6,9 +6,11 @@ A line is the rows of some key columns in a given order. Neighbours and running
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,8 +19,7 @@ from placetime.operators.ordered import ordered_columns
 from placetime.session import checkpointed
 
 FLAT = 1e-12  # share of the summed sizes below which the area of a ring is rounding noise
-CELLS_ALONG = 64  # grid cells along a segment, at most
-GROWTH = 4  # how much wider the next round looks
+SLACK = 1e-6  # of a cell's side: rounding must not move a segment out of its cell
 
 
 def segments(vertices: DataFrame, keys: list[str], order: list[str], x: str = "x", y: str = "y") -> DataFrame:
@@ -87,77 +88,97 @@ def nearest_to(lines: DataFrame, keys: list[str], px: float, py: float) -> DataF
 
 # --- the nearest line of every point --------------------------------------------------
 
-def _listed(parts: DataFrame, cell: float) -> DataFrame:
-    """Each segment under the grid cells that come within one cell's side of it: _level, _cx, _cy.
+def _listed(parts: DataFrame, cell: float, reach: int) -> DataFrame:
+    """Each segment under the grid cells that it touches, or that come within ``reach`` cells' sides of it: _cx, _cy.
 
-    A segment has cells of side ``cell`` or, if it is long, of a power of two times that, so that it
-    lies along ``CELLS_ALONG`` of them at most. Row by row of the grid only the stretch that the segment has there is listed.
+    Row by row of the grid only the stretch that the segment has there is listed.
     """
-    length = F.greatest(F.abs(F.col("bx") - F.col("ax")), F.abs(F.col("by") - F.col("ay")))
-    level = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(length / (cell * CELLS_ALONG), F.lit(1.0))))).cast("int")
-    side = F.col("_side")
     low, high = F.least("ay", "by"), F.greatest("ay", "by")
-    rows = parts.withColumn("_level", level).withColumn("_side", F.pow(F.lit(2.0), F.col("_level")) * cell)
-    rows = rows.withColumn("_cy", F.explode(F.sequence(F.floor((low - side) / side), F.floor((high + side) / side))))
-    # the stretch whose points can be within a side of this row of cells
+    slack = cell * SLACK
+    rows = parts.withColumn("_cy", F.explode(F.sequence(F.floor((low - reach * cell - slack) / cell), F.floor((high + reach * cell + slack) / cell))))
     slope = (F.col("bx") - F.col("ax")) / F.nullif(F.col("by") - F.col("ay"), F.lit(0.0))
-    slack = side * 1e-6
-    from_y = F.least(high, F.greatest(low, (F.col("_cy") - 1) * side - slack))
-    to_y = F.least(high, F.greatest(low, (F.col("_cy") + 2) * side + slack))
+    from_y = F.least(high, F.greatest(low, (F.col("_cy") - reach) * cell - slack))
+    to_y = F.least(high, F.greatest(low, (F.col("_cy") + 1 + reach) * cell + slack))
     at = lambda y, end: F.coalesce(F.col("ax") + slope * (y - F.col("ay")), F.col(end))
     one, two = at(from_y, "ax"), at(to_y, "bx")
-    west, east = F.least(one, two) - side - slack, F.greatest(one, two) + side + slack
-    return rows.withColumn("_cx", F.explode(F.sequence(F.floor(west / side), F.floor(east / side)))).drop("_side")
+    west, east = F.least(one, two) - reach * cell - slack, F.greatest(one, two) + reach * cell + slack
+    return rows.withColumn("_cx", F.explode(F.sequence(F.floor(west / cell), F.floor(east / cell))))
+
+
+def _descended(points: DataFrame, cells: DataFrame, keys: list[str], cell: float, levels: int) -> DataFrame:
+    """Pairs of a point and a cell (_cx, _cy) that can hold its nearest segment.
+
+    From one cell over all down to the smallest, a pair is replaced by those with the occupied parts of
+    its cell, a quarter as wide. A point's nearest segment is at most as far as the far corner of any of its cells, so cells that
+    begin behind that go. What stays for a point is a rim of cells, whatever they hold.
+    """
+    pairs = points.withColumns({"_cx": F.lit(0).cast("long"), "_cy": F.lit(0).cast("long")})
+    down = lambda c, k: F.shiftright(c, 2 * k)
+    for level in reversed(range(levels)):
+        side = cell * 4**level
+        parts = cells.select(down("_cx", level).alias("_nx"), down("_cy", level).alias("_ny")).distinct()
+        parts = parts.withColumns({"_cx": down("_nx", 1), "_cy": down("_ny", 1)})
+        if levels - level <= 3:  # at most 16, 256 and 4096 cells
+            parts = F.broadcast(parts)
+        off = {}
+        for axis, at in (("_x", "_nx"), ("_y", "_ny")):
+            start, end = F.col(at) * side, (F.col(at) + 1) * side
+            off[axis] = F.greatest(F.lit(0.0), start - F.col(axis), F.col(axis) - end), F.greatest(F.abs(F.col(axis) - start), F.abs(F.col(axis) - end))
+        near, far = (F.sqrt(off["_x"][i] * off["_x"][i] + off["_y"][i] * off["_y"][i]) for i in (0, 1))
+        met = pairs.join(parts, ["_cx", "_cy"]).select(*keys, "_x", "_y", "_nx", "_ny", near.alias("_from"), far.alias("_to"))
+        bound = F.min("_to").over(W.partitionBy(*keys, "_x", "_y"))
+        met = met.withColumn("_bound", bound).where(F.col("_from") <= F.col("_bound") + cell * 10 * SLACK)
+        pairs = met.select(*keys, "_x", "_y", F.col("_nx").alias("_cx"), F.col("_ny").alias("_cy"))
+    return pairs
 
 
 def nearest_lines(points: DataFrame, parts: DataFrame, keys: list[str], line: list[str], x: str = "x", y: str = "y") -> DataFrame:
     """For every point the nearest segment of any line: ``keys`` of the point, ``line`` of the segment, distance, near_x, near_y.
 
-    ``parts`` has the columns of ``line`` and ax, ay, bx, by; ``keys`` name a point. A round meets each
-    point with the segments listed under its cell. No other segment is nearer than the side of a cell, so a
-    point whose best distance is at most that is done; the others go on to a round with wider cells. The rounds end when no point
-    is left, or when a cell is wider than all there is. Ties go to the least ``line``. Without segments there is no row.
+    ``parts`` has the columns of ``line`` and ax, ay, bx, by; ``keys`` name a point. Each
+    point first meets the segments that come within the side of a cell of its own cell; no other segment is nearer than that,
+    so a point whose best distance is at most that is done. For the others the cells that can
+    hold the nearest segment are found from large to small, and their segments compared.
+    Ties go to the least ``line``. Without segments there is no row.
     """
     sound = parts.where(F.col("ax").isNotNull() & F.col("ay").isNotNull() & F.col("bx").isNotNull() & F.col("by").isNotNull())
-    sound = checkpointed(sound.select(*line, "ax", "ay", "bx", "by"))
+    sound = sound.select(*line, *(F.col(c).cast("double").alias(c) for c in ("ax", "ay", "bx", "by")))
+    left = points.select(*keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
     reach = F.greatest(F.abs(F.col("bx") - F.col("ax")), F.abs(F.col("by") - F.col("ay")))
     known = sound.agg(
         F.count(F.lit(1)).alias("n"), F.avg(reach).alias("long"), F.min(F.least("ax", "bx")).alias("west"), F.max(F.greatest("ax", "bx")).alias("east"),
         F.min(F.least("ay", "by")).alias("south"), F.max(F.greatest("ay", "by")).alias("north"),
     ).first()
-    left = checkpointed(points.select(*keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).where(F.col("_x").isNotNull() & F.col("_y").isNotNull()))
-    ends = left.agg(F.min("_x"), F.max("_x"), F.min("_y"), F.max("_y")).first()
-    if not known["n"] or ends[0] is None:
+    ends = left.agg(F.min("_x"), F.max("_x"), F.min("_y"), F.max("_y"), F.count("*").alias("n")).first()
+    if not known["n"] or not ends["n"]:
         fields = [left.schema[k] for k in keys] + [sound.schema[c] for c in line]
         return left.sparkSession.createDataFrame([], T.StructType([*fields, *(T.StructField(c, T.DoubleType()) for c in ("distance", "near_x", "near_y"))]))
-    wide = max(known["east"], ends[1]) - min(known["west"], ends[0])
-    tall = max(known["north"], ends[3]) - min(known["south"], ends[2])
-    # about how far the segments, and long lines, would lie apart if they were spread evenly
+    west, south = min(known["west"], ends[0]), min(known["south"], ends[2])
+    wide, tall = max(known["east"], ends[1]) - west, max(known["north"], ends[3]) - south
+    # about how far the segments, long lines and the points would lie apart if they were spread evenly
     area = max(wide * tall, 1e-18)
-    cell = max(min((area / known["n"]) ** 0.5, area / max(known["n"] * known["long"], 1e-18)), max(wide, tall) / 2**20, 1e-9)
-    done = None
-    while True:
-        last = cell > max(wide, tall)
-        listed = _listed(sound, cell)
-        levels = listed.agg(F.collect_set("_level")).scalar()
-        side = F.pow(F.lit(2.0), F.col("_level")) * cell
-        placed = (
-            left.withColumn("_levels", levels).withColumn("_level", F.explode("_levels")).drop("_levels")
-            .withColumns({"_cx": F.floor(F.col("_x") / side), "_cy": F.floor(F.col("_y") / side)})
-        )
+    apart = min((area / known["n"]) ** 0.5, area / max(known["n"] * known["long"], 1e-18))
+    cell = max(apart, (area / ends["n"]) ** 0.5, max(wide, tall) / 2**20, 1e-9)
+    # the grid begins two cells before all there is, so that no cell has a negative number
+    west, south = west - 2 * cell, south - 2 * cell
+    moved = {c: F.col(c) - F.lit(west if c[-1] == "x" else south) for c in ("ax", "ay", "bx", "by")}
+    sound = checkpointed(sound.withColumns(moved))
+    left = checkpointed(left.withColumns({"_x": F.col("_x") - F.lit(west), "_y": F.col("_y") - F.lit(south)}))
+    here = {"_cx": F.floor(F.col("_x") / cell), "_cy": F.floor(F.col("_y") / cell)}
+
+    def best(met: DataFrame) -> DataFrame:
         near = geo.nearest_on_segment("_x", "_y", "ax", "ay", "bx", "by")
-        met = placed.join(listed, ["_level", "_cx", "_cy"]).withColumn("_near", near)
-        best = F.min(F.struct(F.col("_near.distance").alias("distance"), *line, F.col("_near.x").alias("near_x"), F.col("_near.y").alias("near_y")))
-        found = met.groupBy(*keys, "_x", "_y").agg(best.alias("_best"))
-        if not last:
-            found = found.where(F.col("_best.distance") <= cell)
-        found = checkpointed(found)
-        done = found if done is None else done.union(found)
-        if last:
-            break
-        same = [*(left[k].eqNullSafe(found[k]) for k in keys), left["_x"] == found["_x"], left["_y"] == found["_y"]]
-        left = checkpointed(left.join(found, reduce(Column.__and__, same), "left_anti"))
-        if not left.limit(1).count():
-            break
-        cell *= GROWTH
-    return done.select(*keys, *(F.col(f"_best.{c}") for c in line), "_best.distance", "_best.near_x", "_best.near_y")
+        least = F.min(F.struct(F.col("_near.distance").alias("distance"), *line, F.col("_near.x").alias("near_x"), F.col("_near.y").alias("near_y")))
+        return met.withColumn("_near", near).groupBy(*keys, "_x", "_y").agg(least.alias("_best"))
+
+    found = checkpointed(best(left.withColumns(here).join(_listed(sound, cell, 1), ["_cx", "_cy"])).where(F.col("_best.distance") <= cell))
+    same = [*(left[k].eqNullSafe(found[k]) for k in keys), left["_x"] == found["_x"], left["_y"] == found["_y"]]
+    far = left.join(found, reduce(Column.__and__, same), "left_anti")
+    listed = _listed(sound, cell, 0)
+    cells = checkpointed(listed.select("_cx", "_cy").distinct())
+    levels = max(1, math.ceil(math.log(max(wide, tall) / cell + 5, 4)))
+    rest = best(_descended(far, cells, keys, cell, levels).join(listed, ["_cx", "_cy"]))
+    return found.union(rest).select(
+        *keys, *(F.col(f"_best.{c}") for c in line), "_best.distance",
+        (F.col("_best.near_x") + F.lit(west)).alias("near_x"), (F.col("_best.near_y") + F.lit(south)).alias("near_y"),
+    )
