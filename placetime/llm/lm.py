@@ -10,7 +10,7 @@ the id; a word that shares one has its part of the id's count, so its log probab
 of the id plus log(n(word) / n(id)), by the counts of all words. Ids in order of frequency are cut into clusters; the
 network first gives a probability to the cluster, then to the id in it.
 
-Texts are read twice: to count, and to turn words into ids, which are written. The counts of the ``KNOWN`` most
+Texts are read twice: to count, and to turn words into ids, which are written. The counts of up to ``KNOWN``
 frequent words go to every task; words beyond are joined with the table of all counts.
 
 Training reads every word of every document. Each task runs gradient steps in numpy over the
@@ -39,10 +39,10 @@ from pyspark.sql import functions as F
 
 from placetime.session import checkpointed
 
-IDS = 1024
-SHARED = 256  # ids of words that are not among the most frequent
-CLUSTERS = 32
-KNOWN = 65_536  # words whose counts every task has
+IDS = 512
+SHARED = 128  # ids of words that are not among the most frequent
+CLUSTERS = 16
+KNOWN = 131_072  # words whose counts every task has
 WIDTH = 16
 SIDE = (-2, -1, 1, 2)
 EDGE = 0  # the id outside a document
@@ -60,7 +60,7 @@ COUNTED = 500_000  # different words a task counts before it gives them out
 class Vocabulary:
     """Ids of words: EDGE, then shared ids, then the most frequent words in order.
 
-    ``words`` has the KNOWN most frequent words, ``known`` their counts, ``counts`` those of the ids.
+    ``words`` has the KNOWN most frequent words at most, ``known`` their counts, ``counts`` those of the ids.
     """
 
     words: tuple[str, ...]
@@ -115,10 +115,25 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent(counted: DataFrame) -> list:
+    """The most frequent words, those with ids of their own first: KNOWN rows at most, and some thousand counters, come to the driver."""
+    width = F.greatest(F.length(F.bin("n")) - 7, F.lit(0))
+    step = F.call_function("shiftleft", F.call_function("shiftright", F.col("n"), width), width)
+    cut, room = None, KNOWN
+    for r in sorted(counted.groupBy(step.alias("step")).agg(F.count("*").alias("words")).collect(), key=lambda r: -r.step):
+        room -= r.words
+        if room < 0:
+            break
+        cut = r.step
+    top = counted.orderBy(F.desc("n"), "word").limit(IDS - 1 - SHARED).collect()
+    more = counted.where(F.col("n") >= cut).collect() if cut is not None else []
+    return top + sorted(set(more) - set(top), key=lambda r: (-r.n, r.word))
+
+
 def vocabulary(docs: DataFrame, counted: DataFrame | None = None) -> Vocabulary:
-    """The most frequent words and the counts of all ids: KNOWN + IDS rows come to the driver."""
+    """The most frequent words and the counts of all ids."""
     counted = checkpointed(word_counts(docs)) if counted is None else counted
-    top = counted.orderBy(F.desc("n"), "word").limit(KNOWN).collect()
+    top = frequent(counted)
     own = frozenset(r.word for r in top[:IDS - 1 - SHARED])
 
     def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
