@@ -34,7 +34,7 @@ TILE = 3  # bytes
 _SHIFT = 4  # bytes of the longest character
 SLOT_BITS = 22
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_BYTES_AT_ONCE = 1 << 20
+_BYTES_AT_ONCE = 1 << 17
 _QUERIES_AT_ONCE = 1000
 _VERIFY_AT_ONCE = 200_000
 
@@ -152,7 +152,8 @@ def _held_runs(exact: bytes, loose: bytes, widths: list[int]):
     masks = [(w, np.uint64((1 << 8 * w) - 1)) for w in widths]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters = [np.unpackbits(np.frombuffer(f, np.uint8), bitorder="little").astype(bool) for f in (exact, loose)]
+        # bit 0: queries without edits use the run, bit 1: others do
+        wanted = sum(np.unpackbits(np.frombuffer(f, np.uint8), bitorder="little") << k for k, f in enumerate((exact, loose)))
         names = ["doc_id", "run", "width", "context", "lead"]
         for batch in batches:
             texts = batch["text"]
@@ -169,14 +170,18 @@ def _held_runs(exact: bytes, loose: bytes, widths: list[int]):
                 runs = runs[:stop - begin]
                 for width, mask in masks:
                     some = runs & mask
-                    slots = _slots(some, width)
-                    for wanted, contexts in zip(filters, (False, True), strict=True):
-                        hit = np.flatnonzero(wanted[slots])
+                    marks = wanted[_slots(some, width)]
+                    found_at = np.flatnonzero(marks)
+                    marks = marks[found_at]
+                    for kind in (1, 2):
+                        hit = found_at[marks & kind > 0]
                         place = hit + begin
                         doc = np.searchsorted(offsets, place, side="right") - 1
                         whole = place + width <= offsets[doc + 1]
                         doc, place, run = doc[whole], place[whole], some[hit[whole]]
-                        if contexts:
+                        if not len(doc):
+                            continue
+                        if kind == 2:
                             first = np.maximum(place - AROUND, offsets[doc])
                             end = np.minimum(place + width + AROUND, offsets[doc + 1])
                             found = pa.array([data[a:b].tobytes() for a, b in zip(first.tolist(), end.tolist(), strict=True)], pa.binary())
