@@ -112,7 +112,7 @@ def _descended(points: DataFrame, cells: DataFrame, keys: list[str], cell: float
     its cell, a quarter as wide. A point's nearest segment is at most as far as the far corner of any of its cells, so cells that
     begin behind that go. What stays for a point is a rim of cells, whatever they hold.
     """
-    pairs = points.withColumns({"_cx": F.lit(0).cast("long"), "_cy": F.lit(0).cast("long")})
+    pairs = points.withColumns({f"_c{a}": F.floor(F.col(f"_{a}") / (cell * 4**levels)) for a in "xy"})
     down = lambda c, k: F.shiftright(c, 2 * k)
     for level in reversed(range(levels)):
         side = cell * 4**level
