@@ -20,8 +20,12 @@ def test_rewrite_is_simultaneous_and_survives_stand_ins(one):
     assert one(text.rewrite("s", rules), s="abba") == "baab"
     assert one(text.rewrite("s", rules), s="ab") == "ba"
     assert one(text.rewrite("s", {"": "x", "a": ""}), s="a") == "x"
-    with pytest.raises(ValueError, match="limit"):
+    with pytest.raises(Exception, match="grows more than"):
         one(text.rewrite("s", {"a": "aaaaaaaaaa"}, rounds=6), s="a")
+    # the text decides, not the rules alone
+    assert one(text.rewrite("s", {"a": "aaaaaaaaaa"}, rounds=6), s="bcd") == "bcd"
+    first = "\ue000\ue001a\ue002"
+    assert one(text.rewrite("s", {"a": "\ue003x"}), s=first) == "\ue000\ue001\ue003x\ue002"
 
 
 def test_tokens(one):
