@@ -52,7 +52,7 @@ ROUNDS = 2
 FAN_IN = 32
 DOCS = 1000  # documents that are given back together
 SEED = 42
-ROWS = 1024  # rows of a product: more would wake the threads of the algebra library, which gain nothing here
+ROWS = 500  # rows of a product: more would wake the threads of the algebra library, which gain nothing here
 COUNTED = 500_000  # different words a task counts before it gives them out
 
 
@@ -230,7 +230,7 @@ class Network:
         slopes: dict[str, np.ndarray] = {}
         if learn:
             p[rows, cluster] -= 1
-            slopes["cluster"], slopes["cluster_bias"] = sum(h[k:k + ROWS].T @ p[k:k + ROWS] for k in range(0, n, ROWS)), p.sum(0)
+            slopes["cluster"], slopes["cluster_bias"] = _crossed(h, p), p.sum(0)
             back += _times(p, w["cluster"].T)
             slopes["within"], slopes["within_bias"] = np.zeros_like(w["within"]), np.zeros_like(w["within_bias"])
         order = np.argsort(cluster.astype(np.int16), kind="stable")  # 16 bits: sorted by counting
@@ -239,13 +239,14 @@ class Network:
             own = order[cuts[c]:cuts[c + 1]]
             if not len(own):
                 continue
-            q = _softmax(h[own] @ w["within"][c] + w["within_bias"][c])
+            near = h[own]
+            q = _softmax(_times(near, w["within"][c]) + w["within_bias"][c])
             at = np.arange(len(own))
             out[own] += np.log(q[at, inside[own]])
             if learn:
                 q[at, inside[own]] -= 1
-                slopes["within"][c], slopes["within_bias"][c] = h[own].T @ q, q.sum(0)
-                back[own] += q @ w["within"][c].T
+                slopes["within"][c], slopes["within_bias"][c] = _crossed(near, q), q.sum(0)
+                back[own] += _times(q, w["within"][c].T)
         if learn:
             back *= 1 - h * h
             slopes["bias"] = back.sum(0)
@@ -263,7 +264,11 @@ class Network:
 
 
 def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.concatenate([a[k:k + ROWS] @ b for k in range(0, len(a), ROWS)]) if len(a) else a @ b
+    return np.concatenate([a[k:k + ROWS] @ b for k in range(0, len(a), ROWS)]) if len(a) > ROWS else a @ b
+
+
+def _crossed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return sum(a[k:k + ROWS].T @ b[k:k + ROWS] for k in range(0, len(a), ROWS))
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
