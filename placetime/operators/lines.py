@@ -91,7 +91,8 @@ def nearest_to(lines: DataFrame, keys: list[str], px: float, py: float) -> DataF
 def _listed(parts: DataFrame, cell: float, reach: int) -> DataFrame:
     """Each segment under the grid cells that it touches, or that come within ``reach`` cells' sides of it: _cx, _cy.
 
-    Row by row of the grid only the stretch that the segment has there is listed.
+    Row by row of the grid only the stretch that the segment has there is listed. Spark's estimate does not see how many
+    rows that makes, so joins with it are asked to merge: else the whole list is broadcast through the driver.
     """
     low, high = F.least("ay", "by"), F.greatest("ay", "by")
     slack = cell * SLACK
@@ -102,7 +103,7 @@ def _listed(parts: DataFrame, cell: float, reach: int) -> DataFrame:
     at = lambda y, end: F.coalesce(F.col("ax") + slope * (y - F.col("ay")), F.col(end))
     one, two = at(from_y, "ax"), at(to_y, "bx")
     west, east = F.least(one, two) - reach * cell - slack, F.greatest(one, two) + reach * cell + slack
-    return rows.withColumn("_cx", F.explode(F.sequence(F.floor(west / cell), F.floor(east / cell))))
+    return rows.withColumn("_cx", F.explode(F.sequence(F.floor(west / cell), F.floor(east / cell)))).hint("merge")
 
 
 def _descended(points: DataFrame, cells: DataFrame, keys: list[str], cell: float, levels: int) -> DataFrame:
@@ -118,8 +119,8 @@ def _descended(points: DataFrame, cells: DataFrame, keys: list[str], cell: float
         side = cell * 4**level
         parts = cells.select(down("_cx", level).alias("_nx"), down("_cy", level).alias("_ny")).distinct()
         parts = parts.withColumns({"_cx": down("_nx", 1), "_cy": down("_ny", 1)})
-        if levels - level <= 3:  # at most 16, 256 and 4096 cells
-            parts = F.broadcast(parts)
+        # at most 16, 256 and 4096 cells; more than that are not broadcast, whatever Spark's estimate
+        parts = F.broadcast(parts) if levels - level <= 3 else parts.hint("merge")
         off = {}
         for axis, at in (("_x", "_nx"), ("_y", "_ny")):
             start, end = F.col(at) * side, (F.col(at) + 1) * side
@@ -162,7 +163,8 @@ def nearest_lines(points: DataFrame, parts: DataFrame, keys: list[str], line: li
     # the grid begins two cells before all there is, so that no cell has a negative number
     west, south = west - 2 * cell, south - 2 * cell
     moved = {c: F.col(c) - F.lit(west if c[-1] == "x" else south) for c in ("ax", "ay", "bx", "by")}
-    sound = checkpointed(sound.withColumns(moved))
+    # few rows that become many: dealt over tasks before they are listed
+    sound = checkpointed(sound.withColumns(moved).repartition(int(sound.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     left = checkpointed(left.withColumns({"_x": F.col("_x") - F.lit(west), "_y": F.col("_y") - F.lit(south)}))
     here = {"_cx": F.floor(F.col("_x") / cell), "_cy": F.floor(F.col("_y") / cell)}
 

@@ -98,3 +98,23 @@ def test_nearest_lines_of_nothing(spark):
     one = segments.union(spark.createDataFrame([(1, 0.0, 0.0, 1.0, 0.0)], segments.schema))
     assert lines.nearest_lines(points.limit(0), one, ["id"], ["line"]).collect() == []
     assert lines.nearest_lines(points, one, ["id"], ["line"]).first().distance == pytest.approx(math.sqrt(10))
+
+
+def test_listed_segments_are_never_broadcast(spark, monkeypatch):
+    """A list of segments under cells looks as small as the segments to Spark, which would send it through the driver."""
+    plans, kept = [], lines.checkpointed
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df)
+
+    monkeypatch.setattr(lines, "checkpointed", noted)
+    points = spark.range(2000).select(F.col("id"), (F.col("id") * 7919 % 1000 / 10.0).alias("x"), (F.col("id") * 613 % 1000 / 10.0).alias("y"))
+    segments = spark.createDataFrame([(1, 0, 0.0, 0.0, 100.0, 90.0), (2, 0, 0.0, 5.0, 100.0, 99.0)], "line int, part int, ax double, ay double, bx double, by double")
+    near = lines.nearest_lines(points, segments, ["id"], ["line", "part"])
+    plans.append(near._jdf.queryExecution().executedPlan().toString())
+    joins = [p for p in plans if "_cx" in p and "Join" in p]
+    assert len(joins) == 2
+    assert "BroadcastHashJoin" not in joins[0] and "SortMergeJoin" in joins[0]
+    assert joins[1].count("BroadcastExchange") <= 3  # the bounded levels
+    assert near.count() == 2000
