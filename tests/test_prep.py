@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 
 from pyspark.sql import functions as F
 
@@ -88,6 +89,13 @@ def test_jitter_stays_in_bounds_and_does_not_depend_on_partitions(spark):
     assert abs(sum(one_) / len(one_) - 10) < 0.05
 
 
+def test_jitter_is_the_first_52_bits_of_an_md5(spark):
+    df = spark.createDataFrame([("1",), ("é",), (None,)], "id string")
+    for seed in (1, 2):
+        want = [int(hashlib.md5(f"{k}:{seed}".encode()).hexdigest()[:13], 16) / 2**52 * 2 - 1 for k in ("1", "é", "")]
+        assert sorted(r[0] for r in df.select(values.jitter(F.lit(0.0), 1.0, "id", seed)).collect()) == sorted(want)
+
+
 def test_base_groups(spark):
     df = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "g string")
     assert rows(prep.show_base_group(df, "g", ["a", "b", "c"], ["b", "c"])) == [("b",), ("d",)]
