@@ -30,6 +30,8 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -47,12 +49,14 @@ WIDTH = 16
 SIDE = (-2, -1, 1, 2)
 EDGE = 0  # the id outside a document
 BATCH = 4096
+PASS = 4 * BATCH  # words judged together: most groups of documents in one pass
 RATE = 0.2
 ROUNDS = 2
 FAN_IN = 32
 DOCS = 1000  # documents that are given back together
 SEED = 42
 ROWS = 500  # rows of a product: more would wake the threads of the algebra library, which gain nothing here
+LEAST = np.float32(math.log(1e-30))  # log probability
 COUNTED = 500_000  # different words a task counts before it gives them out
 
 
@@ -78,7 +82,7 @@ class Vocabulary:
     def read(self, text: str | None) -> tuple[np.ndarray, float, list[str]]:
         """Ids of a text, the sum of log(n(word) / n(id)) over its known words, and the words that are not known."""
         words = (text or "").split()
-        place = np.array([self.place.get(w, -1) for w in words], np.int64)
+        place = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
         known = place >= 0
         rare = [words[i] for i in np.flatnonzero(~known)]
         ids = np.empty(len(words), np.int16)
@@ -92,7 +96,12 @@ class Vocabulary:
 
 def shared_id(word: str) -> int:
     """Id of a word that is not among the most frequent."""
-    return 1 + xxhash.xxh32_intdigest(word[-2:].encode("utf-8", "surrogatepass")) % SHARED
+    return _ending_id(word[-2:])
+
+
+@lru_cache(1 << 16)
+def _ending_id(ending: str) -> int:
+    return 1 + xxhash.xxh32_intdigest(ending.encode("utf-8", "surrogatepass")) % SHARED
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -176,6 +185,7 @@ class Network:
 
     def __init__(self, weights: dict[str, np.ndarray], place: np.ndarray) -> None:
         self.weights, self.place = weights, place
+        self.cluster, self.inside = (place // (IDS // CLUSTERS)).astype(np.int16), (place % (IDS // CLUSTERS)).astype(np.int16)
         self.slopes = {k: np.full(v.shape, 1e-2, np.float32) for k, v in weights.items()}
 
     @staticmethod
@@ -205,76 +215,103 @@ class Network:
 
     def hidden(self, around: np.ndarray) -> np.ndarray:
         w = self.weights
-        total = w["bias"] + w["inner"][0][around[0]]
+        total = w["inner"][0].take(around[0], axis=0)
+        total += w["bias"]
         for j in range(1, len(SIDE)):
-            total += w["inner"][j][around[j]]
-        return np.tanh(total)
+            total += w["inner"][j].take(around[j], axis=0)
+        return np.tanh(total, out=total)
+
+    def _by_cluster(self, target: np.ndarray, around: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The order of the words by cluster, where each cluster begins, and in that order cluster, place in it and surroundings."""
+        cluster = self.cluster[target]
+        order = np.argsort(cluster, kind="stable")  # 16 bits: sorted by counting
+        cluster = cluster.take(order)
+        return order, np.searchsorted(cluster, np.arange(CLUSTERS + 1)), cluster, self.inside[target.take(order)], around.take(order, axis=1)
 
     def log_probabilities(self, target: np.ndarray, around: np.ndarray) -> np.ndarray:
         """Log probability of each word from its surroundings."""
-        return self._pass(target, around, learn=False)
+        w = self.weights
+        order, cuts, cluster, inside, around = self._by_cluster(target, around)
+        h = self.hidden(around)
+        found = _log_shares(_sums(h, w["cluster"], w["cluster_bias"]), cluster)
+        for c in range(CLUSTERS):
+            a, b = cuts[c], cuts[c + 1]
+            if a < b:
+                found[a:b] += _log_shares(_sums(h[a:b], w["within"][c], w["within_bias"][c]), inside[a:b])
+        out = np.empty_like(found)
+        out[order] = found
+        return out
 
     def learn(self, target: np.ndarray, around: np.ndarray) -> None:
         """One gradient step on the mean log probability."""
-        self._pass(target, around, learn=True)
-
-    def _pass(self, target: np.ndarray, around: np.ndarray, learn: bool) -> np.ndarray:
         w, n = self.weights, len(target)
-        where = self.place[target]
-        cluster, inside = where // (IDS // CLUSTERS), where % (IDS // CLUSTERS)
+        _, cuts, cluster, inside, around = self._by_cluster(target, around)
         h = self.hidden(around)
-        p = _softmax(_times(h, w["cluster"]) + w["cluster_bias"])
-        rows = np.arange(n)
-        out = np.log(p[rows, cluster])
-        back = np.zeros_like(h)
-        slopes: dict[str, np.ndarray] = {}
-        if learn:
-            p[rows, cluster] -= 1
-            slopes["cluster"], slopes["cluster_bias"] = _crossed(h, p), p.sum(0)
-            back += _times(p, w["cluster"].T)
-            slopes["within"], slopes["within_bias"] = np.zeros_like(w["within"]), np.zeros_like(w["within_bias"])
-        order = np.argsort(cluster.astype(np.int16), kind="stable")  # 16 bits: sorted by counting
-        cuts = np.searchsorted(cluster[order], np.arange(CLUSTERS + 1))
+        at = np.arange(n)
+        p = _softmax(_sums(h, w["cluster"], w["cluster_bias"]))
+        p[cluster, at] -= 1
+        back = np.empty_like(h)
+        slopes = {"within": np.zeros_like(w["within"]), "within_bias": np.zeros_like(w["within_bias"])}
+        slopes["cluster"], slopes["cluster_bias"] = _back(h, p, w["cluster"], back), p.sum(1)
         for c in range(CLUSTERS):
-            own = order[cuts[c]:cuts[c + 1]]
-            if not len(own):
+            a, b = cuts[c], cuts[c + 1]
+            if a == b:
                 continue
-            near = h[own]
-            q = _softmax(_times(near, w["within"][c]) + w["within_bias"][c])
-            at = np.arange(len(own))
-            out[own] += np.log(q[at, inside[own]])
-            if learn:
-                q[at, inside[own]] -= 1
-                slopes["within"][c], slopes["within_bias"][c] = _crossed(near, q), q.sum(0)
-                back[own] += _times(q, w["within"][c].T)
-        if learn:
-            back *= 1 - h * h
-            slopes["bias"] = back.sum(0)
-            slopes["inner"] = np.zeros_like(w["inner"])
-            for j in range(len(SIDE)):
-                order = np.argsort(around[j], kind="stable")
-                found = around[j][order]
-                first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
-                slopes["inner"][j][found[first]] = np.add.reduceat(back[order], first)
-            for k, slope in slopes.items():
-                slope /= n
-                self.slopes[k] += slope * slope
-                w[k] -= RATE * slope / np.sqrt(self.slopes[k])
-        return out
-
-
-def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.concatenate([a[k:k + ROWS] @ b for k in range(0, len(a), ROWS)]) if len(a) > ROWS else a @ b
-
-
-def _crossed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return sum(a[k:k + ROWS].T @ b[k:k + ROWS] for k in range(0, len(a), ROWS))
+            q = _softmax(_sums(h[a:b], w["within"][c], w["within_bias"][c]))
+            q[inside[a:b], at[:b - a]] -= 1
+            more = np.empty_like(back[a:b])
+            slopes["within"][c], slopes["within_bias"][c] = _back(h[a:b], q, w["within"][c], more), q.sum(1)
+            back[a:b] += more
+        h *= h
+        back *= np.subtract(1, h, out=h)
+        slopes["bias"] = back.sum(0)
+        # rows of the inner weights, those of all sides in one table
+        rows = (around + (np.arange(len(SIDE), dtype=np.int16) * IDS)[:, None]).ravel()
+        order = np.argsort(rows, kind="stable")
+        found = rows.take(order)
+        first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
+        slopes["inner"] = np.zeros_like(w["inner"])
+        slopes["inner"].reshape(-1, WIDTH)[found[first]] = np.add.reduceat(back.take(order % n, axis=0), first)
+        for k, slope in slopes.items():
+            slope /= n
+            self.slopes[k] += slope * slope
+            w[k] -= RATE * slope / np.sqrt(self.slopes[k])
+
+
+# Products keep one column per word: sums over ids then run along the words, whatever few ids a cluster has.
+
+def _sums(h: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Per id (row) and word (column) the weighted sum of what the word's place shows, plus the bias."""
+    x = np.empty((weights.shape[1], len(h)), np.float32)
+    for k in range(0, len(h), ROWS):
+        np.matmul(weights.T, h[k:k + ROWS].T, out=x[:, k:k + ROWS])
+    x += bias[:, None]
+    return x
+
+
+def _back(h: np.ndarray, p: np.ndarray, weights: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """Slopes of the weights of :func:`_sums`; those of ``h`` go to ``out``."""
+    total = np.zeros_like(weights)
+    for k in range(0, len(h), ROWS):
+        part = p[:, k:k + ROWS].T
+        np.matmul(part, weights.T, out=out[k:k + ROWS])
+        total += h[k:k + ROWS].T @ part
+    return total
+
+
+def _log_shares(x: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Per word the log of its own id's share; changes ``x``."""
+    x -= x.max(0)
+    found = x[own, np.arange(len(own))]
+    np.exp(x, out=x)
+    found -= np.log(x.sum(0))
+    return np.maximum(found, LEAST, out=found)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(1, keepdims=True)
+    x -= x.max(0)
     np.exp(x, out=x)
-    x /= x.sum(1, keepdims=True)
+    x /= x.sum(0)
     return np.maximum(x, 1e-30, out=x)
 
 
@@ -371,7 +408,7 @@ def scored(docs: DataFrame) -> DataFrame:
             some = b.slice(rows[0], len(rows))
             sizes = np.array([len(d) for d in ids])
             target, around = own.windows(ids)
-            found = np.concatenate([own.log_probabilities(target[a:a + BATCH], around[:, a:a + BATCH]) for a in range(0, len(target), BATCH)] or [np.zeros(0)])
+            found = np.concatenate([own.log_probabilities(target[a:a + PASS], around[:, a:a + PASS]) for a in range(0, len(target), PASS)] or [np.zeros(0)])
             upto = np.concatenate(([0.0], np.cumsum(found, dtype=np.float64)))
             ends = np.cumsum(sizes)
             score = upto[ends] - upto[ends - sizes] + some.column(3).to_numpy(zero_copy_only=False)

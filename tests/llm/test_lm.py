@@ -2,6 +2,7 @@
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -122,3 +123,49 @@ def test_real_documents_with_rare_words(spark, sf, monkeypatch):
         split = texts[doc_id].split()
         parts = sum(math.log(counted[w] / words.counts[lm.shared_id(w)]) for w in split if w not in own)
         assert got[doc_id].score == pytest.approx(plain_score(net, words.ids(texts[doc_id])) + parts, rel=1e-4)
+
+
+def _small():
+    rng = np.random.default_rng(5)
+    net = lm.Network.start(rng.integers(0, 1000, lm.IDS))
+    ids = [rng.integers(0, lm.IDS, n).astype(np.int16) for n in (1, 0, 700, 1300)]
+    return net, *net.windows(ids)
+
+
+def _plain(net, target, around, at):
+    """Log probability of one word by the definition, in double precision."""
+    w = {k: v.astype(float) for k, v in net.weights.items()}
+    size = lm.IDS // lm.CLUSTERS
+    c, i = divmod(int(net.place[target[at]]), size)
+    h = np.tanh(w["bias"] + sum(w["inner"][j][around[j, at]] for j in range(len(lm.SIDE))))
+    share = lambda x, k: x[k] - np.log(np.exp(x).sum())
+    return share(h @ w["cluster"] + w["cluster_bias"], c) + share(h @ w["within"][c] + w["within_bias"][c], i)
+
+
+def test_probabilities_and_slopes_follow_the_definition():
+    net, target, around = _small()
+    for _ in range(2):
+        got = net.log_probabilities(target, around)
+        assert got[::97] == pytest.approx([_plain(net, target, around, at) for at in range(0, len(target), 97)], abs=1e-4)
+        net.learn(target, around)
+    start, target, around = _small()
+    one = lm.Network({k: v.copy() for k, v in start.weights.items()}, start.place)
+    one.learn(target, around)
+    for k, spot in (("inner", (1, int(around[1, 0]), 3)), ("bias", (2,)), ("cluster", (4, 5)), ("cluster_bias", (0,)), ("within", (0, 1, 2)), ("within_bias", (0, 3))):
+        moved = {}
+        for step in (-1e-3, 1e-3):
+            start.weights[k][spot] += np.float32(step)
+            moved[step] = float(np.mean([_plain(start, target, around, at) for at in range(len(target))]))
+            start.weights[k][spot] -= np.float32(step)
+        slope = (moved[-1e-3] - moved[1e-3]) / 2e-3
+        went = float(one.weights[k][spot] - start.weights[k][spot])
+        assert went == pytest.approx(-lm.RATE * slope / np.sqrt(1e-2 + slope * slope), rel=0.05, abs=1e-4), k
+
+
+def test_learning_takes_no_logarithms_and_one_gather_of_all_sides(monkeypatch):
+    net, target, around = _small()
+    called = Counter()
+    for name in ("log", "argsort"):
+        monkeypatch.setattr(lm.np, name, lambda *a, _f=getattr(np, name), _n=name, **k: (called.update([_n]), _f(*a, **k))[1])
+    net.learn(target, around)
+    assert called == {"argsort": 2}
