@@ -1,6 +1,7 @@
 """Lines of one row per vertex against plain loops."""
 
 import math
+import os
 import random
 
 import pytest
@@ -118,3 +119,40 @@ def test_listed_segments_are_never_broadcast(spark, monkeypatch):
     assert "BroadcastHashJoin" not in joins[0] and "SortMergeJoin" in joins[0]
     assert joins[1].count("BroadcastExchange") <= 3  # the bounded levels
     assert near.count() == 2000
+
+
+def written_files(spark):
+    """Sizes of the files of shuffles and spills by their path."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {os.path.join(at, f): os.path.getsize(os.path.join(at, f)) for d in folders for at, _, files in os.walk(d) for f in files}
+
+
+def test_long_segments_take_little_disk(spark):
+    """Each of many long segments passes over a hundred points; none is written once for every point on its way."""
+    points = spark.range(20_000).select(F.col("id"), (F.col("id") * 7919 % 10007 / 100.07).alias("x"), (F.col("id") * 613 % 10009 / 100.09).alias("y"))
+    n = F.col("id")
+    segments = spark.range(2000).select(n.alias("line"), (n % 97 / 50).alias("ax"), (n % 89 / 50).alias("ay"), (100 - n % 83 / 50).alias("bx"), (100 - n % 79 / 50).alias("by"))
+    before = written_files(spark)
+    near = lines.nearest_lines(points, segments, ["id"], ["line"])
+    rows = near.collect()
+    written = sum(size for path, size in written_files(spark).items() if path not in before)
+    assert len(rows) == 20_000 and 0 < written < 8_000_000
+    got, dots, parts = {r.id: r for r in rows}, points.where("id % 400 = 7").collect(), [tuple(r) for r in segments.collect()]
+    for i, x, y in dots:
+        best = min((plain_nearest(x, y, *p[1:]), p[0]) for p in parts)
+        assert got[i].distance == pytest.approx(best[0], abs=1e-9)
+
+
+def test_nearest_lines_of_repeated_points_and_equal_distances(spark):
+    """A point that comes often has one row; a busy place is dealt over shares; of equal distances the least line and place count."""
+    dots = [(i, 1.0, 1.0) for i in range(5000)] * 2 + [(None, 1.0, 1.0)] * 3 + [(None, 7.0, 0.0), (7, 7.0, 0.0)] + [(9000 + i, i / 10, 90.0) for i in range(20)]
+    points = spark.createDataFrame(dots, "id int, x double, y double")
+    sides = [("b", 0.0, 0.0, 2.0, 0.0), ("a", 0.0, 2.0, 2.0, 2.0), ("a", 0.0, 0.0, 2.0, 0.0), ("c", 1.0, 1.0, 1.0, 1.0), (None, 8.0, -1.0, 8.0, 1.0), ("a", 6.0, -1.0, 6.0, 1.0)]
+    schema = "line string, ax double, ay double, bx double, by double"
+    rows = lines.nearest_lines(points, spark.createDataFrame([s for s in sides if s[0] != "c"], schema), ["id"], ["line"]).collect()
+    assert len(rows) == len(set(dots)) == 5023
+    assert all((r.line, r.distance, r.near_x, r.near_y) == ("a", 1.0, 1.0, 0.0) for r in rows if r.id is not None and r.id < 5000 and r.near_x < 2)
+    assert sorted(r.line is None for r in rows if r.near_x > 2 and r.distance == 1.0) == [True, True]
+    assert {r.distance for r in rows if r.id is not None and r.id >= 9000} == {88.0}
+    rows = lines.nearest_lines(points, spark.createDataFrame(sides, schema), ["id"], ["line"]).where("distance = 0").collect()
+    assert len(rows) == 5001 and {r.line for r in rows} == {"c"}
