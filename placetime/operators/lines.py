@@ -26,6 +26,7 @@ SLACK = 1e-9  # of the whole extent: rounding must not lose a segment
 PROBES = 12  # along each side of a block: more bound its distances tighter and take longer
 LEAF = 8  # points that are compared with what is left of the segments one by one
 SENT = 10_000  # rows of an Arrow batch
+TOGETHER = 4096  # segments in a task: with fewer the blocks, which every task goes through, take most of the time
 
 
 def segments(vertices: DataFrame, keys: list[str], order: list[str], x: str = "x", y: str = "y") -> DataFrame:
@@ -310,6 +311,7 @@ def nearest_lines(points: DataFrame, parts: DataFrame, keys: list[str], line: li
     result = T.StructType([*fields, *(T.StructField(c, T.DoubleType()) for c in ("distance", "near_x", "near_y"))])
     if not known["n"] or not ends["n"]:
         return left.sparkSession.createDataFrame([], result)
+    sound = sound.coalesce(min(tasks, 1 + known["n"] // TOGETHER))
     slack = SLACK * (max(known["east"], ends[1]) - min(known["west"], ends[0]) + max(known["north"], ends[3]) - min(known["south"], ends[2]))
 
     # strips of equal numbers of points, each cut across into blocks of equal numbers
