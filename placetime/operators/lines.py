@@ -26,6 +26,7 @@ SLACK = 1e-9  # of the whole extent: rounding must not lose a segment
 PROBES = 12  # along each side of a block: more bound its distances tighter and take longer
 LEAF = 8  # points that are compared with what is left of the segments one by one
 SENT = 10_000  # rows of an Arrow batch
+HELD = 20_000  # segments to a block, on average, where the points alone would ask for fewer blocks
 TOGETHER = 4096  # segments in a task: with fewer the blocks, which every task goes through, take most of the time
 
 
@@ -208,6 +209,19 @@ def _placed(cuts: np.ndarray, rows: list[np.ndarray], tall: int, shares: np.ndar
     return run
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in fewer batches: the blocks are gone through for each of them."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= 16 * TOGETHER:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if size:
+        yield pa.concat_batches(held)
+
+
 def _ends(batch: pa.RecordBatch) -> list[np.ndarray]:
     return [batch.column(c).to_numpy(zero_copy_only=False) for c in ("ax", "ay", "bx", "by")]
 
@@ -222,10 +236,8 @@ def _probed(blocks: np.ndarray, slack: float) -> Callable:
     """How far the nearest segment of a task is from each probe of every block: _cx, _cy (number of the probe), off."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least = np.full((len(blocks), PROBES * PROBES), np.inf)
-        for batch in batches:
+        for batch in _gathered(batches):
             sides = _sides(*_ends(batch))
-            if not sides.shape[1]:
-                continue
             unranked = np.zeros(sides.shape[1])
             for at, (_, *corners) in enumerate(blocks):
                 least[at] = np.minimum(least[at], _nearest(sides, unranked, *_probes(*corners), slack)[1])
@@ -240,7 +252,7 @@ def _probed(blocks: np.ndarray, slack: float) -> Callable:
 def _spread(blocks: np.ndarray, reach: np.ndarray, shares: np.ndarray, slack: float) -> Callable:
     """Repeats each segment for the blocks (_cx) of which it comes within the reach of a probe, and every share (_cy) of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _gathered(batches):
             sides, held, size = _sides(*_ends(batch)), [], 0
 
             def sent(held: list) -> pa.RecordBatch:
@@ -293,7 +305,7 @@ def nearest_lines(points: DataFrame, parts: DataFrame, keys: list[str], line: li
     bound those of all its points, so that a segment is sent only to the blocks of which a point can be as near to it.
     The points are read several times and not kept.
     Within a block the search is by smaller and smaller parts. The blocks grow with the root of the number of points:
-    a long segment is repeated once for every block on its way, not for every cell.
+    a long segment is repeated once for every block on its way, not for every cell. Many segments make more blocks.
     Ties go to the least ``line``. Without segments there is no row.
     """
     sound = parts.where(F.col("ax").isNotNull() & F.col("ay").isNotNull() & F.col("bx").isNotNull() & F.col("by").isNotNull())
@@ -315,7 +327,7 @@ def nearest_lines(points: DataFrame, parts: DataFrame, keys: list[str], line: li
     slack = SLACK * (max(known["east"], ends[1]) - min(known["west"], ends[0]) + max(known["north"], ends[3]) - min(known["south"], ends[2]))
 
     # strips of equal numbers of points, each cut across into blocks of equal numbers
-    count = max(1, round(ends["n"] ** 0.5 / 16))
+    count = max(1, round(ends["n"] ** 0.5 / 16), min(ends["n"], known["n"] // HELD))
     wide, tall = ends[1] - ends[0], ends[3] - ends[2]
     strips = max(1, min(count, round((count * wide / tall) ** 0.5) if tall else count))
     tall = -(-count // strips)

@@ -156,3 +156,17 @@ def test_nearest_lines_of_repeated_points_and_equal_distances(spark):
     assert {r.distance for r in rows if r.id is not None and r.id >= 9000} == {88.0}
     rows = lines.nearest_lines(points, spark.createDataFrame(sides, schema), ["id"], ["line"]).where("distance = 0").collect()
     assert len(rows) == 5001 and {r.line for r in rows} == {"c"}
+
+
+def test_nearest_of_many_segments_to_few_points(spark):
+    """Few points are dealt by the number of segments, so that no block lists most of these."""
+    points = spark.createDataFrame([(1, 10.0, 10.0), (2, 90.0, 20.0), (3, 50.0, 95.0), (4, 20.0, 70.0)], "id int, x double, y double")
+    n = F.col("id")
+    ax, ay = n * 7919 % 100003 / 1000.03, n * 613 % 100019 / 1000.19
+    segments = spark.range(80_000).select(n.alias("line"), ax.alias("ax"), ay.alias("ay"), (ax + n % 7 / 9).alias("bx"), (ay + n % 5 / 9).alias("by"))
+    near = lines.nearest_lines(points, segments, ["id"], ["line"])
+    got, parts = {r.id: r for r in near.collect()}, [tuple(r) for r in segments.collect()]
+    assert len(got) == 4
+    for i, x, y in points.collect():
+        best = min((plain_nearest(x, y, *p[1:]), p[0]) for p in parts)
+        assert got[i].distance == pytest.approx(best[0], abs=1e-9)
